@@ -46,27 +46,27 @@ def _once(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def type_history(
+def type_summary(
     cells: DataFrame,
     group: list[str],
     seq: str,
     value: str,
     fold_bits: int = FOLD_BITS,
+    tie: list[str] | None = None,
 ) -> DataFrame:
-    """Final type and all type changes of each column.
+    """What the rows of each column do to every possible incoming type.
 
-    ``cells`` holds one VARIANT value per (group, seq). Result: the group
-    columns, ``final_type`` and ``changes``, an array of (seq, old_type,
-    new_type) that starts with the first typing. Columns with nulls only are
-    absent: their type stays unknown.
+    ``cells`` holds one VARIANT value per (group, seq); ``tie`` orders values
+    that share a seq. ``summary`` maps an incoming type to (type, changes).
     """
+    tie = tie or []
     typed = (
-        with_traits(cells.select(*group, F.col(seq).cast("bigint").alias("_seq"), F.col(value).alias("_v")), "_v")
+        with_traits(cells.select(*group, *tie, F.col(seq).cast("bigint").alias("_seq"), F.col(value).alias("_v")), "_v")
         .where(F.col("traits").isNotNull())
-        .select(*group, "_seq", "traits", F.shiftright("_seq", fold_bits).alias("_blk"))
+        .select(*group, "_seq", *tie, "traits", F.shiftright("_seq", fold_bits).alias("_blk"))
     )
     # the same traits twice in a row never change the type a second time
-    earlier = F.lag("traits").over(Window.partitionBy(*group, "_blk").orderBy("_seq"))
+    earlier = F.lag("traits").over(Window.partitionBy(*group, "_blk").orderBy("_seq", *tie))
     runs = typed.withColumn("_earlier", earlier).where(~F.col("traits").eqNullSafe(F.col("_earlier")))
 
     def fold_rows(start: Column) -> Column:
@@ -95,7 +95,7 @@ def type_history(
 
     level = (
         runs.groupBy(*group, "_blk")
-        .agg(F.array_sort(F.collect_list(F.struct("_seq", "traits"))).alias("rows"))
+        .agg(F.array_sort(F.collect_list(F.struct("_seq", *tie, "traits"))).alias("rows"))
         .select(*group, "_blk", _for_every_type(fold_rows).alias("summary"))
     )
     for _ in range(2):
@@ -108,10 +108,37 @@ def type_history(
                 _for_every_type(lambda start: _compose(F.col("blocks"), start)).alias("summary"),
             )
         )
-    whole = level.groupBy(*group).agg(
-        F.array_sort(F.collect_list(F.struct("_blk", "summary")), _by_block).alias("blocks")
+    return (
+        level.groupBy(*group)
+        .agg(F.array_sort(F.collect_list(F.struct("_blk", "summary")), _by_block).alias("blocks"))
+        .select(
+            *group, _for_every_type(lambda start: _compose(F.col("blocks"), start)).alias("summary")
+        )
     )
-    return whole.withColumn("_end", _compose(F.col("blocks"), F.lit("UNK"))).select(
+
+
+def type_history(
+    cells: DataFrame,
+    group: list[str],
+    seq: str,
+    value: str,
+    fold_bits: int = FOLD_BITS,
+    tie: list[str] | None = None,
+) -> DataFrame:
+    """Final type and all type changes of each column.
+
+    Result: the group columns, ``final_type`` and ``changes``, an array of
+    (seq, old_type, new_type) that starts with the first typing. Columns with
+    nulls only are absent: their type stays unknown.
+    """
+    whole = type_summary(cells, group, seq, value, fold_bits, tie)
+    return continue_history(whole, group, F.lit("UNK"))
+
+
+def continue_history(summary: DataFrame, group: list[str], known_type: Column) -> DataFrame:
+    """History of the summarised rows for columns that come in with ``known_type``."""
+    end = F.element_at(F.col("summary"), known_type)
+    return summary.withColumn("_end", end).select(
         *group, F.col("_end.type").alias("final_type"), F.col("_end.changes").alias("changes")
     )
 
