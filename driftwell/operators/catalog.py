@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections import ChainMap
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -16,11 +18,35 @@ class ForeignKey:
     ref_column: str
 
 
+class StoredTables(Mapping):
+    """Parquet tables below a folder, opened when first asked for."""
+
+    def __init__(self, spark: SparkSession, folder: str, names: list[str]):
+        self.spark, self.folder, self.names = spark, folder, names
+        self.opened: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.names:
+            raise KeyError(name)
+        if name not in self.opened:
+            self.opened[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.opened[name]
+
+    def __contains__(self, name: object) -> bool:
+        return name in self.names
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.names)
+
+    def __len__(self) -> int:
+        return len(self.names)
+
+
 @dataclass
 class Catalog:
     """Tables by name with their keys. The tables themselves stay lazy."""
 
-    tables: dict[str, DataFrame]
+    tables: Mapping[str, DataFrame]
     primary_keys: dict[str, list[str]] = field(default_factory=dict)
     foreign_keys: list[ForeignKey] = field(default_factory=list)
 
@@ -33,7 +59,7 @@ class Catalog:
         return self[name].columns
 
     def with_table(self, name: str, state: DataFrame) -> Catalog:
-        return Catalog({**self.tables, name: state}, self.primary_keys, self.foreign_keys)
+        return Catalog(ChainMap({name: state}, self.tables), self.primary_keys, self.foreign_keys)
 
     def keys_of(self, name: str) -> list[ForeignKey]:
         return [k for k in self.foreign_keys if k.table == name]

@@ -1 +1,14 @@
+"""Every registered query with its oracle SQL."""
 
+from __future__ import annotations
+
+import importlib
+
+FAMILIES = ["query_plans", "mutation_plans", "source_plans", "typing_plans"]
+
+
+def all_plans() -> dict:
+    plans: dict = {}
+    for family in FAMILIES:
+        plans.update(importlib.import_module(f"driftwell.plans.{family}").PLANS)
+    return plans
