@@ -186,7 +186,7 @@ def converted(type_name: Column, kind: Column, plain: Column, items: Column) ->
         "int_value": F.when(type_name == "int", whole),
         "float_value": F.when(type_name == "float", number),
         "bool_value": F.when(type_name == "bool", to_boolean(bool_source)),
-        "str_value": F.when(type_name == "str", shown),
+        "str_value": F.when((type_name == "str") & (kind != "VOID"), shown),
         "list_value": F.when(
             type_name.startswith("list<") & F.forall(listed, lambda x: x.isNotNull()), listed
         ),

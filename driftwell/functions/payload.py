@@ -10,6 +10,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed a single time.
+
+    Catalyst may inline a column into a lambda, which would compute it again
+    for every element.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def strict_json(raw: Column) -> Column:
     """Parse exactly one JSON value; null when the text is anything else.
 
@@ -17,8 +26,10 @@ def strict_json(raw: Column) -> Column:
     parsed inside brackets, where such text is an error or a second element.
     """
     wrapped = F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]")))
-    alone = F.variant_get(wrapped, "$[1]", "variant").isNull()
-    return F.when(alone, F.variant_get(wrapped, "$[0]", "variant"))
+    return once(
+        F.try_variant_get(wrapped, "$", "array<variant>"),
+        lambda found: F.when(F.size(found) == 1, F.get(found, F.lit(0))),
+    )
 
 
 def is_object(value: Column) -> Column:

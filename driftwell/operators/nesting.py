@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftwell.functions.coerce import with_traits
-from driftwell.functions.payload import elements, fields, strict_json
+from driftwell.functions.payload import elements, fields, once, strict_json
 from driftwell.operators.scan import dense_number
 from driftwell.operators.widening import drift_log, type_history
 from driftwell.session import materialize
@@ -47,34 +47,37 @@ def record_nodes(records: DataFrame, seq: str, raw: str, root: str = "root") ->
 def _children(frontier: DataFrame) -> DataFrame:
     """Objects and lists held by the objects and lists of one level."""
     is_object = F.col("_kind") == "OBJECT"
-    parsed = frontier.withColumn("_v", strict_json(F.col("raw")))
-    texts = F.map_entries(F.from_json("raw", "map<string,string>"))
+
+    def nested_kind(shown: Column, value: Column) -> Column:
+        # the text rules out most scalars; a string may still look like an object
+        kind = F.regexp_extract(F.schema_of_variant(value), "^(OBJECT|ARRAY)", 1)
+        return F.when(F.substring(shown, 1, 1).isin("{", "["), kind).otherwise("")
+
+    entries = F.map_entries(F.from_json("raw", "map<string,string>"))
     items = F.from_json("raw", "array<string>")
-    parsed = parsed.withColumns(
-        {
-            "_fields": F.when(is_object, fields(F.col("_v"))),
-            "_elements": F.when(~is_object, elements(F.col("_v"))),
-        }
-    )
-    nested_kind = lambda v: F.regexp_extract(F.schema_of_variant(v), "^(OBJECT|ARRAY)", 1)
-    held = F.when(
-        is_object,
-        F.transform(
-            texts,
+    in_object = once(
+        fields(strict_json(F.col("raw"))),
+        lambda values: F.transform(
+            entries,
             lambda e, i: F.struct(
                 i.alias("at"), e["key"].alias("key"), e["value"].alias("raw"),
-                nested_kind(F.try_element_at("_fields", e["key"])).alias("kind"),
+                nested_kind(e["value"], F.try_element_at(values, e["key"])).alias("kind"),
             ),
         ),
-    ).otherwise(
-        F.transform(
+    )
+    in_list = once(
+        elements(strict_json(F.col("raw"))),
+        lambda values: F.transform(
             items,
             lambda x, i: F.struct(
                 i.alias("at"), F.lit(None).cast("string").alias("key"), x.alias("raw"),
-                nested_kind(F.get("_elements", i)).alias("kind"),
+                nested_kind(x, F.get(values, i)).alias("kind"),
             ),
-        )
+        ),
     )
+    held = F.when(is_object, in_object).otherwise(in_list)
+    # most objects are leaves, and their text shows it
+    parsed = frontier.where(F.substring("raw", 2, LAST).rlike(r"[{\[]"))
     below = parsed.select(
         "table_name", "seq", "path", "parent_table", "parent_path", "parent_key", "pos", is_object.alias("_obj"),
         F.explode(F.filter(held, lambda h: h["kind"] != "")).alias("h"),
@@ -109,16 +112,17 @@ def node_cells(nodes: DataFrame) -> DataFrame:
     Object values stand for a child row; they are kept with a null value and
     ``is_child`` set. Lists that hold objects or lists are no columns.
     """
-    parsed = nodes.withColumn("_fields", fields(strict_json(F.col("raw"))))
-    names = F.json_object_keys("raw")
-    cells = F.transform(
-        names,
-        lambda k, i: F.struct(i.alias("at"), k.alias("field"), F.try_element_at("_fields", k).alias("value")),
+    cells = once(
+        fields(strict_json(F.col("raw"))),
+        lambda values: F.transform(
+            F.json_object_keys("raw"),
+            lambda k, i: F.struct(i.alias("at"), k.alias("field"), F.try_element_at(values, k).alias("value")),
+        ),
     )
     kept = [c for c in nodes.columns if c != "raw"]
     kind = F.schema_of_variant("value")
     holds = F.exists(elements(F.col("value")), lambda x: F.schema_of_variant(x).rlike("^(OBJECT|ARRAY)"))
-    flat = parsed.select(*kept, F.explode(cells).alias("c")).select(*kept, "c.at", "c.field", "c.value")
+    flat = nodes.select(*kept, F.explode(cells).alias("c")).select(*kept, "c.at", "c.field", "c.value")
     return flat.where(~F.coalesce(holds, F.lit(False))).withColumn(
         "is_child", F.coalesce(kind.startswith("OBJECT"), F.lit(False))
     )

@@ -251,12 +251,11 @@ def split_payload(records: DataFrame, placement: DataFrame, payload: str) -> Dat
     stores = placement.where(F.col("dest") == RELATIONAL).agg(
         F.coalesce(F.collect_set("field"), F.array().cast("array<string>")).alias("s")
     )
-    names = stores.scalar()
-    values = fields(F.col(payload))
-    goes = lambda k, v: F.array_contains(names, k) & ~F.coalesce(is_nested(v), F.lit(False))
-    return records.withColumns(
+    split = records.withColumns({"_names": stores.scalar(), "_values": fields(F.col(payload))})
+    goes = lambda k, v: F.array_contains("_names", k) & ~F.coalesce(is_nested(v), F.lit(False))
+    return split.withColumns(
         {
-            "relational": F.map_filter(values, goes),
-            "document": F.map_filter(values, lambda k, v: ~goes(k, v)),
+            "relational": F.map_filter("_values", goes),
+            "document": F.map_filter("_values", lambda k, v: ~goes(k, v)),
         }
-    )
+    ).drop("_names", "_values")

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftwell.functions.coerce import converted, with_traits
+from driftwell.functions.payload import once
 from driftwell.functions.widening import TYPES, next_type
 from driftwell.session import lookup_join
 
@@ -27,7 +28,7 @@ def _compose(items: Column, start: Column) -> Column:
     return F.aggregate(
         items,
         begin,
-        lambda acc, b: _once(
+        lambda acc, b: once(
             F.element_at(b["summary"], acc["type"]),
             lambda s: F.struct(
                 s["type"].alias("type"), F.concat(acc["changes"], s["changes"]).alias("changes")
@@ -41,11 +42,6 @@ def _for_every_type(run) -> Column:
     return F.map_from_arrays(types, F.transform(types, run))
 
 
-def _once(value: Column, use) -> Column:
-    """``use(value)`` with the value computed a single time."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def type_summary(
     cells: DataFrame,
     group: list[str],
@@ -72,7 +68,7 @@ def type_summary(
     def fold_rows(start: Column) -> Column:
         begin = F.struct(start.alias("type"), F.array().cast(CHANGES).alias("changes"))
         def step(acc: Column, row: Column) -> Column:
-            return _once(
+            return once(
                 next_type(acc["type"], row["traits"]),
                 lambda new: F.struct(
                     new.alias("type"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from driftwell.functions.payload import text
 from driftwell.functions.text import edit_distance, pair_name, table_name
 from driftwell.operators import clock
+from driftwell.session import spread
 from driftwell.plans.common import micros, scratch, table
 from driftwell.sources import logs, sse
 
@@ -83,7 +84,7 @@ def _(spark, sf):
 
 def mixed_items(spark, sf):
     """Every event in one of the forms S3 understands, some broken, some unknown."""
-    e = table(spark, sf, "events")
+    e = spread(table(spark, sf, "events"))
     form = F.col("event_id") % 6
     raw = (
         F.when(form == 0, F.concat(F.lit('{"event":" ADD ","data":'), payload(), F.lit("}")))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,9 +46,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute once, reliably: the result survives the loss of executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute once, reliably: a table in the shared folder outlives any executor.
+
+    What reads it knows its size, so Catalyst can plan with it.
+    """
+    path = f"{shared_dir(df.sparkSession)}/driftwell-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def lookup_join(
@@ -72,3 +77,9 @@ def lookup_join(
     salted = rows.withColumn("_salt", F.pmod(salt, F.lit(SALTS)).cast("int"))
     spread = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return salted.join(spread, [*on, "_salt"], how).drop("_salt")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a table that arrives in a few splits to all tasks before costly per-row work."""
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
