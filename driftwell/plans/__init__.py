@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-FAMILIES = ["query_plans", "mutation_plans", "source_plans", "typing_plans", "nesting_plans", "profile_plans", "inference_plans", "oplog_plans"]
+FAMILIES = ["query_plans", "mutation_plans", "source_plans", "typing_plans", "nesting_plans", "profile_plans", "inference_plans", "oplog_plans", "sink_plans", "stream_plans"]
 
 
 def all_plans() -> dict:
