@@ -58,6 +58,12 @@ def is_nested(value: Column) -> Column:
     return is_object(value) | F.coalesce(holds, F.lit(False))
 
 
+def field(value: Column, name: str) -> Column:
+    """One field of an object value, without reading the others."""
+    quoted = name.replace("\\", "\\\\").replace("'", "\\'")
+    return F.try_variant_get(value, f"$['{quoted}']", "variant")
+
+
 def text(value: Column) -> Column:
     """Scalars as plain text, lists and objects as JSON text."""
     return F.try_variant_get(value, "$", "string")
@@ -66,22 +72,15 @@ def text(value: Column) -> Column:
 def identity(value: Column) -> Column:
     """A text that is equal for two values exactly when they compare equal.
 
-    Numbers and booleans share one domain (1 = 1.0 = true), strings another;
-    null is a value of its own.
+    It is the JSON text, so strings keep their quotes and stay apart from
+    numbers; numbers and booleans share one domain (1 = 1.0 = true), and null is
+    a value of its own.
     """
-    kind = F.schema_of_variant(value)
-    plain = text(value)
-    number = F.regexp_replace(
-        F.when(plain.rlike(r"^-?\d+\.\d*$"), F.regexp_replace(plain, r"\.?0+$", "")).otherwise(
-            plain
-        ),
-        "^-0$",
-        "0",
-    )
-    return (
-        F.when(kind == "VOID", F.lit("z"))
-        .when(kind == "BOOLEAN", F.concat(F.lit("n:"), F.when(plain == "true", "1").otherwise("0")))
-        .when(kind == "STRING", F.concat(F.lit("s:"), plain))
-        .when(kind.rlike("^(ARRAY|OBJECT)"), F.concat(F.lit("j:"), plain))
-        .otherwise(F.concat(F.lit("n:"), number))
+    return once(
+        F.to_json(value),
+        lambda j: F.when(F.substring(j, 1, 1).isin('"', "[", "{"), j)
+        .when(j == "true", "1")
+        .when(j == "false", "0")
+        .when(F.contains(j, F.lit(".")) & j.rlike(r"^-?[0-9.]+$"), F.regexp_replace(j, r"\.?0+$", ""))
+        .otherwise(j),
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from driftwell.functions import render
 from driftwell.functions.payload import fields, identity, is_list, text
 from driftwell.operators.scan import Running, dense_number, running_scan
-from driftwell.session import lookup_join
+from driftwell.session import lookup_join, materialize
 
 DDL_SEQ = -1
 LOG_COLUMNS = ["seq", "type", "table_name", "columns", "values", "where", "pk_id", "actor"]
@@ -88,6 +88,8 @@ def entity_operations(
         identity(key_value).alias("pk_id"),
         (text(F.try_element_at("r", F.lit(global_key))) if global_key else _none("string")).alias("actor"),
     ).where((F.col("event") != "change") | (F.size("columns") > 0))
+    # the scan reads its input twice; parsing and joining happen once
+    rows = materialize(rows)
     trace = F.when(is_write, "seen").when(F.col("event") == "remove", "gone")
     scanned = running_scan(rows, ["table_name", "pk_id"], "seq", {"_was": Running("last", trace, inclusive=False)})
     kind = (

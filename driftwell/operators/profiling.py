@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from driftwell.functions.coerce import with_traits
 from driftwell.functions.payload import fields, identity, is_list, is_nested, text
 from driftwell.operators.scan import Running, dense_number, running_scan
 from driftwell.operators.widening import CHANGES, type_history
-from driftwell.session import lookup_join
+from driftwell.session import lookup_join, materialize
 
 # fixed values: thresholds and store names
 PRESENCE_FLOOR = 0.80
@@ -32,6 +33,21 @@ def record_cells(records: DataFrame, seq: str, payload: str) -> DataFrame:
     )
 
 
+def described_cells(records: DataFrame, seq: str, payload: str) -> DataFrame:
+    """What profiling and typing need of each cell, without the value itself.
+
+    The result is stored once: several passes read it, and it is small next to
+    the records.
+    """
+    cells = with_traits(record_cells(records, seq, payload), "value")
+    return materialize(
+        cells.select(
+            *[c for c in records.columns if c != payload],
+            "field", "nested", "is_null", "is_list", "length", F.when(~F.col("nested"), F.col("traits")).alias("traits"),
+        )
+    )
+
+
 def alter_counts(history: DataFrame, group: list[str]) -> DataFrame:
     """ALTERs per column over the whole stream: its discovery plus its drifts."""
     return history.select(*group, (F.lit(1) + F.size(_drifts(F.col("changes")))).alias("alter_count"))
@@ -78,7 +94,7 @@ def profile_fields(
         F.coalesce(F.sum("squares"), F.lit(0)).alias("squares"),
     ).where(F.col("total_seen") > 0)
     if history is None:
-        history = type_history(cells.where(flat), ["field"], seq, "value")
+        history = type_history(described_cells(records.select(seq, payload), seq, payload), ["field"], seq, "value")
     out = per_field.join(alter_counts(history, ["field"]), "field", "left")
     return finish_profile(out.withColumn("total_records", total))
 
@@ -131,16 +147,14 @@ def placement_replay(
 
     Columns: field, seq, dest, and the running figures it rests on.
     """
-    numbered = dense_number(records.select(seq, payload), "_record_no", seq)
-    cells = record_cells(numbered, seq, payload)
+    slim = record_numbers(records, seq)
+    cells = described_cells(records.select(seq, payload), seq, payload)
     flat = ~F.col("nested")
     if history is None:
-        history = type_history(
-            record_cells(records.select(seq, payload), seq, payload).where(flat), ["field"], seq, "value"
-        )
+        history = type_history(cells, ["field"], seq, "value")
     length = F.col("length").cast("bigint")
     scanned = running_scan(
-        cells.drop("value"),
+        cells.drop("traits").join(slim, seq),
         ["field"],
         seq,
         {
@@ -177,14 +191,22 @@ def last_decisions(replay: DataFrame, seq: str) -> DataFrame:
     return replay.groupBy("field").agg(F.max_by("dest", seq).alias("dest"))
 
 
-def profile_sums(records: DataFrame, seq: str, payload: str) -> DataFrame:
+def record_numbers(records: DataFrame, seq: str) -> DataFrame:
+    """The number of each record in ``seq`` order."""
+    return dense_number(records.select(seq), "_record_no", seq)
+
+
+def profile_sums(
+    records: DataFrame, seq: str, payload: str, cells: DataFrame | None = None
+) -> DataFrame:
     """Mergeable per-field sums of a batch of records.
 
     ``at_last`` counts the records up to the field's last occurrence; the
     record counts of batches add up, and so do all other columns.
     """
-    numbered = dense_number(records.select(seq, payload), "_record_no", seq)
-    cells = record_cells(numbered, seq, payload)
+    if cells is None:
+        cells = described_cells(records.select(seq, payload), seq, payload)
+    cells = cells.join(record_numbers(records, seq), seq)
     flat = ~F.col("nested")
     length = F.col("length").cast("bigint")
     return cells.groupBy("field").agg(

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,77 +49,61 @@ def validate_specs(specs: DataFrame, columns: DataFrame) -> DataFrame:
     present = known & ~F.col("missing")
 
     def flag(condition, message):
-        return q.where(condition).select("query_index", message.alias("error"))
+        return F.when(condition, F.array(message)).otherwise(empty)
 
     def each(condition, items, message):
-        return q.where(condition).select(
-            "query_index", "entity", "known", F.explode(items).alias("item")
-        ).select("query_index", message.alias("error"))
+        return F.when(condition, F.transform(items, message)).otherwise(empty)
 
-    def unknown(items, known_columns):
-        return F.filter(items, lambda c: ~F.array_contains(known_columns, c))
+    def unknown(items):
+        return F.filter(items, lambda c: ~F.array_contains("known", c))
 
     in_table = F.concat(F.lit("' not found in table '"), F.col("entity"), F.lit("'"))
-    where_error = F.concat(F.lit("WHERE column '"), F.col("item"), in_table)
+    where_error = lambda c: F.concat(F.lit("WHERE column '"), c, in_table)
     verb = F.when(F.col("action") == "add", "ADD").otherwise("CHANGE")
-    parts = [
-        flag(~known | F.col("action").isNull(), F.concat(F.lit("Unknown action: "), F.coalesce("action", F.lit("None")))),
-        flag(known & F.col("missing"), F.concat(F.lit("Table '"), F.coalesce("entity", F.lit("None")), F.lit("' does not exist in schema"))),
+    is_add, is_get = F.col("action") == "add", F.col("action") == "get"
+    is_change, is_remove = F.col("action") == "change", F.col("action") == "remove"
+    plain_fields = F.filter(F.coalesce("fields", empty), lambda f: (f != "*") & ~f.rlike(r"[.(]"))
+
+    def record_errors(record, at):
+        prefix = F.concat(F.lit("Record "), at.cast("string"), F.lit(": "))
+        nested = F.map_filter(record, lambda k, v: F.coalesce(F.ltrim(v).rlike(r"^\[\s*\{"), F.lit(False)))
+        named = F.filter(
+            F.array_except(F.map_keys(record), F.map_keys(nested)), lambda c: ~c.startswith("__")
+        )
+        return F.concat(
+            F.transform(unknown(named), lambda c: F.concat(prefix, F.lit("Column '"), c, in_table)),
+            F.transform(
+                F.array_except("keys", F.map_keys(record)),
+                lambda c: F.concat(prefix, F.lit("Missing primary key column '"), c, F.lit("'")),
+            ),
+        )
+
+    # all checks of a spec read one row, so they are one pass over the specs
+    errors = F.concat(
+        flag(~F.coalesce(known, F.lit(False)), F.concat(F.lit("Unknown action: "), F.coalesce("action", F.lit("None")))),
         flag(
-            present & F.col("action").isin("add", "change") & F.col("data_empty"),
-            F.concat(F.lit("No data provided for "), verb, F.lit(" operation")),
+            known & F.col("missing"),
+            F.concat(F.lit("Table '"), F.coalesce("entity", F.lit("None")), F.lit("' does not exist in schema")),
         ),
         flag(
-            present & F.col("action").isin("change") & (F.size("where_keys") == 0),
-            F.lit("WHERE clause is required for UPDATE"),
+            present & (is_add | is_change) & F.col("data_empty"),
+            F.concat(F.lit("No data provided for "), verb, F.lit(" operation")),
         ),
+        flag(present & is_change & (F.size("where_keys") == 0), F.lit("WHERE clause is required for UPDATE")),
         flag(
-            present & (F.col("action") == "remove") & (F.size("where_keys") == 0),
+            present & is_remove & (F.size("where_keys") == 0),
             F.lit("WHERE clause is required for DELETE (to prevent deleting all records)"),
         ),
+        each(present & is_get, unknown(plain_fields), lambda c: F.concat(F.lit("Field '"), c, in_table)),
+        each(present & is_get, unknown(F.filter("where_keys", lambda c: ~c.contains("."))), where_error),
+        each(present & (is_remove | (is_change & ~F.col("data_empty"))), unknown(F.col("where_keys")), where_error),
         each(
-            present & (F.col("action") == "get"),
-            unknown(
-                F.filter(F.coalesce("fields", empty), lambda f: (f != "*") & ~f.rlike(r"[.(]")), F.col("known")
-            ),
-            F.concat(F.lit("Field '"), F.col("item"), in_table),
+            present & is_change & ~F.col("data_empty"),
+            unknown(F.map_keys(F.get("records", F.lit(0)))),
+            lambda c: F.concat(F.lit("UPDATE column '"), c, in_table),
         ),
-        each(
-            present & (F.col("action") == "get"),
-            unknown(F.filter("where_keys", lambda c: ~c.contains(".")), F.col("known")),
-            where_error,
-        ),
-        each(
-            present
-            & ((F.col("action") == "remove") | ((F.col("action") == "change") & ~F.col("data_empty"))),
-            unknown(F.col("where_keys"), F.col("known")),
-            where_error,
-        ),
-        each(
-            present & (F.col("action") == "change") & ~F.col("data_empty"),
-            unknown(F.map_keys(F.get("records", F.lit(0))), F.col("known")),
-            F.concat(F.lit("UPDATE column '"), F.col("item"), in_table),
-        ),
-    ]
-    rows = q.where(present & (F.col("action") == "add") & ~F.col("data_empty")).select(
-        "query_index", "entity", "known", "keys", F.posexplode("records").alias("at", "record")
-    )
-    prefix = F.concat(F.lit("Record "), F.col("at"), F.lit(": "))
-    nested = F.map_filter("record", lambda k, v: F.ltrim(v).rlike(r"^\[\s*\{"))
-    named = F.filter(
-        F.array_except(F.map_keys("record"), F.map_keys(nested)), lambda c: ~c.startswith("__")
-    )
-    parts.append(
-        rows.select("query_index", "entity", prefix.alias("p"), F.explode(unknown(named, F.col("known"))).alias("item"))
-        .select("query_index", F.concat("p", F.lit("Column '"), F.col("item"), in_table).alias("error"))
-    )
-    parts.append(
-        rows.select(
-            "query_index", prefix.alias("p"),
-            F.explode(F.array_except("keys", F.map_keys("record"))).alias("item"),
-        ).select(
-            "query_index",
-            F.concat("p", F.lit("Missing primary key column '"), F.col("item"), F.lit("'")).alias("error"),
-        )
+        F.when(
+            present & is_add & ~F.col("data_empty"), F.flatten(F.transform("records", record_errors))
+        ).otherwise(empty),
     )
-    return reduce(DataFrame.unionAll, parts)
+    return q.select("query_index", F.explode(errors).alias("error"))

@@ -53,13 +53,14 @@ def type_summary(
     """What the rows of each column do to every possible incoming type.
 
     ``cells`` holds one VARIANT value per (group, seq); ``tie`` orders values
-    that share a seq. ``summary`` maps an incoming type to (type, changes).
+    that share a seq. Cells that have ``traits`` already are not read again.
+    ``summary`` maps an incoming type to (type, changes).
     """
     tie = tie or []
-    typed = (
-        with_traits(cells.select(*group, *tie, F.col(seq).cast("bigint").alias("_seq"), F.col(value).alias("_v")), "_v")
-        .where(F.col("traits").isNotNull())
-        .select(*group, "_seq", *tie, "traits", F.shiftright("_seq", fold_bits).alias("_blk"))
+    described = cells if "traits" in cells.columns else with_traits(cells, value)
+    typed = described.where(F.col("traits").isNotNull()).select(
+        *group, *tie, F.col(seq).cast("bigint").alias("_seq"), "traits",
+        F.shiftright(F.col(seq).cast("bigint"), fold_bits).alias("_blk"),
     )
     # the same traits twice in a row never change the type a second time
     earlier = F.lag("traits").over(Window.partitionBy(*group, "_blk").orderBy("_seq", *tie))

@@ -72,8 +72,9 @@ def order_records(spark, sf):
 
 
 def batched(spark, sf, size):
-    numbered = dense_number(order_records(spark, sf), "no", "o_orderkey")
-    return numbered.withColumn("batch", dep.batch_number(F.col("no"), size))
+    # numbering needs the order only; the records join it
+    numbers = dense_number(table(spark, sf, "orders").select("o_orderkey"), "no", "o_orderkey")
+    return order_records(spark, sf).join(numbers, "o_orderkey").withColumn("batch", dep.batch_number(F.col("no"), size))
 
 
 def rec_sql(size):

@@ -147,9 +147,9 @@ def final(spark, sf):
     from driftwell.operators.widening import type_history
 
     records = document_records(spark, sf)
-    cells = pr.record_cells(records, "doc_id", "record").where("not nested")
+    cells = pr.described_cells(records, "doc_id", "record")
     history = type_history(cells, ["field"], "doc_id", "value")
-    return pr.final_placement(pr.profile_sums(records, "doc_id", "record"), history)
+    return pr.final_placement(pr.profile_sums(records, "doc_id", "record", cells), history)
 
 
 @plan(

@@ -10,7 +10,7 @@ from driftwell.operators import profiling as pr
 from driftwell.operators.widening import type_history
 from driftwell.plans.common import scratch, table
 from driftwell.plans.oplog_plans import OPS, log
-from driftwell.session import spread
+from driftwell.session import materialize, spread
 from driftwell.sinks import reports, stores
 from driftwell.sources.logs import read_operation_log
 
@@ -45,12 +45,12 @@ def records(spark, sf):
 def batches(spark, sf):
     """Both halves flushed as two batches, each with the placement and types of its own records."""
     path = scratch(spark)
-    everything = records(spark, sf)
+    everything = materialize(records(spark, sf))
     for number, early in enumerate((True, False)):
         part = everything.where(F.col("early") == early).select("seq", "record")
-        cells = pr.record_cells(part, "seq", "record").where("not nested")
+        cells = pr.described_cells(part, "seq", "record")
         history = type_history(cells, ["field"], "seq", "value")
-        placement = pr.final_placement(pr.profile_sums(part, "seq", "record"), history)
+        placement = materialize(pr.final_placement(pr.profile_sums(part, "seq", "record", cells), history))
         stores.flush(part, "record", placement, history.select("field", "final_type"), path, number, ["seq"])
     return path
 

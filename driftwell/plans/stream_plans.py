@@ -215,8 +215,8 @@ def _(spark, sf):
     state = None
     for late in (False, True):
         state = materialize(incremental.profile_step(state, records.where((F.col("doc_id") > middle) == late), "doc_id", "record"))
-    cells = pr.record_cells(records, "doc_id", "record").where("not nested")
-    whole = pr.final_placement(pr.profile_sums(records, "doc_id", "record"), type_history(cells, ["field"], "doc_id", "value"))
+    cells = pr.described_cells(records, "doc_id", "record")
+    whole = pr.final_placement(pr.profile_sums(records, "doc_id", "record", cells), type_history(cells, ["field"], "doc_id", "value"))
     both = pr.final_placement(state).join(whole.withColumnRenamed("dest", "batch_dest"), "field", "full_outer")
     return both.agg(
         F.count(F.lit(1)).alias("n_fields"), F.count_if(~F.col("dest").eqNullSafe(F.col("batch_dest"))).cast("int").alias("n_different")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from driftwell.functions.coerce import converted
-from driftwell.functions.payload import elements, fields, text
+from driftwell.functions.payload import elements, field, text
 from driftwell.operators.profiling import RELATIONAL, split_payload
 
 # fixed values: from widest to narrowest, with the physical type of each
@@ -28,8 +28,8 @@ def relational_columns(placement: DataFrame, types: DataFrame) -> dict[str, str]
     return {r["field"]: ("list" if r["t"].startswith("list") else "str" if r["t"] == "UNK" else r["t"]) for r in sorted(rows)}
 
 
-def _typed(payload: str, field: str, type_name: str) -> Column:
-    value = F.try_element_at(fields(F.col(payload)), F.lit(field))
+def _typed(payload: str, name: str, type_name: str) -> Column:
+    value = field(F.col(payload), name)
     if type_name == "list":
         return F.transform(elements(value), text)
     columns = converted(F.lit(type_name), F.schema_of_variant(value), text(value), elements(value))
@@ -60,13 +60,13 @@ def read_relational(spark: SparkSession, path: str, table: str) -> DataFrame:
     physical: dict[str, dict[str, str]] = {}
     plain = []
     for name in raw.columns:
-        field, _, kind = name.rpartition("__")
-        if field and kind in PHYSICAL:
-            physical.setdefault(field, {})[kind] = name
+        column, _, kind = name.rpartition("__")
+        if column and kind in PHYSICAL:
+            physical.setdefault(column, {})[kind] = name
         else:
             plain.append(name)
     shown = []
-    for field, by_type in physical.items():
+    for column, by_type in physical.items():
         widest = next(k for k in ("list", "str", "float", "int", "bool") if k in by_type)
         parts = []
         for kind, name in by_type.items():
@@ -79,7 +79,7 @@ def read_relational(spark: SparkSession, path: str, table: str) -> DataFrame:
             else:
                 value = value.cast(PHYSICAL[widest])
             parts.append(value)
-        shown.append(F.coalesce(*parts).alias(field))
+        shown.append(F.coalesce(*parts).alias(column))
     return raw.select(*[c for c in plain if c != "batch_id"], *shown)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftwell.operators.profiling import profile_sums, record_cells
+from driftwell.operators.profiling import described_cells, profile_sums
 from driftwell.operators.scan import Running, running_scan
 from driftwell.operators.schema import schema_changes
 from driftwell.operators.widening import continue_history, type_summary
@@ -16,8 +16,8 @@ SUMS = ["total_seen", "present_count", "samples", "chars", "squares"]
 def profile_step(previous: DataFrame | None, records: DataFrame, seq: str, payload: str) -> DataFrame:
     """Profile after one more batch (R5). One row per field, whatever was read so far."""
     batch_total = records.agg(F.count(F.lit(1)).alias("n")).scalar()
-    sums = profile_sums(records, seq, payload).withColumn("records", batch_total)
-    cells = record_cells(records.select(seq, payload), seq, payload).where(~F.col("nested"))
+    cells = described_cells(records.select(seq, payload), seq, payload)
+    sums = profile_sums(records, seq, payload, cells).withColumn("records", batch_total)
     summary = type_summary(cells, ["field"], seq, "value")
     if previous is None:
         typed = continue_history(summary, ["field"], F.lit("UNK"))

@@ -18,13 +18,16 @@ from driftwell.operators import oplog, schema
 from driftwell.operators.clock import event_time, ingest_time
 from driftwell.operators.profiling import final_placement
 from driftwell.operators.scan import dense_number
+from driftwell.session import materialize
 from driftwell.sinks import reports, stores
 from driftwell.sources import sse
 from driftwell.streaming.incremental import first_seen_step, latest_flags, profile_step
 
 # a batch has room for 2^40 records, and their numbers follow the batch order
 BATCH_SHIFT = 40
-EVENTS = "seq bigint, event string, record_text string, sys_ingested_us bigint, t_stamp double"
+EVENTS = (
+    "seq bigint, event string, record_text string, record variant, sys_ingested_us bigint, t_stamp double"
+)
 
 
 @dataclass
@@ -86,20 +89,20 @@ class Ingest:
         offsets = sizes.withColumn("_before", F.coalesce(before, F.lit(0))).drop("_size")
         base = F.lit(batch_id).cast("bigint") * F.lit(1 << BATCH_SHIFT)
         ordered = numbered.join(offsets, ["file", "start"]).withColumn("seq", base + F.col("_before") + F.col("_n"))
-        events = sse.normalise_pairs(ordered)
+        # numbering and stamping read their input twice; the frames are parsed once
+        events = materialize(sse.normalise_pairs(ordered).drop("data", "_at", "_n", "_before", "file", "start"))
         stamped = ingest_time(
             events.withColumn("_now", F.unix_micros(F.current_timestamp())), "seq", "_now"
         )
         given = F.try_variant_get("record", "$.t_stamp", "double")
         stamped.select(
-            "seq", "event", "record_text", F.col("sys_ingested_us"), event_time(given).alias("t_stamp")
+            "seq", "event", "record_text", "record", "sys_ingested_us", event_time(given).alias("t_stamp")
         ).write.mode("overwrite").parquet(f"{self.events}/batch_id={batch_id}")
 
     def read_events(self, spark: SparkSession, batch_id: int | None = None) -> DataFrame:
-        """The event table, or one batch of it, with the parsed record."""
+        """The event table, or one batch of it."""
         path = self.events if batch_id is None else f"{self.events}/batch_id={batch_id}"
-        df = spark.read.schema(EVENTS).parquet(path)
-        return df.withColumn("record", sse.strict_json(F.col("record_text")))
+        return spark.read.schema(EVENTS).parquet(path)
 
     def placement(self, spark: SparkSession, batch_id: int) -> DataFrame:
         return final_placement(reports.load_state(spark, self.profile, batch_id))
@@ -118,9 +121,8 @@ class LearnedSchema:
 
 def learn_schema(events: DataFrame, keys: list[str], global_key: str | None) -> LearnedSchema:
     """Schema of the create/add events, in batches of 400 and 1000 records."""
-    records = dense_number(
-        events.where(F.col("event").isin("create", "add")).select("seq", "record"), "no", "seq"
-    )
+    written = events.where(F.col("event").isin("create", "add")).select("seq", "record")
+    records = written.join(dense_number(written.select("seq"), "no", "seq"), "seq")
     small = records.withColumn("batch", dep.batch_number(F.col("no"), dep.ENTITY_BATCH))
     large = records.withColumn("batch", dep.batch_number(F.col("no"), dep.RELATION_BATCH))
     attributes = dep.ever(dep.functional_dependencies(small, "batch", "record", keys, global_key))
