@@ -41,7 +41,7 @@ def to_float(value: Column) -> Column:
 
 def strict_integer(value: Column) -> Column:
     """A double to BIGINT only when nothing is lost."""
-    return F.when(value == F.floor(value), value.cast("bigint"))
+    return F.when(value == F.floor(value), value.try_cast("bigint"))
 
 
 def list_items(value: Column) -> Column:
@@ -68,12 +68,10 @@ def scalar_traits(kind: Column, shown: Column) -> Column:
     is_text = kind == "STRING"
     is_bool = kind == "BOOLEAN"
     # a variant keeps 5.0 as DECIMAL(1,0); integers are BIGINT, or wider than 18 digits
-    is_int = (kind == "BIGINT") | (
-        kind.rlike(r"^DECIMAL\(\d+,0\)$")
-        & (F.regexp_extract(kind, r"\((\d+),", 1).try_cast("int") > 18)
-    )
+    is_int = kind.rlike(r"^(BIGINT|DECIMAL\((19|2\d|3\d),0\))$")
     is_real = kind.rlike("^(DECIMAL|DOUBLE|FLOAT)") & ~is_int
-    number = shown.try_cast("double")
+    # inside a CASE, so that no text is ever cast just to fail
+    number = F.when(is_real, shown.try_cast("double"))
     whole = is_real & (number == F.floor(number))
     int_text = is_text & shown.rlike(INT_FORM)
     float_text = is_text & shown.rlike(FLOAT_FORM)
@@ -158,7 +156,7 @@ def converted(type_name: Column, kind: Column, plain: Column, items: Column) ->
     whole = F.coalesce(
         F.when(kind == "BOOLEAN", (plain == "true").cast("bigint")),
         to_integer(plain),
-        F.when(kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"), plain.try_cast("double").cast("bigint")),
+        F.when(kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"), plain.try_cast("double").try_cast("bigint")),
     )
     bool_source = F.when(kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"), F.lit(None)).otherwise(plain)
     shown = shown_text(kind, plain)

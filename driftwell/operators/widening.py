@@ -151,8 +151,8 @@ def drift_log(history: DataFrame, group: list[str]) -> DataFrame:
     the first typing of an empty list's elements.
     """
     return (
-        history.select(*group, F.explode("changes").alias("c"))
-        .select(*group, "c.seq", "c.old_type", "c.new_type")
+        history.select(*group, F.explode("changes").alias("_change"))
+        .select(*group, "_change.seq", "_change.old_type", "_change.new_type")
         .where(~F.col("old_type").isin("UNK", "list<UNK>"))
     )
 

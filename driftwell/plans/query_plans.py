@@ -8,6 +8,7 @@ from driftwell.operators.catalog import declared_columns
 from driftwell.operators.query import get_documents, nest_children, relation_join, run_spec, select_related
 from driftwell.operators.validate import parse_specs, validate_specs
 from driftwell.plans.common import catalog, table
+from driftwell.session import spread
 from driftwell.sources.logs import read_table
 
 PLANS: dict = {}
@@ -293,7 +294,7 @@ DECLARED = (
 
 
 def spec_texts(spark, sf):
-    o = table(spark, sf, "orders")
+    o = spread(table(spark, sf, "orders"))
     key = F.col("o_orderkey").cast("string")
     spec = (
         F.when(F.col("o_orderstatus") == "O", F.concat(F.lit('{"action":"add","entity":"orders","data":{"o_orderkey":'), key, F.lit(',"o_custkey":1}}')))

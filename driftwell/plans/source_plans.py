@@ -38,7 +38,7 @@ def shown(*names):
 
 @plan("s1_frame_records", "SELECT event_id, user_id, value, event_type AS event FROM events")
 def _(spark, sf):
-    frames = table(spark, sf, "events").select(
+    frames = spread(table(spark, sf, "events")).select(
         F.concat(F.lit("event: "), F.col("event_type"), F.lit("\ndata: "), payload()).alias("frame")
     )
     records = sse.normalise_pairs(sse.frame_records(frames))
@@ -180,7 +180,7 @@ def command_lines(spark, sf):
         F.lit(', user: "u'), F.col("user_id").cast("string"), F.lit('", tags: [1, 2], meta: {v: '), F.col("value").cast("string"),
         F.when(F.col("event_id") % 11 == 0, "}").otherwise("}});"),
     )
-    return table(spark, sf, "events").select(line.alias("value"))
+    return spread(table(spark, sf, "events")).select(line.alias("value"))
 
 
 @plan(
