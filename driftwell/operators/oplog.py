@@ -63,8 +63,11 @@ def entity_operations(
         "scalars",
         F.map_keys(F.map_filter("r", lambda k, v: ~k.isin(skip) & ~F.coalesce(is_list(v), F.lit(False)))),
     )
+    # only the fields that are keys are worth a row
+    keys = defs.agg(F.collect_set("primary_key").alias("k")).scalar()
     keyed = lookup_join(
-        prepared.withColumn("primary_key", F.explode("scalars")), defs, ["primary_key"], "inner", salt=F.col("seq")
+        prepared.withColumn("primary_key", F.explode(F.array_intersect("scalars", keys))),
+        defs, ["primary_key"], "inner", salt=F.col("seq"),
     )
     empty = F.array().cast("array<string>")
     present = F.array_intersect("table_columns", "scalars")
