@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftwell.llm.common import held_out, whole_text
-from driftwell.llm.subwords import BLANK, Rolling, chunks, edges
+from driftwell.llm.subwords import BLANK, Rolling, chunks, edges, mixed
 
 #: Documents the classifier is fitted on, at most; chosen by hash of their id.
 SAMPLE = 4000
 BITS = 18
 GRAMS = (2, 3, 4)
+BACK = (1, 2)
 SIZE = 16
 PASSES = 6
 RATE = 4.0
@@ -23,13 +24,19 @@ THRESHOLD = 0.3
 
 
 def features(texts: list[str], bits: int = BITS) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(number of the first text, text of each feature counted from there, hashed features): words and byte n-grams."""
+    """(number of the first text, text of each feature counted from there, hashed features): words, their repeats, and byte n-grams."""
     shift = np.uint64(64 - bits)
     for first, data, starts in chunks([t.lower().encode("utf-8", "surrogatepass") for t in texts]):
         rolling = Rolling(data)
         owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
         begin, end = edges(~BLANK[data])
-        owners, hashed = [owner[begin]], [(rolling.spans(begin, end) ^ np.uint64(0x5851F42D4C957F2D)) >> shift]
+        words, of_word = rolling.spans(begin, end), owner[begin]
+        owners, hashed = [of_word], [(words ^ np.uint64(0x5851F42D4C957F2D)) >> shift]
+        for back in BACK:  # whether a word is the one so many places before
+            if len(words) > back:
+                same = of_word[back:] == of_word[:-back]
+                owners.append(of_word[back:][same])
+                hashed.append(mixed(np.uint64(2 * back) + (words[back:] == words[:-back]).astype(np.uint64))[same] >> shift)
         for n in GRAMS:
             if len(data) > n:
                 inside = owner[: len(data) - n] == owner[n : len(data)]
