@@ -19,3 +19,8 @@ def table_name(key: Column) -> Column:
 def pair_name(left: Column, right: Column) -> Column:
     """Junction name of two entities, in sorted order."""
     return F.array_join(F.array_sort(F.array(left, right)), "_")
+
+
+def stripped(value: Column) -> Column:
+    """The text without white space at either end; tabs and line ends included."""
+    return F.regexp_replace(value, r"^\s+|\s+$", "")

@@ -45,9 +45,27 @@ def _(spark, sf):
     return records.select("event", *shown())
 
 
+@plan("s1_crlf_frames", "SELECT event_id, user_id, value, event_type AS event FROM events")
+def _(spark, sf):
+    """Frames with CRLF line ends and indented lines."""
+    frames = table(spark, sf, "events").select(
+        F.concat(F.lit("  event: "), F.col("event_type"), F.lit(" \r\n\tdata: "), payload(), F.lit("\r")).alias("frame")
+    )
+    records = sse.normalise_pairs(sse.frame_records(frames))
+    return records.select("event", *shown())
+
+
+@plan("s3_indented_forms", "SELECT event_id AS seq, event_type AS event, user_id, value FROM events")
+def _(spark, sf):
+    """SSE text whose lines are indented by tabs and blanks and end in digits of their own."""
+    raw = F.concat(F.lit("\t event:\t"), F.upper("event_type"), F.lit(" \r\n \tdata:"), payload(), F.lit("\t\r\n"))
+    n = sse.normalise(table(spark, sf, "events").select(F.col("event_id").alias("seq"), raw.alias("raw")))
+    return n.select("seq", "event", *shown()).drop("event_id")
+
+
 def landed_lines(spark, sf):
     """Event text without blank lines, an ``event:`` line only at every tenth record."""
-    e = table(spark, sf, "events").where("event_type <> 'view'")
+    e = table(spark, sf, "events")
     text_of = F.when(
         F.col("event_id") % 10 == 0, F.concat(F.lit("event: "), F.col("event_type"), F.lit("\ndata: "), payload())
     ).otherwise(F.concat(F.lit("data: "), payload()))
@@ -58,7 +76,7 @@ def landed_lines(spark, sf):
 
 CARRIED = (
     "SELECT event_id, user_id, value, last_value(CASE WHEN event_id % 10 = 0 THEN event_type END IGNORE NULLS) "
-    "OVER (ORDER BY event_id) AS event FROM events WHERE event_type <> 'view'"
+    "OVER (ORDER BY event_id) AS event FROM events"
 )
 
 

@@ -26,20 +26,20 @@ def plan(name, sql=None):
     return keep
 
 
-def land(spark, sf, path, where="true"):
+def land(spark, sf, path, where="true", end="\n"):
     """SSE files with one frame per event; every eleventh frame is broken."""
     e = table(spark, sf, "events").where(where)
     body = F.to_json(F.struct("event_id", "user_id", "value", F.from_json("props", "k int").alias("props"), F.when(F.col("event_id") % 3 == 0, F.lit("x")).alias("rare")))
     data = F.when(F.col("event_id") % 11 == 0, F.lit("{broken")).otherwise(body)
     kind = F.when(F.col("event_type") == "view", "get").otherwise("create")
-    e.select(F.concat(F.lit("event: "), kind, F.lit("\ndata: "), data).alias("value")).write.mode("append").option("lineSep", "\n\n").text(path)
+    e.select(F.concat(F.lit("event: "), kind, F.lit(f"{end}data: "), data).alias("value")).write.mode("append").option("lineSep", end * 2).text(path)
 
 
-def ingested(spark, sf):
+def ingested(spark, sf, end="\n"):
     """Two landings, the second after the first run has ended: the restart goes on from the checkpoint."""
     landing, job = scratch(spark), Ingest(scratch(spark))
     for where in ("event_type IN ('view', 'click')", "event_type NOT IN ('view', 'click')"):
-        land(spark, sf, landing, where)
+        land(spark, sf, landing, where, end)
         query = job.start(spark, landing, max_files=1000)
         query.awaitTermination()
     return job
@@ -58,6 +58,17 @@ def _(spark, sf):
     return events.select(get("event_id", "bigint"), get("user_id", "bigint"), get("value", "double"), "event")
 
 
+@plan(
+    "r7_ingest_crlf",
+    f"SELECT event_id, user_id, value, CASE WHEN event_type = 'view' THEN 'get' ELSE 'create' END AS event FROM {KEPT}",
+)
+def _(spark, sf):
+    """The same text with CRLF line ends."""
+    events = sse.forwarded(ingested(spark, sf, "\r\n").read_events(spark))
+    get = lambda n, t: F.variant_get("record", f"$.{n}", t).alias(n)
+    return events.select(get("event_id", "bigint"), get("user_id", "bigint"), get("value", "double"), "event")
+
+
 @plan(
     "r2_restart_is_exactly_once",
     "SELECT count(*) AS n, count(*) AS n_seq, count(*) AS n_stamps, count(*) FILTER (event_id % 11 = 0) AS n_broken FROM events",
@@ -66,7 +77,7 @@ def _(spark, sf):
     events = ingested(spark, sf).read_events(spark)
     return events.agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("seq").alias("n_seq"),
-        F.countDistinct("seq", "sys_ingested_us").alias("n_stamps"), F.count_if(F.col("record").isNull()).alias("n_broken"),
+        F.countDistinct("sys_ingested_us").alias("n_stamps"), F.count_if(F.col("record").isNull()).alias("n_broken"),
     )
 
 
@@ -105,16 +116,16 @@ def _(spark, sf):
     "SELECT count(*) AS n, true AS bounded FROM events",
 )
 def _(spark, sf):
-    """Frames read one file per micro-batch and kept as a table."""
+    """Lines read one file per micro-batch, their records kept as a table."""
     landing, out = scratch(spark), scratch(spark)
     land(spark, sf, landing, "event_id % 2 = 0")
     land(spark, sf, landing, "event_id % 2 = 1")
-    frames = sse.stream_frames(spark, landing, max_files=1)
+    lines = sse.stream_lines(spark, landing, max_files=1)
 
     def keep(batch, batch_id):
-        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        sse.split_records(batch, F.lit(0)).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
-    query = frames.writeStream.foreachBatch(keep).option("checkpointLocation", scratch(spark)).trigger(availableNow=True).start()
+    query = lines.writeStream.foreachBatch(keep).option("checkpointLocation", scratch(spark)).trigger(availableNow=True).start()
     query.awaitTermination()
     kept = spark.read.parquet(out)
     return kept.agg(F.count(F.lit(1)).alias("n"), (F.countDistinct("batch_id") > 1).alias("bounded"))

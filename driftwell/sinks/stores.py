@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftwell.functions.coerce import converted
+from driftwell.functions.coerce import converted, list_items
 from driftwell.functions.payload import elements, field, text
 from driftwell.operators.profiling import RELATIONAL, split_payload
 
@@ -13,28 +13,40 @@ from driftwell.operators.profiling import RELATIONAL, split_payload
 PHYSICAL = {"str": "string", "float": "double", "int": "bigint", "bool": "boolean", "list": "array<string>"}
 
 
-def bounded_rows(df: DataFrame, limit: int = 20_000) -> list[Row]:
-    """Metadata rows on the driver; more than ``limit`` is an error, not a truncation."""
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} metadata rows")
-    return rows
-
-
 def relational_columns(placement: DataFrame, types: DataFrame) -> dict[str, str]:
-    """Column → type of the fields placed in the relational store."""
+    """Column → type of the fields placed in the relational store: the schema of the table, read from kept state."""
     chosen = placement.where(F.col("dest") == RELATIONAL).join(types, "field", "left")
-    rows = bounded_rows(chosen.select("field", F.coalesce("final_type", F.lit("str")).alias("t")))
+    rows = chosen.select("field", F.coalesce("final_type", F.lit("str")).alias("t")).toLocalIterator()
     return {r["field"]: ("list" if r["t"].startswith("list") else "str" if r["t"] == "UNK" else r["t"]) for r in sorted(rows)}
 
 
+def physical_name(column: str, type_name: str) -> str:
+    """Stored name of a column: capitals are marked, so that names that differ in case stay apart."""
+    return "".join(f"^{c.lower()}" if c != c.lower() and len(c.lower()) == 1 else "^^" if c == "^" else c for c in column) + f"__{type_name}"
+
+
+def logical_name(stored: str) -> str:
+    out, marked = "", False
+    for c in stored:
+        if marked:
+            out, marked = out + ("^" if c == "^" else c.upper()), False
+        elif c == "^":
+            marked = True
+        else:
+            out += c
+    return out
+
+
+def _present(value: Column) -> Column:
+    return value.isNotNull() & (F.schema_of_variant(value) != "VOID")
+
+
 def _typed(payload: str, name: str, type_name: str) -> Column:
     value = field(F.col(payload), name)
     if type_name == "list":
-        return F.transform(elements(value), text)
+        return F.transform(list_items(value), lambda x: text(x))
     columns = converted(F.lit(type_name), F.schema_of_variant(value), text(value), elements(value))
-    present = value.isNotNull() & (F.schema_of_variant(value) != "VOID")
-    return F.when(present, columns[f"{type_name}_value"])
+    return F.when(_present(value), columns[f"{type_name}_value"])
 
 
 def write_relational(
@@ -45,12 +57,13 @@ def write_relational(
     The first batch creates the table and later ones may bring new columns. A
     column that is widened gets one more physical column, ``name__type``, so
     that no old file has to be rewritten. The batch owns its directory: writing
-    it again replaces it. Rows with no column at all are skipped.
+    it again replaces it. Rows with no column besides the keys are skipped.
     """
-    wide = records.select(*keys, *[_typed(payload, f, t).alias(f"{f}__{t}") for f, t in columns.items()])
+    names = {f: physical_name(f, t) for f, t in columns.items()}
+    wide = records.select(*keys, *[_typed(payload, f, t).alias(names[f]) for f, t in columns.items()])
     any_set = F.lit(False)
-    for c in wide.columns:
-        any_set = any_set | F.col(f"`{c}`").isNotNull()
+    for name in names.values():
+        any_set = any_set | F.col(f"`{name}`").isNotNull()
     wide.where(any_set).write.mode("overwrite").parquet(f"{path}/{table}/batch_id={batch_id}")
 
 
@@ -79,16 +92,30 @@ def read_relational(spark: SparkSession, path: str, table: str) -> DataFrame:
             else:
                 value = value.cast(PHYSICAL[widest])
             parts.append(value)
-        shown.append(F.coalesce(*parts).alias(column))
+        shown.append(F.coalesce(*parts).alias(logical_name(column)))
     return raw.select(*[c for c in plain if c != "batch_id"], *shown)
 
 
 def write_documents(
-    records: DataFrame, payload: str, placement: DataFrame, path: str, collection: str, batch_id: int, keys: list[str]
+    records: DataFrame, payload: str, placement: DataFrame, path: str, collection: str, batch_id: int, keys: list[str],
+    columns: dict[str, str] | None = None,
 ) -> None:
-    """Append the document fields of one batch as JSON, nested values whole (K2)."""
+    """Append the document fields of one batch as JSON, nested values whole (K2).
+
+    ``columns`` are those of the relational half: a value that does not convert
+    to its column's type, such as an integer beyond 64 bits or a scalar in a
+    column of lists, is kept here, so that the two halves together hold every value.
+    """
     split = split_payload(records, placement, payload)
-    split.select(*keys, F.to_json("document").alias("document")).write.mode("overwrite").json(
+    kept = F.col("document")
+    if columns:
+        left_out = [
+            F.struct(F.lit(f).alias("key"), F.when(_present(field(F.col(payload), f)) & _typed(payload, f, t).isNull(), field(F.col(payload), f)).alias("value"))
+            for f, t in columns.items()
+        ]
+        left_out = F.filter(F.array(*left_out), lambda x: x["value"].isNotNull())
+        kept = F.map_concat(F.coalesce(kept, F.map_from_entries(F.filter(left_out, lambda x: F.lit(False)))), F.map_from_entries(left_out))
+    split.select(*keys, F.to_json(kept).alias("document")).write.mode("overwrite").json(
         f"{path}/{collection}/batch_id={batch_id}"
     )
 
@@ -105,8 +132,9 @@ def flush(
     """Write one batch to both stores (K3). Writing the same batch twice changes nothing."""
     records = records.persist()
     try:
-        write_relational(records, payload, relational_columns(placement, types), f"{path}/relational", table, batch_id, keys)
-        write_documents(records, payload, placement, f"{path}/documents", table, batch_id, keys)
+        columns = relational_columns(placement, types)
+        write_relational(records, payload, columns, f"{path}/relational", table, batch_id, keys)
+        write_documents(records, payload, placement, f"{path}/documents", table, batch_id, keys, columns)
     finally:
         records.unpersist()
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from driftwell.functions.text import stripped
+
 OPERATION = (
     "type string, table_name string, columns array<string>, `values` array<variant>, "
     "`where` map<string,variant>, sql string"
 )
-COMMAND = r"^db\.(\w+)\.insertOne\((\{.*\})\);?$"
 
 
 def read_operation_log(spark: SparkSession, path: str, global_key: str | None = None) -> DataFrame:
@@ -17,7 +18,7 @@ def read_operation_log(spark: SparkSession, path: str, global_key: str | None =
     schema = OPERATION + (f", `{global_key}` string" if global_key else "")
     return (
         spark.read.text(path)
-        .where(F.trim("value") != "")
+        .where(stripped(F.col("value")) != "")
         .select(F.from_json("value", schema).alias("op"))
         .select("op.*")
         .withColumn("type", F.upper("type"))
@@ -27,19 +28,30 @@ def read_operation_log(spark: SparkSession, path: str, global_key: str | None =
 def parse_commands(lines: DataFrame, column: str = "value") -> DataFrame:
     """``db.<collection>.insertOne({bare: keys});`` lines.
 
-    Result: collection, document (map of VARIANT), skipped. A line that has
-    another form or whose document does not decode is marked skipped.
+    Result: collection, document (map of VARIANT), skipped. A line is cut at its
+    first opening brace and its last closing one: what comes before must name the
+    collection and the command, what comes after may only close it. Blanks
+    between the parts do not matter. A line that has another form, or whose
+    document does not decode, is marked skipped.
     """
-    line = F.trim(F.col(column))
-    document = F.from_json(
-        F.regexp_extract(line, COMMAND, 2), "map<string,variant>", {"allowUnquotedFieldNames": "true"}
+    line = stripped(F.col(column))
+    opens = F.instr(line, "{")
+    closes = F.length(line) - F.instr(F.reverse(line), "}") + 1
+    head = F.regexp_replace(F.substr(line, F.lit(1), opens - 1), r"\s", "")
+    tail = F.regexp_replace(F.substr(line, closes + 1), r"\s", "")
+    parts = F.split(head, r"\.")
+    name = F.get(parts, F.lit(1))
+    fits = (
+        (opens > 0) & (closes >= opens) & (F.size(parts) == 3) & (F.get(parts, F.lit(0)) == "db")
+        & (name != "") & ~name.rlike(r"\W") & (F.get(parts, F.lit(2)) == "insertOne(") & tail.isin(")", ");")
     )
-    found = F.when(line.rlike(COMMAND), document)
+    body = F.when(fits, F.substr(line, opens, closes - opens + 1))
+    document = F.from_json(body, "map<string,variant>", {"allowUnquotedFieldNames": "true"})
     return lines.select(
         *[c for c in lines.columns if c != column],
-        F.when(found.isNotNull(), F.regexp_extract(line, COMMAND, 1)).alias("collection"),
-        found.alias("document"),
-        found.isNull().alias("skipped"),
+        F.when(document.isNotNull(), name).alias("collection"),
+        document.alias("document"),
+        document.isNull().alias("skipped"),
     )
 
 
@@ -59,12 +71,10 @@ def read_statement_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def statements(pieces: DataFrame, column: str = "value") -> DataFrame:
-    lines = F.filter(
-        F.transform(F.split(F.col(column), r"\r?\n"), F.trim), lambda x: x != ""
-    )
-    real = F.exists(lines, lambda x: ~x.startswith("--"))
+    lines = F.transform(F.split(F.col(column), r"\r?\n"), lambda x: stripped(x))
+    real = F.exists(lines, lambda x: (x != "") & ~x.startswith("--"))
     return pieces.where(real).select(
-        *[c for c in pieces.columns if c != column], F.regexp_replace(column, r"^\s+|\s+$", "").alias("statement")
+        *[c for c in pieces.columns if c != column], stripped(F.col(column)).alias("statement")
     )
 
 

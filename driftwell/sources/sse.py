@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from driftwell.functions.payload import strict_json, text
+from driftwell.functions.text import stripped
 from driftwell.operators.scan import Running, running_scan
 
 # fixed values: the events the engine acts on
@@ -13,35 +14,73 @@ KNOWN_EVENTS = ["init", "create", "add", "change", "remove", "get"]
 _FRAME = "event string, data string"
 
 
-def stream_frames(
+def stream_lines(
     spark: SparkSession, path: str, max_files: int = 100, max_bytes: str | None = None
 ) -> DataFrame:
-    """Landed SSE files as a stream, one row (``frame``) per blank-line separated frame."""
-    reader = spark.readStream.option("lineSep", "\n\n").option("maxFilesPerTrigger", max_files)
-    if max_bytes:
-        # the two limits exclude each other
-        reader = spark.readStream.option("lineSep", "\n\n").option("maxBytesPerTrigger", max_bytes)
-    return reader.text(path).withColumnRenamed("value", "frame")
+    """Landed SSE files as a stream of lines with the file and split they come from.
+
+    Lines, not frames, so that blank lines with any line end separate frames.
+    """
+    # the two limits exclude each other
+    limit = ("maxBytesPerTrigger", max_bytes) if max_bytes else ("maxFilesPerTrigger", max_files)
+    return spark.readStream.option(*limit).text(path).select(
+        F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+    )
+
+
+def _after(line: Column, n: int) -> Column:
+    """What follows the first ``n`` characters of a line."""
+    return stripped(F.substr(line, F.lit(n + 1)))
+
+
+def _event_of(line: Column) -> Column:
+    return F.when(line.startswith("event:"), _after(line, 6))
+
+
+def _data_of(line: Column) -> Column:
+    return F.when(line.startswith("data:"), _after(line, 5))
+
+
+def split_records(lines: DataFrame, base: Column) -> DataFrame:
+    """``data:`` lines of file splits, numbered in (file, offset) order after ``base``: seq, event, data.
+
+    Input: file, start, line. The event is carried forward inside a file, over
+    the bounds of its splits. Only one row per split is scanned in one place.
+    """
+    line = stripped(F.col("line"))
+    placed = lines.select("file", "start", F.monotonically_increasing_id().alias("_at"), _event_of(line).alias("_event"), _data_of(line).alias("data"))
+    inside = Window.partitionBy("file", "start").orderBy("_at")
+    placed = placed.where("_event is not null or data is not null").withColumns(
+        {"_n": F.count("data").over(inside), "_own": F.last("_event", True).over(inside)}
+    )
+    splits = placed.groupBy("file", "start").agg(F.count("data").alias("_size"), F.max_by("_own", "_at").alias("_last"))
+    before = (Window.unboundedPreceding, -1)
+    splits = splits.select(
+        "file", "start",
+        F.coalesce(F.sum("_size").over(Window.orderBy("file", "start").rowsBetween(*before)), F.lit(0)).alias("_before"),
+        F.last("_last", True).over(Window.partitionBy("file").orderBy("start").rowsBetween(*before)).alias("_carried"),
+    )
+    return placed.where("data is not null").join(splits, ["file", "start"]).select(
+        (base + F.col("_before") + F.col("_n")).alias("seq"), F.coalesce("_own", "_carried").alias("event"), "data"
+    )
 
 
 def frame_records(frames: DataFrame, frame: str = "frame") -> DataFrame:
     """Each ``data:`` line of a frame as a row, under the last ``event:`` line before it."""
-    lines = F.transform(F.split(F.col(frame), "\n"), F.trim)
+    lines = F.transform(F.split(F.col(frame), r"\r?\n"), lambda x: stripped(x))
     begin = F.struct(
         F.lit(None).cast("string").alias("event"),
         F.array().cast(f"array<struct<{_FRAME.replace(' string', ':string').replace(', ', ',')}>>").alias("out"),
     )
 
-    def after(line: Column, n: int) -> Column:
-        return F.trim(F.substring(line, n, 1 << 30))
-
     def step(acc: Column, line: Column) -> Column:
         return F.struct(
-            F.when(line.startswith("event:"), after(line, 7)).otherwise(acc["event"]).alias("event"),
+            F.coalesce(_event_of(line), acc["event"]).alias("event"),
             F.when(
                 line.startswith("data:"),
                 F.array_append(
-                    acc["out"], F.struct(acc["event"].alias("event"), after(line, 6).alias("data"))
+                    acc["out"], F.struct(acc["event"].alias("event"), _data_of(line).alias("data"))
                 ),
             ).otherwise(acc["out"]).alias("out"),
         )
@@ -88,13 +127,8 @@ def line_records(lines: DataFrame, seq: str = "seq", line: str = "line", source:
     Works where frames are not separated by blank lines. The event is carried
     within one ``source`` (pass None for a single corpus).
     """
-    trimmed = F.trim(F.col(line))
-    named = lines.withColumns(
-        {
-            "_event": F.when(trimmed.startswith("event:"), F.trim(F.substring(trimmed, 7, 1 << 30))),
-            "data": F.when(trimmed.startswith("data:"), F.trim(F.substring(trimmed, 6, 1 << 30))),
-        }
-    ).where(F.col("_event").isNotNull() | F.col("data").isNotNull())
+    bare = stripped(F.col(line))
+    named = lines.withColumns({"_event": _event_of(bare), "data": _data_of(bare)}).where(F.col("_event").isNotNull() | F.col("data").isNotNull())
     group = [source] if source else []
     scanned = running_scan(
         named.select(*group, seq, "_event", "data"), group, seq, {"event": Running("last", F.col("_event"))}
@@ -115,21 +149,20 @@ def normalise(items: DataFrame, raw: str = "raw") -> DataFrame:
     that holds no JSON gives a null record. For (event, record) pairs see
     ``normalise_pairs``.
     """
-    body = F.trim(F.col(raw))
+    body = stripped(F.col(raw))
     df = items.withColumn("_body", body).withColumn(
         "_object", F.when(F.col("_body").startswith("{"), strict_json(F.col("_body")))
     )
     has = lambda k: F.array_contains(F.json_object_keys("_body"), k)
-    lines = F.transform(F.split(F.col("_body"), r"\r?\n"), F.trim)
-    last = lambda prefix, n: F.trim(F.substring(
-        F.try_element_at(F.filter(lines, lambda x: x.startswith(prefix)), F.lit(-1)), n, 1 << 30))
+    lines = F.transform(F.split(F.col("_body"), r"\r?\n"), lambda x: stripped(x))
+    last = lambda prefix: F.try_element_at(F.filter(lines, lambda x: x.startswith(prefix)), F.lit(-1))
     df = df.withColumns(
         {
             "_form": F.when(
                 F.col("_object").isNotNull(), F.when(has("event") & has("data"), "envelope").otherwise("plain")
             ).otherwise("sse"),
-            "_event_line": last("event:", 7),
-            "_data_line": last("data:", 6),
+            "_event_line": _event_of(last("event:")),
+            "_data_line": _data_of(last("data:")),
         }
     )
     # get_json_object keeps object text in source order and unwraps JSON strings
@@ -144,7 +177,7 @@ def normalise(items: DataFrame, raw: str = "raw") -> DataFrame:
         .otherwise(F.coalesce("_event_line", F.lit("create")))
     )
     return (
-        df.withColumns({"event": F.lower(F.trim(event)), "record_text": record_text})
+        df.withColumns({"event": F.lower(stripped(event)), "record_text": record_text})
         .withColumn("record", strict_json(F.col("record_text")))
         .drop("_body", "_object", "_form", "_event_line", "_data_line")
     )
@@ -156,11 +189,18 @@ def normalise_pairs(items: DataFrame, event: str = "event", data: str = "data")
         {
             "record_text": F.col(data),
             "record": strict_json(F.col(data)),
-            "event": F.lower(F.trim(F.coalesce(F.col(event), F.lit("create")))),
+            "event": F.lower(stripped(F.coalesce(F.col(event), F.lit("create")))),
         }
     )
 
 
+def event_counts(events: DataFrame) -> DataFrame:
+    """Records per event name, whether the engine knows it, and how many have no JSON: nothing is dropped unseen."""
+    return events.groupBy("event").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("record").isNull()).alias("broken")
+    ).withColumn("known", F.col("event").isin(KNOWN_EVENTS))
+
+
 def known_events(events: DataFrame) -> DataFrame:
     """Drop events the engine does not know."""
     return events.where(F.col("event").isin(KNOWN_EVENTS))

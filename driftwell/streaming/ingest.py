@@ -9,22 +9,19 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from driftwell.operators import dependencies as dep
 from driftwell.operators import oplog, schema
-from driftwell.operators.clock import event_time, ingest_time
+from driftwell.operators.clock import event_time
 from driftwell.operators.profiling import final_placement
 from driftwell.operators.scan import dense_number
-from driftwell.session import materialize
 from driftwell.sinks import reports, stores
 from driftwell.sources import sse
 from driftwell.streaming.incremental import first_seen_step, latest_flags, profile_step
 
-# a batch has room for 2^40 records, and their numbers follow the batch order
-BATCH_SHIFT = 40
 EVENTS = (
     "seq bigint, event string, record_text string, record variant, sys_ingested_us bigint, t_stamp double"
 )
@@ -44,26 +41,24 @@ class Ingest:
     def profile(self) -> str:
         return f"{self.base}/profile"
 
+    @property
+    def clock(self) -> str:
+        return f"{self.base}/clock"
+
     def start(
         self, spark: SparkSession, landing: str, max_files: int = 100, available_now: bool = True
     ) -> StreamingQuery:
         """Start, or resume from the checkpoint, reading ``landing``."""
-        frames = (
-            spark.readStream.option("lineSep", "\n\n").option("maxFilesPerTrigger", max_files).text(landing)
-            .select(
-                F.col("value").alias("frame"), F.col("_metadata.file_path").alias("file"),
-                F.col("_metadata.file_block_start").alias("start"),
-            )
-        )
-        writer = frames.writeStream.foreachBatch(self.batch).option("checkpointLocation", f"{self.base}/checkpoint")
+        lines = sse.stream_lines(spark, landing, max_files)
+        writer = lines.writeStream.foreachBatch(self.batch).option("checkpointLocation", f"{self.base}/checkpoint")
         if available_now:
             writer = writer.trigger(availableNow=True)
         return writer.start()
 
-    def batch(self, frames: DataFrame, batch_id: int) -> None:
+    def batch(self, lines: DataFrame, batch_id: int) -> None:
         """One micro-batch: number, stamp, normalise, keep, profile, place, flush."""
-        spark = frames.sparkSession
-        self._keep_events(frames, batch_id)
+        spark = lines.sparkSession
+        self._keep_events(lines, batch_id)
         events = self.read_events(spark, batch_id)
         records = sse.forwarded(events)
         previous = reports.load_state(spark, self.profile, batch_id - 1) if batch_id else None
@@ -76,28 +71,27 @@ class Ingest:
             ["seq", "sys_ingested_us", "t_stamp"],
         )
 
-    def _keep_events(self, frames: DataFrame, batch_id: int) -> None:
-        """Number the records of the batch in arrival order and write them down."""
-        placed = frames.withColumn("_at", F.monotonically_increasing_id())
-        split = sse.frame_records(placed)
-        inside = F.row_number().over(Window.partitionBy("file", "start").orderBy("_at"))
-        numbered = split.withColumn("_n", inside)
-        sizes = numbered.groupBy("file", "start").agg(F.max("_n").alias("_size"))
-        before = F.sum("_size").over(
-            Window.orderBy("file", "start").rowsBetween(Window.unboundedPreceding, -1)
-        )
-        offsets = sizes.withColumn("_before", F.coalesce(before, F.lit(0))).drop("_size")
-        base = F.lit(batch_id).cast("bigint") * F.lit(1 << BATCH_SHIFT)
-        ordered = numbered.join(offsets, ["file", "start"]).withColumn("seq", base + F.col("_before") + F.col("_n"))
-        # numbering and stamping read their input twice; the frames are parsed once
-        events = materialize(sse.normalise_pairs(ordered).drop("data", "_at", "_n", "_before", "file", "start"))
-        stamped = ingest_time(
-            events.withColumn("_now", F.unix_micros(F.current_timestamp())), "seq", "_now"
-        )
+    def _keep_events(self, lines: DataFrame, batch_id: int) -> None:
+        """Number and stamp the records of the batch in arrival order, and write them down.
+
+        Numbers and stamps go on where the batch before ended. All records of a
+        batch share its clock, so each is stamped one microsecond after the one
+        before it, and none before the last of the batch before.
+        """
+        spark = lines.sparkSession
+        last = reports.load_state(spark, self.clock, batch_id - 1).first() if batch_id else None
+        last_seq, last_us = (last.seq, last.us) if last else (0, 0)
+        events = sse.normalise_pairs(sse.split_records(lines, F.lit(last_seq).cast("bigint")))
+        clock = F.greatest(F.unix_micros(F.current_timestamp()), F.lit(last_us + 1))
         given = F.try_variant_get("record", "$.t_stamp", "double")
-        stamped.select(
-            "seq", "event", "record_text", "record", "sys_ingested_us", event_time(given).alias("t_stamp")
+        events.select(
+            "seq", "event", "record_text", "record", (clock + F.col("seq") - F.lit(last_seq + 1)).alias("sys_ingested_us"),
+            event_time(given).alias("t_stamp"),
         ).write.mode("overwrite").parquet(f"{self.events}/batch_id={batch_id}")
+        ends = self.read_events(spark, batch_id).agg(
+            F.coalesce(F.max("seq"), F.lit(last_seq)).alias("seq"), F.coalesce(F.max("sys_ingested_us"), F.lit(last_us)).alias("us")
+        )
+        reports.save_state(ends, self.clock, batch_id)
 
     def read_events(self, spark: SparkSession, batch_id: int | None = None) -> DataFrame:
         """The event table, or one batch of it."""
