@@ -17,6 +17,16 @@ def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def id_text(name: str = "doc_id") -> Column:
+    """An id as text, for Python workers: pandas would turn nullable integers to floats and lose digits."""
+    return F.col(name).cast("bigint").cast("string")
+
+
+def with_id(df: DataFrame, name: str = "doc_id") -> DataFrame:
+    """An id that was carried as text, as a number again."""
+    return df.withColumn(name, F.col(name).cast("bigint"))
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """True for the fifth of the documents whose labels are never learned."""
     key = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))

@@ -9,9 +9,8 @@ from collections.abc import Iterator
 import ahocorasick
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from driftwell.llm.common import whole_text
+from driftwell.llm.common import id_text, whole_text, with_id
 
 # Kinds in their order, base kinds first.
 KINDS = ("email", "ip", "card", "phone", "url", "iban", "ssn", "account", "secret")
@@ -201,7 +200,7 @@ def joined(spans: list) -> str:
     return ",".join(f"{kind}:{start}:{end}" for start, end, kind in spans)
 
 
-COLUMNS = "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string"
+COLUMNS = "doc_id string, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string"
 
 
 def find_personal(docs: DataFrame) -> DataFrame:
@@ -225,8 +224,6 @@ def find_personal(docs: DataFrame) -> DataFrame:
                 base, spans = Finder(text).spans()
                 counts = [sum(s[2] == kind for s in base) for kind in BASE]
                 rows.append((doc_id, *counts, hashlib.sha256(joined(base).encode()).hexdigest(), joined(spans)))
-            frame = pd.DataFrame(rows, columns=[c.split()[0] for c in COLUMNS.split(", ")])
-            frame["doc_id"] = frame["doc_id"].astype("Int64")
-            yield frame
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in COLUMNS.split(", ")])
 
-    return docs.select(F.col("doc_id").cast("bigint"), whole_text().alias("text")).mapInPandas(run, COLUMNS)
+    return with_id(docs.select(id_text().alias("doc_id"), whole_text().alias("text")).mapInPandas(run, COLUMNS))

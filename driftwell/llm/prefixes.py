@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftwell.llm.common import whole_text
+from driftwell.llm.common import id_text, whole_text, with_id
 
 PRIME = (1 << 31) - 1
 BASES = (1_000_003, 1_998_244_353 % PRIME)
@@ -148,7 +148,7 @@ def likeness(a: np.ndarray, b: np.ndarray, keep: int = SKETCH) -> float:
 
 
 COLUMNS = (
-    "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+    "doc_id string, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
     "near_edited double, near_next double, common_prefix_edited bigint, common_prefix_next bigint, common_suffix_next bigint"
 )
 
@@ -187,11 +187,9 @@ def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             this = _hashed(text)
             if held is not None:
                 out.append(_describe(held[0], held[1], held[2], text, this))
-            held = None if guest else (None if pd.isna(doc_id) else int(doc_id), text, this)
+            held = None if guest else (doc_id, text, this)
         if out:
-            frame = pd.DataFrame(out, columns=[c.split()[0] for c in COLUMNS.split(", ")])
-            frame["doc_id"] = frame["doc_id"].astype("Int64")
-            yield frame
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in COLUMNS.split(", ")])
 
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
@@ -216,7 +214,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     order = F.coalesce(F.col("doc_id").cast("bigint"), F.lit((1 << 63) - 1))
-    rows = docs.select(F.col("doc_id").cast("bigint"), order.alias("place"), whole_text().alias("text"))
+    rows = docs.select(id_text().alias("doc_id"), order.alias("place"), whole_text().alias("text"))
     pieces = min(MOST_PIECES, PIECES_EACH * int(spark.conf.get("spark.sql.shuffle.partitions")))
     shares = [i / pieces for i in range(1, pieces)]
     bounds = np.unique(np.array(docs.select(F.col("doc_id").cast("bigint")).approxQuantile("doc_id", shares, 1 / (4 * pieces)), np.float64))
@@ -236,4 +234,4 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     dealt = rows.withColumn("visit", F.explode(F.pandas_udf(visits, "array<int>")("place")))
     dealt = dealt.select(F.shiftright("visit", 1).alias("piece"), (F.col("visit") % 2 == 1).alias("guest"), "place", "doc_id", "text")
     dealt = dealt.repartition("piece").sortWithinPartitions("piece", "guest", "place", "text")
-    return dealt.select("piece", "guest", "doc_id", "text").mapInPandas(_walk, COLUMNS)
+    return with_id(dealt.select("piece", "guest", "doc_id", "text").mapInPandas(_walk, COLUMNS))

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftwell.llm.common import held_out, whole_text
+from driftwell.llm.common import held_out, id_text, whole_text, with_id
 from driftwell.llm.subwords import BLANK, Rolling, chunks, edges, mixed
 
 #: Documents the classifier is fitted on, at most; chosen by hash of their id.
@@ -150,5 +150,5 @@ def score_quality(docs: DataFrame, labels: DataFrame, at_most: int = SAMPLE, thr
             p = scores(list(b["text"]), *model.value)
             yield pd.DataFrame({"doc_id": b["doc_id"], "held_out": b["held_out"], "score": p, "predicted": (p >= threshold).astype(np.int32)})
 
-    rows = docs.select(F.col("doc_id").cast("bigint"), held_out().alias("held_out"), whole_text().alias("text"))
-    return rows.mapInPandas(run, "doc_id bigint, held_out boolean, score double, predicted int")
+    rows = docs.select(id_text().alias("doc_id"), held_out().alias("held_out"), whole_text().alias("text"))
+    return with_id(rows.mapInPandas(run, "doc_id string, held_out boolean, score double, predicted int"))

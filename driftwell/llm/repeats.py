@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftwell.llm.common import whole_text
+from driftwell.llm.common import id_text, whole_text, with_id
 from driftwell.llm.subwords import Rolling, chunks, mixed
 from driftwell.session import materialize
 
@@ -238,9 +238,7 @@ def _remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 spans = int(c[0]) + int(np.count_nonzero(c[1:] & ~c[:-1])) if hi > lo else 0
                 rows.append((ids[first + i], hi - lo, int(c.sum()), spans, hashlib.sha256(data[lo:hi][~c].tobytes()).hexdigest()))
         if rows:
-            frame = pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-            frame["doc_id"] = frame["doc_id"].astype("Int64")
-            yield frame
+            yield pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -260,8 +258,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     each other, so repeated rows get equal results. An empty table gives an
     empty result. Other columns are ignored.
     """
-    real = F.col("doc_id").cast("bigint")
-    texts = docs.select(F.coalesce(real, F.lit((1 << 63) - 1)).alias("doc_id"), real.alias("real_id"), whole_text().alias("text"))
+    place = F.coalesce(F.col("doc_id").cast("bigint"), F.lit((1 << 63) - 1))
+    texts = docs.select(place.alias("doc_id"), id_text().alias("real_id"), whole_text().alias("text"))
     phrases = _judged(texts.select("doc_id", "text").mapInPandas(_phrases, SCHEMA), True)
     per_document = materialize(
         phrases.groupBy("doc_id").agg(
@@ -274,6 +272,6 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     strings = _judged(told.select("doc_id", "real_id", "text", "open").mapInPandas(_strings, SCHEMA), False)
     listed = strings.where(F.col("kind") == REPEATED).groupBy("doc_id").agg(F.collect_list("name").alias("strings"))
     final = told.join(listed, "doc_id", "left")
-    return final.select("real_id", "text", "gone", "open", "strings").mapInPandas(
-        _remove, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-    )
+    return with_id(final.select("real_id", "text", "gone", "open", "strings").mapInPandas(
+        _remove, "doc_id string, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
+    ))

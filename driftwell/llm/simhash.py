@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftwell.llm.common import whole_text
+from driftwell.llm.common import id_text, whole_text, with_id
 from driftwell.session import materialize
 
 RADIUS = 4
@@ -56,7 +56,7 @@ def fingerprints(docs: DataFrame, words_per_shingle: int = SHINGLE) -> DataFrame
             bits = np.array([fingerprint(t, words_per_shingle) for t in b["text"]], np.uint64)
             yield pd.DataFrame({"doc_id": b["doc_id"], "bits": bits.view(np.int64)})
 
-    return docs.select(F.col("doc_id").cast("bigint"), whole_text().alias("text")).mapInPandas(run, "doc_id bigint, bits bigint")
+    return with_id(docs.select(id_text().alias("doc_id"), whole_text().alias("text")).mapInPandas(run, "doc_id string, bits bigint"))
 
 
 def bit_words(radius: int, words: int = WORDS) -> list[int]:

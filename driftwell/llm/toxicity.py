@@ -7,9 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from driftwell.llm.common import held_out, whole_text
+from driftwell.llm.common import held_out, id_text, whole_text, with_id
 from driftwell.llm.quality import sample
 from driftwell.llm.subwords import IN_WORD, Rolling, chunks, edges
 
@@ -218,5 +217,5 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, at_most: int = SAMPLE, th
             p = 1 / (1 + np.exp(-np.clip(np.concatenate([np.zeros(0), *parts]) + constant, -30, 30)))
             yield pd.DataFrame({"doc_id": b["doc_id"], "held_out": b["held_out"], "score": p, "predicted": (p >= threshold).astype(np.int32)})
 
-    rows = docs.select(F.col("doc_id").cast("bigint"), held_out().alias("held_out"), whole_text().alias("text"))
-    return rows.mapInPandas(run, "doc_id bigint, held_out boolean, score double, predicted int")
+    rows = docs.select(id_text().alias("doc_id"), held_out().alias("held_out"), whole_text().alias("text"))
+    return with_id(rows.mapInPandas(run, "doc_id string, held_out boolean, score double, predicted int"))

@@ -135,7 +135,7 @@ def test_personal(spark):
     rows = edge_rows() + [(500, text, "s"), (501, "😀 " + text, "s")]
     got = {r.doc_id: r for r in find_personal(table(spark, rows)).collect()}
     kinds = [s.split(":")[0] for s in got[500].spans.split(",")]
-    assert sorted(kinds) == sorted(["email", "phone", "card", "ip", "secret", "iban", "ssn", "url", "account"])
+    assert sorted(kinds) == sorted(["email", "email", "phone", "card", "ip", "secret", "iban", "ssn", "url", "account"])
     assert got[501].spans == ",".join(f"{k}:{int(a) + 2}:{int(b) + 2}" for k, a, b in (s.split(":") for s in got[500].spans.split(",")))
     for i, t, _ in rows:
         assert got[i].base_sha256 == hashlib.sha256(joined(spans(t or "")).encode()).hexdigest() or i is None
