@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftwell.operators import mutate
+from driftwell.operators.catalog import Catalog, ForeignKey
 from driftwell.plans.common import catalog
 
 PLANS: dict = {}
@@ -37,9 +38,9 @@ def _(spark, sf):
     return mutate.insert(state, {"c_custkey": 9000000, "c_name": "New", "c_acctbal": 1.5})
 
 
-@plan("m1_inserted_count", "SELECT count(*) AS inserted_count FROM orders WHERE o_orderstatus = 'F'")
+@plan("m1_inserted_count", "SELECT count(*) AS inserted_count FROM orders")
 def _(spark, sf):
-    return mutate.inserted_count(catalog(spark, sf)["orders"].where("o_orderstatus = 'F'"))
+    return mutate.inserted_count(catalog(spark, sf)["orders"])
 
 
 @plan(
@@ -63,6 +64,25 @@ def _(spark, sf):
     )
 
 
+@plan(
+    "m2_two_levels",
+    "SELECT 'orders' AS table_name, o_orderkey AS a, o_custkey AS b FROM orders "
+    "UNION ALL SELECT 'orders', 70000000 + s_suppkey, 5000000 + s_suppkey FROM supplier "
+    "UNION ALL SELECT 'lineitem', l_orderkey, l_linenumber FROM lineitem "
+    "UNION ALL SELECT 'lineitem', 70000000 + s_suppkey, i FROM supplier, (VALUES (1), (2)) v(i)",
+)
+def _(spark, sf):
+    c, key = catalog(spark, sf), F.col("s_suppkey")
+    lines = F.array(*[F.struct(F.lit(i).alias("l_linenumber")) for i in (1, 2)]).alias("lineitem")
+    records = c["supplier"].select(
+        (F.lit(5000000) + key).alias("c_custkey"), F.array(F.struct((F.lit(70000000) + key).alias("o_orderkey"), lines)).alias("orders")
+    )
+    states = mutate.nested_insert(c, "customer", records)
+    return states["orders"].select(F.lit("orders").alias("table_name"), F.col("o_orderkey").alias("a"), F.col("o_custkey").alias("b")).union(
+        states["lineitem"].select(F.lit("lineitem"), "l_orderkey", F.col("l_linenumber").cast("bigint"))
+    )
+
+
 WHERE_M3 = {"o_orderpriority": "5-LOW", "o_totalprice": {"$lt": 100000}}
 M3_SQL = "o_orderpriority = '5-LOW' AND o_totalprice < 100000"
 
@@ -130,6 +150,19 @@ def _(spark, sf):
     return mutate.upsert_rows(c["customer"].select("c_custkey", "c_name", "c_acctbal"), incoming, ["c_custkey"])
 
 
+@plan(
+    "m5_repeated_keys",
+    "WITH n AS (SELECT o_custkey AS c_custkey, arg_max(o_totalprice, o_orderkey) AS c_acctbal FROM orders GROUP BY 1) "
+    "SELECT coalesce(c.c_custkey, n.c_custkey) AS c_custkey, c.c_name, CASE WHEN n.c_custkey IS NOT NULL THEN n.c_acctbal ELSE c.c_acctbal END AS c_acctbal "
+    "FROM customer c FULL OUTER JOIN n ON c.c_custkey = n.c_custkey",
+)
+def _(spark, sf):
+    """Every order is one incoming row of its customer; the latest counts."""
+    c = catalog(spark, sf)
+    incoming = c["orders"].select(F.col("o_custkey").alias("c_custkey"), F.col("o_totalprice").alias("c_acctbal"), "o_orderkey")
+    return mutate.upsert_rows(c["customer"].select("c_custkey", "c_name", "c_acctbal"), incoming, ["c_custkey"], "o_orderkey")
+
+
 @plan("m6_delete_many", "SELECT o_orderkey, o_totalprice FROM orders WHERE NOT (o_orderstatus = 'O' AND o_totalprice > 200000)")
 def _(spark, sf):
     return mutate.delete(
@@ -163,6 +196,24 @@ def _(spark, sf):
     return reduce(DataFrame.union, [states[t].select(F.lit(t).alias("table_name"), F.col(c).alias("id")) for t, c in ids.items()])
 
 
+@plan(
+    "m7_null_operand",
+    "WITH c AS (SELECT c_custkey, CASE WHEN c_nationkey <> 4 THEN c_nationkey END AS nation FROM customer) "
+    "SELECT 'customer' AS table_name, c_custkey AS id FROM c WHERE nation IS NOT NULL UNION ALL "
+    "SELECT 'orders', o_orderkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM c WHERE nation IS NOT NULL) "
+    "UNION ALL SELECT 'sql rule', count(*) FROM c",
+)
+def _(spark, sf):
+    """A null operand removes parents and children alike, or neither under the SQL rule."""
+    whole = catalog(spark, sf)
+    customer = whole["customer"].select("c_custkey", F.when(F.col("c_nationkey") != 4, F.col("c_nationkey")).alias("nation"))
+    c = Catalog({"customer": customer, "orders": whole["orders"]}, whole.primary_keys, [ForeignKey("orders", "o_custkey", "customer", "c_custkey")])
+    states = mutate.cascade_delete(c, "customer", {"nation": None})
+    kept = mutate.cascade_delete(c, "customer", {"nation": None}, document=False)["customer"]
+    pick = lambda t, k: states[t].select(F.lit(t).alias("table_name"), F.col(k).alias("id"))
+    return pick("customer", "c_custkey").union(pick("orders", "o_orderkey")).union(kept.agg(F.lit("sql rule").alias("table_name"), F.count(F.lit(1)).alias("id")))
+
+
 @plan(
     "m7_cascade_targets",
     "SELECT o_orderkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_nationkey = 4)",

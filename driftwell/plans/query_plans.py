@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from driftwell.operators.catalog import declared_columns
-from driftwell.operators.query import get_documents, nest_children, relation_join, run_spec, select_related
+from driftwell.operators.query import get_documents, nest_children, relation_join, run_changes, run_spec, select_related
 from driftwell.operators.validate import parse_specs, validate_specs
 from driftwell.plans.common import catalog, table
 from driftwell.session import spread
@@ -284,6 +284,49 @@ def _(spark, sf):
     return run_spec(catalog(spark, sf), {"action": "remove", "entity": "customer", "where": {"c_acctbal": {"$lt": 0}}})
 
 
+@plan(
+    "q18_dispatch_add",
+    "SELECT 'customer' AS table_name, c_custkey AS id, CAST(NULL AS BIGINT) AS parent, CAST(NULL AS BIGINT) AS points FROM customer UNION ALL SELECT 'customer', 99000001, NULL, 5 "
+    "UNION ALL SELECT 'orders', o_orderkey, o_custkey, NULL FROM orders UNION ALL SELECT 'orders', 99000002, 99000001, NULL "
+    "UNION ALL SELECT 'lineitem', l_orderkey, l_linenumber, NULL FROM lineitem UNION ALL SELECT 'lineitem', 99000002, 1, NULL",
+)
+def _(spark, sf):
+    """A record with a new field and two levels of child records."""
+    record = {"c_custkey": 99000001, "c_name": "New", "points": 5, "orders": [{"o_orderkey": 99000002, "o_totalprice": 1.5, "lineitem": [{"l_linenumber": 1}]}]}
+    states = run_changes(catalog(spark, sf), {"action": "add", "entity": "customer", "data": record})
+    none = F.lit(None).cast("bigint")
+    parts = {
+        "customer": ("c_custkey", none, F.col("points")), "orders": ("o_orderkey", F.col("o_custkey"), none),
+        "lineitem": ("l_orderkey", F.col("l_linenumber").cast("bigint"), none),
+    }
+    rows = [states[t].select(F.lit(t).alias("table_name"), F.col(i).alias("id"), p.alias("parent"), n.alias("points")) for t, (i, p, n) in parts.items()]
+    return rows[0].union(rows[1]).union(rows[2])
+
+
+@plan(
+    "q18_dispatch_nest",
+    "SELECT c_custkey, c_name, count(o_orderkey) AS n, coalesce(round(sum(o_totalprice), 2), 0) AS total FROM customer "
+    "LEFT JOIN orders ON o_custkey = c_custkey WHERE c_acctbal > 0 GROUP BY ALL",
+)
+def _(spark, sf):
+    nested = run_spec(catalog(spark, sf), {"action": "get", "entity": "customer", "fields": ["c_name"], "where": {"c_acctbal": {"$gt": 0}}, "options": {"nest": "orders"}})
+    prices = F.aggregate("orders", F.lit(0.0), lambda a, o: a + o["o_totalprice"])
+    return nested.select("c_custkey", "c_name", F.size("orders").alias("n"), prices.alias("p")).groupBy("c_custkey", "c_name").agg(
+        F.sum("n").alias("n"), F.round(F.sum("p"), 2).alias("total")
+    )
+
+
+@plan(
+    "q18_dispatch_cascade",
+    "SELECT 'customer' AS table_name, c_custkey AS id FROM customer WHERE NOT (c_nationkey = 4) UNION ALL "
+    "SELECT 'orders', o_orderkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey = 4)",
+)
+def _(spark, sf):
+    states = run_changes(catalog(spark, sf), {"action": "remove", "entity": "customer", "where": {"c_nationkey": 4}, "options": {"cascade": True}})
+    pick = lambda t, c: states[t].select(F.lit(t).alias("table_name"), F.col(c).alias("id"))
+    return pick("customer", "c_custkey").union(pick("orders", "o_orderkey"))
+
+
 # one spec per order, some of them wrong, against the declared schema of two tables
 DECLARED = (
     '{"orders": {"o_orderkey": ["BIGINT", "PRIMARY KEY"], "o_custkey": ["BIGINT", "FK -> customer(c_custkey)"], '

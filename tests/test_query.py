@@ -79,8 +79,12 @@ def test_specs(catalog):
         run_spec(catalog, {"action": "get"})
     added = run_spec(catalog, {"action": "add", "entity": "dept", "data": [{"did": 12, "title": "ME"}, {"did": 13}]})
     assert added.count() == 4
-    left = run_spec(catalog, {"action": "remove", "entity": "student", "where": {"dept": None}, "options": {"multi": False}})
+    left = run_spec(catalog, {"action": "remove", "entity": "student", "where": {"dept": None}, "options": {"multi": False}}, document=True)
     assert sorted(r.sid for r in left.collect()) == [1, 3]
+    assert run_spec(catalog, {"action": "remove", "entity": "student", "where": {"dept": None}}).count() == 3
+    typed = run_spec(catalog, {"action": "add", "entity": "dept", "data": [{"did": 14, "n": 5, "tags": ["a"], "odd": {"x": 1.5}}]})
+    kinds = dict(typed.dtypes)
+    assert (kinds["n"], kinds["tags"], kinds["odd"]) == ("bigint", "array<string>", "struct<x:double>")
 
 
 def test_validation_messages(spark):
@@ -118,6 +122,12 @@ def test_mutations(catalog):
     incoming = s.sparkSession.createDataFrame([(2, "B2"), (8, "H")], "sid int, name string")
     rows = {r.sid: (r.name, r.dept) for r in mutate.upsert_rows(s, incoming, ["sid"]).collect()}
     assert rows == {1: ("Ann", 10), 2: ("B2", None), 3: (None, 11), 8: ("H", None)}
+    twice = s.sparkSession.createDataFrame([(2, "B2", 1), (2, "B3", 2)], "sid int, name string, at int")
+    with pytest.raises(Exception, match="one key"):
+        mutate.upsert_rows(s, twice.drop("at"), ["sid"]).collect()
+    assert {r.sid: r.name for r in mutate.upsert_rows(s, twice, ["sid"], "at").collect()}[2] == "B3"
+    gone = mutate.cascade_delete(catalog, "student", {"dept": None})
+    assert gone["student"].count() == 2
     nested = s.sparkSession.range(1).select(
         F.lit(20).alias("did"), F.lit("Bio").alias("title"), F.array(F.struct(F.lit(200).alias("cid"))).alias("course"))
     made = mutate.nested_insert(catalog, "dept", nested, {"did": "c_dept"})

@@ -7,10 +7,10 @@ from driftwell.functions.payload import identity, strict_json
 from driftwell.sources import logs, sse
 
 FORMS = [
-    (1, 'event: init\ndata: {"username": {"global_key": "true", "unique": "true"}, "student_id": {"unique": "true"}, "title": {}, "x": {"unique": true}}'),
-    (2, 'event: create\ndata: {"student_id": "S1"}'), (3, 'data: {"course_id": "C1"}'), (4, '{"student_id": "S2"}'),
-    (5, '{"event": " GET ", "data": {"student_id": "S1", "COLUMNS": ["a"]}}'), (6, '{"event": "change", "data": "{\\"k\\": 1}"}'),
-    (7, "{broken"), (8, 'event: ping\ndata: {"a": 1}'), (9, 'event: add\ndata: {"a": 1} junk'), (10, '{"event": "only"}'),
+    (1, 'event: init\r\ndata: {"pilot": {"global_key": "true"}, "plane_id": {"unique": "true"}, "colour": {}, "seats": {"unique": true}}'),
+    (2, '\t event:  CREATE \n\t data: {"plane_id": 7}\t'), (3, 'data:{"gate": "g2"}'), (4, ' \n{"plane_id": 8}'),
+    (5, '{"event": "\\tGet ", "data": {"plane_id": 7, "COLUMNS": ["seats"]}}'), (6, '{"data": "{\\"seats\\": 90}", "event": "change"}'),
+    (7, "{open"), (8, 'event: noise\ndata: {"seats": 1}'), (9, 'event: add\ndata: {"seats": 1} more'), (10, '{"event": "alone"}'),
 ]
 
 
@@ -21,16 +21,18 @@ def events(spark):
 
 def test_forms(events):
     got = {r.seq: (r.event, json.loads(r.j) if r.j else None) for r in events.withColumn("j", F.to_json("record")).collect()}
-    assert got[2] == ("create", {"student_id": "S1"}) and got[3] == ("create", {"course_id": "C1"}) and got[4] == ("create", {"student_id": "S2"})
-    assert got[5] == ("get", {"student_id": "S1", "COLUMNS": ["a"]}) and got[6] == ("change", {"k": 1})
-    assert got[7][1] is None and got[8][0] == "ping" and got[9][1] is None and got[10] == ("create", {"event": "only"})
+    assert got[2] == ("create", {"plane_id": 7}) and got[3] == ("create", {"gate": "g2"}) and got[4] == ("create", {"plane_id": 8})
+    assert got[5] == ("get", {"plane_id": 7, "COLUMNS": ["seats"]}) and got[6] == ("change", {"seats": 90})
+    assert got[7][1] is None and got[8][0] == "noise" and got[9][1] is None and got[10] == ("create", {"event": "alone"})
+    counts = {r.event: (r.n, r.known) for r in sse.event_counts(events).collect()}
+    assert counts["noise"] == (1, False) and counts["create"] == (5, True)
 
 
 def test_filters_and_config(events):
     assert {r.seq for r in sse.dead_letters(events).collect()} == {7, 9}
     assert {r.seq for r in sse.forwarded(events).collect()} == {2, 3, 4, 5, 6, 10}
     config = sse.init_config(events).first()
-    assert (config.global_key, config.unique_fields) == ("username", ["student_id"])
+    assert (config.global_key, config.unique_fields) == ("pilot", ["plane_id"])
 
 
 def test_missing_init_is_an_error(events):
