@@ -13,7 +13,9 @@ from driftwell.operators.scan import dense_number
 from driftwell.operators.widening import drift_log, type_history
 from driftwell.session import materialize
 
+# fixed value: name of the id column
 ROW_ID = "table_autogen_id"
+# after every position in a path
 LAST = (1 << 31) - 1
 
 
@@ -77,7 +79,7 @@ def _children(frontier: DataFrame) -> DataFrame:
     )
     held = F.when(is_object, in_object).otherwise(in_list)
     # most objects are leaves, and their text shows it
-    parsed = frontier.where(F.substring("raw", 2, LAST).rlike(r"[{\[]"))
+    parsed = frontier.where(F.substr(F.col("raw"), F.lit(2)).rlike(r"[{\[]"))
     below = parsed.select(
         "table_name", "seq", "path", "parent_table", "parent_path", "parent_key", "pos", is_object.alias("_obj"),
         F.explode(F.filter(held, lambda h: h["kind"] != "")).alias("h"),

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftwell.operators.catalog import Catalog, ForeignKey, StoredTables
-from driftwell.session import shared_dir, spread
+from driftwell.session import shared_dir
 from driftwell.sources.sse import normalise_pairs
 
 PRIMARY_KEYS = {
@@ -26,6 +27,20 @@ FOREIGN_KEYS = [
 ]
 
 
+def registry() -> tuple[dict, Callable]:
+    """A dictionary name → (query, oracle SQL or None) and the decorator that fills it."""
+    plans: dict = {}
+
+    def plan(name: str, sql: str | None = None) -> Callable:
+        def keep(fn: Callable) -> Callable:
+            plans[name] = (fn, sql)
+            return fn
+
+        return keep
+
+    return plans, plan
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
@@ -48,7 +63,7 @@ def change_events(spark: SparkSession, sf: str) -> DataFrame:
 
     signup and purchase are adds, click a change, error a remove, view a get.
     """
-    e = spread(table(spark, sf, "events"))
+    e = table(spark, sf, "events")
     k = F.get_json_object("props", "$.k").cast("int")
     kind = F.col("event_type")
     event = (

@@ -12,19 +12,9 @@ from driftwell.operators import catalog as cat
 from driftwell.operators import dependencies as dep
 from driftwell.operators import schema
 from driftwell.operators.scan import dense_number
-from driftwell.plans.common import catalog, table
-from driftwell.plans.query_plans import DECLARED
-from driftwell.session import spread
+from driftwell.plans.common import catalog, registry, table
 
-PLANS: dict = {}
-
-
-def plan(name, sql=None):
-    def keep(fn):
-        PLANS[name] = (fn, sql)
-        return fn
-
-    return keep
+PLANS, plan = registry()
 
 
 DETERMINES = [
@@ -57,7 +47,7 @@ COLUMNS = {"c_custkey": "n", "o_orderkey": "n", "c_name": "s", "c_nationkey": "n
 def order_records(spark, sf):
     """One open record per order with its customer; some fields are absent in some records."""
     c = catalog(spark, sf)
-    joined = spread(c["orders"]).join(c["customer"], F.col("o_custkey") == F.col("c_custkey"))
+    joined = c["orders"].join(c["customer"], F.col("o_custkey") == F.col("c_custkey"))
     key = F.col("o_orderkey")
     raw = F.to_json(
         F.struct(
@@ -155,7 +145,7 @@ def basket_records(spark, sf):
         F.col("l_orderkey").alias("seq"),
         F.to_json(F.struct(F.col("l_orderkey").alias("order_id"), F.col("p").alias("part_id"), (F.col("l_orderkey") % 4).alias("lane"))).alias("raw"),
     )
-    parts = spread(c["part"]).select(
+    parts = c["part"].select(
         (F.lit(10**9) + F.col("p_partkey")).alias("seq"),
         F.to_json(F.struct(F.col("p_partkey").alias("part_id"), "p_name", "p_size")).alias("raw"),
     )
@@ -274,21 +264,17 @@ def _(spark, sf):
     return schema.assemble(tables(spark, sf), dep.ever(mined(spark, sf)), foreign(spark, sf), lists)
 
 
-def declared(spark, sf):
-    """The declared schema, kept only for tables that hold rows."""
-    c = catalog(spark, sf)
-    held = reduce(DataFrame.unionAll, [c[t].agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n")) for t in ("orders", "customer", "lineitem")])
-    columns = cat.declared_columns(spark.createDataFrame([(DECLARED,)], "value string"))
-    return columns.join(held.where("n > 0"), "table_name", "left_semi")
-
-
 @plan(
     "i12_declared_schema",
-    """SELECT * FROM (VALUES ('orders', 'o_orderkey', 'BIGINT', true, NULL, NULL), ('orders', 'o_custkey', 'BIGINT', false, 'customer', 'c_custkey'),
-    ('orders', 'o_totalprice', 'DECIMAL(12,2)', false, NULL, NULL), ('customer', 'c_custkey', 'BIGINT', true, NULL, NULL),
-    ('customer', 'c_name', 'VARCHAR(25)', false, NULL, NULL), ('lineitem', 'l_orderkey', 'BIGINT', true, 'orders', 'o_orderkey'),
-    ('lineitem', 'l_linenumber', 'INT', true, NULL, NULL)) v(table_name, column_name, data_type, is_primary_key, ref_table, ref_column)
-    WHERE EXISTS (SELECT 1 FROM orders)""",
+    """SELECT 't' || c_custkey AS table_name, column_name, data_type, is_primary_key, CASE WHEN column_name = 'home' THEN 'n' || c_nationkey END AS ref_table,
+    CASE WHEN column_name = 'home' THEN 'key' END AS ref_column FROM customer,
+    (VALUES ('id', 'BIGINT', true), ('home', 'INT', false), ('name', 'VARCHAR(25)', false), ('line', 'INT', true)) v(column_name, data_type, is_primary_key)""",
 )
 def _(spark, sf):
-    return declared(spark, sf)
+    """One declared document per customer, each with a table of its own."""
+    c = table(spark, sf, "customer")
+    text = F.concat(
+        F.lit('{"t'), F.col("c_custkey").cast("string"), F.lit('": {"id": ["BIGINT", "PRIMARY KEY"], "home": ["INT", "FK -> n'), F.col("c_nationkey").cast("string"),
+        F.lit('(key)"], "name": ["VARCHAR(25)"], "line": ["INT"], "table@constraints": ["PRIMARY KEY (id, line)"]}}'),
+    )
+    return cat.declared_columns(c.select(text.alias("value")))

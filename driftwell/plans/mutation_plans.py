@@ -9,17 +9,9 @@ from pyspark.sql import functions as F
 
 from driftwell.operators import mutate
 from driftwell.operators.catalog import Catalog, ForeignKey
-from driftwell.plans.common import catalog
+from driftwell.plans.common import catalog, registry
 
-PLANS: dict = {}
-
-
-def plan(name, sql=None):
-    def keep(fn):
-        PLANS[name] = (fn, sql)
-        return fn
-
-    return keep
+PLANS, plan = registry()
 
 
 @plan(

@@ -5,23 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from driftwell.operators import nesting
-from driftwell.session import spread
-from driftwell.plans.common import table
+from driftwell.plans.common import registry, table
 
-PLANS: dict = {}
-
-
-def plan(name, sql=None):
-    def keep(fn):
-        PLANS[name] = (fn, sql)
-        return fn
-
-    return keep
+PLANS, plan = registry()
 
 
 def nested_records(spark, sf):
     """Per event a record with an object, a flat list, a null and, for purchases, a list of objects and lists."""
-    e = spread(table(spark, sf, "events"))
+    e = table(spark, sf, "events")
     text = F.concat(
         F.lit('{"user":'), F.col("user_id").cast("string"), F.lit(',"meta":{"type":"'), F.col("event_type"),
         F.lit('","props":'), F.col("props"), F.lit('},"tags":["a","'), F.col("event_type"), F.lit('"],"none":null'),

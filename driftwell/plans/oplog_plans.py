@@ -6,17 +6,9 @@ from pyspark.sql import functions as F
 
 from driftwell.functions import render
 from driftwell.operators import oplog
-from driftwell.plans.common import CHANGE_SQL, change_events, table
+from driftwell.plans.common import CHANGE_SQL, change_events, registry, table
 
-PLANS: dict = {}
-
-
-def plan(name, sql=None):
-    def keep(fn):
-        PLANS[name] = (fn, sql)
-        return fn
-
-    return keep
+PLANS, plan = registry()
 
 
 def user_tables(spark):
@@ -43,11 +35,15 @@ def shown(ops):
     return ops.select("seq", "type", F.array_join("columns", ",").alias("columns"), key.alias("where_user"))
 
 
+def from_event(spark, sf, event):
+    """The operations that one kind of event gives, out of the log of all events."""
+    kind = change_events(spark, sf).select("seq", "event").where(F.col("event") == event)
+    return log(spark, sf).join(kind, "seq", "left_semi")
+
+
 @plan("c1_insert_or_update", f"WITH {OPS} SELECT seq, type, columns, CASE WHEN type = 'UPDATE' THEN user_id END AS where_user FROM ops WHERE event_type IN ('signup', 'purchase')")
 def _(spark, sf):
-    adds = change_events(spark, sf).where("event in ('add', 'remove')")
-    ops = oplog.operation_log(adds, user_tables(spark), global_key="agent")
-    return shown(ops.where("type <> 'DELETE'"))
+    return shown(from_event(spark, sf, "add"))
 
 
 @plan(
@@ -65,14 +61,12 @@ def _(spark, sf):
 
 @plan("c3_change_updates", f"WITH {OPS} SELECT seq, type, columns, user_id AS where_user FROM ops WHERE event_type = 'click'")
 def _(spark, sf):
-    events = change_events(spark, sf).where("event = 'change'")
-    return shown(oplog.operation_log(events, user_tables(spark), global_key="agent"))
+    return shown(from_event(spark, sf, "change"))
 
 
 @plan("c4_remove_deletes", f"WITH {OPS} SELECT seq, type, columns, user_id AS where_user FROM ops WHERE event_type = 'error'")
 def _(spark, sf):
-    events = change_events(spark, sf).where("event = 'remove'")
-    return shown(oplog.operation_log(events, user_tables(spark), global_key="agent"))
+    return shown(from_event(spark, sf, "remove"))
 
 
 LIFE = f"""{OPS},

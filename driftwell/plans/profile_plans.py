@@ -6,23 +6,14 @@ from pyspark.sql import functions as F
 
 from driftwell.functions.payload import is_nested, strict_json
 from driftwell.operators import profiling as pr
-from driftwell.session import spread
-from driftwell.plans.common import table
+from driftwell.plans.common import registry, table
 
-PLANS: dict = {}
-
-
-def plan(name, sql=None):
-    def keep(fn):
-        PLANS[name] = (fn, sql)
-        return fn
-
-    return keep
+PLANS, plan = registry()
 
 
 def document_records(spark, sf):
     """Documents as open records: sparse labels, a column that drifts, a nullable one, an object, a flat list."""
-    d = spread(table(spark, sf, "documents")).join(table(spark, sf, "labels"), "doc_id", "left")
+    d = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
     body = F.to_json(F.struct("doc_id", "lang", "source", "quality", "toxic", "text"))
     n = F.col("doc_id")
     extra = F.concat(
@@ -86,9 +77,14 @@ def _(spark, sf):
     return profile(spark, sf).select("field", "total_seen", "unique_count", F.round("cardinality_ratio", 6).alias("cardinality_ratio"))
 
 
-@plan("p3_approx_cardinality", None)
+@plan("p3_approx_cardinality", f"WITH {CELLS} SELECT field, seen AS total_seen, true AS near_exact FROM prof")
 def _(spark, sf):
-    return pr.approx_cardinality(document_records(spark, sf), "doc_id", "record")
+    """The estimate against the exact count: within five standard errors."""
+    rsd = 0.02
+    guess = pr.approx_cardinality(document_records(spark, sf), "doc_id", "record", rsd).select("field", "unique_estimate")
+    gap = F.abs(F.col("unique_estimate") - F.col("unique_count"))
+    near = F.coalesce(gap <= 5 * rsd * F.col("unique_count"), F.lit(True))
+    return profile(spark, sf).join(guess, "field", "left").select("field", "total_seen", near.alias("near_exact"))
 
 
 @plan("p4_uniqueness", f"WITH {CELLS} SELECT field, uniq = seen AS is_unique FROM prof")

@@ -4,22 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from driftwell.operators.catalog import declared_columns
+from driftwell.operators.catalog import Catalog, declared_columns
 from driftwell.operators.query import get_documents, nest_children, relation_join, run_changes, run_spec, select_related
 from driftwell.operators.validate import parse_specs, validate_specs
-from driftwell.plans.common import catalog, table
-from driftwell.session import spread
+from driftwell.plans.common import catalog, registry, table
 from driftwell.sources.logs import read_table
 
-PLANS: dict = {}
-
-
-def plan(name, sql=None):
-    def keep(fn):
-        PLANS[name] = (fn, sql)
-        return fn
-
-    return keep
+PLANS, plan = registry()
 
 
 @plan("s11_table_scan", "SELECT c_custkey, c_name, c_mktsegment FROM customer")
@@ -114,21 +105,18 @@ def _(spark, sf):
     )
 
 
-def pricey(spark, sf):
-    """The catalog with expensive orders only, so that some customers have none."""
-    c = catalog(spark, sf)
-    return c.with_table("orders", c["orders"].where("o_totalprice > 450000"))
-
-
 @plan(
     "q8_left_fk_join",
-    "SELECT c_custkey, c_name, o_orderkey, o_totalprice FROM customer LEFT JOIN "
-    "(SELECT * FROM orders WHERE o_totalprice > 450000) ON c_custkey = o_custkey",
+    "SELECT c_custkey, c_name, o_orderkey, o_totalprice FROM customer LEFT JOIN orders ON c_custkey = o_custkey "
+    "UNION ALL SELECT -1 - s_suppkey, s_name, NULL, NULL FROM supplier",
 )
 def _(spark, sf):
-    return select_related(
-        pricey(spark, sf), "customer", ["c_custkey", "c_name", "orders.o_orderkey", "orders.o_totalprice"]
-    )
+    """All customers, and suppliers as customers that have no orders."""
+    whole = catalog(spark, sf)
+    idle = whole["supplier"].select((-F.col("s_suppkey") - 1).alias("c_custkey"), F.col("s_name").alias("c_name"))
+    both = whole["customer"].unionByName(idle, allowMissingColumns=True)
+    c = Catalog({"customer": both, "orders": whole["orders"]}, whole.primary_keys, [k for k in whole.foreign_keys if (k.table, k.ref_table) == ("orders", "customer")])
+    return select_related(c, "customer", ["c_custkey", "c_name", "orders.o_orderkey", "orders.o_totalprice"])
 
 
 @plan(
@@ -224,10 +212,10 @@ def _(spark, sf):
 
 @plan(
     "q15_sort",
-    f"SELECT doc_id, quality FROM {LABELLED} ORDER BY quality DESC NULLS LAST, doc_id LIMIT 200",
+    f"SELECT doc_id, quality FROM {LABELLED} ORDER BY quality DESC NULLS LAST, doc_id",
 )
 def _(spark, sf):
-    return get_documents(labelled(spark, sf), ["doc_id", "quality"], sort=["-quality", ("doc_id", 1)], limit=200)
+    return get_documents(labelled(spark, sf), ["doc_id", "quality"], sort=["-quality", ("doc_id", 1)])
 
 
 @plan("q16_top_k", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 25")
@@ -337,7 +325,7 @@ DECLARED = (
 
 
 def spec_texts(spark, sf):
-    o = spread(table(spark, sf, "orders"))
+    o = table(spark, sf, "orders")
     key = F.col("o_orderkey").cast("string")
     spec = (
         F.when(F.col("o_orderstatus") == "O", F.concat(F.lit('{"action":"add","entity":"orders","data":{"o_orderkey":'), key, F.lit(',"o_custkey":1}}')))

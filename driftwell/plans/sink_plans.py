@@ -8,27 +8,19 @@ from driftwell.functions.payload import strict_json
 from driftwell.operators import oplog
 from driftwell.operators import profiling as pr
 from driftwell.operators.widening import type_history
-from driftwell.plans.common import scratch, table
+from driftwell.plans.common import registry, scratch, table
 from driftwell.plans.oplog_plans import OPS, log
-from driftwell.session import materialize, spread
+from driftwell.session import materialize
 from driftwell.sinks import reports, stores
 from driftwell.sources.logs import read_operation_log
 
-PLANS: dict = {}
-
-
-def plan(name, sql=None):
-    def keep(fn):
-        PLANS[name] = (fn, sql)
-        return fn
-
-    return keep
+PLANS, plan = registry()
 
 
 def records(spark, sf):
     """Events as open records; ``amount`` is whole in the first half and fractional in the second."""
     half = table(spark, sf, "events").agg((F.max("event_id") / 2).cast("bigint").alias("h")).scalar()
-    e = spread(table(spark, sf, "events")).withColumn("early", F.col("event_id") < half)
+    e = table(spark, sf, "events").withColumn("early", F.col("event_id") < half)
     first = F.col("early")
     raw = F.to_json(
         F.struct(
@@ -90,14 +82,14 @@ def _(spark, sf):
     return r.join(d, "batch_id")
 
 
-@plan("k4_operation_log_sink", f"WITH {OPS} SELECT type, columns, CASE WHEN type <> 'DELETE' THEN value END AS value FROM ops WHERE event_type <> 'view'")
+@plan("k4_operation_log_sink", f"WITH {OPS} SELECT type, columns, CASE WHEN type NOT IN ('DELETE', 'SELECT') THEN value END AS value FROM ops")
 def _(spark, sf):
     path = scratch(spark)
     reports.write_operation_log(oplog.number_operations(log(spark, sf)), path)
-    back = read_operation_log(spark, path, "username").where("type <> 'SELECT'")
+    back = read_operation_log(spark, path, "username")
     data = F.map_from_arrays("columns", "values")
     value = F.when(F.size("values") > 0, F.try_variant_get(F.try_element_at(data, F.lit("value")), "$", "double"))
-    # the log holds what an operation carries; a DELETE carries no value
+    # the log holds what an operation carries; DELETE and SELECT carry no value
     return back.select("type", F.array_join("columns", ",").alias("columns"), value.alias("value"))
 
 

@@ -7,19 +7,10 @@ from pyspark.sql import functions as F
 from driftwell.functions.payload import text
 from driftwell.functions.text import edit_distance, pair_name, table_name
 from driftwell.operators import clock
-from driftwell.session import spread
-from driftwell.plans.common import micros, scratch, table
+from driftwell.plans.common import micros, registry, scratch, table
 from driftwell.sources import logs, sse
 
-PLANS: dict = {}
-
-
-def plan(name, sql=None):
-    def keep(fn):
-        PLANS[name] = (fn, sql)
-        return fn
-
-    return keep
+PLANS, plan = registry()
 
 
 def payload(extra=()):
@@ -38,7 +29,7 @@ def shown(*names):
 
 @plan("s1_frame_records", "SELECT event_id, user_id, value, event_type AS event FROM events")
 def _(spark, sf):
-    frames = spread(table(spark, sf, "events")).select(
+    frames = table(spark, sf, "events").select(
         F.concat(F.lit("event: "), F.col("event_type"), F.lit("\ndata: "), payload()).alias("frame")
     )
     records = sse.normalise_pairs(sse.frame_records(frames))
@@ -102,7 +93,7 @@ def _(spark, sf):
 
 def mixed_items(spark, sf):
     """Every event in one of the forms S3 understands, some broken, some unknown."""
-    e = spread(table(spark, sf, "events"))
+    e = table(spark, sf, "events")
     form = F.col("event_id") % 6
     raw = (
         F.when(form == 0, F.concat(F.lit('{"event":" ADD ","data":'), payload(), F.lit("}")))
@@ -198,7 +189,7 @@ def command_lines(spark, sf):
         F.lit(', user: "u'), F.col("user_id").cast("string"), F.lit('", tags: [1, 2], meta: {v: '), F.col("value").cast("string"),
         F.when(F.col("event_id") % 11 == 0, "}").otherwise("}});"),
     )
-    return spread(table(spark, sf, "events")).select(line.alias("value"))
+    return table(spark, sf, "events").select(line.alias("value"))
 
 
 @plan(

@@ -8,22 +8,14 @@ from driftwell.operators import profiling as pr
 from driftwell.operators.dependencies import batch_number
 from driftwell.operators.scan import dense_number
 from driftwell.operators.widening import type_history
-from driftwell.plans.common import change_events, scratch, table
+from driftwell.plans.common import change_events, registry, scratch, table
 from driftwell.plans.oplog_plans import OPS
 from driftwell.session import materialize
 from driftwell.sources import sse
 from driftwell.streaming import incremental
 from driftwell.streaming.ingest import Ingest, keep_first_seen
 
-PLANS: dict = {}
-
-
-def plan(name, sql=None):
-    def keep(fn):
-        PLANS[name] = (fn, sql)
-        return fn
-
-    return keep
+PLANS, plan = registry()
 
 
 def land(spark, sf, path, where="true", end="\n"):

@@ -8,18 +8,9 @@ from driftwell.functions import coerce
 from driftwell.functions.payload import strict_json
 from driftwell.operators.scan import dense_number
 from driftwell.operators.widening import drift_log, resolve, type_history
-from driftwell.session import spread
-from driftwell.plans.common import table
+from driftwell.plans.common import registry, table
 
-PLANS: dict = {}
-
-
-def plan(name, sql=None):
-    def keep(fn):
-        PLANS[name] = (fn, sql)
-        return fn
-
-    return keep
+PLANS, plan = registry()
 
 
 def raw_texts(spark, sf):
@@ -142,7 +133,7 @@ def drifting(spark, sf):
         .when(kind == "purchase", F.concat(F.lit('"'), F.col("value").cast("string"), F.lit('"')))
         .when(kind == "error", F.lit("null")).otherwise(F.lit('"yes"'))
     )
-    return spread(table(spark, sf, "events")).select("user_id", F.col("event_id").alias("seq"), F.parse_json(v).alias("v"))
+    return table(spark, sf, "events").select("user_id", F.col("event_id").alias("seq"), F.parse_json(v).alias("v"))
 
 
 # classes: b true, z 0 or 1, i other int, f float text, w yes
@@ -203,7 +194,7 @@ def drifting_lists(spark, sf):
         .when(kind == "purchase", F.concat(F.lit("["), F.col("value").cast("string"), F.lit(", 0.5]")))
         .when((kind == "error") & (F.col("user_id") % 3 == 0), F.lit('["a"]')).otherwise(F.lit("null"))
     )
-    return spread(table(spark, sf, "events")).select("user_id", F.col("event_id").alias("seq"), F.parse_json(v).alias("v"))
+    return table(spark, sf, "events").select("user_id", F.col("event_id").alias("seq"), F.parse_json(v).alias("v"))
 
 
 @plan(

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Largest lookup side that is broadcast; beyond it the salted join is used.
-BROADCAST_ROWS = 100_000
+# Parts of a hot key in a salted join.
 SALTS = 64
+_own_dirs: dict[str, str] = {}
+_owner = threading.local()
 
 
 def local_session(cpus: str = "8", **conf: str) -> SparkSession:
@@ -23,6 +29,8 @@ def local_session(cpus: str = "8", **conf: str) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         # small inputs still go to all tasks
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
+        .config("spark.sql.files.maxPartitionBytes", "4m")
+        .config("spark.sql.files.openCostInBytes", "64k")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.streaming.stateStore.providerClass",
@@ -36,52 +44,64 @@ def local_session(cpus: str = "8", **conf: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see, as the session names it."""
-    named = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        named = tempfile.mkdtemp(prefix="driftwell-")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(named)
-    return named
+    """The folder all executors see, as ``spark.checkpoint.dir`` names it.
+
+    On a cluster it must be named. In a local session without one, as in tests,
+    each application gets a temporary folder.
+    """
+    context = spark.sparkContext
+    named = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    if context.applicationId not in _own_dirs:
+        _own_dirs[context.applicationId] = tempfile.mkdtemp(prefix="driftwell-")
+        atexit.register(shutil.rmtree, _own_dirs[context.applicationId], ignore_errors=True)
+    return _own_dirs[context.applicationId]
+
+
+@contextmanager
+def owned_tables(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables that ``materialize`` stores inside this context when it ends.
+
+    Results that are still needed must be written before.
+    """
+    outer, mine = getattr(_owner, "paths", None), []
+    _owner.paths = mine
+    try:
+        yield
+    finally:
+        _owner.paths = outer
+        jvm = spark.sparkContext._jvm
+        for path in mine:
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:
     """Compute once, reliably: a table in the shared folder outlives any executor.
 
-    What reads it knows its size, so Catalyst can plan with it.
+    What reads it knows its size, so Catalyst can plan with it. Inside
+    ``owned_tables`` it is removed at the end; else it stays until the folder's
+    owner clears it.
     """
     path = f"{shared_dir(df.sparkSession)}/driftwell-{uuid.uuid4().hex}"
+    if getattr(_owner, "paths", None) is not None:
+        _owner.paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def lookup_join(
-    rows: DataFrame,
-    small: DataFrame,
-    on: list[str],
-    how: str = "left",
-    max_rows: int = BROADCAST_ROWS,
-    salt: Column | None = None,
-) -> DataFrame:
+def lookup_join(rows: DataFrame, small: DataFrame, on: list[str], how: str = "left", salt: Column | None = None) -> DataFrame:
     """Join many rows to a metadata-sized side.
 
-    The small side is computed once and counted. Up to ``max_rows`` it is
-    broadcast. Beyond that it is repeated once per salt, so a hot key on the
-    left is still spread over ``SALTS`` tasks.
+    Adaptive execution broadcasts it when its measured bytes are few. Beyond
+    that, ``salt`` spreads a hot key on the left over ``SALTS`` tasks: the small
+    side is repeated once per salt.
     """
-    small = materialize(small)
-    if small.count() <= max_rows:
-        return rows.join(F.broadcast(small), on, how)
     if salt is None:
-        salt = F.xxhash64(*[F.col(c) for c in rows.columns])
+        return rows.join(small, on, how)
     salted = rows.withColumn("_salt", F.pmod(salt, F.lit(SALTS)).cast("int"))
-    spread = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(spread, [*on, "_salt"], how).drop("_salt")
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give a table that arrives in a few splits to all tasks before costly per-row work."""
-    wanted = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
+    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")

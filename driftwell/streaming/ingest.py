@@ -18,6 +18,7 @@ from driftwell.operators import oplog, schema
 from driftwell.operators.clock import event_time
 from driftwell.operators.profiling import final_placement
 from driftwell.operators.scan import dense_number
+from driftwell.session import owned_tables
 from driftwell.sinks import reports, stores
 from driftwell.sources import sse
 from driftwell.streaming.incremental import first_seen_step, latest_flags, profile_step
@@ -58,18 +59,19 @@ class Ingest:
     def batch(self, lines: DataFrame, batch_id: int) -> None:
         """One micro-batch: number, stamp, normalise, keep, profile, place, flush."""
         spark = lines.sparkSession
-        self._keep_events(lines, batch_id)
-        events = self.read_events(spark, batch_id)
-        records = sse.forwarded(events)
-        previous = reports.load_state(spark, self.profile, batch_id - 1) if batch_id else None
-        reports.save_state(profile_step(previous, records, "seq", "record"), self.profile, batch_id)
-        state = reports.load_state(spark, self.profile, batch_id)
-        placement = final_placement(state)
-        stores.flush(
-            records.select("seq", "sys_ingested_us", "t_stamp", "record"), "record", placement,
-            state.select("field", "final_type"), f"{self.base}/stores", batch_id,
-            ["seq", "sys_ingested_us", "t_stamp"],
-        )
+        with owned_tables(spark):
+            self._keep_events(lines, batch_id)
+            events = self.read_events(spark, batch_id)
+            records = sse.forwarded(events)
+            previous = reports.load_state(spark, self.profile, batch_id - 1) if batch_id else None
+            reports.save_state(profile_step(previous, records, "seq", "record"), self.profile, batch_id)
+            state = reports.load_state(spark, self.profile, batch_id)
+            placement = final_placement(state)
+            stores.flush(
+                records.select("seq", "sys_ingested_us", "t_stamp", "record"), "record", placement,
+                state.select("field", "final_type"), f"{self.base}/stores", batch_id,
+                ["seq", "sys_ingested_us", "t_stamp"],
+            )
 
     def _keep_events(self, lines: DataFrame, batch_id: int) -> None:
         """Number and stamp the records of the batch in arrival order, and write them down.
