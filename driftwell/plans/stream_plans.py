@@ -12,8 +12,9 @@ from driftwell.plans.common import change_events, registry, scratch, table
 from driftwell.plans.oplog_plans import OPS
 from driftwell.session import materialize
 from driftwell.sources import sse
+from driftwell.sources.logs import read_operation_log
 from driftwell.streaming import incremental
-from driftwell.streaming.ingest import Ingest, keep_first_seen
+from driftwell.streaming.ingest import Ingest, keep_first_seen, keep_schema
 
 PLANS, plan = registry()
 
@@ -132,9 +133,18 @@ def _(spark, sf):
     return numbered.select(batch_number(F.col("no"), 400).alias("batch"), "event_id")
 
 
+def landed_in_turn(spark, parts, schema, step):
+    """Land each part, run the stream to its end, and start it anew from its checkpoint for the next part."""
+    landing, checkpoint = scratch(spark), scratch(spark)
+    for part in parts:
+        part.write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(schema).parquet(landing)
+        stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
 @plan("r4_first_seen_over_batches", f"WITH {OPS} SELECT seq, type FROM ops")
 def _(spark, sf):
-    """Three micro-batches of change events, with the seen keys kept between them."""
+    """A stream of change events in three landings, with the seen keys kept between batches and over restarts."""
     events = change_events(spark, sf)
     keyed = materialize(
         events.select(
@@ -143,8 +153,8 @@ def _(spark, sf):
     )
     third = keyed.agg((F.max("seq") / 3 + 1).cast("bigint").alias("n")).scalar()
     base = scratch(spark)
-    for number in range(3):
-        keep_first_seen(spark, base, keyed.where(F.floor(F.col("seq") / third) == number), number)
+    parts = [keyed.where(F.floor(F.col("seq") / third) == number) for number in range(3)]
+    landed_in_turn(spark, parts, keyed.schema, lambda batch, number: keep_first_seen(batch.sparkSession, base, batch, number))
     return spark.read.parquet(f"{base}/typed").select("seq", "type")
 
 
@@ -195,15 +205,58 @@ def _(spark, sf):
 
 @plan(
     "r6_schema_evolution",
-    "SELECT 'ALTER_TABLE' AS type, 'log' AS table_name, event_type AS columns FROM events GROUP BY event_type "
-    "HAVING min(event_id) >= 2 UNION ALL SELECT 'CREATE', 'late', string_agg(DISTINCT event_type, ',' ORDER BY event_type) FROM events WHERE event_id >= 2",
+    "SELECT 'ALTER_TABLE' AS type, 'log' AS table_name, string_agg(event_type, ',' ORDER BY event_type) AS columns FROM (SELECT event_type FROM events GROUP BY 1 HAVING min(event_id) >= 2) HAVING count(*) > 0 "
+    "UNION ALL SELECT 'CREATE', 'log', string_agg(DISTINCT event_type, ',' ORDER BY event_type) FROM events WHERE event_id < 2 "
+    "UNION ALL SELECT 'CREATE', 'late', string_agg(DISTINCT event_type, ',' ORDER BY event_type) FROM events WHERE event_id >= 2",
 )
 def _(spark, sf):
+    """A stream of columns in two landings with a restart between."""
+    e = table(spark, sf, "events")
+    seen = lambda df, t: df.select(F.lit(t).alias("table_name"), F.col("event_type").alias("column_name"))
+    first, later = seen(e.where("event_id < 2"), "log"), seen(e.where("event_id >= 2"), "log").union(seen(e.where("event_id >= 2"), "late"))
+    base = scratch(spark)
+    landed_in_turn(spark, [first, later], first.schema, lambda batch, number: keep_schema(batch.sparkSession, base, batch, number))
+    changes = spark.read.parquet(f"{base}/changes")
+    return changes.groupBy("type", "table_name").agg(F.array_join(F.array_sort(F.flatten(F.collect_list("columns"))), ",").alias("columns"))
+
+
+def concluded(spark, sf):
+    """Creates of users in two landings, the key configuration only in the first, then the second stage."""
+    landing, job = scratch(spark), Ingest(scratch(spark))
+    init = 'event: init\ndata: {"actor": {"global_key": "true"}, "user_id": {"unique": "true"}}'
     e = table(spark, sf, "events")
-    seen = lambda df, t: df.select(F.lit(t).alias("table_name"), F.col("event_type").alias("column_name")).distinct()
-    before = seen(e.where("event_id < 2"), "log")
-    now = seen(e, "log").union(seen(e.where("event_id >= 2"), "late"))
-    return incremental.schema_step(before, now).withColumn("columns", F.array_join("columns", ","))
+    body = F.to_json(F.struct("user_id", (F.col("user_id") % 5).alias("team"), F.lit("a").alias("actor")))
+    for late in (False, True):
+        frames = e.where((F.col("event_id") % 2 == 1) == late).select(F.concat(F.lit("event: create\ndata: "), body).alias("value"))
+        if not late:
+            frames = frames.union(spark.createDataFrame([(init,)], "value string"))
+        frames.write.mode("append").option("lineSep", "\n\n").text(landing)
+        job.start(spark, landing, max_files=1000).awaitTermination()
+    job.conclude(spark, 1)
+    return job
+
+
+@plan(
+    "r7_operation_log",
+    "SELECT type, user_id, count(*) AS n FROM (SELECT user_id, CASE WHEN row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1 "
+    "THEN 'INSERT' ELSE 'UPDATE' END AS type FROM events) GROUP BY ALL",
+)
+def _(spark, sf):
+    back = read_operation_log(spark, f"{concluded(spark, sf).base}/operations", "actor")
+    given = F.try_element_at(F.map_from_arrays("columns", "values"), F.lit("user_id"))
+    user = F.try_variant_get(F.coalesce(given, F.try_element_at("where", F.lit("user_id"))), "$", "bigint")
+    return back.groupBy("type", user.alias("user_id")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@plan(
+    "r7_schema_document",
+    "SELECT 'user' AS table_name, 'user_id' AS primary_key, 'team,user_id' AS columns, count(DISTINCT user_id) > 0 AS filled FROM events",
+)
+def _(spark, sf):
+    job = concluded(spark, sf)
+    documents = spark.read.schema("table_name string, primary_key string, columns array<string>").json(f"{job.base}/schema/version=1")
+    filled = sse.forwarded(job.read_events(spark)).limit(1).count() > 0
+    return documents.select("table_name", "primary_key", F.array_join("columns", ",").alias("columns"), F.lit(filled).alias("filled"))
 
 
 @plan(

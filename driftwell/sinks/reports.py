@@ -8,15 +8,21 @@ from pyspark.sql import functions as F
 from driftwell.operators.oplog import counts_by_type
 
 
-def write_operation_log(numbered: DataFrame, path: str, global_key: str = "username") -> None:
-    """Append operations as JSON lines in ``op_seq`` order (K4)."""
+def write_operation_log(numbered: DataFrame, path: str, global_key: str = "username", batch_id: int | None = None) -> None:
+    """Append operations as JSON lines in ``op_seq`` order (K4).
+
+    With a batch id the batch owns its directory: writing it again replaces it.
+    """
     line = F.to_json(
         F.struct(
             "type", "table_name", "columns", "values", "where", "sql", F.col("actor").alias(global_key), "op_seq"
         )
     )
     ordered = numbered.orderBy("op_seq").select(line.alias("value"))
-    ordered.write.mode("append").text(path)
+    if batch_id is None:
+        ordered.write.mode("append").text(path)
+    else:
+        ordered.write.mode("overwrite").text(f"{path}/batch_id={batch_id}")
 
 
 def operation_report(numbered: DataFrame) -> DataFrame:

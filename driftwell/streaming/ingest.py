@@ -8,6 +8,7 @@ run again after a failure therefore writes the same thing in the same place.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from driftwell.operators.scan import dense_number
 from driftwell.session import owned_tables
 from driftwell.sinks import reports, stores
 from driftwell.sources import sse
-from driftwell.streaming.incremental import first_seen_step, latest_flags, profile_step
+from driftwell.streaming.incremental import first_seen_step, latest_flags, profile_step, schema_step
 
 EVENTS = (
     "seq bigint, event string, record_text string, record variant, sys_ingested_us bigint, t_stamp double"
@@ -95,6 +96,20 @@ class Ingest:
         )
         reports.save_state(ends, self.clock, batch_id)
 
+    def conclude(self, spark: SparkSession, version: int) -> None:
+        """Second stage over the event table: schema, operation log and schema documents.
+
+        The key configuration is that of the latest ``init`` event of any batch.
+        A version owns its directories: concluding it again replaces them.
+        """
+        with owned_tables(spark):
+            events = self.read_events(spark)
+            config = sse.init_config(events).first()
+            learned = learn_schema(events, config.unique_fields, config.global_key)
+            operations = oplog.number_operations(build_operations(events, learned, config.global_key))
+            reports.write_operation_log(operations, f"{self.base}/operations", config.global_key or "username", version)
+            reports.write_schema(learned.tables, learned.foreign, f"{self.base}/schema/version={version}")
+
     def read_events(self, spark: SparkSession, batch_id: int | None = None) -> DataFrame:
         """The event table, or one batch of it."""
         path = self.events if batch_id is None else f"{self.events}/batch_id={batch_id}"
@@ -137,18 +152,55 @@ def build_operations(events: DataFrame, learned: LearnedSchema, global_key: str
     return oplog.operation_log(sse.forwarded(events), learned.tables, learned.junctions, global_key=global_key)
 
 
+#: Batches after which first-seen deltas are merged.
+COMPACT_EVERY = 16
+SEEN = "table_name string, pk_id string, seen boolean, batch_id bigint"
+
+
 def keep_first_seen(spark: SparkSession, base: str, batch: DataFrame, batch_id: int) -> DataFrame:
-    """First-seen decisions of one micro-batch over kept per-batch deltas.
+    """First-seen decisions of one micro-batch over kept flags.
 
-    Deltas hold one flag per key a batch touched. Only flags of this batch's
-    keys are read back into the join.
+    Deltas hold one flag per key a batch touched. Every ``COMPACT_EVERY`` batches
+    they are merged with the flags merged before, so that a batch reads the
+    merged flags and a bounded number of deltas. Only flags of this batch's keys
+    are read into the join.
     """
-    previous = None
-    if batch_id:
-        schema_text = "table_name string, pk_id string, seen boolean, batch_id bigint"
-        deltas = spark.read.schema(schema_text).parquet(f"{base}/seen").where(F.col("batch_id") < batch_id)
-        previous = latest_flags(deltas, batch)
+    start = batch_id // COMPACT_EVERY * COMPACT_EVERY
+    if start and start == batch_id:
+        _merge_seen(spark, base, start)
+    previous = latest_flags(_seen(spark, base, start, batch_id), batch) if batch_id else None
     typed, touched = first_seen_step(previous, batch)
     touched.write.mode("overwrite").parquet(f"{base}/seen/batch_id={batch_id}")
     typed.write.mode("overwrite").parquet(f"{base}/typed/batch_id={batch_id}")
     return spark.read.parquet(f"{base}/typed/batch_id={batch_id}")
+
+
+def _seen(spark: SparkSession, base: str, start: int, stop: int) -> DataFrame:
+    """Flags merged up to ``start`` and the deltas from there to before ``stop``."""
+    deltas = spark.read.schema(SEEN).option("basePath", f"{base}/seen")
+    parts = [deltas.parquet(f"{base}/seen/batch_id={i}") for i in range(start, stop)]
+    if start:
+        parts.append(spark.read.schema(SEEN).parquet(f"{base}/merged/{start}"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _merge_seen(spark: SparkSession, base: str, start: int) -> None:
+    """Write the latest flag of every key as of batch ``start``."""
+    flags = _seen(spark, base, start - COMPACT_EVERY, start)
+    latest = flags.groupBy("table_name", "pk_id").agg(F.max(F.struct("batch_id", "seen")).alias("l"))
+    latest.select("table_name", "pk_id", "l.seen", "l.batch_id").write.mode("overwrite").parquet(f"{base}/merged/{start}")
+
+
+def keep_schema(spark: SparkSession, base: str, batch: DataFrame, batch_id: int) -> DataFrame:
+    """CREATE and ALTER changes of one micro-batch against the columns kept before.
+
+    ``batch`` has (table_name, column_name). A batch writes its changes and the
+    columns known after it under its own id.
+    """
+    now = batch.select("table_name", "column_name").distinct()
+    previous = reports.load_state(spark, f"{base}/columns", batch_id - 1) if batch_id else now.limit(0)
+    known = previous.unionByName(now).distinct()
+    reports.save_state(known, f"{base}/columns", batch_id)
+    known = reports.load_state(spark, f"{base}/columns", batch_id).select("table_name", "column_name")
+    schema_step(previous.select("table_name", "column_name"), known).write.mode("overwrite").parquet(f"{base}/changes/batch_id={batch_id}")
+    return spark.read.parquet(f"{base}/changes/batch_id={batch_id}")
