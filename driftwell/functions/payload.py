@@ -84,3 +84,17 @@ def identity(value: Column) -> Column:
         .when(F.contains(j, F.lit(".")) & j.rlike(r"^-?[0-9.]+$"), F.regexp_replace(j, r"\.?0+$", ""))
         .otherwise(j),
     )
+
+
+def short_identity(identity_text: Column) -> Column:
+    """An identity of bounded width, to group by: long texts are replaced by 128 bits of their SHA-256.
+
+    The mark in front keeps it apart from texts that stand for themselves.
+    """
+    digest = F.concat(F.lit("#"), F.substring(F.sha2(identity_text, 256), 1, 32))
+    return F.when(F.length(identity_text) > 48, digest).otherwise(identity_text)
+
+
+def fixed_width(identity_text: Column) -> list[Column]:
+    """Two independent 64-bit values of a text: equal together exactly for equal texts, but for a chance of 2^-128."""
+    return [F.xxhash64(identity_text), F.xxhash64(F.lit(0x5EED), identity_text)]

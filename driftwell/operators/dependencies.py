@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftwell.functions.payload import elements, fields, identity, is_list
+from driftwell.functions.payload import elements, fields, fixed_width, identity, is_list, short_identity
 
 ENTITY_BATCH, RELATION_BATCH = 400, 1000
 
@@ -31,13 +31,17 @@ def _entries(payload: str, global_key: str | None) -> Column:
     return F.filter(entries, lambda e: e["field"] != F.lit(global_key)) if global_key else entries
 
 
+def _one_value(identity_text: Column) -> Column:
+    """Whether all texts of a group are equal, from fixed-width values, so that no text is kept or sorted."""
+    first, second = fixed_width(identity_text)
+    return (F.min(first) == F.max(first)) & (F.min(second) == F.max(second))
+
+
 def determines(df: DataFrame, left: str, right: str) -> DataFrame:
     """Whether column ``left`` determines ``right`` in a typed table: one row."""
     shown = lambda c: F.coalesce(F.concat(F.lit("v"), F.col(c).cast("string")), F.lit("z"))
-    per_value = df.select(shown(left).alias("a"), shown(right).alias("b")).groupBy("a").agg(
-        F.min("b").alias("lo"), F.max("b").alias("hi")
-    )
-    return per_value.agg(F.coalesce(F.bool_and(F.col("lo") == F.col("hi")), F.lit(False)).alias("is_dependent"))
+    per_value = df.select(short_identity(shown(left)).alias("a"), shown(right).alias("b")).groupBy("a").agg(_one_value(F.col("b")).alias("one"))
+    return per_value.agg(F.coalesce(F.bool_and("one"), F.lit(False)).alias("is_dependent"))
 
 
 def functional_dependencies(
@@ -53,11 +57,11 @@ def functional_dependencies(
     ).select("batch", "k", F.explode("e").alias("c"))
     pairs = rows.where(F.col("c.field") != F.col("k.field"))
     per_value = pairs.groupBy(
-        "batch", F.col("k.field").alias("key"), F.col("k.id").alias("key_id"), F.col("c.field").alias("column")
-    ).agg(F.min("c.id").alias("lo"), F.max("c.id").alias("hi"))
+        "batch", F.col("k.field").alias("key"), short_identity(F.col("k.id")).alias("key_id"), F.col("c.field").alias("column")
+    ).agg(_one_value(F.col("c.id")).alias("one"))
     return (
         per_value.groupBy("batch", "key", "column")
-        .agg(F.bool_and(F.col("lo") == F.col("hi")).alias("holds"))
+        .agg(F.bool_and("one").alias("holds"))
         .where("holds")
         .drop("holds")
     )
@@ -83,8 +87,8 @@ def inclusion_dependencies(
             is_list(e["value"]).alias("listed"),
             F.when(
                 is_list(e["value"]),
-                F.transform(F.filter(elements(e["value"]), lambda x: ~is_list(x)), identity),
-            ).otherwise(F.array(identity(e["value"]))).alias("ids"),
+                F.transform(F.filter(elements(e["value"]), lambda x: ~is_list(x)), lambda x: short_identity(identity(x))),
+            ).otherwise(F.array(short_identity(identity(e["value"])))).alias("ids"),
         ),
     )
     if global_key:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftwell.functions.coerce import with_traits
-from driftwell.functions.payload import fields, identity, is_list, is_nested, text
+from driftwell.functions.payload import fields, identity, is_list, is_nested, short_identity, text
 from driftwell.operators.scan import Running, dense_number, running_scan
 from driftwell.operators.widening import CHANGES, type_history
 from driftwell.session import lookup_join, materialize
@@ -76,7 +76,7 @@ def profile_fields(
     cells = record_cells(records, seq, payload)
     total = records.agg(F.count(F.lit(1)).alias("n")).scalar()
     flat = ~F.col("nested")
-    hashable = F.when(flat & ~F.col("is_list"), identity(F.col("value")))
+    hashable = short_identity(F.when(flat & ~F.col("is_list"), identity(F.col("value"))))
     # first per (field, value): after it every group is small or already reduced
     per_value = cells.withColumn("_id", hashable).groupBy("field", "_id").agg(
         F.count_if(flat).alias("seen"),
