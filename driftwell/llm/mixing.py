@@ -9,7 +9,7 @@ from driftwell.llm.common import WORD_PATTERN, number_in_order, whole_text
 from driftwell.session import materialize
 
 MOST_COPIES = 3
-PER_CELL = 20_000
+PER_CELL = 2_000
 #: Uniform numbers have this many bits, from the MD5 of the document's id.
 BITS = 48
 
