@@ -16,7 +16,7 @@ from driftwell.session import materialize
 
 #: Bytes of a repeated string, and of the rolling hash whose minimum in it is a trigger.
 LENGTH = 100
-GRAM = 32
+GRAM = 48
 #: Phrases of one trigger that a batch sends on to be compared; the rest are kept apart as they are.
 LOCAL_PHRASES = 64
 
