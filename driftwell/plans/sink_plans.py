@@ -82,6 +82,34 @@ def _(spark, sf):
     return r.join(d, "batch_id")
 
 
+@plan(
+    "k3_no_value_lost",
+    "SELECT event_id AS seq, CASE WHEN event_id % 2 = 0 THEN CAST(CAST(10000000000000000000 AS HUGEINT) + event_id AS VARCHAR) ELSE CAST(event_id AS VARCHAR) END AS big, "
+    "CASE event_id % 3 WHEN 0 THEN user_id || ',1' WHEN 1 THEN '1,2' ELSE '7' END AS listed, event_type AS upper_name, 'n' || user_id AS lower_name FROM events",
+)
+def _(spark, sf):
+    """Integers beyond 64 bits, lists spelled as text, scalars in a list column, keys that differ in case: what one half lacks the other holds."""
+    e = table(spark, sf, "events")
+    number = F.col("event_id").cast("string")
+    big = F.when(F.col("event_id") % 2 == 0, (F.expr("CAST('10000000000000000000' AS DECIMAL(38,0))") + F.col("event_id")).cast("string")).otherwise(number)
+    listed = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("["), F.col("user_id").cast("string"), F.lit(",1]"))).when(F.col("event_id") % 3 == 1, F.lit('"[1, 2]"')).otherwise(F.lit("7"))
+    raw = F.concat(
+        F.lit('{"big":'), big, F.lit(',"listed":'), listed, F.lit(',"Name":"'), F.col("event_type"), F.lit('","name":"n'), F.col("user_id").cast("string"), F.lit('"}')
+    )
+    kept = e.select(F.col("event_id").alias("seq"), strict_json(raw).alias("record"))
+    types = {"big": "int", "listed": "list<int>", "Name": "str", "name": "str"}
+    placement = spark.createDataFrame([(f, pr.RELATIONAL) for f in types], "field string, dest string")
+    path = scratch(spark)
+    stores.flush(kept, "record", placement, spark.createDataFrame(list(types.items()), "field string, final_type string"), path, 0, ["seq"])
+    relational = stores.read_relational(spark, f"{path}/relational", "root")
+    relational = relational.toDF(*[{"Name": "upper_name", "name": "lower_name"}.get(c, c) for c in relational.columns])
+    documents = stores.read_documents(spark, f"{path}/documents", "root", "seq bigint, document string")
+    return relational.join(documents, "seq", "full_outer").select(
+        "seq", F.coalesce(F.col("big").cast("string"), F.get_json_object("document", "$.big")).alias("big"),
+        F.coalesce(F.array_join("listed", ","), F.get_json_object("document", "$.listed")).alias("listed"), "upper_name", "lower_name",
+    )
+
+
 @plan("k4_operation_log_sink", f"WITH {OPS} SELECT type, columns, CASE WHEN type NOT IN ('DELETE', 'SELECT') THEN value END AS value FROM ops")
 def _(spark, sf):
     path = scratch(spark)

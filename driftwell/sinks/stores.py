@@ -49,22 +49,24 @@ def _typed(payload: str, name: str, type_name: str) -> Column:
     return F.when(_present(value), columns[f"{type_name}_value"])
 
 
-def write_relational(
-    records: DataFrame, payload: str, columns: dict[str, str], path: str, table: str, batch_id: int, keys: list[str]
-) -> None:
-    """Append the relational columns of one batch (K1).
+def with_typed(records: DataFrame, payload: str, columns: dict[str, str]) -> DataFrame:
+    """Records with their relational columns under their stored names."""
+    return records.withColumns({physical_name(f, t): _typed(payload, f, t) for f, t in columns.items()}) if columns else records
+
+
+def write_relational(typed: DataFrame, columns: dict[str, str], path: str, table: str, batch_id: int, keys: list[str]) -> None:
+    """Append the relational columns of one batch (K1); ``typed`` comes from ``with_typed``.
 
     The first batch creates the table and later ones may bring new columns. A
     column that is widened gets one more physical column, ``name__type``, so
     that no old file has to be rewritten. The batch owns its directory: writing
     it again replaces it. Rows with no column besides the keys are skipped.
     """
-    names = {f: physical_name(f, t) for f, t in columns.items()}
-    wide = records.select(*keys, *[_typed(payload, f, t).alias(names[f]) for f, t in columns.items()])
+    names = [physical_name(f, t) for f, t in columns.items()]
     any_set = F.lit(False)
-    for name in names.values():
+    for name in names:
         any_set = any_set | F.col(f"`{name}`").isNotNull()
-    wide.where(any_set).write.mode("overwrite").parquet(f"{path}/{table}/batch_id={batch_id}")
+    typed.select(*keys, *[F.col(f"`{n}`") for n in names]).where(any_set).write.mode("overwrite").parquet(f"{path}/{table}/batch_id={batch_id}")
 
 
 def read_relational(spark: SparkSession, path: str, table: str) -> DataFrame:
@@ -97,24 +99,25 @@ def read_relational(spark: SparkSession, path: str, table: str) -> DataFrame:
 
 
 def write_documents(
-    records: DataFrame, payload: str, placement: DataFrame, path: str, collection: str, batch_id: int, keys: list[str],
+    typed: DataFrame, payload: str, placement: DataFrame, path: str, collection: str, batch_id: int, keys: list[str],
     columns: dict[str, str] | None = None,
 ) -> None:
     """Append the document fields of one batch as JSON, nested values whole (K2).
 
-    ``columns`` are those of the relational half: a value that does not convert
-    to its column's type, such as an integer beyond 64 bits or a scalar in a
-    column of lists, is kept here, so that the two halves together hold every value.
+    ``columns`` are those of the relational half, present in ``typed``: a value
+    that does not convert to its column's type, such as an integer beyond 64
+    bits or a scalar in a column of lists, is kept here, so that the two halves
+    together hold every value.
     """
-    split = split_payload(records, placement, payload)
+    split = split_payload(typed, placement, payload)
     kept = F.col("document")
     if columns:
-        left_out = [
-            F.struct(F.lit(f).alias("key"), F.when(_present(field(F.col(payload), f)) & _typed(payload, f, t).isNull(), field(F.col(payload), f)).alias("value"))
+        left_out = F.array(*[
+            F.struct(F.lit(f).alias("key"), F.when(F.col(f"`{physical_name(f, t)}`").isNull(), field(F.col(payload), f)).alias("value"))
             for f, t in columns.items()
-        ]
-        left_out = F.filter(F.array(*left_out), lambda x: x["value"].isNotNull())
-        kept = F.map_concat(F.coalesce(kept, F.map_from_entries(F.filter(left_out, lambda x: F.lit(False)))), F.map_from_entries(left_out))
+        ])
+        extra = F.map_from_entries(F.filter(left_out, lambda x: _present(x["value"])))
+        kept = F.coalesce(F.map_concat(kept, extra), extra)
     split.select(*keys, F.to_json(kept).alias("document")).write.mode("overwrite").json(
         f"{path}/{collection}/batch_id={batch_id}"
     )
@@ -130,11 +133,10 @@ def flush(
     keys: list[str], table: str = "root",
 ) -> None:
     """Write one batch to both stores (K3). Writing the same batch twice changes nothing."""
-    records = records.persist()
+    columns = relational_columns(placement, types)
+    typed = with_typed(records, payload, columns).persist()
     try:
-        columns = relational_columns(placement, types)
-        write_relational(records, payload, columns, f"{path}/relational", table, batch_id, keys)
-        write_documents(records, payload, placement, f"{path}/documents", table, batch_id, keys, columns)
+        write_relational(typed, columns, f"{path}/relational", table, batch_id, keys)
+        write_documents(typed, payload, placement, f"{path}/documents", table, batch_id, keys, columns)
     finally:
-        records.unpersist()
-
+        typed.unpersist()
