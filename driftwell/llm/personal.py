@@ -164,8 +164,13 @@ class Finder:
             return
         bridge = AFTER_CUE.match(t, stop)
         value = bridge and VALUES[kind].match(t, bridge.end())
-        if value and (kind != "iban" or valid_iban(value.group())):
-            self.more.append((value.start(), value.end(), kind))
+        if not value:
+            return
+        found = value.group()
+        while kind == "iban" and found and not valid_iban(found):
+            found = found.rpartition(" ")[0]  # the last group may be the next word
+        if found:
+            self.more.append((value.start(), value.start() + len(found), kind))
 
     def spans(self) -> tuple[list, list]:
         t, end, before = self.text, self.end, -2
