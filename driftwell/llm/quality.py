@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftwell.llm.common import held_out, id_text, whole_text, with_id
+from driftwell.llm.common import held_out, whole_text
 from driftwell.llm.subwords import BLANK, Rolling, chunks, edges, mixed
 
 #: Documents the classifier is fitted on, at most; chosen by hash of their id.
@@ -129,6 +129,17 @@ def scores(texts: list[str], table: np.ndarray, constant: float) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(logits, -30, 30)))
 
 
+def scorer(docs: DataFrame, labels: DataFrame, at_most: int = SAMPLE) -> Callable[[Column], Column]:
+    """Train, and give the function that scores a text column where it stands, without a join."""
+    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, at_most=at_most))
+
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        return pd.Series(scores(list(texts), *model.value))
+
+    return score
+
+
 def score_quality(docs: DataFrame, labels: DataFrame, at_most: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
     """Probability that a document is good, one row per input row.
 
@@ -143,12 +154,5 @@ def score_quality(docs: DataFrame, labels: DataFrame, at_most: int = SAMPLE, thr
     repeated rows get equal scores. An empty table gives an empty result. Other
     columns are ignored.
     """
-    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, at_most=at_most))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            p = scores(list(b["text"]), *model.value)
-            yield pd.DataFrame({"doc_id": b["doc_id"], "held_out": b["held_out"], "score": p, "predicted": (p >= threshold).astype(np.int32)})
-
-    rows = docs.select(id_text().alias("doc_id"), held_out().alias("held_out"), whole_text().alias("text"))
-    return with_id(rows.mapInPandas(run, "doc_id string, held_out boolean, score double, predicted int"))
+    rows = docs.select(F.col("doc_id").cast("bigint"), held_out().alias("held_out"), scorer(docs, labels, at_most)(whole_text()).alias("score"))
+    return rows.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
