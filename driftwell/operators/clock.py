@@ -35,7 +35,7 @@ def reassemble(relational: DataFrame, documents: DataFrame, key: str = "sys_inge
     """Relational rows with their document and whether it was found."""
     marked = documents.withColumn("_there", F.lit(True))
     return relational.join(marked, key, "left").withColumn(
-        "document_found", F.when(F.col("_there"), "YES").otherwise("NO -- JOIN BROKEN")
+        "document_found", F.when(F.col("_there"), "YES").otherwise("NO")
     ).drop("_there")
 
 

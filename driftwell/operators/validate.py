@@ -34,9 +34,9 @@ def validate_specs(specs: DataFrame, columns: DataFrame) -> DataFrame:
     )
     q = lookup_join(specs, tables, ["entity"])
     empty = F.array().cast("array<string>")
-    records = F.when(
-        F.ltrim("data").startswith("["), F.from_json("data", "array<map<string,string>>")
-    ).otherwise(F.array(F.from_json("data", "map<string,string>")))
+    items = F.when(F.ltrim("data").startswith("["), F.from_json("data", "array<string>")).otherwise(F.array("data"))
+    # null for an item that is not an object
+    records = F.transform(items, lambda x: F.when(F.ltrim(x).startswith("{"), F.from_json(x, "map<string,string>")))
     q = q.withColumns(
         {
             "missing": F.col("known").isNull(),
@@ -57,50 +57,42 @@ def validate_specs(specs: DataFrame, columns: DataFrame) -> DataFrame:
     def unknown(items):
         return F.filter(items, lambda c: ~F.array_contains("known", c))
 
-    in_table = F.concat(F.lit("' not found in table '"), F.col("entity"), F.lit("'"))
-    where_error = lambda c: F.concat(F.lit("WHERE column '"), c, in_table)
-    verb = F.when(F.col("action") == "add", "ADD").otherwise("CHANGE")
+    def lacks(place):
+        return lambda c: F.concat(F.lit("table '"), F.col("entity"), F.lit("' has no column '"), c, F.lit("' (in "), place, F.lit(")"))
+
+    where_error = lacks(F.lit("where"))
     is_add, is_get = F.col("action") == "add", F.col("action") == "get"
     is_change, is_remove = F.col("action") == "change", F.col("action") == "remove"
     plain_fields = F.filter(F.coalesce("fields", empty), lambda f: (f != "*") & ~f.rlike(r"[.(]"))
 
     def record_errors(record, at):
-        prefix = F.concat(F.lit("Record "), at.cast("string"), F.lit(": "))
+        place = F.concat(F.lit("record "), at.cast("string"))
         nested = F.map_filter(record, lambda k, v: F.coalesce(F.ltrim(v).rlike(r"^\[\s*\{"), F.lit(False)))
         named = F.filter(
             F.array_except(F.map_keys(record), F.map_keys(nested)), lambda c: ~c.startswith("__")
         )
-        return F.concat(
-            F.transform(unknown(named), lambda c: F.concat(prefix, F.lit("Column '"), c, in_table)),
+        return F.when(record.isNull(), F.array(F.concat(place, F.lit(" is not an object")))).otherwise(F.concat(
+            F.transform(unknown(named), lacks(place)),
             F.transform(
-                F.array_except("keys", F.map_keys(record)),
-                lambda c: F.concat(prefix, F.lit("Missing primary key column '"), c, F.lit("'")),
+                F.array_except("keys", F.map_keys(record)), lambda c: F.concat(place, F.lit(" lacks key column '"), c, F.lit("'"))
             ),
-        )
+        ))
 
     # all checks of a spec read one row, so they are one pass over the specs
     errors = F.concat(
-        flag(~F.coalesce(known, F.lit(False)), F.concat(F.lit("Unknown action: "), F.coalesce("action", F.lit("None")))),
-        flag(
-            known & F.col("missing"),
-            F.concat(F.lit("Table '"), F.coalesce("entity", F.lit("None")), F.lit("' does not exist in schema")),
-        ),
-        flag(
-            present & (is_add | is_change) & F.col("data_empty"),
-            F.concat(F.lit("No data provided for "), verb, F.lit(" operation")),
-        ),
-        flag(present & is_change & (F.size("where_keys") == 0), F.lit("WHERE clause is required for UPDATE")),
+        flag(~F.coalesce(known, F.lit(False)), F.concat(F.lit("action '"), F.coalesce("action", F.lit("")), F.lit("' is not known"))),
+        flag(known & F.col("missing"), F.concat(F.lit("no table '"), F.coalesce("entity", F.lit("")), F.lit("' is declared"))),
+        flag(present & (is_add | is_change) & F.col("data_empty"), F.concat(F.lit("'"), F.col("action"), F.lit("' carries no data"))),
         flag(
-            present & is_remove & (F.size("where_keys") == 0),
-            F.lit("WHERE clause is required for DELETE (to prevent deleting all records)"),
+            present & (is_change | is_remove) & (F.size("where_keys") == 0),
+            F.concat(F.lit("'"), F.col("action"), F.lit("' has no condition")),
         ),
-        each(present & is_get, unknown(plain_fields), lambda c: F.concat(F.lit("Field '"), c, in_table)),
+        each(present & is_get, unknown(plain_fields), lacks(F.lit("fields"))),
         each(present & is_get, unknown(F.filter("where_keys", lambda c: ~c.contains("."))), where_error),
         each(present & (is_remove | (is_change & ~F.col("data_empty"))), unknown(F.col("where_keys")), where_error),
         each(
             present & is_change & ~F.col("data_empty"),
-            unknown(F.map_keys(F.get("records", F.lit(0)))),
-            lambda c: F.concat(F.lit("UPDATE column '"), c, in_table),
+            F.coalesce(unknown(F.map_keys(F.get("records", F.lit(0)))), empty), lacks(F.lit("data")),
         ),
         F.when(
             present & is_add & ~F.col("data_empty"), F.flatten(F.transform("records", record_errors))

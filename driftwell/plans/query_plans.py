@@ -342,13 +342,13 @@ def spec_texts(spark, sf):
     "q19_spec_validation",
     """
     WITH s AS (SELECT o_orderkey AS query_index, CASE WHEN o_orderstatus = 'O' THEN 'ok' ELSE o_orderpriority END AS c FROM orders)
-    SELECT query_index, 'Record 0: Column ''colour'' not found in table ''orders''' AS error FROM s WHERE c = '1-URGENT'
-    UNION ALL SELECT query_index, 'Record 0: Missing primary key column ''o_orderkey''' FROM s WHERE c = '1-URGENT'
-    UNION ALL SELECT query_index, 'Field ''c_age'' not found in table ''customer''' FROM s WHERE c = '2-HIGH'
-    UNION ALL SELECT query_index, 'WHERE column ''size'' not found in table ''customer''' FROM s WHERE c = '2-HIGH'
-    UNION ALL SELECT query_index, 'WHERE clause is required for DELETE (to prevent deleting all records)' FROM s WHERE c = '3-MEDIUM'
-    UNION ALL SELECT query_index, 'UPDATE column ''weight'' not found in table ''orders''' FROM s WHERE c = '5-LOW'
-    UNION ALL SELECT query_index, 'Unknown action: drop' FROM s WHERE c NOT IN ('ok', '1-URGENT', '2-HIGH', '3-MEDIUM', '5-LOW')
+    SELECT query_index, 'table ''orders'' has no column ''colour'' (in record 0)' AS error FROM s WHERE c = '1-URGENT'
+    UNION ALL SELECT query_index, 'record 0 lacks key column ''o_orderkey''' FROM s WHERE c = '1-URGENT'
+    UNION ALL SELECT query_index, 'table ''customer'' has no column ''c_age'' (in fields)' FROM s WHERE c = '2-HIGH'
+    UNION ALL SELECT query_index, 'table ''customer'' has no column ''size'' (in where)' FROM s WHERE c = '2-HIGH'
+    UNION ALL SELECT query_index, '''remove'' has no condition' FROM s WHERE c = '3-MEDIUM'
+    UNION ALL SELECT query_index, 'table ''orders'' has no column ''weight'' (in data)' FROM s WHERE c = '5-LOW'
+    UNION ALL SELECT query_index, 'action ''drop'' is not known' FROM s WHERE c NOT IN ('ok', '1-URGENT', '2-HIGH', '3-MEDIUM', '5-LOW')
     """,
 )
 def _(spark, sf):

@@ -92,13 +92,14 @@ def test_validation_messages(spark):
     specs = [
         '{"action": "get", "entity": "nope"}', '{"action": "add", "entity": "s"}', '{"action": "add", "entity": "s", "data": {"n": 1, "kids": [{"a": 1}], "__x": 2, "q": 1}}',
         '{"action": "change", "entity": "s", "data": {"n": 1}}', '{"action": "remove", "entity": "s"}', '{"action": "get", "entity": "s", "fields": ["*", "n"], "where": {"id": {"$gt": 1}}}',
+        '{"action": "add", "entity": "s", "data": [{"id": 1}, 5]}', '{"action": "add", "entity": "s", "data": "text"}',
     ]
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(specs)], "query_index int, raw string")
     got = sorted((r.query_index, r.error) for r in validate_specs(parse_specs(rows), declared).collect())
     assert got == [
-        (0, "Table 'nope' does not exist in schema"), (1, "No data provided for ADD operation"),
-        (2, "Record 0: Column 'q' not found in table 's'"), (2, "Record 0: Missing primary key column 'id'"),
-        (3, "WHERE clause is required for UPDATE"), (4, "WHERE clause is required for DELETE (to prevent deleting all records)"),
+        (0, "no table 'nope' is declared"), (1, "'add' carries no data"), (2, "record 0 lacks key column 'id'"),
+        (2, "table 's' has no column 'q' (in record 0)"), (3, "'change' has no condition"), (4, "'remove' has no condition"),
+        (6, "record 1 is not an object"), (7, "record 0 is not an object"),
     ]
 
 
