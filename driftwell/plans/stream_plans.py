@@ -166,12 +166,17 @@ def profiled(spark, sf):
 
 @plan(
     "r5_incremental_profile",
-    """WITH d AS (SELECT d.*, l.quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
+    """WITH d AS (SELECT d.*, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
     SELECT 'lang' AS field, count(*) AS total_seen, count(*) AS present_count, 1 AS alter_count, CAST(sum(length(lang)) AS BIGINT) AS chars, 'str' AS final_type FROM d
     UNION ALL SELECT 'text', count(*), count(*), 1, CAST(sum(length(text)) AS BIGINT), 'str' FROM d
     UNION ALL SELECT 'quality', count(quality), count(quality), 1, 0, 'int' FROM d
     UNION ALL SELECT 'mix', count(*), count(*), 2, count(*) FILTER (doc_id % 7 = 3), 'str' FROM d
-    UNION ALL SELECT 'opt', count(*), count(*) FILTER (doc_id % 4 = 1), 1, 0, 'int' FROM d WHERE doc_id % 4 < 2""",
+    UNION ALL SELECT 'opt', count(*), count(*) FILTER (doc_id % 4 = 1), 1, 0, 'int' FROM d WHERE doc_id % 4 < 2
+    UNION ALL SELECT 'source', count(*), count(*), 1, CAST(sum(length(source)) AS BIGINT), 'str' FROM d
+    UNION ALL SELECT 'doc_id', count(*), count(*), 1, 0, 'int' FROM d
+    UNION ALL SELECT 'toxic', count(toxic), count(toxic), 1, 0, 'int' FROM d
+    UNION ALL SELECT 'tags', count(*), count(*), 1, 0, 'list<str>' FROM d
+    UNION ALL SELECT 'obj', 0, 0, 1, 0, 'UNK' FROM d HAVING count(*) > 0""",
 )
 def _(spark, sf):
     records = profiled(spark, sf)
@@ -180,7 +185,7 @@ def _(spark, sf):
     for late in (False, True):
         part = records.where((F.col("doc_id") > middle) == late)
         state = materialize(incremental.profile_step(state, part, "doc_id", "record"))
-    return state.where("field in ('lang', 'text', 'quality', 'mix', 'opt')").select(
+    return state.select(
         "field", "total_seen", "present_count", F.col("alter_count").cast("int").alias("alter_count"), "chars", "final_type"
     )
 
