@@ -28,7 +28,7 @@ THRESHOLD = 0.5
 LEXICON = (
     "idiot moron stupid dumb loser clown scum trash pathetic worthless disgusting imbecile cretin "
     "filthy vermin jerk bastard bitch whore slut asshole fuck fucking shit crap retard retarded freak "
-    "ugly fool foolish coward degenerate garbage subhuman parasite hate despise kill die"
+    "ugly fool foolish coward degenerate garbage subhuman parasite hate despise kill"
 ).split()
 #: Rules beside the lexicon, in the order of their voters.
 RULES = ("shouting", "exclamations", "insult near you")
