@@ -39,9 +39,10 @@ def integer_names(distinct: DataFrame, key: list[str]) -> DataFrame:
     return distinct.withColumn("_bucket", bucket).withColumn("name", (rank - 1) * buckets + F.col("_bucket") + 1).drop("_bucket")
 
 
-def identities(docs: DataFrame, block_bytes: int = BLOCK_BYTES, hashed=block_hash) -> DataFrame:
+def identities(docs: DataFrame, block_bytes: int = BLOCK_BYTES, hashed=block_hash, uid: str | None = None) -> DataFrame:
     """One row per input row: uid, doc_id, n_chars, text_sha256, level and name.
 
+    ``uid`` names a column that numbers the rows already; else they get numbers here.
     Two rows have the same (level, name) exactly when their normalised texts are equal.
 
     Level 0 names the blocks of fixed size. Distinct contents are gathered with
@@ -59,7 +60,7 @@ def identities(docs: DataFrame, block_bytes: int = BLOCK_BYTES, hashed=block_has
 
     rows = materialize(
         docs.select(
-            F.monotonically_increasing_id().alias("uid"), "doc_id",
+            (F.col(uid) if uid else F.monotonically_increasing_id()).alias("uid"), "doc_id",
             F.char_length(whole_text()).cast("bigint").alias("n_chars"), body.alias("body"),
         ).select(
             "uid", "doc_id", "n_chars", F.sha2("body", 256).alias("text_sha256"),

@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from driftwell.llm import naming, repeats as passages, simhash as sim
+from driftwell.llm import naming, repeats as passages, similar, simhash as sim
 
 
 def rows_of(df):
@@ -114,3 +114,77 @@ def test_repeats_of_edited_copies(spark, monkeypatch):
         assert rows_of(passages.remove_repeats(table(spark, rows).repartition(3))) == repeats(rows)
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def sets_of(texts):
+    out = []
+    for t in texts:
+        w = [x for x in re.split(BLANK + "+", (t or "").lower()) if x]
+        out.append({tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set())
+    return out
+
+
+def components_of(sets):
+    """Component of each set under links of Jaccard 0.8 or more, all pairs."""
+    label = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 5 * len(a & sets[j]) >= 4 * len(a | sets[j]) and label[i] != label[j]:
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = [new if x == old else x for x in label]
+    return label
+
+
+def edited_copies():
+    """Texts, copies of them with 0 to 8 words changed, chains of such copies, shared passages."""
+    rng = random.Random(11)
+    vocabulary = [f"w{k}" for k in range(400)]
+    passage, texts = rng.choices(vocabulary, k=30), [None, "", " ", "one two", "One two", "one two three four five"]
+    for k in range(24):
+        words = rng.choices(vocabulary, k=rng.choice([20, 80, 150])) + passage * (k % 2)
+        texts.append(" ".join(words))
+        for edits in (0, 1, 2, 3, 4, 6, 8):
+            copy = list(words)
+            for p in rng.sample(range(len(copy)), edits):
+                copy[p] = rng.choice(vocabulary)
+            texts.append(" ".join(copy))
+            words = copy if k % 3 == 0 else words
+    return texts
+
+
+@pytest.mark.parametrize("chunk", [similar.CHUNK, 700])
+def test_near_copies(spark, chunk):
+    """Every pair of five-word similarity 0.8 or more is linked and no other, whatever the fingerprints."""
+    texts = edited_copies()
+    label = components_of(sets_of(texts))
+    df = spark.createDataFrame(list(enumerate(texts)), "uid bigint, text string").repartition(3)
+    roots = {r.uid: r.root for r in similar.near_copies(df, chunk=chunk).collect()}
+    group = [roots[k] for k in range(len(texts))]
+    assert len(set(zip(group, label, strict=True))) == len(set(group)) == len(set(label))
+    assert similar.near_copies(df.limit(0)).count() == 0
+
+
+def test_pipeline_removes_near_copies_beyond_four_bits(spark):
+    import corpus_pipeline
+
+    texts = edited_copies()
+    label = components_of(sets_of(texts))
+    assert len(set(reach([simhash(t) for t in texts], 4))) > len(set(label))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    kept = {r.doc_id for r in corpus_pipeline.distinct_contents(spark, docs, "").collect()}
+    assert kept == {label.index(x) for x in label}
+
+
+def test_pipeline_keeps_rows_that_share_an_id(spark):
+    """Different texts under one id or under null ids all stay, and the row decided for is the row kept."""
+    import corpus_pipeline
+
+    rng = random.Random(4)
+    a, b, *more = [" ".join(rng.choices("abcdefghijklmnop", k=n)) for n in (60, 40, 50, 50, 50, 50)]
+    rows = [(3, a), (5, a), (5, b), (None, more[0]), (None, more[1]), (None, more[1]), (7, more[2]), (7, more[3]), (8, more[3] + " ")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = {(3, a), (5, b), (None, more[0]), (None, more[1]), (7, more[2])}
+    got = corpus_pipeline.distinct_texts(spark, docs, "").collect()
+    assert len(got) == 6 and {tuple(r) for r in got} == want | {(8, more[3] + " ")}
+    got = corpus_pipeline.distinct_contents(spark, docs, "").collect()
+    assert len(got) == 6 and {tuple(r) for r in got} == want | {(7, more[3])}
