@@ -7,13 +7,13 @@ import re
 import numpy as np
 import xxhash
 
-SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, size bigint, kind string, name string, h bigint, cell int, shard int, bucket int"
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, size bigint, kind string, name string, h bigint, cell int, shard int, bucket int, uid bigint, item string, word string, key bigint, node string, tree string, pos bigint"
 BLANK = r"[\x20\x09-\x0D]"
 
 
 def table(spark, rows):
     """(doc_id, text, source) with columns whose names the operators use themselves."""
-    full = [(i, t, "en", s, len(t or ""), 7, "x", "y", 1, 2, 3, 4) for i, t, s in rows]
+    full = [(i, t, "en", s, len(t or ""), 7, "x", "y", 1, 2, 3, 4, 5, "i", "w", 6, "n", "t", 8) for i, t, s in rows]
     return spark.createDataFrame(full, SCHEMA)
 
 
