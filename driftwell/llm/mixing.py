@@ -52,7 +52,7 @@ def source_targets(sources: DataFrame, most: int = MOST_COPIES) -> DataFrame:
     return ranked.withColumn("target", F.when(limit < share, limit.cast("double")).otherwise(share))
 
 
-def mix(docs: DataFrame, most: int = MOST_COPIES, per_cell: int = PER_CELL, preference: Column | None = None) -> DataFrame:
+def mix(docs: DataFrame, most: int = MOST_COPIES, per_cell: int = PER_CELL, preference: Column | None = None, uid: str | None = None) -> DataFrame:
     """How many words of each document the mix takes.
 
     A source's target over its size is the number of copies of each document.
@@ -71,10 +71,12 @@ def mix(docs: DataFrame, most: int = MOST_COPIES, per_cell: int = PER_CELL, pref
     of its own, the last. Repeated rows are ranked like any others; rows that are
     equal in every column share their draw. Null ids share a draw too. An empty
     table gives an empty result. Columns of the input other than doc_id, text and
-    source are ignored.
+    source are ignored; ``uid`` may name one that numbers the rows, and is
+    returned as uid.
     """
+    carried = [F.col(uid).alias("uid")] if uid else []
     rows = docs.select(
-        "doc_id",
+        "doc_id", *carried,
         F.coalesce("source", F.lit("")).alias("source"),
         F.col("source").isNull().alias("absent"),
         F.regexp_count(whole_text(), F.lit(WORD_PATTERN)).cast("bigint").alias("size"),
@@ -113,7 +115,7 @@ def mix(docs: DataFrame, most: int = MOST_COPIES, per_cell: int = PER_CELL, pref
     placed = ranked.withColumn("inside", F.coalesce(inside, F.lit(0))).join(starts, key)
     drawn = (2 * (F.col("start") + F.col("inside")) + F.col("size")).cast("double") <= 2 * F.col("rest")
     return placed.select(
-        "doc_id", "size", "source_size", "target",
+        *(["uid"] if uid else []), "doc_id", "size", "source_size", "target",
         (F.col("size") * (F.col("copies") + F.when(drawn, 1).otherwise(0))).cast("bigint").alias("taken"),
     )
 

@@ -33,23 +33,23 @@ VALUES = {
     "ssn": re.compile(r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
     "iban": re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{2,4}){3,8}(?![A-Za-z0-9])"),
     "account": re.compile(r"[A-Z]{0,3}[0-9][0-9 -]{4,22}[0-9](?![A-Za-z0-9])"),
-    "secret": re.compile(r"(?=[A-Za-z_./+=-]*[0-9])[A-Za-z0-9_./+=-]{16,}"),
 }
+# A secret is a run of these with a digit in it, at least so long; a link ends before white space and these.
+SECRET, DIGIT, SHORTEST_SECRET = re.compile(r"[A-Za-z0-9_./+=-]*"), re.compile("[0-9]"), 16
+LINK_END, LINK_TAIL = re.compile(r"[\s<>\"']"), ".,;)"
 
 
 def automaton() -> ahocorasick.Automaton:
-    """Cues in lower, capital and initial-capital form; what each starts."""
+    """What each cue starts. Cues are in lower case; a text is searched in a copy with small A-Z."""
     a = ahocorasick.Automaton()
     a.add_word("@", (1, "@"))
     a.add_word("+", (1, "+"))
     for d in DIGITS:
         a.add_word(d, (1, "digit"))
     for scheme in SCHEMES:
-        for form in (scheme, scheme.upper()):
-            a.add_word(form, (len(form), "url"))
+        a.add_word(scheme, (len(scheme), "url"))
     for cue, kind in CUES.items():
-        for form in (cue, cue.upper(), cue.capitalize()):
-            a.add_word(form, (len(form), kind))
+        a.add_word(cue, (len(cue), kind))
     a.make_automaton()
     return a
 
@@ -85,6 +85,20 @@ class Finder:
         self.end = dict.fromkeys(BASE, 0)
         self.base: list[tuple[int, int, str]] = []
         self.more: list[tuple[int, int, str]] = []
+        # where what is looked for next was found last, so that no part of a text is searched twice for the same
+        self.next: dict[str, int] = {"@": -1, "/": -1, "digit": -1}
+        self.link = self.secret = (0, 0)
+
+    def _next(self, what: str, at: int) -> int:
+        """The first place from ``at`` on that holds ``what``; the end of the text if there is none."""
+        if self.next[what] < at:
+            if what == "digit":
+                found = DIGIT.search(self.text, at)
+                self.next[what] = found.start() if found else len(self.text)
+            else:
+                place = self.text.find(what, at)
+                self.next[what] = place if place >= 0 else len(self.text)
+        return self.next[what]
 
     def email(self, at: int) -> None:
         """Around an at-sign: the local part before it, as far as it reaches, and two labels or more after it."""
@@ -151,11 +165,22 @@ class Finder:
 
     def url(self, start: int, stop: int) -> None:
         """A link that carries a name and a password, or a mail address, before its host."""
-        t, end = self.text, stop
-        while end < len(t) and not t[end].isspace() and t[end] not in "<>\"'":
-            end += 1
-        if "@" in t[stop:end].split("/")[0]:
-            self.more.append((start, len(t[:end].rstrip(".,;)")), "url"))
+        if not self.link[0] <= stop < self.link[1]:  # another run without white space
+            found = LINK_END.search(self.text, stop)
+            self.link = (stop, found.start() if found else len(self.text))
+        end = self.link[1]
+        if self._next("@", stop) < min(self._next("/", stop), end):
+            while end > stop and self.text[end - 1] in LINK_TAIL:
+                end -= 1
+            self.link = (stop, max(stop + 1, end))
+            self.more.append((start, end, "url"))
+
+    def _secret(self, at: int) -> int:
+        """Where the run at a place ends, if it is long enough and holds a digit; else the place."""
+        if not self.secret[0] <= at < self.secret[1]:
+            self.secret = (at, SECRET.match(self.text, at).end())
+        end = self.secret[1]
+        return end if end - at >= SHORTEST_SECRET and self._next("digit", at) < end else at
 
     def cue(self, kind: str, start: int, stop: int) -> None:
         """The value that a cue word announces, when the word stands alone and the value has its shape."""
@@ -163,18 +188,24 @@ class Finder:
         if start and (t[start - 1].isalnum()):
             return
         bridge = AFTER_CUE.match(t, stop)
-        value = bridge and VALUES[kind].match(t, bridge.end())
-        if not value:
+        if not bridge:
             return
-        found = value.group()
-        while kind == "iban" and found and not valid_iban(found):
-            found = found.rpartition(" ")[0]  # the last group may be the next word
-        if found:
-            self.more.append((value.start(), value.start() + len(found), kind))
+        if kind == "secret":
+            end = self._secret(bridge.end())
+        else:
+            value = VALUES[kind].match(t, bridge.end())
+            found = value.group() if value else ""
+            while kind == "iban" and found and not valid_iban(found):
+                found = found.rpartition(" ")[0]  # the last group may be the next word
+            end = bridge.end() + len(found)
+        if end > bridge.end():
+            self.more.append((bridge.end(), end, kind))
 
     def spans(self) -> tuple[list, list]:
-        t, end, before = self.text, self.end, -2
-        for last, (size, what) in AUTOMATON.iter(t):
+        end, before = self.end, -2
+        # bytes.lower touches A-Z only, so places stay
+        small = self.text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+        for last, (size, what) in AUTOMATON.iter(small):
             start = last - size + 1
             if what == "digit":
                 first = start != before + 1  # of its run
@@ -217,6 +248,9 @@ def find_personal(docs: DataFrame) -> DataFrame:
     security numbers, account numbers and secrets, where the announced value has
     the right shape. Counts and base_sha256 are of the base kinds.
 
+    Cues and schemes are found in any case. No part of a text is searched twice
+    for the same, so time grows with its length whatever it repeats.
+
     A null or empty text has no spans. Null ids and repeated rows are searched
     like any others. An empty table gives an empty result. Other columns are
     ignored.

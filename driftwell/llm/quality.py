@@ -49,11 +49,15 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, at_most: int) -> Data
     """doc_id, text and y of at most ``at_most`` labelled documents, none of them held out.
 
     The choice depends on hashes of ids only. The chosen ids are few by the
-    parameter, so they are broadcast and texts stay where they are read.
+    parameter, so they are broadcast and texts stay where they are read. Of rows
+    that share a chosen id one is taken, by the hash of its text, so that the
+    bound is on rows.
     """
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(at_most)
-    return docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(chosen), "doc_id")
+    texts = docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(chosen), "doc_id")
+    one = F.max(F.struct(F.xxhash64("text").alias("hash"), "text", "y")).alias("one")
+    return texts.groupBy("doc_id").agg(one).select("doc_id", "one.text", "one.y")
 
 
 def counted(texts: DataFrame) -> pd.DataFrame:

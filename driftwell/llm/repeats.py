@@ -78,17 +78,20 @@ class Parse:
         return run, place, self.first.spans(place, place + self.length), self.second.spans(place, place + self.length)
 
 
-def _dictionary(a: np.ndarray, b: np.ndarray, ids: np.ndarray, narrow: bool) -> pd.DataFrame:
+def _dictionary(a: np.ndarray, b: np.ndarray, ids: np.ndarray, own: np.ndarray, narrow: bool) -> pd.DataFrame:
     """Each name pair once, with its smallest document, to be compared; the others are repeated already.
 
-    ``narrow``: of a trigger with very many phrases two stand for all, and the rest are open at once.
+    Texts that share an id are told apart by ``own``; those of the smallest id
+    are all compared, since none of them is earlier than another. ``narrow``: of
+    a trigger with very many phrases two stand for all, and the rest are open at
+    once.
     """
-    order = np.lexsort((ids, b, a))
-    a, b, ids = a[order], b[order], ids[order]
+    order = np.lexsort((own, ids, b, a))
+    a, b, ids, own = a[order], b[order], ids[order], own[order]
     new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
     least = ids[np.maximum.accumulate(np.where(new, np.arange(len(a)), 0))]
-    again = ~new & (ids != np.concatenate([ids[:1], ids[:-1]]))
-    kind = np.where(new, COMPARE, np.where(ids > least, REPEATED, -1))
+    again = ~new & ((ids != np.concatenate([ids[:1], ids[:-1]])) | (own != np.concatenate([own[:1], own[:-1]])))
+    kind = np.where(ids > least, REPEATED, COMPARE)
     if narrow:
         cut = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
         group = np.cumsum(np.concatenate([[True], a[1:] != a[:-1]])) - 1
@@ -99,11 +102,11 @@ def _dictionary(a: np.ndarray, b: np.ndarray, ids: np.ndarray, narrow: bool) ->
         # the first row of the last phrase of each trigger
         inner[np.maximum.accumulate(np.where(new, np.arange(len(a)), 0))[ends]] = False
         kind = np.where(inner, OPEN, kind)
-    keep = new | (again & (kind == REPEATED))
-    return pd.DataFrame({"kind": kind[keep].astype(np.int8), "a": a[keep].view(np.int64), "b": b[keep].view(np.int64), "doc_id": ids[keep]})
+    keep = new | again
+    return pd.DataFrame({"kind": kind[keep].astype(np.int8), "a": a[keep].view(np.int64), "b": b[keep].view(np.int64), "doc_id": ids[keep], "own": own[keep]})
 
 
-SCHEMA = "kind tinyint, a bigint, b bigint, doc_id bigint"
+SCHEMA = "kind tinyint, a bigint, b bigint, doc_id bigint, own int"
 
 
 def _texts(column: pd.Series) -> list[bytes]:
@@ -112,10 +115,10 @@ def _texts(column: pd.Series) -> list[bytes]:
 
 def _phrases(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        ids, held = batch["doc_id"].to_numpy(np.int64), []
+        ids, own, held = batch["doc_id"].to_numpy(np.int64), batch["own"].to_numpy(np.int32), []
         for first, data, starts in chunks(_texts(batch["text"])):
             p = Parse(data, starts)
-            held.append((p.trigger, p.phrase, ids[first + p.owner]))
+            held.append((p.trigger, p.phrase, ids[first + p.owner], own[first + p.owner]))
         if held:
             yield _dictionary(*(np.concatenate(x) for x in zip(*held, strict=True)), narrow=True)
 
@@ -123,14 +126,14 @@ def _phrases(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The strings of open phrases, by their two names."""
     for batch in batches:
-        batch = batch[batch["open"].notna()]
-        batch = batch[[len(x) > 0 for x in batch["open"]]]
+        batch = batch[np.array([x is not None and len(x) > 0 for x in batch["open"]], bool)]
         ids, lists, held, size = batch["doc_id"].to_numpy(np.int64), list(batch["open"]), [], 0
+        own = batch["own"].to_numpy(np.int32)
         for first, data, starts in chunks(_texts(batch["text"])):
             p = Parse(data, starts)
             wanted = _among(p, first, lists)
             run, _, a, b = p.suffixes(np.flatnonzero(wanted))
-            held.append((a, b, ids[first + p.owner[run]]))
+            held.append((a, b, ids[first + p.owner[run]], own[first + p.owner[run]]))
             size += len(a)
             if size > 2_000_000:
                 yield _dictionary(*(np.concatenate(x) for x in zip(*held, strict=True)), narrow=False)
@@ -154,50 +157,49 @@ def _pairs_among(owner: np.ndarray, names: np.ndarray, first: int, texts: int, l
 
 
 def _judge(batches: Iterator[pd.DataFrame], with_open: bool) -> Iterator[pd.DataFrame]:
-    """(doc_id, name, kind) from rows sorted by a, b and doc_id; the last group waits for the next batch."""
-    carried = None  # (a, b, least doc_id, whether a second b came, doc_id of the first row of the first b that waits)
+    """(doc_id, own, name, kind) from rows sorted by a, b and doc_id; the last group waits for the next batch."""
+    carried = None  # (a, b, least doc_id, its own, whether a second b came and this head was told)
     for batch in batches:
         if not len(batch):
             continue
         kind = batch["kind"].to_numpy()
         passing = batch[kind != COMPARE]
-        out = [(passing["doc_id"].to_numpy(np.int64), passing["b"].to_numpy(), passing["kind"].to_numpy())]
+        out = [(passing["doc_id"].to_numpy(np.int64), passing["own"].to_numpy(np.int32), passing["b"].to_numpy(), passing["kind"].to_numpy())]
         rows = batch[kind == COMPARE]
         if len(rows):
-            a, b, ids = (rows[c].to_numpy(np.int64) for c in ("a", "b", "doc_id"))
+            a, b, ids, own = (rows[c].to_numpy(t) for c, t in (("a", np.int64), ("b", np.int64), ("doc_id", np.int64), ("own", np.int32)))
             if carried is not None:
-                a, b, ids = (np.concatenate([[x], y]) for x, y in zip(carried[:3], (a, b, ids), strict=True))
+                a, b, ids, own = (np.concatenate([np.array([x], y.dtype), y]) for x, y in zip(carried[:4], (a, b, ids, own), strict=True))
             new_a = np.concatenate([[True], a[1:] != a[:-1]])
             new = new_a | np.concatenate([[True], b[1:] != b[:-1]])
             head = np.maximum.accumulate(np.where(new, np.arange(len(a)), 0))
             again = ids > ids[head]
-            if carried is not None:
-                again[0] = False
-            out.append((ids[again], b[again], np.full(again.sum(), REPEATED)))
+            out.append((ids[again], own[again], b[again], np.full(again.sum(), REPEATED)))
+            told = False
             if with_open:
                 group = np.cumsum(new_a) - 1
                 several = np.bincount(group, weights=new) > 1
-                if carried is not None and carried[3]:
+                if carried is not None and carried[4]:
                     several[0] = True
                 is_open = new & several[group]
-                # the heads of the last group wait unless it is known to have several phrases
+                # texts of the id that has a phrase first, but for one: open whatever comes, so that none of them waits
+                is_open |= ~new & ~again
+                # the head of the last group waits unless it is known to have several phrases
                 if carried is not None and carried[4]:
                     is_open[0] = False  # told before
-                out.append((ids[is_open], b[is_open], np.full(is_open.sum(), OPEN)))
+                out.append((ids[is_open], own[is_open], b[is_open], np.full(is_open.sum(), OPEN)))
                 told = bool(several[group[-1]])
-                carried = (a[-1], b[-1], ids[head[-1]], told, told)
-            else:
-                carried = (a[-1], b[-1], ids[head[-1]], False, False)
-        ids, names, kinds = (np.concatenate([np.asarray(x) for x in y]) for y in zip(*out, strict=True))
+            carried = (a[-1], b[-1], ids[head[-1]], own[head[-1]], told)
+        ids, own, names, kinds = (np.concatenate([np.asarray(x) for x in y]) for y in zip(*out, strict=True))
         if len(ids):
-            yield pd.DataFrame({"doc_id": ids.astype(np.int64), "name": names.astype(np.int64), "kind": kinds.astype(np.int8)})
+            yield pd.DataFrame({"doc_id": ids.astype(np.int64), "own": own.astype(np.int32), "name": names.astype(np.int64), "kind": kinds.astype(np.int8)})
 
 
 def _judged(rows: DataFrame, with_open: bool) -> DataFrame:
     """Rows to be compared meet by trigger, then by phrase; the others are dealt evenly past them."""
     target = F.when(F.col("kind") == COMPARE, F.col("a")).otherwise(F.xxhash64("doc_id", "b"))
     met = rows.repartition(target).sortWithinPartitions("a", "b", "doc_id")
-    return met.mapInPandas(lambda batches: _judge(batches, with_open), "doc_id bigint, name bigint, kind tinyint")
+    return met.mapInPandas(lambda batches: _judge(batches, with_open), "doc_id bigint, own int, name bigint, kind tinyint")
 
 
 def _remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -255,23 +257,25 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     A null text is empty; texts of fewer than 100 bytes keep all. Null ids are
     one more id, after all others. Rows that share an id are not earlier than
-    each other, so repeated rows get equal results. An empty table gives an
+    each other, so repeated rows get equal results; what is told to one text
+    goes by its id and its hash, so that no list is longer than a text's. An empty table gives an
     empty result. Other columns are ignored.
     """
     place = F.coalesce(F.col("doc_id").cast("bigint"), F.lit((1 << 63) - 1))
-    texts = docs.select(place.alias("doc_id"), id_text().alias("real_id"), whole_text().alias("text"))
-    phrases = _judged(texts.select("doc_id", "text").mapInPandas(_phrases, SCHEMA), True)
+    texts = docs.select(place.alias("doc_id"), F.hash(whole_text()).alias("own"), id_text().alias("real_id"), whole_text().alias("text"))
+    row = ["doc_id", "own"]
+    phrases = _judged(texts.select(*row, "text").mapInPandas(_phrases, SCHEMA), True)
     per_document = materialize(
-        phrases.groupBy("doc_id").agg(
+        phrases.groupBy(*row).agg(
             F.collect_list(F.when(F.col("kind") == REPEATED, F.col("name"))).alias("gone"),
             F.collect_list(F.when(F.col("kind") == OPEN, F.col("name"))).alias("open"),
         )
     )
-    told = texts.join(per_document, "doc_id", "left")
+    told = texts.join(per_document, row, "left")
     # the same columns as below and no filter, so that both passes read one exchange of the texts
-    strings = _judged(told.select("doc_id", "real_id", "text", "open").mapInPandas(_strings, SCHEMA), False)
-    listed = strings.where(F.col("kind") == REPEATED).groupBy("doc_id").agg(F.collect_list("name").alias("strings"))
-    final = told.join(listed, "doc_id", "left")
+    strings = _judged(told.select(*row, "real_id", "text", "open").mapInPandas(_strings, SCHEMA), False)
+    listed = strings.where(F.col("kind") == REPEATED).groupBy(*row).agg(F.collect_list("name").alias("strings"))
+    final = told.join(listed, row, "left")
     return with_id(final.select("real_id", "text", "gone", "open", "strings").mapInPandas(
         _remove, "doc_id string, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
     ))

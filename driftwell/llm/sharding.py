@@ -9,7 +9,7 @@ from driftwell.llm.common import number_within, whole_text
 from driftwell.session import materialize
 
 SHARDS = 16
-ROUNDS = 8
+ROUNDS = 24
 #: A group of equal texts moves in at most this many pieces.
 PIECES = 64
 #: Requests to move into a shard are admitted in this many lots.
@@ -20,20 +20,30 @@ PER_CELL = 20_000
 def propagate(pieces: DataFrame, capacity: float, shards: int, rounds: int = ROUNDS) -> DataFrame:
     """Move pieces (link, piece, bytes, shard) to the shard where most bytes of their link are.
 
-    A round: every link takes the shard with its most bytes among those with
-    room; its pieces elsewhere ask to move there; each shard admits requests in
-    a seeded order while their bytes fit what it has free, counted before
-    anything leaves. So no shard ever exceeds its capacity by a move, and each
-    move takes links together, never apart. Rounds end when nothing moves.
-    Only one sum per shard reaches the driver.
+    A round: every link takes the shard with its most bytes among those open to
+    it; its pieces elsewhere ask to move there; each shard admits requests in a
+    seeded order while their bytes fit what it has free, counted before anything
+    leaves. A shard is open to a link if what it has free holds the smallest
+    piece the link has elsewhere, and if it refused none of its pieces in the
+    round before. So no shard ever exceeds its capacity by a move, and each move
+    takes links together, never apart. Rounds end when nothing moves and nothing
+    was refused. Only one sum per shard reaches the driver.
     """
+    pieces = pieces.withColumn("refused", F.lit(None).cast("int"))
     for step in range(rounds):
         held = {r.shard: r.bytes for r in pieces.groupBy("shard").agg(F.sum("bytes").alias("bytes")).collect()}
         free = F.array(*[F.lit(float(max(0.0, capacity - (held.get(s) or 0)))) for s in range(shards)])
+        of_link = Window.partitionBy("link")
         own = F.sum("bytes").over(Window.partitionBy("link", "shard"))
-        voted = pieces.withColumn("votes", F.struct(own.alias("bytes"), F.xxhash64("link", "shard").alias("tie"), F.col("shard").alias("shard")))
-        wanted = F.max(F.when(F.get(free, F.col("shard")) > 0, F.col("votes"))).over(Window.partitionBy("link"))
-        voted = materialize(voted.withColumn("wanted", wanted))
+        voted = pieces.withColumns({
+            "votes": F.struct(own.alias("bytes"), F.xxhash64("link", "shard").alias("tie"), F.col("shard").alias("shard")),
+            "least": F.min(F.struct("bytes", "shard")).over(of_link), "shut": F.max("refused").over(of_link),
+        })
+        voted = voted.withColumn("second", F.min(F.when(F.col("shard") != F.col("least.shard"), F.col("bytes"))).over(of_link))
+        smallest = F.when(F.col("shard") == F.col("least.shard"), F.col("second")).otherwise(F.col("least.bytes"))
+        fits = (F.get(free, F.col("shard")) >= smallest) & ~F.coalesce(F.col("shut") == F.col("shard"), F.lit(False))
+        wanted = F.max(F.when(fits, F.col("votes"))).over(of_link)
+        voted = materialize(voted.withColumn("wanted", wanted).drop("least", "second", "shut", "refused"))
         asks = voted.where("wanted is not null and wanted > votes").withColumn("to", F.col("wanted.shard"))
         lot = F.pmod(F.xxhash64("link", "piece", F.lit(step)), F.lit(LOTS)).alias("lot")
         lots = asks.groupBy("to", lot).agg(F.sum("bytes").alias("bytes"))
@@ -42,8 +52,11 @@ def propagate(pieces: DataFrame, capacity: float, shards: int, rounds: int = ROU
         moved = voted.withColumn("to", F.when(F.col("wanted") > F.col("votes"), F.col("wanted.shard"))).withColumn("lot", lot)
         moved = moved.join(admitted, ["to", "lot"], "left")
         goes = F.coalesce(F.col("admitted"), F.lit(False))
-        pieces = materialize(moved.select("link", "piece", "bytes", "home", F.when(goes, F.col("to")).otherwise(F.col("shard")).alias("shard"), goes.alias("went")))
-        if pieces.where("went").limit(1).count() == 0:
+        pieces = materialize(moved.select(
+            "link", "piece", "bytes", "home", F.when(goes, F.col("to")).otherwise(F.col("shard")).alias("shard"),
+            F.when(~goes, F.col("to")).alias("refused"), goes.alias("went"),
+        ))
+        if pieces.where("went or refused is not null").limit(1).count() == 0:
             break
         pieces = pieces.drop("went")
     return pieces.select("link", "piece", "bytes", "shard")

@@ -48,15 +48,16 @@ def fingerprint(text: str, words_per_shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(counts * 2 > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, words_per_shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and its fingerprint as a signed bigint, one row per input row."""
+def fingerprints(docs: DataFrame, words_per_shingle: int = SHINGLE, name: str = "doc_id") -> DataFrame:
+    """The id in column ``name`` and the fingerprint as a signed bigint, one row per input row."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             bits = np.array([fingerprint(t, words_per_shingle) for t in b["text"]], np.uint64)
-            yield pd.DataFrame({"doc_id": b["doc_id"], "bits": bits.view(np.int64)})
+            yield pd.DataFrame({"id": b["id"], "bits": bits.view(np.int64)})
 
-    return with_id(docs.select(id_text().alias("doc_id"), whole_text().alias("text")).mapInPandas(run, "doc_id string, bits bigint"))
+    rows = docs.select(id_text(name).alias("id"), whole_text().alias("text")).mapInPandas(run, "id string, bits bigint")
+    return with_id(rows.withColumnRenamed("id", name), name)
 
 
 def bit_words(radius: int, words: int = WORDS) -> list[int]:
@@ -222,10 +223,24 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, words_per_shingle: in
     table gives an empty result. Other columns are ignored.
     """
     rows = materialize(fingerprints(docs, words_per_shingle))
-    distinct = materialize(rows.groupBy("bits").agg(F.min("doc_id").alias("first")))
-    roots = components(materialize(links(distinct.select("bits"), radius)))
-    joined = distinct.join(roots, distinct.bits == roots.node, "left").select("bits", "first", F.coalesce("root", "bits").alias("root"))
-    joined = materialize(joined)
+    joined = rooted(rows.groupBy("bits").agg(F.min("doc_id").alias("first")), radius)
     named = materialize(joined.join(joined.groupBy("root").agg(F.min("first").alias("component_id")), "root").select("bits", "component_id"))
     text = F.lower(F.lpad(F.hex("bits"), 16, "0"))
     return rows.join(named, "bits").select("doc_id", text.alias("fingerprint"), "component_id")
+
+
+def rooted(distinct: DataFrame, radius: int) -> DataFrame:
+    """Distinct fingerprints (``bits``) with the root of their component, stored; other columns stay."""
+    distinct = materialize(distinct)
+    roots = components(materialize(links(distinct.select("bits"), radius)))
+    joined = distinct.join(roots, distinct.bits == roots.node, "left")
+    return materialize(joined.select(*distinct.columns, F.coalesce("root", "bits").alias("root")))
+
+
+def near_groups(docs: DataFrame, uid: str, radius: int = RADIUS, words_per_shingle: int = SHINGLE) -> DataFrame:
+    """uid and root of every row: the components of ``near_duplicates`` by row, whatever ids rows share.
+
+    ``uid`` names a column that numbers the rows of a stored table.
+    """
+    rows = materialize(fingerprints(docs, words_per_shingle, uid))
+    return rows.join(rooted(rows.select("bits").distinct(), radius), "bits").select(F.col(uid).alias("uid"), "root")

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -11,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from driftwell.llm import naming, repeats as passages, similar, simhash as sim
+from driftwell.llm import naming, repeats as passages, simhash as sim
 
 
 def rows_of(df):
@@ -116,23 +117,31 @@ def test_repeats_of_edited_copies(spark, monkeypatch):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
-def sets_of(texts):
-    out = []
-    for t in texts:
-        w = [x for x in re.split(BLANK + "+", (t or "").lower()) if x]
-        out.append({tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set())
-    return out
+def test_repeats_under_one_id(spark):
+    """Many texts under null and repeated ids, which are not earlier than each other."""
+    rng = random.Random(12)
+    parts = ["".join(rng.choice("abcdefgh ") for _ in range(rng.choice([99, 100, 130, 260]))) for _ in range(8)]
+    rows = []
+    for i in range(120):
+        text = "".join(rng.choice(parts)[rng.randrange(20) :] + rng.choice(["", "z", "qq"]) for _ in range(rng.randrange(1, 4)))
+        rows.append((rng.choice([None, 4, i]), text, "s"))
+    rows += rows[:15]
+    assert rows_of(passages_of(spark, rows)) == repeats(rows)
+
+
+def passages_of(spark, rows):
+    return passages.remove_repeats(table(spark, rows).repartition(5))
 
 
-def components_of(sets):
-    """Component of each set under links of Jaccard 0.8 or more, all pairs."""
-    label = list(range(len(sets)))
-    for i, a in enumerate(sets):
-        for j in range(i):
-            if 5 * len(a & sets[j]) >= 4 * len(a | sets[j]) and label[i] != label[j]:
-                old, new = max(label[i], label[j]), min(label[i], label[j])
-                label = [new if x == old else x for x in label]
-    return label
+def test_null_ids_take_no_longer(spark):
+    """Time does not grow with the square of the rows that share an id."""
+    texts = [" ".join(random.Random(i // 3).choices("abcdefghijklmnop", k=300)) for i in range(3000)]
+    took = []
+    for ids in (range(3000), [None] * 3000):
+        start = time.perf_counter()
+        assert passages.remove_repeats(table(spark, [(i, t, "s") for i, t in zip(ids, texts, strict=True)])).agg(F.count("*")).first()[0] == 3000
+        took.append(time.perf_counter() - start)
+    assert took[1] < 3 * took[0] + 3
 
 
 def edited_copies():
@@ -152,27 +161,40 @@ def edited_copies():
     return texts
 
 
-@pytest.mark.parametrize("chunk", [similar.CHUNK, 700])
-def test_near_copies(spark, chunk):
-    """Every pair of five-word similarity 0.8 or more is linked and no other, whatever the fingerprints."""
-    texts = edited_copies()
-    label = components_of(sets_of(texts))
-    df = spark.createDataFrame(list(enumerate(texts)), "uid bigint, text string").repartition(3)
-    roots = {r.uid: r.root for r in similar.near_copies(df, chunk=chunk).collect()}
-    group = [roots[k] for k in range(len(texts))]
-    assert len(set(zip(group, label, strict=True))) == len(set(group)) == len(set(label))
-    assert similar.near_copies(df.limit(0)).count() == 0
+def test_pipeline_near_dedup_is_operator_9(spark):
+    """Of each component of fingerprints within four bits the smallest id stays, whatever the columns are called."""
+    import corpus_pipeline
+
+    texts = edited_copies() + ["word " * 3000, "word " * 3001]
+    label = reach([simhash(t) for t in texts], 4)
+    rows = [(k, t, "en", "s", 0, 10 * k, "k", "c", 7) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint, uid bigint, _key string, _copy string, copies int").repartition(3)
+    got = corpus_pipeline.distinct_contents(spark, docs, "")
+    assert got.columns == docs.columns
+    assert sorted(got.collect()) == sorted(r for r in docs.collect() if r.doc_id == min(k for k, x in enumerate(label) if x == label[r.doc_id]))
+
+
+def test_pipeline_keeps_clashing_columns(spark):
+    import corpus_pipeline
+
+    rows = [(k, f"text of {k} words", "en", "ab"[k % 2], 0, 10 * k, f"key{k}", f"copy{k}", 7, "x") for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint, uid bigint, _key string, copy string, copies int, _UID string")
+    for stage in (corpus_pipeline.distinct_texts, corpus_pipeline.distinct_contents, corpus_pipeline.mixture):
+        got = stage(spark, docs, "")
+        assert got.columns == docs.columns
+        assert {tuple(r) for r in got.collect()} <= set(rows)
+    assert len({r.doc_id for r in corpus_pipeline.distinct_texts(spark, docs, "").collect()}) == 20
 
 
-def test_pipeline_removes_near_copies_beyond_four_bits(spark):
+def test_pipeline_copies_by_row(spark):
+    """Rows that share an id are repeated each by its own."""
     import corpus_pipeline
 
-    texts = edited_copies()
-    label = components_of(sets_of(texts))
-    assert len(set(reach([simhash(t) for t in texts], 4))) > len(set(label))
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    kept = {r.doc_id for r in corpus_pipeline.distinct_contents(spark, docs, "").collect()}
-    assert kept == {label.index(x) for x in label}
+    rows = [(5, "a " * 9, "en", "s", 0), (5, "b " * 4, "en", "s", 0), (None, "c " * 7, "en", "t", 0), (None, "d", "en", "t", 0), (6, "", "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = [tuple(r) for r in corpus_pipeline.mixture(spark, docs, "").collect()]
+    assert set(got) <= set(rows) - {rows[4]} and max(got.count(r) for r in rows) <= 3
+    assert sum(len(r[1].split()) for r in got) >= 15
 
 
 def test_pipeline_keeps_rows_that_share_an_id(spark):

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -10,10 +11,10 @@ from cases import edge_rows, spans, table
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from driftwell.llm.personal import Finder, find_personal, joined
+from driftwell.llm.personal import CUES, SCHEMES, Finder, find_personal, joined
 from driftwell.llm.plans import PLANS
 from driftwell.llm.prefixes import PrefixHash, fingerprint_documents, likeness
-from driftwell.llm.quality import score_quality, scores, train
+from driftwell.llm.quality import sample, score_quality, scores, train
 from driftwell.llm.toxicity import score_toxicity
 
 SF = "/root/testdata/sf0.001"
@@ -142,6 +143,34 @@ def test_personal(spark):
     assert got[3].spans == "" and find_personal(table(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize(("text", "span"), [
+    ("Social Security Number: 078-05-1120", "ssn"), ("API Key: 0123456789abcdef01", "secret"), ("Api_Key = 0123456789abcdef01", "secret"),
+    ("apiKey=0123456789abcdef01", "secret"), ("PassPort no.: X1234567", "account"), ("HTTP://joe:pw@example.com/x", "url"), ("Ñ iBaN: DE89370400440532013000", "iban"),
+])
+def test_cues_in_any_case(text, span):
+    found = Finder(text).spans()[1]
+    assert span in {k for _, _, k in found}
+    start, end = next((a, b) for a, b, k in found if k == span)
+    assert 0 <= start < end <= len(text)
+
+
+@pytest.mark.parametrize("unit", [*CUES, *[c + "=" for c in CUES], *[c + ": a1" for c in CUES], *SCHEMES, "http://a@", "mailto:a@", "mailto:", "ftp://x).,;", "a@", "a.b@c.", "+1 ", "+1((", "1.", "1 ", "1-", "x_", "1", "é"])
+def test_time_grows_with_the_text(unit):
+    """A megabyte of anything that starts a search, without white space where it matters."""
+    text = unit * (1_000_000 // len(unit))
+    start = time.perf_counter()
+    Finder(text).spans()
+    assert time.perf_counter() - start < 20
+
+
+def test_sample_is_bounded_by_rows(spark):
+    docs = spark.createDataFrame([(i % 40 if i < 100 else 7, f"text {i}") for i in range(600)], "doc_id bigint, text string")
+    marks = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id bigint, quality int")
+    rows = sample(docs, marks, "quality", 10).collect()
+    assert len(rows) == 10 == len({r.doc_id for r in rows})
+    assert sorted(rows) == sorted(sample(docs.repartition(7), marks, "quality", 10).collect())
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 

@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import pytest
 from cases import BLANK, edge_rows, table
 
 from driftwell.llm.mixing import mix
@@ -135,3 +136,14 @@ def test_propagation_keeps_capacity(spark):
         cut.setdefault(r.link, set()).add(r.shard)
     assert max(load.values()) <= max(total / 4 * 1.2, max(start.values()))
     assert sum(len(s) > 1 for s in cut.values()) < 20
+
+
+@pytest.mark.parametrize(("size", "capacity", "most"), [(11, 135, 7), (10, 120, 7), (10, 1000, 1), (7, 100, 6)])
+def test_a_large_link_takes_few_shards(spark, size, capacity, most):
+    """A group of k capacities ends on about k shards, not on all it began on."""
+    pieces = [(1, p, size, p % 16, p % 16) for p in range(64)]
+    out = propagate(spark.createDataFrame(pieces, "link bigint, piece int, bytes bigint, shard int, home int"), capacity, 16).collect()
+    load = {}
+    for r in out:
+        load[r.shard] = load.get(r.shard, 0) + r.bytes
+    assert len(out) == 64 and len(load) <= most and max(load.values()) <= capacity
