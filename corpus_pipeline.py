@@ -12,36 +12,35 @@ from driftwell.llm.mixing import mix
 from driftwell.llm.naming import identities
 from driftwell.llm.packing import pack
 from driftwell.llm.quality import THRESHOLD, scorer
-from driftwell.llm.similar import near_copies
+from driftwell.llm.simhash import near_groups
 from driftwell.session import materialize, owned_tables, shared_dir
 
 
-def _key() -> Column:
-    """An id to join on, null included."""
-    return F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_key")
+def _free(docs: DataFrame, stem: str) -> str:
+    """A column name that the input does not have, so that each of its columns stays as it is."""
+    taken = {c.lower() for c in docs.columns}
+    while stem in taken:
+        stem = f"_{stem}"
+    return stem
 
 
-def _joined(docs: DataFrame, decided: DataFrame, how: str) -> DataFrame:
-    """Documents with what was decided per ``_key``. Both grow with the corpus, so both are dealt by key, at every size alike."""
-    return docs.withColumn("_key", _key()).hint("merge").join(decided.hint("merge"), "_key", how)
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """Documents with a number for each row, stored so that it stays the same, and the name of that column."""
+    uid = _free(docs, "uid")
+    return materialize(docs.withColumn(uid, F.monotonically_increasing_id())), uid
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """Documents with a ``uid`` for each row, stored so that it stays the same."""
-    return materialize(docs.withColumn("uid", F.monotonically_increasing_id()))
-
-
-def _one_of_each(numbered: DataFrame, groups: DataFrame, names: list[str], first: list[Column]) -> DataFrame:
+def _one_of_each(numbered: DataFrame, uid: str, groups: DataFrame, names: list[str], first: list[Column]) -> DataFrame:
     """The greatest row of each group by ``first``; ``groups`` has the columns ``names`` for each ``uid``.
 
-    A row is carried by its uid, whatever other rows have its id or text. Both
-    sides grow with the corpus, so both are dealt by uid. Rows equal in ``first``
-    are told apart by the hash of their text.
+    A row is carried by its number, whatever other rows have its id or text. Both
+    sides grow with the corpus, so both are dealt by number. Rows equal in
+    ``first`` are told apart by the hash of their text.
     """
-    order = F.struct(*first, F.xxhash64(whole_text()).alias("hash"), "uid").alias("best")
-    best = numbered.select("uid", order).join(groups, "uid").groupBy(*names).agg(F.max("best").alias("best"))
-    uids = materialize(best.select("best.uid"))
-    return numbered.hint("merge").join(uids.hint("merge"), "uid", "left_semi").drop("uid")
+    order = F.struct(*first, F.xxhash64(whole_text()).alias("hash"), F.col(uid).alias("uid")).alias("best")
+    best = numbered.select(F.col(uid).alias("uid"), order).join(groups, "uid").groupBy(*names).agg(F.max("best").alias("best"))
+    uids = materialize(best.select(F.col("best.uid").alias(uid)))
+    return numbered.hint("merge").join(uids.hint("merge"), uid, "left_semi").drop(uid)
 
 
 def _smallest_id() -> list[Column]:
@@ -54,41 +53,62 @@ def _longest() -> list[Column]:
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 5: documents that the quality classifier accepts, scored where they are read."""
+    """Operator 5: documents that the quality classifier accepts, scored where they are read.
+
+    Null and empty texts have the score of the class shares; without labels all
+    documents stay. Rows with a null or repeated id are scored by their own text.
+    """
     score = scorer(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return docs.where(score(whole_text()) >= THRESHOLD)
 
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 6: of each group of equal texts the longest, then the one with the smallest id."""
-    rows = _numbered(docs)
+    """Operator 6: of each group of equal texts the longest, then the one with the smallest id.
+
+    Null, empty and white texts are one group. A null id comes after all others;
+    rows that share an id are told apart.
+    """
+    rows, uid = _numbered(docs)
     names = ["level", "name"]
-    return _one_of_each(rows, identities(rows, uid="uid").select("uid", *names), names, _longest() + _smallest_id())
+    return _one_of_each(rows, uid, identities(rows, uid=uid).select("uid", *names), names, _longest() + _smallest_id())
 
 
 def distinct_contents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 9 with the rule of such stages, five words and similarity 0.8: of each component the smallest id, then the longest."""
-    rows = _numbered(docs)
-    return _one_of_each(rows, near_copies(rows), ["root"], _smallest_id() + _longest())
+    """Operator 9 with its own shingle length and radius: of each component the smallest id, then the longest.
+
+    Texts without words are one group. A null id comes after all others; rows
+    that share an id are told apart.
+    """
+    rows, uid = _numbered(docs)
+    return _one_of_each(rows, uid, near_groups(rows, uid), ["root"], _smallest_id() + _longest())
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 3: as many copies of each document as the mix takes; copies are repeated rows."""
-    copies = F.max((F.col("taken") / F.col("size")).cast("int")).alias("_copies")
-    taken = materialize(mix(docs).where("taken > 0").groupBy(_key()).agg(copies))
-    repeated = _joined(docs, taken, "inner").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return repeated.select(*docs.columns)
+    """Operator 3: as many copies of each document as the mix takes; copies are repeated rows.
+
+    Texts without words are taken no time. Rows are numbered, so that rows that
+    share an id, null included, have copies of their own.
+    """
+    rows, uid = _numbered(docs)
+    size, copies = F.col("taken") / F.col("size"), _free(rows, "copies")
+    taken = materialize(mix(rows, uid=uid).where("taken > 0").select(F.col("uid").alias(uid), size.cast("int").alias(copies)))
+    both = rows.hint("merge").join(taken.hint("merge"), uid)
+    copy = _free(both, "copy")
+    return both.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2: pieces of the documents in length buckets and batches."""
+    """Operator 2: pieces of the documents in length buckets and batches.
+
+    Texts without words have one empty piece and no bucket.
+    """
     return pack(docs)
 
 
 STAGES = [
     ("quality classifier", good),
     ("exact dedup", distinct_texts),
-    ("near-dedup", distinct_contents),
+    ("SimHash near-dedup", distinct_contents),
     ("mixing to target weights", mixture),
     ("packing", packed),
 ]
@@ -98,7 +118,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to documents; each result is stored and read again."""
+    """Apply the stages to documents; each result is stored and read again.
+
+    Columns of the input keep their names and values, whatever they are called.
+    An empty table gives an empty result. Texts of any length are taken whole.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for i, (_, stage) in enumerate(STAGES[:-1]):
