@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftwell.functions.payload import elements, fields, fixed_width, identity, is_list, short_identity
+from driftwell.functions.payload import elements, fields, fixed_width, identity, is_list, once, short_identity
 
 ENTITY_BATCH, RELATION_BATCH = 400, 1000
 
@@ -21,11 +21,18 @@ def batch_number(record_no: Column, size: int) -> Column:
 
 
 def _entries(payload: str, global_key: str | None) -> Column:
-    """The fields of a record as structs: field, value identity, whether a list."""
+    """The fields of a record as structs: field, bounded identity of the value, two hashes of it, whether a list.
+
+    Hashes are taken once per cell, before cells are paired.
+    """
     entries = F.transform(
         F.map_entries(fields(F.col(payload))),
-        lambda e: F.struct(
-            e["key"].alias("field"), identity(e["value"]).alias("id"), is_list(e["value"]).alias("listed")
+        lambda e: once(
+            identity(e["value"]),
+            lambda t: F.struct(
+                e["key"].alias("field"), short_identity(t).alias("id"), *[h.alias(n) for n, h in zip(("h1", "h2"), fixed_width(t), strict=True)],
+                is_list(e["value"]).alias("listed"),
+            ),
         ),
     )
     return F.filter(entries, lambda e: e["field"] != F.lit(global_key)) if global_key else entries
@@ -44,41 +51,58 @@ def determines(df: DataFrame, left: str, right: str) -> DataFrame:
     return per_value.agg(F.coalesce(F.bool_and("one"), F.lit(False)).alias("is_dependent"))
 
 
-def functional_dependencies(
+def dependency_partials(
     records: DataFrame, batch: str, payload: str, keys: list[str], global_key: str | None = None
 ) -> DataFrame:
-    """Columns each key determines, per batch: batch, key, column.
+    """What records say on which columns a key determines: per batch, key, value of the key and column the span of two hashes.
 
-    Only records with both columns count; nulls are values; lists are left out.
+    Partials of parts of a batch are merged by ``merged_dependencies``.
     """
     entries = F.filter(_entries(payload, global_key), lambda e: ~e["listed"])
-    rows = records.select(F.col(batch).alias("batch"), entries.alias("e")).select(
+    rows = records.select(F.col(batch).cast("bigint").alias("batch"), entries.alias("e")).select(
         "batch", "e", F.explode(F.filter("e", lambda e: e["field"].isin(keys))).alias("k")
     ).select("batch", "k", F.explode("e").alias("c"))
     pairs = rows.where(F.col("c.field") != F.col("k.field"))
-    per_value = pairs.groupBy(
-        "batch", F.col("k.field").alias("key"), short_identity(F.col("k.id")).alias("key_id"), F.col("c.field").alias("column")
-    ).agg(_one_value(F.col("c.id")).alias("one"))
-    return (
-        per_value.groupBy("batch", "key", "column")
-        .agg(F.bool_and("one").alias("holds"))
-        .where("holds")
-        .drop("holds")
+    return pairs.groupBy(
+        "batch", F.col("k.field").alias("key"), F.col("k.id").alias("key_id"), F.col("c.field").alias("column")
+    ).agg(
+        F.min("c.h1").alias("low1"), F.max("c.h1").alias("high1"), F.min("c.h2").alias("low2"), F.max("c.h2").alias("high2")
     )
 
 
+def merged_dependencies(partials: DataFrame) -> DataFrame:
+    """Partials of several parts as one."""
+    return partials.groupBy("batch", "key", "key_id", "column").agg(
+        F.min("low1").alias("low1"), F.max("high1").alias("high1"), F.min("low2").alias("low2"), F.max("high2").alias("high2")
+    )
+
+
+def held_dependencies(partials: DataFrame) -> DataFrame:
+    """batch, key, column of what every value of the key bears out."""
+    one = (F.col("low1") == F.col("high1")) & (F.col("low2") == F.col("high2"))
+    return partials.groupBy("batch", "key", "column").agg(F.bool_and(one).alias("holds")).where("holds").drop("holds")
+
+
+def functional_dependencies(
+    records: DataFrame, batch: str, payload: str, keys: list[str], global_key: str | None = None
+) -> DataFrame:
+    """Columns each key determines, per batch: batch, key, column.
+
+    Only records with both columns count; nulls are values; lists are left out.
+    """
+    return held_dependencies(dependency_partials(records, batch, payload, keys, global_key))
+
+
 def ever(found: DataFrame) -> DataFrame:
     """Union over batches: what held once is kept."""
     return found.drop("batch").distinct()
 
 
-def inclusion_dependencies(
-    records: DataFrame, batch: str, payload: str, keys: list[str], global_key: str | None = None
-) -> DataFrame:
-    """Foreign-key candidates per batch: batch, column, references (I4).
+def inclusion_partials(records: DataFrame, batch: str, payload: str, global_key: str | None = None) -> DataFrame:
+    """The distinct values of each column of a batch: batch, field, id, and whether the column's value was a list.
 
-    A non-key scalar column refers to a key when all its values in the batch
-    are among the key's values; elements of a key's lists are values too.
+    Elements of lists are values too. Partials of parts of a batch are merged by
+    ``merged_inclusions``.
     """
     entries = F.transform(
         F.map_entries(fields(F.col(payload))),
@@ -93,12 +117,22 @@ def inclusion_dependencies(
     )
     if global_key:
         entries = F.filter(entries, lambda e: e["field"] != F.lit(global_key))
-    columns = records.select(F.col(batch).alias("batch"), F.explode(entries).alias("e"))
+    columns = records.select(F.col(batch).cast("bigint").alias("batch"), F.explode(entries).alias("e"))
     values = columns.select(
         "batch", F.col("e.field").alias("field"), F.col("e.listed").alias("listed"), F.explode_outer("e.ids").alias("id")
-    ).groupBy("batch", "field", "id").agg(F.bool_or("listed").alias("listed"))
+    )
+    return merged_inclusions(values)
+
+
+def merged_inclusions(partials: DataFrame) -> DataFrame:
+    """Partials of several parts as one."""
+    return partials.groupBy("batch", "field", "id").agg(F.bool_or("listed").alias("listed"))
+
+
+def held_inclusions(values: DataFrame, keys: list[str]) -> DataFrame:
+    """batch, column, references: the columns whose values are all among a key's."""
     # a column with a list anywhere in the batch cannot refer
-    lists = columns.groupBy("batch", F.col("e.field").alias("field")).agg(F.bool_or("e.listed").alias("any_list"))
+    lists = values.groupBy("batch", "field").agg(F.bool_or("listed").alias("any_list"))
     holders = (
         values.where(F.col("id").isNotNull())
         .groupBy("batch", "id")
@@ -124,10 +158,22 @@ def inclusion_dependencies(
     )
 
 
+def inclusion_dependencies(
+    records: DataFrame, batch: str, payload: str, keys: list[str], global_key: str | None = None
+) -> DataFrame:
+    """Foreign-key candidates per batch: batch, column, references (I4).
+
+    A non-key scalar column refers to a key when all its values in the batch
+    are among the key's values; elements of a key's lists are values too.
+    """
+    return held_inclusions(inclusion_partials(records, batch, payload, global_key), keys)
+
+
 def list_columns(records: DataFrame, payload: str, global_key: str | None = None) -> DataFrame:
     """Columns that ever hold a list."""
-    entries = records.select(F.explode(_entries(payload, global_key)).alias("e"))
-    return entries.where("e.listed").select(F.col("e.field").alias("column")).distinct()
+    held = F.map_keys(F.map_filter(fields(F.col(payload)), lambda k, v: F.coalesce(is_list(v), F.lit(False))))
+    found = records.select(F.explode(held).alias("column")).distinct()
+    return found.where(F.col("column") != global_key) if global_key else found
 
 
 def table_inclusions(tables: dict[tuple[str, str], DataFrame], references: list[tuple[str, str]]) -> DataFrame:

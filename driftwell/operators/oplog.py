@@ -45,16 +45,10 @@ def create_operations(tables: DataFrame, foreign: DataFrame | None = None) -> Da
     )
 
 
-def entity_operations(
+def entity_events(
     events: DataFrame, tables: DataFrame, seq: str = "seq", record: str = "record", global_key: str | None = None
 ) -> DataFrame:
-    """Operations on entity tables, one per event and table whose key it carries.
-
-    create/add give INSERT for a key not seen, or seen again after a remove, and
-    UPDATE otherwise; change, remove and get give UPDATE, DELETE and SELECT.
-    Whether a key is seen follows from its previous create, add or remove, which
-    an ordered scan finds, so a key with very many events is still split.
-    """
+    """One row per event and table whose key it carries, with what the event writes, asks or names there."""
     defs = table_definitions(tables)
     skip = [k for k in (global_key, "COLUMNS") if k]
     prepared = events.select(
@@ -85,14 +79,27 @@ def entity_operations(
     values = F.when(
         F.col("event").isin("create", "add", "change"), F.transform("columns", lambda c: F.try_element_at("r", c))
     ).otherwise(F.array().cast("array<variant>"))
-    rows = named.select(
+    return named.select(
         "seq", "event", "table_name", "columns", values.alias("values"),
         F.map_from_arrays(F.array("primary_key"), F.array(key_value)).alias("where"),
         identity(key_value).alias("pk_id"),
         (text(F.try_element_at("r", F.lit(global_key))) if global_key else _none("string")).alias("actor"),
     ).where((F.col("event") != "change") | (F.size("columns") > 0))
+
+
+def entity_operations(
+    events: DataFrame, tables: DataFrame, seq: str = "seq", record: str = "record", global_key: str | None = None
+) -> DataFrame:
+    """Operations on entity tables, one per event and table whose key it carries.
+
+    create/add give INSERT for a key not seen, or seen again after a remove, and
+    UPDATE otherwise; change, remove and get give UPDATE, DELETE and SELECT.
+    Whether a key is seen follows from its previous create, add or remove, which
+    an ordered scan finds, so a key with very many events is still split.
+    """
     # the scan reads its input twice; parsing and joining happen once
-    rows = materialize(rows)
+    rows = materialize(entity_events(events, tables, seq, record, global_key))
+    is_write = F.col("event").isin("create", "add")
     trace = F.when(is_write, "seen").when(F.col("event") == "remove", "gone")
     scanned = running_scan(rows, ["table_name", "pk_id"], "seq", {"_was": Running("last", trace, inclusive=False)})
     kind = (
@@ -101,10 +108,15 @@ def entity_operations(
         .when(F.col("event") == "remove", "DELETE")
         .when(F.col("event") == "get", "SELECT")
     )
-    where = F.when(kind != "INSERT", F.col("where"))
-    return scanned.select(
-        "seq", kind.alias("type"), "table_name", "columns", "values", where.alias("where"), "pk_id", "actor"
-    ).where(F.col("type").isNotNull())
+    return typed_operations(scanned.withColumn("type", kind))
+
+
+def typed_operations(rows: DataFrame) -> DataFrame:
+    """Entity events with their ``type`` as operations: an INSERT names no row."""
+    where = F.when(F.col("type") != "INSERT", F.col("where"))
+    return rows.where(F.col("type").isNotNull()).select(
+        "seq", "type", "table_name", "columns", "values", where.alias("where"), "pk_id", "actor"
+    )
 
 
 def junction_operations(
@@ -145,11 +157,11 @@ def operation_log(
     return log.select(*LOG_COLUMNS)
 
 
-def number_operations(log: DataFrame) -> DataFrame:
-    """Add ``op_seq`` 1, 2, … and the statement text ``sql``."""
+def number_operations(log: DataFrame, after: int = 0) -> DataFrame:
+    """Add ``op_seq`` 1, 2, … (or on from ``after``) and the statement text ``sql``."""
     shown = log.withColumn("_shown", F.to_json("values"))
     numbered = dense_number(shown, "op_seq", "seq", tie=["table_name", "_shown"]).drop("_shown")
-    return with_statements(numbered)
+    return with_statements(numbered.withColumn("op_seq", F.col("op_seq") + after))
 
 
 def with_statements(log: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from driftwell.functions.coerce import with_traits
 from driftwell.functions.payload import fields, identity, is_list, is_nested, short_identity, text
 from driftwell.operators.scan import Running, dense_number, running_scan
-from driftwell.operators.widening import CHANGES, type_history
+from driftwell.operators.widening import CHANGES, continue_history, type_history, type_summary
 from driftwell.session import lookup_join, materialize
 
 # fixed values: thresholds and store names
@@ -141,17 +141,23 @@ def approx_cardinality(records: DataFrame, seq: str, payload: str, rsd: float =
 
 
 def placement_replay(
-    records: DataFrame, seq: str, payload: str, history: DataFrame | None = None
+    records: DataFrame, seq: str, payload: str, history: DataFrame | None = None, carried: DataFrame | None = None
 ) -> DataFrame:
     """The store each field of each record goes to, from the state up to that record.
 
-    Columns: field, seq, dest, and the running figures it rests on.
+    Columns: field, seq, dest, and the running figures it rests on. With
+    ``carried``, a profile kept of the records before these (one row per field),
+    the figures go on from it.
     """
     slim = record_numbers(records, seq)
     cells = described_cells(records.select(seq, payload), seq, payload)
     flat = ~F.col("nested")
-    if history is None:
+    if history is None and carried is None:
         history = type_history(cells, ["field"], seq, "value")
+    elif history is None:
+        known = carried.select("field", F.col("final_type").alias("known"))
+        summary = type_summary(cells, ["field"], seq, "value").join(known, "field", "left")
+        history = continue_history(summary, ["field"], F.coalesce("known", F.lit("UNK")))
     length = F.col("length").cast("bigint")
     scanned = running_scan(
         cells.drop("traits").join(slim, seq),
@@ -166,14 +172,22 @@ def placement_replay(
         },
     )
     rows = lookup_join(scanned, history, ["field"])
+    alters, before = F.lit(1), F.lit(0)
+    if carried is not None:
+        sums = {"total_seen": "seen", "present_count": "present", "samples": "samples", "chars": "chars", "squares": "squares"}
+        kept = carried.select("field", F.col("alter_count").alias("_alters"), *[F.col(c).alias(f"_{n}") for c, n in sums.items()])
+        rows = lookup_join(rows, kept, ["field"])
+        rows = rows.withColumns({n: F.coalesce(F.col(n) + F.coalesce(f"_{n}", F.lit(0)), f"_{n}") for n in sums.values()})
+        alters = F.coalesce("_alters", alters)
+        before = carried.agg(F.coalesce(F.max("records"), F.lit(0)).alias("n")).scalar()
     reached = F.filter(
         _drifts(F.coalesce("changes", F.array().cast(CHANGES))), lambda c: c["seq"] <= F.col(seq)
     )
     rows = rows.withColumns(
         {
-            "alters": F.lit(1) + F.size(reached),
+            "alters": alters + F.size(reached),
             "variance": length_variance(F.col("samples"), F.col("chars"), F.col("squares")),
-            "presence": F.col("present") / F.col("_record_no"),
+            "presence": F.col("present") / (F.col("_record_no") + before),
         }
     )
     dest = (
@@ -244,12 +258,15 @@ def placement_of(names: DataFrame, placement: DataFrame) -> DataFrame:
     return names.join(placement, "field", "left").withColumn("dest", F.coalesce("dest", F.lit(DOCUMENT)))
 
 
-def reclassified(replay: DataFrame, seq: str) -> DataFrame:
-    """Changes of store: field, seq, old_dest, new_dest."""
+def reclassified(replay: DataFrame, seq: str, carried: DataFrame | None = None) -> DataFrame:
+    """Changes of store: field, seq, old_dest, new_dest (P9); ``carried`` has the dest each field had before."""
     scanned = running_scan(
         replay.select("field", seq, "dest"), ["field"], seq,
         {"old_dest": Running("last", F.col("dest"), inclusive=False)},
     )
+    if carried is not None:
+        scanned = lookup_join(scanned, carried.select("field", F.col("dest").alias("_was")), ["field"])
+        scanned = scanned.withColumn("old_dest", F.coalesce("old_dest", "_was"))
     return scanned.where(F.col("old_dest") != F.col("dest")).select(
         "field", seq, "old_dest", F.col("dest").alias("new_dest")
     )

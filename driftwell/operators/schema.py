@@ -38,11 +38,20 @@ def list_owners(records: DataFrame, payload: str, keys: list[str], lists: DataFr
     The owner is the first key by name that has dependencies and shows up as a
     scalar in the same records.
     """
+    return owners_of_lists(list_pairs(records, payload, keys), lists, dependencies)
+
+
+def list_pairs(records: DataFrame, payload: str, keys: list[str]) -> DataFrame:
+    """Keys that hold a list, with the keys that hold a scalar in the same record: list_column, owner."""
     held = F.map_entries(fields(F.col(payload)))
-    pairs = records.select(
+    return records.select(
         F.explode(F.filter(held, lambda e: e["key"].isin(keys) & is_list(e["value"]))["key"]).alias("list_column"),
         F.filter(held, lambda e: e["key"].isin(keys) & ~is_list(e["value"]))["key"].alias("o"),
     ).select("list_column", F.explode("o").alias("owner")).distinct()
+
+
+def owners_of_lists(pairs: DataFrame, lists: DataFrame, dependencies: DataFrame) -> DataFrame:
+    """The first owner by name, among pairs seen, that has dependencies."""
     able = dependencies.select(F.col("key").alias("owner")).distinct()
     found = lists.select(F.col("column").alias("list_column"))
     return (

@@ -44,8 +44,8 @@ COLUMNS = {"c_custkey": "n", "o_orderkey": "n", "c_name": "s", "c_nationkey": "n
            "o_orderstatus": "s", "first_in_batch": "n", "near": "n"}
 
 
-def order_records(spark, sf):
-    """One open record per order with its customer; some fields are absent in some records."""
+def order_texts(spark, sf):
+    """One open record per order with its customer, as text; some fields are absent in some records."""
     c = catalog(spark, sf)
     joined = c["orders"].join(c["customer"], F.col("o_custkey") == F.col("c_custkey"))
     key = F.col("o_orderkey")
@@ -58,13 +58,18 @@ def order_records(spark, sf):
             F.concat(F.lit("u"), key.cast("string")).alias("username"),
         )
     )
-    return joined.select("o_orderkey", strict_json(raw).alias("record"))
+    return joined.select("o_orderkey", raw.alias("raw"))
+
+
+def order_records(spark, sf):
+    return order_texts(spark, sf).select("o_orderkey", strict_json(F.col("raw")).alias("record"))
 
 
 def batched(spark, sf, size):
-    # numbering needs the order only; the records join it
+    # numbering needs the order only; texts join it, and are parsed after
     numbers = dense_number(table(spark, sf, "orders").select("o_orderkey"), "no", "o_orderkey")
-    return order_records(spark, sf).join(numbers, "o_orderkey").withColumn("batch", dep.batch_number(F.col("no"), size))
+    numbered = order_texts(spark, sf).join(numbers, "o_orderkey")
+    return numbered.select("o_orderkey", "no", strict_json(F.col("raw")).alias("record")).withColumn("batch", dep.batch_number(F.col("no"), size))
 
 
 def rec_sql(size):

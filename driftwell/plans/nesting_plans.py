@@ -38,10 +38,11 @@ k AS (SELECT event_id AS seq, id, CAST(json_extract_string(props, '$.k') AS BIGI
 @plan(
     "n1_child_tables",
     f"""WITH {IDS} SELECT 'root' AS table_name, event_id AS seq, id AS row_id, CAST(NULL AS BIGINT) AS parent_id FROM e
-    UNION ALL SELECT 'root_meta', event_id, id, id FROM e UNION ALL SELECT 'root_meta_props', event_id, id, id FROM e""",
+    UNION ALL SELECT 'root_meta', event_id, id, id FROM e UNION ALL SELECT 'root_meta_props', event_id, id, id FROM e
+    UNION ALL SELECT 'root_items', event_id, 2 * pn - 1, id FROM p UNION ALL SELECT 'root_items', event_id, 2 * pn, id FROM p""",
 )
 def _(spark, sf):
-    n = numbered(spark, sf).where(F.col("pos").isNull())
+    n = numbered(spark, sf)
     return n.select("table_name", "seq", F.col(nesting.ROW_ID).alias("row_id"), "parent_id")
 
 
@@ -71,13 +72,16 @@ def _(spark, sf):
     UNION ALL SELECT 'root', event_id, 'tags', '["a","' || event_type || '"]' FROM events
     UNION ALL SELECT 'root', event_id, 'none', 'null' FROM events
     UNION ALL SELECT 'root_meta', event_id, 'type', '"' || event_type || '"' FROM events
-    UNION ALL SELECT 'root_meta_props', event_id, 'k', json_extract_string(props, '$.k') FROM events""",
+    UNION ALL SELECT 'root_meta_props', event_id, 'k', json_extract_string(props, '$.k') FROM events
+    UNION ALL SELECT 'root_items', event_id, 'p', json_extract_string(json_object('p', value), '$.p') FROM events WHERE event_type = 'purchase'
+    UNION ALL SELECT 'root_items', event_id, 'p', '"x"' FROM events WHERE event_type = 'purchase'""",
 )
 def _(spark, sf):
     cells = nesting.node_cells(nesting.record_nodes(nested_records(spark, sf), "seq", "raw"))
-    return cells.where("not is_child and table_name <> 'root_items'").select(
-        "table_name", "seq", "field", F.to_json("value").alias("value")
-    )
+    # numbers are shown as they are in the oracle, 3.0 not 3
+    shown = F.to_json("value")
+    whole = F.when((F.col("table_name") == "root_items") & shown.rlike(r"^-?\d+$"), F.concat(shown, F.lit(".0")))
+    return cells.where(~F.col("is_child")).select("table_name", "seq", "field", F.coalesce(whole, shown).alias("value"))
 
 
 @plan(

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from driftwell.functions.payload import text
 from driftwell.functions.text import edit_distance, pair_name, table_name
 from driftwell.operators import clock
 from driftwell.plans.common import micros, registry, scratch, table
-from driftwell.sources import logs, sse
+from driftwell.sources import logs, specs, sse
 
 PLANS, plan = registry()
 
@@ -61,7 +62,8 @@ def landed_lines(spark, sf):
         F.col("event_id") % 10 == 0, F.concat(F.lit("event: "), F.col("event_type"), F.lit("\ndata: "), payload())
     ).otherwise(F.concat(F.lit("data: "), payload()))
     path = scratch(spark)
-    e.select("event_id", text_of.alias("value")).coalesce(1).sortWithinPartitions("event_id").select("value").write.text(path)
+    # many files, in order
+    e.select("event_id", text_of.alias("value")).repartitionByRange("event_id").sortWithinPartitions("event_id").select("value").write.text(path)
     return path
 
 
@@ -73,7 +75,8 @@ CARRIED = (
 
 @plan("s1_event_carried_forward", CARRIED)
 def _(spark, sf):
-    records = sse.normalise_pairs(sse.line_records(sse.read_lines(spark, landed_lines(spark, sf))))
+    """The event is carried over the bounds of files and their splits."""
+    records = sse.normalise_pairs(sse.line_records(sse.read_lines(spark, landed_lines(spark, sf)), source=None))
     return records.select("event", *shown())
 
 
@@ -225,8 +228,42 @@ def _(spark, sf):
     return logs.read_statement_log(spark, path)
 
 
+SPEC_NOTE = 'a "quoted" } and { [ in a string \\\\'
+
+
+def landed_specs(spark, sf):
+    """Spec documents, one file each: a document holds the specs of 5000 orders in one array, between other keys."""
+    orders = table(spark, sf, "orders").select("o_orderkey", F.floor(F.col("o_orderkey") / 5000).alias("part"))
+    spec = lambda action: F.to_json(F.struct(
+        F.lit(action).alias("action"), F.lit("orders").alias("entity"), F.lit(SPEC_NOTE).alias("note"), F.struct("o_orderkey").alias("where")))
+    specs = F.concat(F.lit("\n "), spec("get"), F.lit(", "), spec("remove"))
+    # a document begins and ends with other keys, which are no specs
+    row = Window.partitionBy("part").orderBy("o_orderkey")
+    numbered = orders.withColumns({"_n": F.row_number().over(row), "_of": F.count(F.lit(1)).over(Window.partitionBy("part"))})
+    head, tail = '{"meta": {"queries": [{"no": 1}]}, "queries": [', '], "other": [{"action": "none"}]}'
+    text = F.concat(F.when(F.col("_n") == 1, head).otherwise(","), specs, F.when(F.col("_n") == F.col("_of"), tail).otherwise(""))
+    path = scratch(spark)
+    numbered.select("part", "_n", text.alias("value")).repartition("part").sortWithinPartitions("part", "_n").drop("_n").write.partitionBy("part").option("lineSep", " ").text(path)
+    return path
+
+
 @plan(
     "s10_query_specs",
+    "SELECT o_orderkey AS doc, i AS query_index, CASE i WHEN 1 THEN 'get' ELSE 'remove' END AS action, 'orders' AS entity, true AS note "
+    "FROM orders, (VALUES (1), (2)) v(i)",
+)
+def _(spark, sf):
+    """Files whose documents are read by splits, whatever their length."""
+    found = specs.read_specs(spark, landed_specs(spark, sf))
+    got = F.from_json("raw", "action string, entity string, note string, `where` struct<o_orderkey: bigint>").alias("s")
+    return found.select("query_index", got).select(
+        F.col("s.where.o_orderkey").alias("doc"), ((F.col("query_index") - 1) % 2 + 1).alias("query_index"), "s.action", "s.entity",
+        (F.col("s.note") == SPEC_NOTE).alias("note"),
+    )
+
+
+@plan(
+    "s10_spec_documents",
     "SELECT o_orderkey AS doc, i AS query_index, CASE i WHEN 1 THEN 'get' ELSE 'remove' END AS action, 'orders' AS entity "
     "FROM orders, (VALUES (1), (2)) v(i)",
 )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from driftwell.functions.payload import strict_json
 from driftwell.operators import profiling as pr
 from driftwell.operators.dependencies import batch_number
 from driftwell.operators.scan import dense_number
@@ -15,6 +16,8 @@ from driftwell.sources import sse
 from driftwell.sources.logs import read_operation_log
 from driftwell.streaming import incremental
 from driftwell.streaming.ingest import Ingest, keep_first_seen, keep_schema
+from driftwell.streaming.profiles import SKETCH_BITS, DistinctValues, PlacementLog
+from driftwell.streaming.second_stage import SecondStage
 
 PLANS, plan = registry()
 
@@ -282,3 +285,190 @@ def _(spark, sf):
     return both.agg(
         F.count(F.lit(1)).alias("n_fields"), F.count_if(~F.col("dest").eqNullSafe(F.col("batch_dest"))).cast("int").alias("n_different")
     )
+
+
+def landed_frames(spark, frames, shares, job):
+    """Land frames (order, event, data) in uneven parts, in order, and run the job to its end after each."""
+    landing = scratch(spark)
+    total = frames.count()
+    numbered = materialize(dense_number(frames, "_no", "order"))
+    text = F.concat(F.lit("event: "), F.col("event"), F.lit("\ndata: "), F.col("data")).alias("value")
+    done = 0
+    for share in (*shares, 1.0):
+        upto = int(total * share)
+        part = numbered.where((F.col("_no") > done) & (F.col("_no") <= upto))
+        part.orderBy("_no").select(text).write.mode("append").option("lineSep", "\n\n").text(landing)
+        job.start(spark, landing, max_files=1000).awaitTermination()
+        done = upto
+    return job
+
+
+def init_frame(spark, **keys):
+    """The key configuration, before all other frames."""
+    config = "{" + ", ".join(f'"{k}": {{"{v}": "true"}}' for k, v in keys.items()) + "}"
+    return spark.createDataFrame([(-1, "init", config)], "order bigint, event string, data string")
+
+
+def turns(spark, frames, shares):
+    """Frames (order, event, data) as events numbered in order, in uneven parts."""
+    numbered = materialize(dense_number(frames, "seq", "order").select("seq", "event", "data"))
+    total = numbered.count()
+    ends = [0, *[int(total * s) for s in shares], total]
+    return [numbered.where((F.col("seq") > a) & (F.col("seq") <= b)) for a, b in zip(ends, ends[1:], strict=False)]
+
+
+def learned_orders(spark, sf):
+    """One record per order with its customer, in three uneven landings that end inside windows, learned along."""
+    from driftwell.plans.inference_plans import order_texts
+
+    frames = order_texts(spark, sf).select(F.col("o_orderkey").alias("order"), F.lit("create").alias("event"), F.col("raw").alias("data"))
+    init = init_frame(spark, username="global_key", c_custkey="unique", o_orderkey="unique")
+    stage, kept = SecondStage(scratch(spark), log=False), scratch(spark)
+
+    def step(batch, number):
+        sse.normalise_pairs(batch).drop("data").write.mode("overwrite").parquet(f"{kept}/batch_id={number}")
+        stage.step(batch.sparkSession, lambda session, i: session.read.parquet(f"{kept}/batch_id={i}"), number)
+
+    landed_in_turn(spark, turns(spark, init.union(frames), (0.09, 0.451)), "seq bigint, event string, data string", step)
+    return stage
+
+
+def _facts_sql():
+    from driftwell.plans.inference_plans import IND_SQL, fd_sql, rec_sql
+
+    return (
+        f"SELECT 'attribute' AS kind, * FROM (WITH {rec_sql(400)}, {fd_sql('fd')} SELECT DISTINCT key AS a, col AS b FROM fd) "
+        f"UNION ALL SELECT 'determines', * FROM (WITH {rec_sql(1000)}, {fd_sql('fd')} SELECT DISTINCT key, col FROM fd) "
+        f"UNION ALL SELECT 'included', * FROM (WITH {rec_sql(1000)}, {IND_SQL} SELECT DISTINCT col, ref FROM ind)"
+    )
+
+
+@plan("r7_streamed_facts", _facts_sql())
+def _(spark, sf):
+    """Dependencies of windows that are carried over three uneven landings."""
+    return learned_orders(spark, sf).facts(spark, 2)
+
+
+OPS_IN_STREAM = f"""WITH {OPS}, places AS (SELECT event_id AS seq, row_number() OVER (ORDER BY event_id) + 1 AS place FROM events)
+SELECT place AS seq, type FROM ops JOIN places USING (seq)"""
+
+
+def logged_changes(spark, sf):
+    """Change events in three uneven landings, their operations written along."""
+    kinds = change_events(spark, sf).select(F.col("seq").alias("order"), "event")
+    body = F.to_json(F.struct("user_id", (F.col("user_id") % 5).alias("team"), F.lit("a").alias("actor")))
+    bodies = table(spark, sf, "events").select(F.col("event_id").alias("order"), body.alias("data"))
+    frames = kinds.join(bodies, "order").select("order", "event", "data")
+    init = init_frame(spark, actor="global_key", user_id="unique")
+    return landed_frames(spark, init.union(frames), (0.04, 0.6), Ingest(scratch(spark), learn=True))
+
+
+@plan("r7_streamed_operations", OPS_IN_STREAM)
+def _(spark, sf):
+    """First-seen keys, numbers and log files go on over landings and restarts."""
+    base = logged_changes(spark, sf).base
+    lines = spark.read.text(f"{base}/learned/operations").select(F.from_json("value", "type string, op_seq bigint").alias("o"))
+    # one entity table and one operation per event, so the n-th operation is that of the n-th event after the init
+    return lines.select((F.col("o.op_seq") + 1).alias("seq"), "o.type")
+
+
+def nested_in_turn(spark, sf):
+    """Nested records that name their event, in three uneven landings, as child tables."""
+    from driftwell.plans.nesting_plans import nested_records
+    from driftwell.streaming.children import ChildTables
+
+    raw = F.concat(F.lit('{"id":'), F.col("seq").cast("string"), F.lit(","), F.substr("raw", F.lit(2)))
+    frames = nested_records(spark, sf).select(F.col("seq").alias("order"), F.lit("create").alias("event"), raw.alias("data"))
+    tables = ChildTables(scratch(spark))
+
+    def step(batch, number):
+        tables.step(batch.sparkSession, batch.select("seq", F.col("data").alias("record_text")), number)
+
+    landed_in_turn(spark, turns(spark, frames, (0.13, 0.7)), "seq bigint, event string, data string", step)
+    return tables
+
+
+@plan(
+    "r7_child_tables",
+    """WITH p AS (SELECT event_id, value, row_number() OVER (ORDER BY event_id) AS pn FROM events WHERE event_type = 'purchase'),
+    e AS (SELECT *, row_number() OVER (ORDER BY event_id) AS rn FROM events)
+    SELECT 'root' AS table_name, event_id AS id, rn AS row_id, CAST(NULL AS BIGINT) AS parent_id, CAST(user_id AS VARCHAR) AS shown FROM e
+    UNION ALL SELECT 'root_meta', event_id, rn, rn, event_type FROM e
+    UNION ALL SELECT 'root_meta_props', event_id, rn, rn, json_extract_string(props, '$.k') FROM e
+    UNION ALL SELECT 'root_items', p.event_id, 2 * pn - 1, e.rn, CAST(p.value AS VARCHAR) FROM p JOIN e USING (event_id)
+    UNION ALL SELECT 'root_items', p.event_id, 2 * pn, e.rn, 'x' FROM p JOIN e USING (event_id)""",
+)
+def _(spark, sf):
+    """Rows of four tables with ids that go on over landings, as the stored tables show them."""
+    from driftwell.operators.nesting import ROW_ID
+
+    tables = nested_in_turn(spark, sf)
+    read = lambda name: tables.read(spark, name, 2)
+    root = read("root").select("seq", "id", F.col(ROW_ID).alias("row_id"), "parent_id", F.col("user").cast("string").alias("shown"))
+    ids = root.select("seq", "id")
+    own = lambda name, column: read(name).join(ids, "seq").select(
+        F.lit(name).alias("table_name"), "id", F.col(ROW_ID).alias("row_id"), "parent_id", F.col(column).cast("string").alias("shown"))
+    parts = [root.select(F.lit("root").alias("table_name"), "id", "row_id", "parent_id", "shown")]
+    parts += [own(n, c) for n, c in (("root_meta", "type"), ("root_meta_props", "k"), ("root_items", "p"))]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
+def profiled_in_turn(spark, sf, step):
+    """The profiled records as a stream in three uneven landings with restarts; ``step`` gets records and the batch id."""
+    texts = materialize(profiled(spark, sf).select("doc_id", F.to_json("record").alias("raw")))
+    last = texts.agg(F.max("doc_id")).first()[0]
+    cuts = [0, int(last * 0.07) + 1, int(last * 0.55) + 1, last + 1]
+    parts = [texts.where((F.col("doc_id") >= a) & (F.col("doc_id") < b)) for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def run(batch, number):
+        step(batch.sparkSession, batch.select("doc_id", strict_json(F.col("raw")).alias("record")), number)
+
+    landed_in_turn(spark, parts, texts.schema, run)
+
+
+def _cells_sql(select):
+    from driftwell.plans.profile_plans import CELLS
+
+    return f"WITH {CELLS} {select} FROM prof"
+
+
+@plan("r5_streamed_cardinality", _cells_sql("SELECT field, seen AS total_seen, uniq AS unique_count, round(uniq / seen, 6) AS cardinality_ratio, uniq = seen AS is_unique"))
+def _(spark, sf):
+    """Exact distinct counts after three landings, from values kept in runs."""
+    kept = DistinctValues(scratch(spark))
+    profiled_in_turn(spark, sf, lambda session, records, number: kept.step(session, records, "doc_id", "record", number))
+    found = kept.exact(spark, 2)
+    return found.withColumn("cardinality_ratio", F.round("cardinality_ratio", 6))
+
+
+@plan("r5_streamed_sketches", _cells_sql("SELECT field, seen AS total_seen, true AS near_exact"))
+def _(spark, sf):
+    """Merged sketches after three landings, within five standard errors of the exact counts."""
+    kept = DistinctValues(scratch(spark))
+    profiled_in_turn(spark, sf, lambda session, records, number: kept.step(session, records, "doc_id", "record", number))
+    both = kept.estimated(spark, 2).select("field", "total_seen", "unique_estimate").join(kept.exact(spark, 2).select("field", "unique_count"), "field")
+    error = 5 * 1.04 / 2 ** (SKETCH_BITS / 2)
+    near = F.abs(F.col("unique_estimate") - F.col("unique_count")) <= error * F.col("unique_count")
+    return both.select("field", "total_seen", near.alias("near_exact"))
+
+
+def _replay_sql(select):
+    from driftwell.plans.profile_plans import REPLAY
+
+    return f"WITH {REPLAY} {select}"
+
+
+@plan(
+    "r7_streamed_demotions",
+    _replay_sql(
+        "SELECT field, seq AS doc_id, old_dest, dest AS new_dest FROM (SELECT *, lag(dest) OVER (PARTITION BY field ORDER BY seq) AS old_dest FROM placed) WHERE old_dest <> dest"
+    ),
+)
+def _(spark, sf):
+    """Changes of store as records arrive, with running figures carried over three landings."""
+    kept = PlacementLog(scratch(spark))
+    profiled_in_turn(spark, sf, lambda session, records, number: kept.step(session, records, "doc_id", "record", number))
+    return kept.changes(spark).select("field", "doc_id", "old_dest", "new_dest")

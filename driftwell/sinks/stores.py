@@ -17,7 +17,12 @@ def relational_columns(placement: DataFrame, types: DataFrame) -> dict[str, str]
     """Column → type of the fields placed in the relational store: the schema of the table, read from kept state."""
     chosen = placement.where(F.col("dest") == RELATIONAL).join(types, "field", "left")
     rows = chosen.select("field", F.coalesce("final_type", F.lit("str")).alias("t")).toLocalIterator()
-    return {r["field"]: ("list" if r["t"].startswith("list") else "str" if r["t"] == "UNK" else r["t"]) for r in sorted(rows)}
+    return {r["field"]: stored_type(r["t"]) for r in sorted(rows)}
+
+
+def stored_type(resolved: str) -> str:
+    """The stored type of a resolved one."""
+    return "list" if resolved.startswith("list") else "str" if resolved == "UNK" else resolved
 
 
 def physical_name(column: str, type_name: str) -> str:
@@ -42,7 +47,11 @@ def _present(value: Column) -> Column:
 
 
 def _typed(payload: str, name: str, type_name: str) -> Column:
-    value = field(F.col(payload), name)
+    return typed_value(field(F.col(payload), name), type_name)
+
+
+def typed_value(value: Column, type_name: str) -> Column:
+    """A VARIANT value as the physical type of a stored column; null where it does not convert."""
     if type_name == "list":
         return F.transform(list_items(value), lambda x: text(x))
     columns = converted(F.lit(type_name), F.schema_of_variant(value), text(value), elements(value))

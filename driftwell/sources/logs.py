@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from driftwell.functions.payload import once
 from driftwell.functions.text import stripped
 
 OPERATION = (
@@ -34,26 +35,35 @@ def parse_commands(lines: DataFrame, column: str = "value") -> DataFrame:
     between the parts do not matter. A line that has another form, or whose
     document does not decode, is marked skipped.
     """
-    line = stripped(F.col(column))
+    kept = [c for c in lines.columns if c != column]
+    # arrays hold each step's result, so that the next step does not compute it again
+    return lines.select(*kept, once(stripped(F.col(column)), _command).alias("_c")).select(
+        *kept, F.when(F.col("_c.document").isNotNull(), F.col("_c.name")).alias("collection"),
+        F.col("_c.document").alias("document"), F.col("_c.document").isNull().alias("skipped"),
+    )
+
+
+def _command(line: Column) -> Column:
+    """name and document of a trimmed command line; the document is null if the line has another form."""
     opens = F.instr(line, "{")
     closes = F.length(line) - F.instr(F.reverse(line), "}") + 1
-    head = F.regexp_replace(F.substr(line, F.lit(1), opens - 1), r"\s", "")
-    tail = F.regexp_replace(F.substr(line, closes + 1), r"\s", "")
-    parts = F.split(head, r"\.")
-    name = F.get(parts, F.lit(1))
-    fits = (
-        (opens > 0) & (closes >= opens) & (F.size(parts) == 3) & (F.get(parts, F.lit(0)) == "db")
-        & (name != "") & ~name.rlike(r"\W") & (F.get(parts, F.lit(2)) == "insertOne(") & tail.isin(")", ");")
-    )
-    body = F.when(fits, F.substr(line, opens, closes - opens + 1))
-    document = F.from_json(body, "map<string,variant>", {"allowUnquotedFieldNames": "true"})
-    return lines.select(
-        *[c for c in lines.columns if c != column],
-        F.when(document.isNotNull(), name).alias("collection"),
-        document.alias("document"),
-        document.isNull().alias("skipped"),
+    cut = F.struct(
+        F.split(F.regexp_replace(F.substr(line, F.lit(1), opens - 1), r"\s", ""), r"\.").alias("parts"),
+        F.regexp_replace(F.substr(line, closes + 1), r"\s", "").alias("tail"),
+        F.when((opens > 0) & (closes >= opens), F.substr(line, opens, closes - opens + 1)).alias("body"),
     )
 
+    def read(c: Column) -> Column:
+        name = F.get(c["parts"], F.lit(1))
+        fits = (
+            (F.size(c["parts"]) == 3) & (F.get(c["parts"], F.lit(0)) == "db") & (name != "") & ~name.rlike(r"\W")
+            & (F.get(c["parts"], F.lit(2)) == "insertOne(") & c["tail"].isin(")", ");")
+        )
+        document = F.from_json(F.when(fits, c["body"]), "map<string,variant>", {"allowUnquotedFieldNames": "true"})
+        return F.struct(name.alias("name"), document.alias("document"))
+
+    return once(cut, read)
+
 
 def command_counts(commands: DataFrame) -> DataFrame:
     """Lines inserted and skipped."""
@@ -78,15 +88,8 @@ def statements(pieces: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
-def read_specs(spark: SparkSession, path: str, key: str = "queries") -> DataFrame:
-    """Query-spec documents ``{"queries": […]}`` as one JSON text per spec.
-
-    ``key`` is ``generated_queries`` for documents of rendered statements.
-    """
-    return spec_rows(spark.read.text(path, wholetext=True), key)
-
-
 def spec_rows(documents: DataFrame, key: str = "queries", column: str = "value") -> DataFrame:
+    """Specs of documents that are rows of a column; for files see ``specs.read_specs``."""
     specs = F.from_json(column, f"struct<`{key}`:array<string>>")[key]
     return documents.select(
         *[c for c in documents.columns if c != column], F.posexplode(specs).alias("_at", "raw")

@@ -8,21 +8,22 @@ run again after a failure therefore writes the same thing in the same place.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from driftwell.operators import dependencies as dep
-from driftwell.operators import oplog, schema
+from driftwell.operators import oplog
 from driftwell.operators.clock import event_time
 from driftwell.operators.profiling import final_placement
-from driftwell.operators.scan import dense_number
 from driftwell.session import owned_tables
 from driftwell.sinks import reports, stores
 from driftwell.sources import sse
-from driftwell.streaming.incremental import first_seen_step, latest_flags, profile_step, schema_step
+from driftwell.streaming.children import ChildTables
+from driftwell.streaming.incremental import profile_step
+from driftwell.streaming.kept import LearnedSchema, build_operations, keep_first_seen, keep_schema, learn_schema
+from driftwell.streaming.second_stage import SecondStage
+
+__all__ = ["Ingest", "LearnedSchema", "build_operations", "keep_first_seen", "keep_schema", "learn_schema"]
 
 EVENTS = (
     "seq bigint, event string, record_text string, record variant, sys_ingested_us bigint, t_stamp double"
@@ -31,9 +32,16 @@ EVENTS = (
 
 @dataclass
 class Ingest:
-    """Paths of one ingest job below ``base``."""
+    """Paths of one ingest job below ``base``.
+
+    With ``learn`` the second stage runs along: every micro-batch learns the
+    schema and writes its operations (see ``second_stage``). With ``children``
+    nested objects become rows of their own tables (see ``children``).
+    """
 
     base: str
+    learn: bool = False
+    children: bool = False
 
     @property
     def events(self) -> str:
@@ -73,6 +81,14 @@ class Ingest:
                 state.select("field", "final_type"), f"{self.base}/stores", batch_id,
                 ["seq", "sys_ingested_us", "t_stamp"],
             )
+            if self.children:
+                ChildTables(f"{self.base}/tables").step(spark, records, batch_id)
+            if self.learn:
+                self.second_stage.step(spark, self.read_events, batch_id)
+
+    @property
+    def second_stage(self) -> SecondStage:
+        return SecondStage(f"{self.base}/learned")
 
     def _keep_events(self, lines: DataFrame, batch_id: int) -> None:
         """Number and stamp the records of the batch in arrival order, and write them down.
@@ -117,90 +133,3 @@ class Ingest:
 
     def placement(self, spark: SparkSession, batch_id: int) -> DataFrame:
         return final_placement(reports.load_state(spark, self.profile, batch_id))
-
-
-@dataclass
-class LearnedSchema:
-    """Tables, junctions, foreign keys, dependencies of an event table."""
-
-    tables: DataFrame
-    junctions: DataFrame
-    foreign: DataFrame
-    dependencies: DataFrame
-    lists: DataFrame
-
-
-def learn_schema(events: DataFrame, keys: list[str], global_key: str | None) -> LearnedSchema:
-    """Schema of the create/add events, in batches of 400 and 1000 records."""
-    written = events.where(F.col("event").isin("create", "add")).select("seq", "record")
-    records = written.join(dense_number(written.select("seq"), "no", "seq"), "seq")
-    small = records.withColumn("batch", dep.batch_number(F.col("no"), dep.ENTITY_BATCH))
-    large = records.withColumn("batch", dep.batch_number(F.col("no"), dep.RELATION_BATCH))
-    attributes = dep.ever(dep.functional_dependencies(small, "batch", "record", keys, global_key))
-    found = dep.ever(dep.functional_dependencies(large, "batch", "record", keys, global_key))
-    inclusions = dep.ever(dep.inclusion_dependencies(large, "batch", "record", keys, global_key))
-    lists = dep.list_columns(records, "record", global_key)
-    tables = schema.entity_tables(attributes, keys)
-    owners = schema.list_owners(records, "record", keys, lists, attributes.union(found))
-    return LearnedSchema(
-        tables, schema.junction_tables(owners), schema.foreign_keys(tables, inclusions), found, lists
-    )
-
-
-def build_operations(events: DataFrame, learned: LearnedSchema, global_key: str | None) -> DataFrame:
-    """Second pass over the event table: the operation log in event order."""
-    return oplog.operation_log(sse.forwarded(events), learned.tables, learned.junctions, global_key=global_key)
-
-
-#: Batches after which first-seen deltas are merged.
-COMPACT_EVERY = 16
-SEEN = "table_name string, pk_id string, seen boolean, batch_id bigint"
-
-
-def keep_first_seen(spark: SparkSession, base: str, batch: DataFrame, batch_id: int) -> DataFrame:
-    """First-seen decisions of one micro-batch over kept flags.
-
-    Deltas hold one flag per key a batch touched. Every ``COMPACT_EVERY`` batches
-    they are merged with the flags merged before, so that a batch reads the
-    merged flags and a bounded number of deltas. Only flags of this batch's keys
-    are read into the join.
-    """
-    start = batch_id // COMPACT_EVERY * COMPACT_EVERY
-    if start and start == batch_id:
-        _merge_seen(spark, base, start)
-    previous = latest_flags(_seen(spark, base, start, batch_id), batch) if batch_id else None
-    typed, touched = first_seen_step(previous, batch)
-    touched.write.mode("overwrite").parquet(f"{base}/seen/batch_id={batch_id}")
-    typed.write.mode("overwrite").parquet(f"{base}/typed/batch_id={batch_id}")
-    return spark.read.parquet(f"{base}/typed/batch_id={batch_id}")
-
-
-def _seen(spark: SparkSession, base: str, start: int, stop: int) -> DataFrame:
-    """Flags merged up to ``start`` and the deltas from there to before ``stop``."""
-    deltas = spark.read.schema(SEEN).option("basePath", f"{base}/seen")
-    parts = [deltas.parquet(f"{base}/seen/batch_id={i}") for i in range(start, stop)]
-    if start:
-        parts.append(spark.read.schema(SEEN).parquet(f"{base}/merged/{start}"))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _merge_seen(spark: SparkSession, base: str, start: int) -> None:
-    """Write the latest flag of every key as of batch ``start``."""
-    flags = _seen(spark, base, start - COMPACT_EVERY, start)
-    latest = flags.groupBy("table_name", "pk_id").agg(F.max(F.struct("batch_id", "seen")).alias("l"))
-    latest.select("table_name", "pk_id", "l.seen", "l.batch_id").write.mode("overwrite").parquet(f"{base}/merged/{start}")
-
-
-def keep_schema(spark: SparkSession, base: str, batch: DataFrame, batch_id: int) -> DataFrame:
-    """CREATE and ALTER changes of one micro-batch against the columns kept before.
-
-    ``batch`` has (table_name, column_name). A batch writes its changes and the
-    columns known after it under its own id.
-    """
-    now = batch.select("table_name", "column_name").distinct()
-    previous = reports.load_state(spark, f"{base}/columns", batch_id - 1) if batch_id else now.limit(0)
-    known = previous.unionByName(now).distinct()
-    reports.save_state(known, f"{base}/columns", batch_id)
-    known = reports.load_state(spark, f"{base}/columns", batch_id).select("table_name", "column_name")
-    schema_step(previous.select("table_name", "column_name"), known).write.mode("overwrite").parquet(f"{base}/changes/batch_id={batch_id}")
-    return spark.read.parquet(f"{base}/changes/batch_id={batch_id}")

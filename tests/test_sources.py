@@ -1,10 +1,11 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from driftwell.functions.payload import identity, strict_json
-from driftwell.sources import logs, sse
+from driftwell.sources import logs, specs, sse
 
 FORMS = [
     (1, 'event: init\r\ndata: {"pilot": {"global_key": "true"}, "plane_id": {"unique": "true"}, "colour": {}, "seats": {"unique": true}}'),
@@ -69,10 +70,71 @@ def test_operation_log_and_specs(spark, tmp_path):
     assert [(r.type, r.columns, r.username) for r in rows] == [("INSERT", ["a"], "u"), ("DELETE", None, None)]
     spec = tmp_path / "specs.json"
     spec.write_text(json.dumps({"queries": [{"action": "get", "entity": "t"}, {"action": "add", "entity": "t"}]}, indent=1))
-    got = logs.read_specs(spark, str(spec)).orderBy("query_index").collect()
+    got = specs.read_specs(spark, str(spec)).orderBy("query_index").collect()
     assert [(r.query_index, json.loads(r.raw)["action"]) for r in got] == [(1, "get"), (2, "add")]
 
 
+def spec_document(rng, key):
+    """A document with specs, other arrays, objects, scalars and strings that look like brackets, in any spacing."""
+    strings = ["a", "}", "{", "]", 'say "hi" }', "back\\\\", "\\" + '"', "x[}{]", "", "é}日"]
+
+    def value(depth):
+        kind = rng.randrange(7 if depth < 3 else 4)
+        if kind < 2:
+            return rng.choice(strings)
+        if kind < 4:
+            return rng.choice([1, None, True, 2.5])
+        if kind < 6:
+            return {rng.choice(strings) + str(i): value(depth + 1) for i in range(rng.randrange(4))}
+        return [value(depth + 1) for _ in range(rng.randrange(4))]
+
+    held = [value(0) if rng.random() < 0.2 else {"n": i, "v": value(0)} for i in range(rng.randrange(12))]
+    parts = {"before": value(0), "o}": [{key: [{"no": 1}]}], key: held, "after": [{"no": 2}, value(0)], "deep": {key: [{"no": 3}]}}
+    names = list(parts)
+    rng.shuffle(names)
+    return json.dumps({n: parts[n] for n in names}, indent=rng.choice([None, 1, 4]), ensure_ascii=rng.random() < 0.5), held
+
+
+@pytest.mark.parametrize(("seed", "split"), [(1, 40), (2, 97), (3, 1000)])
+def test_specs_by_splits(spark, tmp_path, seed, split):
+    """Documents cut into splits at any byte, in strings and escapes too, against the whole document parsed."""
+    rng = random.Random(seed)
+    want = {}
+    for i in range(3):
+        text, held = spec_document(rng, "queries")
+        (tmp_path / f"{i}.json").write_text(text + rng.choice(["", "\n"]), encoding="utf-8")
+        want[f"{i}.json"] = [x for x in held if isinstance(x, dict)]
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        df = specs.read_specs(spark, str(tmp_path))
+        got = {}
+        for r in sorted(df.collect(), key=lambda r: (r.file, r.query_index)):
+            rows = got.setdefault(r.file.rpartition("/")[2], [])
+            rows.append(json.loads(r.raw))
+            assert r.query_index == len(rows)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == {k: v for k, v in want.items() if v}
+
+
+def test_one_document_is_many_splits(spark, tmp_path):
+    """A document of one line is read by many tasks."""
+    body = json.dumps({"generated_queries": [{"query_index": i, "sql": "x" * 200 + "}"} for i in range(20_000)]})
+    (tmp_path / "big.json").write_text(body)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        assert spark.read.option("lineSep", "}").text(str(tmp_path)).rdd.getNumPartitions() > 10
+        got = specs.read_specs(spark, str(tmp_path), "generated_queries")
+        same = F.get_json_object("raw", "$.query_index").cast("bigint") == F.col("query_index") - 1
+        assert got.agg(F.count("*"), F.count_if(same)).first()[:] == (20_000, 20_000)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_identity_follows_python_equality(spark):
     values = ["1", "1.0", "true", '"1"', "0", "false", "null", "2.50", "2.5", '"true"', "10", "100", "1e2"]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
