@@ -208,6 +208,27 @@ def current_state(log: DataFrame) -> DataFrame:
     return last.join(life, ["table_name", "pk_id"]).where("at >= born").select("table_name", "pk_id", "column", "value")
 
 
+def state_partials(log: DataFrame) -> DataFrame:
+    """What operations did to cells and rows: the last write of each cell, and per row, with no column, its last INSERT and DELETE.
+
+    Partials of parts of a log can be merged (C7).
+    """
+    keyed = log.where(F.col("pk_id").isNotNull())
+    life = keyed.groupBy("table_name", "pk_id").agg(
+        F.max(F.when(F.col("type") == "INSERT", F.col("seq"))).alias("born"),
+        F.max(F.when(F.col("type") == "DELETE", F.col("seq"))).alias("died"),
+    ).where("born is not null or died is not null")
+    cells = _written_cells(keyed).groupBy("table_name", "pk_id", "column").agg(F.max("seq").alias("at"), F.max_by("value", "seq").alias("value"))
+    return cells.unionByName(life, allowMissingColumns=True)
+
+
+def living_cells(partials: DataFrame) -> DataFrame:
+    """The state from merged partials: cells written since the last INSERT of rows that live."""
+    life = partials.where("column is null and born is not null and (died is null or born > died)").select("table_name", "pk_id", "born")
+    cells = partials.where("column is not null").select("table_name", "pk_id", "column", "at", "value")
+    return cells.join(life, ["table_name", "pk_id"]).where("at >= born").select("table_name", "pk_id", "column", "value")
+
+
 def _written_cells(log: DataFrame) -> DataFrame:
     pairs = F.zip_with("columns", "values", lambda c, v: F.struct(c.alias("column"), F.to_json(v).alias("value")))
     return log.where(F.col("type").isin("INSERT", "UPDATE")).select(

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from driftwell.functions import render
 from driftwell.operators import oplog
-from driftwell.plans.common import CHANGE_SQL, change_events, registry, table
+from driftwell.plans.common import CHANGE_SQL, change_events, registry, scratch, table
+from driftwell.session import materialize
+from driftwell.streaming.state import KeptState
 
 PLANS, plan = registry()
 
@@ -100,20 +102,35 @@ def _(spark, sf):
     return numbered.select("op_seq", "seq", "type", F.array_join("columns", ",").alias("columns"), "actor")
 
 
-@plan(
-    "c7_current_state",
-    f"""WITH {OPS}, b AS (SELECT user_id, max(seq) FILTER (type = 'INSERT') AS born, max(seq) FILTER (type = 'DELETE') AS died FROM ops GROUP BY user_id),
+STATE = f"""WITH {OPS}, b AS (SELECT user_id, max(seq) FILTER (type = 'INSERT') AS born, max(seq) FILTER (type = 'DELETE') AS died FROM ops GROUP BY user_id),
     alive AS (SELECT * FROM b WHERE born IS NOT NULL AND (died IS NULL OR born > died))
     SELECT alive.user_id, arg_max(value, seq) FILTER (type IN ('INSERT', 'UPDATE')) AS value,
       arg_max(k, seq) FILTER (event_type IN ('signup', 'purchase')) AS k, 'it''s ' || arg_max(k, seq) FILTER (event_type = 'purchase') AS note
-    FROM alive JOIN ops ON ops.user_id = alive.user_id AND ops.seq >= born GROUP BY alive.user_id""",
-)
-def _(spark, sf):
-    cells = oplog.current_state(log(spark, sf))
+    FROM alive JOIN ops ON ops.user_id = alive.user_id AND ops.seq >= born GROUP BY alive.user_id"""
+
+
+def state_rows(cells):
     pick = lambda c, t: F.max(F.when(F.col("column") == c, F.try_variant_get(F.try_parse_json("value"), "$", t))).alias(c)
     return cells.groupBy("table_name", "pk_id").agg(pick("user_id", "bigint"), pick("value", "double"), pick("k", "int"), pick("note", "string")).drop("table_name", "pk_id")
 
 
+@plan("c7_current_state", STATE)
+def _(spark, sf):
+    return state_rows(oplog.current_state(log(spark, sf)))
+
+
+@plan("c7_kept_state", STATE)
+def _(spark, sf):
+    """The same from operations that arrive in five uneven batches, each aggregated by itself and merged by level."""
+    operations = materialize(log(spark, sf))
+    last = operations.agg(F.max("seq")).first()[0]
+    kept = KeptState(scratch(spark))
+    ends = [-1, *[int(last * share) for share in (0.03, 0.3, 0.31, 0.8)], last]
+    for number, (after, upto) in enumerate(zip(ends, ends[1:], strict=False)):
+        kept.step(spark, operations.where((F.col("seq") > after) & (F.col("seq") <= upto)), number)
+    return state_rows(kept.state(spark, 4))
+
+
 @plan(
     "c8_document_actions",
     f"""WITH {OPS} SELECT seq, CASE type WHEN 'INSERT' THEN 'add' WHEN 'UPDATE' THEN 'change' WHEN 'DELETE' THEN 'remove' ELSE 'get' END AS action,

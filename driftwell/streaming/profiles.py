@@ -7,7 +7,6 @@ the versions before it, so it may run again.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,9 +16,8 @@ from driftwell.operators import profiling as pr
 from driftwell.session import materialize
 from driftwell.sinks import reports
 from driftwell.streaming.incremental import profile_step
+from driftwell.streaming.runs import Runs
 
-#: Runs of this many batches, or of this many runs, are merged into one.
-FAN = 4
 #: Buckets of a sketch, as a power of two; the standard error is about 1.04 / sqrt(2 ** SKETCH_BITS).
 SKETCH_BITS = 12
 VALUES = "field string, listed boolean, h1 bigint, h2 bigint, seen bigint"
@@ -30,10 +28,8 @@ SKETCHES = "field string, total_seen bigint, sketch binary"
 class DistinctValues:
     """How many distinct values each field has, by sketch at every batch and exactly on demand, below ``base``.
 
-    A batch adds its own distinct values as a run and never reads older ones.
-    ``FAN`` runs of a level are merged into one of the next, so a value is
-    written again once per level, and after n batches there are at most
-    ``FAN - 1`` runs per level.
+    A batch adds its own distinct values as a run and never reads older ones
+    but to merge runs by level (see ``Runs``).
     """
 
     base: str
@@ -46,7 +42,7 @@ class DistinctValues:
         own = materialize(cells.select("field", "listed", "shown", h1.alias("h1"), h2.alias("h2")).groupBy(
             "field", "listed", F.when(~F.col("listed"), F.col("h1")).alias("h1"), F.when(~F.col("listed"), F.col("h2")).alias("h2")
         ).agg(F.count(F.lit(1)).alias("seen")))
-        own.write.mode("overwrite").parquet(self._run(0, batch_id))
+        self.runs.add(spark, own, batch_id)
         sketched = own.groupBy("field").agg(
             F.sum("seen").alias("total_seen"),
             F.hll_sketch_agg(F.when(~F.col("listed"), F.concat_ws(",", F.col("h1").cast("string"), F.col("h2").cast("string"))), F.lit(SKETCH_BITS)).alias("sketch"),
@@ -55,31 +51,10 @@ class DistinctValues:
             kept = reports.load_state(spark, f"{self.base}/sketches", batch_id - 1)
             sketched = kept.unionByName(sketched).groupBy("field").agg(F.sum("total_seen").alias("total_seen"), F.hll_union_agg("sketch").alias("sketch"))
         reports.save_state(sketched, f"{self.base}/sketches", batch_id)
-        level, size = 1, FAN
-        while (batch_id + 1) % size == 0:
-            parts = [self._read(spark, level - 1, (batch_id + 1) // size * FAN - 1 - i) for i in range(FAN)]
-            merged(reduce(DataFrame.unionByName, parts)).write.mode("overwrite").parquet(self._run(level, (batch_id + 1) // size - 1))
-            level, size = level + 1, size * FAN
-
-    def _run(self, level: int, number: int) -> str:
-        return f"{self.base}/runs/level={level}/run={number}"
-
-    def _read(self, spark: SparkSession, level: int, number: int) -> DataFrame:
-        return spark.read.schema(VALUES).parquet(self._run(level, number))
-
-    def runs(self, version: int) -> list[tuple[int, int]]:
-        """(level, number) of the runs that together hold the batches up to ``version``, the largest first."""
-        out, start, left = [], 0, version + 1
-        level = 0
-        while FAN ** (level + 1) <= left:
-            level += 1
-        while left:
-            size = FAN**level
-            while left >= size:
-                out.append((level, start // size))
-                start, left = start + size, left - size
-            level -= 1
-        return out
+
+    @property
+    def runs(self) -> Runs:
+        return Runs(self.base, VALUES, merged)
 
     def estimated(self, spark: SparkSession, version: int) -> DataFrame:
         """field, total_seen, unique_estimate, cardinality_ratio after a batch: one row per field is read."""
@@ -93,7 +68,7 @@ class DistinctValues:
         Values are told apart by 128 bits of hash, and spread over all tasks
         before they are counted per field.
         """
-        values = merged(reduce(DataFrame.unionByName, [self._read(spark, *run) for run in self.runs(version)]))
+        values = self.runs.read(spark, version)
         counted = values.groupBy("field").agg(F.sum("seen").alias("total_seen"), F.count_if(~F.col("listed")).alias("unique_count"))
         return counted.select(
             "field", "total_seen", "unique_count", (F.col("unique_count") / F.col("total_seen")).alias("cardinality_ratio"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from driftwell.operators import oplog
 from driftwell.sources import sse
 from driftwell.streaming.incremental import first_seen_step
+from driftwell.streaming.state import KeptState
 
 COLUMNS = ["id", "a", "b"]
 
@@ -80,6 +81,19 @@ def test_state(log):
     assert got == rows
 
 
+def test_kept_state(spark, log, tmp_path):
+    """State after six batches, one of them run again, equals that of the whole log; batches read no older run."""
+    kept = KeptState(str(tmp_path))
+    bounds = [-1, 20, 21, 90, 150, 200, 10**6]
+    for b, (lo, hi) in enumerate(zip(bounds, bounds[1:], strict=False)):
+        for _ in range(2 if b == 1 else 1):
+            kept.step(spark, log.where((F.col("seq") > lo) & (F.col("seq") <= hi)), b)
+    shown = lambda df: sorted(map(tuple, df.collect()))
+    assert shown(kept.state(spark, 5)) == shown(oplog.current_state(log))
+    assert shown(kept.state(spark, 2)) == shown(oplog.current_state(log.where("seq <= 90")))
+    assert kept.runs.live(5) == [(1, 0), (0, 4), (0, 5)]
+
+
 def test_answers(log):
     _, _, answers = replay(make_events())
     got = {(r.seq, r.column): None if r.value is None else json.loads(r.value) for r in oplog.answer_gets(log).collect()}

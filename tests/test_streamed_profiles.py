@@ -10,6 +10,7 @@ from driftwell.functions.payload import strict_json
 from driftwell.operators import profiling as pr
 from driftwell.streaming import profiles
 from driftwell.streaming.profiles import DistinctValues, PlacementLog
+from driftwell.streaming.runs import FAN, Runs
 
 
 def records_of(spark, seed, n=150):
@@ -52,12 +53,12 @@ def test_distinct_values(spark, tmp_path, cuts):
 
 
 def test_runs_hold_each_batch_once():
-    kept = DistinctValues("")
+    kept = Runs("", "", None)
     for version in range(200):
-        runs = kept.runs(version)
-        batches = [b for level, number in runs for b in range(number * profiles.FAN**level, (number + 1) * profiles.FAN**level)]
+        live = kept.live(version)
+        batches = [b for level, number in live for b in range(number * FAN**level, (number + 1) * FAN**level)]
         assert batches == list(range(version + 1))
-        assert max(sum(r[0] == level for r in runs) for level, _ in runs) < profiles.FAN
+        assert max(sum(r[0] == level for r in live) for level, _ in live) < FAN
 
 
 @pytest.mark.parametrize("cuts", [[1, 60]])
