@@ -10,6 +10,8 @@ from driftwell.session import materialize
 
 MOST_COPIES = 3
 PER_CELL = 2_000
+#: Preferences are whole numbers from 1 to this.
+LEVELS = 16
 #: Uniform numbers have this many bits, from the MD5 of the document's id.
 BITS = 48
 
@@ -52,71 +54,119 @@ def source_targets(sources: DataFrame, most: int = MOST_COPIES) -> DataFrame:
     return ranked.withColumn("target", F.when(limit < share, limit.cast("double")).otherwise(share))
 
 
+def longer(size: Column) -> Column:
+    """A preference for longer documents: how many binary digits the size has, at most ``LEVELS``."""
+    return F.least(F.length(F.bin(size)), F.lit(LEVELS))
+
+
+def expected_copies(levels: DataFrame, most: int) -> DataFrame:
+    """How often a document of each source and level is expected in the mix, so that the words expected are the target.
+
+    The number is the level times one factor per source, at most ``most``. Levels
+    whose number would be higher have ``most``; the factor shares the rest of the
+    target among the levels below. ``levels`` has one row per source and level
+    with size (of its documents together) and target (of the source).
+    """
+    source = Window.partitionBy("source", "absent")
+    down = source.orderBy(F.desc("level"))
+    above = F.coalesce(F.sum("size").over(down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    liked = F.sum(F.col("size") * F.col("level")).over(down.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    factor = F.when(liked > 0, (F.col("target") - (most * above).cast("double")) / liked.cast("double"))
+    fitting = levels.withColumn("factor", factor).withColumn("fits", F.col("factor") * F.col("level") <= float(most))
+    first = F.max(F.when(F.col("fits"), F.struct("level", "factor"))).over(source)
+    below = fitting.withColumn("first", first).withColumn(
+        "expected", F.when(F.col("level") <= F.col("first.level"), F.col("first.factor") * F.col("level")).otherwise(F.lit(float(most)))
+    )
+    return below.drop("factor", "fits", "first")
+
+
+def _ahead(rows: DataFrame, weight: Column, name: str) -> DataFrame:
+    """The sum of ``weight`` over the rows of the source that are ahead in rank, by cells of neighbours."""
+    key = ["source", "absent", "cell"]
+    sums = rows.groupBy(*key).agg(F.sum(weight).alias("words"))
+    earlier = F.sum("words").over(Window.partitionBy("source", "absent").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sums.select(*key, F.coalesce(earlier, F.lit(0)).alias("start"))
+    inside = F.sum(weight).over(Window.partitionBy(*key).orderBy("rank", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1))
+    return rows.withColumn("inside", F.coalesce(inside, F.lit(0))).join(starts, key).withColumn(name, F.col("start") + F.col("inside")).drop("start", "inside")
+
+
 def mix(docs: DataFrame, most: int = MOST_COPIES, per_cell: int = PER_CELL, preference: Column | None = None, uid: str | None = None) -> DataFrame:
     """How many words of each document the mix takes.
 
-    A source's target over its size is the number of copies of each document.
-    Its whole part is certain. The rest is a Pareto sample: each document has a
-    uniform number u and an inclusion probability p (the fractional part, times
-    the document's ``preference`` where one is given); documents are ranked by
-    (u / (1 - u)) / (p / (1 - p)), and taken from the top until the words of the
-    sample are as near the rest of the target as a document allows. So the size
-    of the sample in words is fixed, whatever the draws.
+    A document is expected in the mix as often as its ``preference`` (a whole
+    number from 1 to ``LEVELS``; by default ``longer``) times a factor that makes
+    the words expected of its source the source's target, at most ``most``. The
+    whole part is certain. The fraction is the document's inclusion probability p
+    in a Pareto sample: with a uniform number u, documents are ranked by
+    (u / (1 - u)) / (p / (1 - p)) and taken from the top while their words fit
+    into the rest of the target; what then is left goes to the next in rank that
+    are not longer than it, as near as a document allows. So the size of the
+    sample in words is fixed, whatever the draws.
 
     Ranks need no task that holds a source: documents are dealt into cells of
-    about ``per_cell`` neighbours in rank, and word sums of the cells give each
-    cell its start.
-
-    Empty and null texts have size 0 and take nothing. A null source is a source
-    of its own, the last. Repeated rows are ranked like any others; rows that are
-    equal in every column share their draw. Null ids share a draw too. An empty
-    table gives an empty result. Columns of the input other than doc_id, text and
-    source are ignored; ``uid`` may name one that numbers the rows, and is
-    returned as uid.
+    about ``per_cell`` neighbours in rank (by the share of documents that is
+    expected ahead of a rank), and word sums of the cells give each its start.
+
+    Empty and null texts have size 0 and take nothing; texts of any length are
+    counted whole, and one longer than the rest of the target is not drawn. A
+    null source is a source of its own, the last. Repeated rows are ranked like
+    any others; rows that are equal in every column share their draw. Null ids
+    share a draw too. An empty table gives an empty result. Columns of the input
+    other than doc_id, text and source are ignored; ``uid`` may name one that
+    numbers the rows, and is returned as uid.
     """
     carried = [F.col(uid).alias("uid")] if uid else []
+    liking = None if preference is None else F.greatest(F.lit(1), F.least(F.lit(LEVELS), F.coalesce(preference.cast("int"), F.lit(1))))
     rows = docs.select(
         "doc_id", *carried,
         F.coalesce("source", F.lit("")).alias("source"),
         F.col("source").isNull().alias("absent"),
         F.regexp_count(whole_text(), F.lit(WORD_PATTERN)).cast("bigint").alias("size"),
-        (F.lit(1.0) if preference is None else preference.cast("double")).alias("liking"),
+        *([] if liking is None else [liking.alias("level")]),
     )
+    if liking is None:
+        rows = rows.withColumn("level", longer(F.col("size")))
     rows = materialize(rows.withColumn("u", uniform(F.col("doc_id"))))
-    sources = rows.groupBy("source", "absent").agg(
-        F.sum("size").alias("size"), F.count("*").alias("docs"), F.sum(F.col("size") * F.col("liking")).alias("liked")
-    )
-    plan = source_targets(sources, most).select(
-        "source", "absent", F.col("size").alias("source_size"), "target",
-        F.when(F.col("size") > 0, F.least(F.floor(F.col("target") / F.col("size")), F.lit(most))).otherwise(F.lit(0)).alias("copies"),
-        F.when(F.col("liked") > 0, F.col("size") / F.col("liked")).otherwise(F.lit(1.0)).alias("scale"),
-        F.greatest(F.lit(1), F.ceil(F.col("docs") / per_cell)).alias("cells"),
-    )
-    plan = plan.withColumn("rest", F.when(F.col("copies") >= most, F.lit(0.0)).otherwise(F.col("target") - F.col("copies") * F.col("source_size")))
-    plan = materialize(plan.withColumn("part", F.when(F.col("source_size") > 0, F.col("rest") / F.col("source_size")).otherwise(F.lit(0.0))))
+    levels = materialize(rows.groupBy("source", "absent", "level").agg(F.sum("size").alias("size"), F.count("*").alias("docs")))
+    sources = levels.groupBy("source", "absent").agg(F.sum("size").alias("size"))
+    targets = source_targets(sources, most).select("source", "absent", F.col("size").alias("source_size"), "target")
 
     edge = 1e-9
-    joined = rows.join(plan, ["source", "absent"])
-    inclusion = F.greatest(F.lit(edge), F.least(F.lit(1 - edge), F.col("part") * F.col("liking") * F.col("scale")))
-    level = F.greatest(F.lit(edge), F.least(F.lit(1 - edge), F.col("part")))
-    ranked = joined.withColumn("p", inclusion).withColumn(
+    plan = expected_copies(levels.join(targets, ["source", "absent"]), most).withColumn("copies", F.floor("expected"))
+    plan = plan.withColumn("p", F.greatest(F.lit(edge), F.least(F.lit(1 - edge), F.col("expected") - F.col("copies"))))
+    source = Window.partitionBy("source", "absent")
+    drawable = F.col("copies") < most
+    docs_drawn = F.sum(F.when(drawable, F.col("docs")).otherwise(0)).over(source)
+    odds = F.struct((F.col("docs") / docs_drawn).alias("share"), (F.col("p") / (1 - F.col("p"))).alias("odds"))
+    plan = materialize(plan.select(
+        "source", "absent", "level", "source_size", "target", "copies", "p",
+        (F.col("target") - F.sum(F.col("copies") * F.col("size")).over(source).cast("double")).alias("rest"),
+        F.array_sort(F.collect_list(F.when(drawable, odds)).over(source)).alias("mixture"),
+        F.greatest(F.lit(1), F.ceil(docs_drawn / per_cell)).alias("cells"),
+    ))
+
+    drawn_from = drawable & (F.col("size") > 0)
+    ranked = rows.join(plan, ["source", "absent", "level"]).withColumn(
         "rank", (F.col("u") / (1 - F.col("u"))) / (F.col("p") / (1 - F.col("p")))
     )
-    # back to the scale of u, so that cells hold about as many documents each
-    even = F.col("rank") * (level / (1 - level))
-    even = even / (1 + even)
-    ranked = ranked.withColumn("cell", F.least(F.floor(even * F.col("cells")), F.col("cells") - 1))
-
-    key = ["source", "absent", "cell"]
-    sums = ranked.groupBy(*key).agg(F.sum("size").alias("words"))
-    earlier = F.sum("words").over(Window.partitionBy("source", "absent").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1))
-    starts = sums.select(*key, F.coalesce(earlier, F.lit(0)).alias("start"))
-    inside = F.sum("size").over(Window.partitionBy(*key).orderBy("rank", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1))
-    placed = ranked.withColumn("inside", F.coalesce(inside, F.lit(0))).join(starts, key)
-    drawn = (2 * (F.col("start") + F.col("inside")) + F.col("size")).cast("double") <= 2 * F.col("rest")
-    return placed.select(
+    # the share of documents expected ahead of a rank, so that cells hold about as many documents each
+    ahead = F.aggregate("mixture", F.lit(0.0), lambda s, m: s + m["share"] * (m["odds"] * F.col("rank") / (1 + m["odds"] * F.col("rank"))))
+    ranked = ranked.withColumn("weight", F.when(drawn_from, F.col("size")).otherwise(F.lit(0))).withColumn(
+        "cell", F.least(F.floor(F.when(drawn_from, ahead).otherwise(F.col("u")) * F.col("cells")), F.col("cells") - 1)
+    ).drop("mixture", "cells", "p", "u", "level")
+    placed = _ahead(ranked, F.col("weight"), "before")
+    fits = (F.col("weight") > 0) & ((F.col("before") + F.col("size")).cast("double") <= F.col("rest"))
+    placed = materialize(placed.withColumn("fits", fits).drop("before"))
+
+    used = placed.groupBy("source", "absent").agg(F.sum(F.when(F.col("fits"), F.col("size")).otherwise(F.lit(0))).alias("used"))
+    late = placed.join(used, ["source", "absent"]).withColumn("gap", F.col("rest") - F.col("used").cast("double"))
+    may = ~F.col("fits") & (F.col("weight") > 0) & (F.col("size").cast("double") <= F.col("gap"))
+    late = late.withColumn("weight", F.when(may, F.col("size")).otherwise(F.lit(0)))
+    late = _ahead(late, F.col("weight"), "before")
+    fills = (F.col("weight") > 0) & ((2 * F.col("before") + F.col("size")).cast("double") <= 2 * F.col("gap"))
+    return late.select(
         *(["uid"] if uid else []), "doc_id", "size", "source_size", "target",
-        (F.col("size") * (F.col("copies") + F.when(drawn, 1).otherwise(0))).cast("bigint").alias("taken"),
+        (F.col("size") * (F.col("copies") + F.when(F.col("fits") | fills, 1).otherwise(0))).cast("bigint").alias("taken"),
     )
 
 
@@ -137,15 +187,28 @@ f AS (SELECT total - given AS lft, weights, k FROM c
 t AS (SELECT c.source, c.source_size,
              CASE WHEN c.k < f.k THEN (3 * c.source_size)::DOUBLE ELSE (c.weight * f.lft)::DOUBLE / f.weights::DOUBLE END AS target
       FROM c CROSS JOIN f),
-p AS (SELECT *, CASE WHEN source_size > 0 THEN least(floor(target / source_size), 3) ELSE 0 END::BIGINT AS copies FROM t),
-r AS (SELECT *, CASE WHEN copies >= 3 THEN 0.0::DOUBLE ELSE target - copies * source_size END AS rest FROM p),
-q AS (SELECT *, CASE WHEN source_size > 0 THEN greatest(1e-9::DOUBLE, least(1 - 1e-9::DOUBLE, rest / source_size)) ELSE 1e-9::DOUBLE END AS incl FROM r),
-x AS (SELECT d.doc_id, d.size, q.source_size, q.target, q.copies, q.rest, d.source,
+-- sources by level, the number of binary digits of the size; levels above the first that fits have three copies
+l AS (SELECT source, least(length(bin(size)), 16) AS level, sum(size)::BIGINT AS size FROM d GROUP BY ALL),
+g AS (SELECT l.*, t.source_size, t.target, coalesce(sum(l.size) OVER v, 0) AS above, sum(l.size * level) OVER z AS liked
+      FROM l JOIN t ON l.source IS NOT DISTINCT FROM t.source
+      WINDOW v AS (PARTITION BY l.source ORDER BY level DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+             z AS (PARTITION BY l.source ORDER BY level DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+h AS (SELECT *, CASE WHEN liked > 0 THEN (target - (3 * above)::DOUBLE) / liked::DOUBLE END AS factor FROM g),
+k AS (SELECT *, max(CASE WHEN factor * level <= 3.0 THEN level END) OVER (PARTITION BY source) AS first FROM h),
+e AS (SELECT *, max(CASE WHEN level = first THEN factor END) OVER (PARTITION BY source) AS chosen FROM k),
+n AS (SELECT *, CASE WHEN level <= first THEN chosen * level ELSE 3.0::DOUBLE END AS expected FROM e),
+p AS (SELECT *, floor(expected)::BIGINT AS copies FROM n),
+q AS (SELECT *, greatest(1e-9::DOUBLE, least(1 - 1e-9::DOUBLE, expected - copies::DOUBLE)) AS incl,
+             target - (sum(copies * size) OVER (PARTITION BY source))::DOUBLE AS rest FROM p),
+x AS (SELECT d.doc_id, d.size, q.source_size, q.target, q.copies, q.rest, d.source, copies < 3 AND d.size > 0 AS open,
              (d.u / (1 - d.u)) / (incl / (1 - incl)) AS rank
-      FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source),
-y AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY rank, doc_id, size
-                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS earlier FROM x)
-SELECT doc_id, size, source_size, target,
-       (size * (copies + CASE WHEN (2 * earlier + size)::DOUBLE <= 2 * rest THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM y
+      FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source AND least(length(bin(d.size)), 16) = q.level),
+y AS (SELECT *, open AND (coalesce(sum(size) FILTER (open) OVER (PARTITION BY source ORDER BY rank, doc_id, size
+                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + size)::DOUBLE <= rest AS fits FROM x),
+a AS (SELECT *, rest - (coalesce(sum(size) FILTER (fits) OVER (PARTITION BY source), 0))::DOUBLE AS gap FROM y),
+b AS (SELECT *, open AND NOT fits AND size::DOUBLE <= gap AS late FROM a),
+m AS (SELECT *, late AND (2 * coalesce(sum(size) FILTER (late) OVER (PARTITION BY source ORDER BY rank, doc_id, size
+                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + size)::DOUBLE <= 2 * gap AS fills FROM b)
+SELECT doc_id, size, source_size, target, (size * (copies + CASE WHEN fits OR fills THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM m
 """

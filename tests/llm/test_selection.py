@@ -54,6 +54,33 @@ def test_mix(spark):
     assert sorted(map(tuple, got), key=str) == sorted(map(tuple, again), key=str)
 
 
+def test_mix_by_preference(spark):
+    # equal sources: how often a level is taken follows its expected number (the filling of the gap favours short ones by a few in 500)
+    lengths = [1, 3, 9, 30, 120]
+    rows = [(1000 * s + i, "w " * lengths[i % 5], f"s{s:02d}") for s in range(24) for i in range(500)]
+    got = mix(table(spark, rows), per_cell=50).collect()
+    size = 100 * sum(lengths)
+    by_weight, seen = {}, {}
+    for r in got:
+        weight = r.doc_id // 1000 % 3 + 1
+        by_weight[weight] = r.target
+        seen.setdefault((weight, r["size"]), []).append(r.taken / r["size"])
+    for weight, target in by_weight.items():
+        factor = target / (100 * sum(n * n.bit_length() for n in lengths))
+        closed = set()
+        while any(n not in closed and factor * n.bit_length() > 3 for n in lengths):
+            closed |= {n for n in lengths if factor * n.bit_length() > 3}
+            factor = (target - 3 * 100 * sum(closed)) / (100 * sum(n * n.bit_length() for n in lengths if n not in closed))
+        for n in lengths:
+            want = 3 if n in closed else factor * n.bit_length()
+            copies = seen[weight, n]
+            assert set(copies) <= {int(want), int(want) + 1} and abs(np.mean(copies) - want) < 0.06, (weight, n, want)
+    for s in range(24):
+        mine = [r for r in got if r.doc_id // 1000 == s]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 2, s
+    assert all(r.source_size == size for r in got)
+
+
 def test_mix_of_nothing(spark):
     assert mix(table(spark, [])).count() == 0
     assert [r.taken for r in mix(table(spark, [(1, None, None), (2, "", "a")])).collect()] == [0, 0]
