@@ -158,8 +158,11 @@ def mix(docs: DataFrame, most: int = MOST_COPIES, per_cell: int = PER_CELL, pref
     fits = (F.col("weight") > 0) & ((F.col("before") + F.col("size")).cast("double") <= F.col("rest"))
     placed = materialize(placed.withColumn("fits", fits).drop("before"))
 
-    used = placed.groupBy("source", "absent").agg(F.sum(F.when(F.col("fits"), F.col("size")).otherwise(F.lit(0))).alias("used"))
-    late = placed.join(used, ["source", "absent"]).withColumn("gap", F.col("rest") - F.col("used").cast("double"))
+    # by cell, so that no join deals a whole source to one task
+    key = ["source", "absent", "cell"]
+    used = placed.groupBy(*key).agg(F.sum(F.when(F.col("fits"), F.col("size")).otherwise(F.lit(0))).alias("used"))
+    used = used.withColumn("used", F.sum("used").over(source))
+    late = placed.join(used, key).withColumn("gap", F.col("rest") - F.col("used").cast("double"))
     may = ~F.col("fits") & (F.col("weight") > 0) & (F.col("size").cast("double") <= F.col("gap"))
     late = late.withColumn("weight", F.when(may, F.col("size")).otherwise(F.lit(0)))
     late = _ahead(late, F.col("weight"), "before")
