@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from driftwell.operators import mutate
 from driftwell.operators.catalog import Catalog, ForeignKey
-from driftwell.plans.common import catalog, registry
+from driftwell.plans.common import catalog, registry, scratch
+from driftwell.sinks.touched import FileTable
 
 PLANS, plan = registry()
 
@@ -155,6 +156,24 @@ def _(spark, sf):
     return mutate.upsert_rows(c["customer"].select("c_custkey", "c_name", "c_acctbal"), incoming, ["c_custkey"], "o_orderkey")
 
 
+@plan(
+    "m5_touched_files",
+    "WITH u AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey < 1000 AND o_orderstatus = 'O' THEN 'X' ELSE o_orderstatus END AS o_orderstatus "
+    "FROM orders WHERE NOT (o_orderkey >= 3000 AND o_orderkey < 4000)), "
+    "n AS (SELECT s_suppkey * 2 AS o_orderkey FROM supplier) "
+    "SELECT coalesce(u.o_orderkey, n.o_orderkey) AS o_orderkey, u.o_custkey, "
+    "CASE WHEN n.o_orderkey IS NOT NULL THEN 'N' ELSE u.o_orderstatus END AS o_orderstatus FROM u FULL OUTER JOIN n ON u.o_orderkey = n.o_orderkey",
+)
+def _(spark, sf):
+    """Update, delete and upsert of a stored table, each rewriting the files it touches."""
+    c = catalog(spark, sf)
+    stored = FileTable(spark, scratch(spark), "o_orderkey").create(c["orders"].select("o_orderkey", "o_custkey", "o_orderstatus"))
+    stored.update({"o_orderkey": {"$lt": 1000}, "o_orderstatus": "O"}, {"o_orderstatus": "X"})
+    stored.delete({"o_orderkey": {"$gte": 3000, "$lt": 4000}})
+    stored.upsert(c["supplier"].select((F.col("s_suppkey") * 2).alias("o_orderkey"), F.lit("N").alias("o_orderstatus")))
+    return stored.read()
+
+
 @plan("m6_delete_many", "SELECT o_orderkey, o_totalprice FROM orders WHERE NOT (o_orderstatus = 'O' AND o_totalprice > 200000)")
 def _(spark, sf):
     return mutate.delete(
