@@ -236,15 +236,26 @@ def _written_cells(log: DataFrame) -> DataFrame:
     ).select("table_name", "pk_id", "seq", "c.column", "c.value")
 
 
-def answer_gets(log: DataFrame) -> DataFrame:
+def answer_gets(log: DataFrame, before: DataFrame | None = None) -> DataFrame:
     """Each SELECT answered from the state at its place in the log.
 
     Result: seq, table_name, pk_id, column, value (JSON text, null if unset).
-    SELECTs of rows that do not live have no result.
+    SELECTs of rows that do not live have no result. With ``before``, merged
+    ``state_partials`` of what came earlier, ``log`` is what came since.
     """
     keyed = log.where(F.col("pk_id").isNotNull())
+    marks = keyed.select("table_name", "pk_id", "seq", "type")
+    written = _written_cells(keyed)
+    if before is not None:
+        lives = F.array(
+            F.struct(F.col("born").alias("seq"), F.lit("INSERT").alias("type")), F.struct(F.col("died").alias("seq"), F.lit("DELETE").alias("type"))
+        )
+        marks = marks.unionByName(before.where("column is null").select("table_name", "pk_id", F.inline(lives)).where("seq is not null"))
+        written = written.unionByName(
+            before.where("column is not null").select("table_name", "pk_id", F.col("at").alias("seq"), "column", "value")
+        )
     life = running_scan(
-        keyed.select("table_name", "pk_id", "seq", "type"), ["table_name", "pk_id"], "seq",
+        marks, ["table_name", "pk_id"], "seq",
         {
             "born": Running("max", F.when(F.col("type") == "INSERT", F.col("seq"))),
             "died": Running("max", F.when(F.col("type") == "DELETE", F.col("seq"))),
@@ -254,7 +265,7 @@ def answer_gets(log: DataFrame) -> DataFrame:
         "table_name", "pk_id", "seq", F.explode("columns").alias("column"),
         _none("struct<at:bigint,value:string>").alias("w"), F.lit(True).alias("read"),
     )
-    writes = _written_cells(keyed).select(
+    writes = written.select(
         "table_name", "pk_id", "seq", "column",
         F.struct(F.col("seq").alias("at"), "value").alias("w"), F.lit(False).alias("read"),
     )

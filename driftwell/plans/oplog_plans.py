@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftwell.functions import render
@@ -32,6 +35,13 @@ ops AS (
   UNION ALL SELECT seq, user_id, value, k, event_type, 'SELECT', 'value,note' FROM ev WHERE event = 'get')"""
 
 
+def uneven_batches(operations):
+    """The operations in five batches that follow each other in the log."""
+    last = operations.agg(F.max("seq")).first()[0]
+    ends = [-1, *[int(last * share) for share in (0.03, 0.3, 0.31, 0.8)], last]
+    return [operations.where((F.col("seq") > after) & (F.col("seq") <= upto)) for after, upto in zip(ends, ends[1:], strict=False)]
+
+
 def shown(ops):
     key = F.try_variant_get(F.try_element_at("where", F.lit("user_id")), "$", "bigint")
     return ops.select("seq", "type", F.array_join("columns", ",").alias("columns"), key.alias("where_user"))
@@ -80,15 +90,13 @@ life AS (SELECT *, max(CASE WHEN type = 'INSERT' THEN seq END) OVER w AS born, m
   FROM ops WINDOW w AS (PARTITION BY user_id ORDER BY seq))"""
 
 
-@plan(
-    "c5_answered_gets",
-    f"""WITH {LIFE} SELECT seq, 'value' AS "column", CASE WHEN value_at >= born THEN last_value END AS number, CAST(NULL AS VARCHAR) AS text
+ANSWERS = f"""WITH {LIFE} SELECT seq, 'value' AS "column", CASE WHEN value_at >= born THEN last_value END AS number, CAST(NULL AS VARCHAR) AS text
       FROM life WHERE type = 'SELECT' AND born IS NOT NULL AND (died IS NULL OR born > died)
     UNION ALL SELECT seq, 'note', NULL, CASE WHEN note_at >= born THEN 'it''s ' || last_note END
-      FROM life WHERE type = 'SELECT' AND born IS NOT NULL AND (died IS NULL OR born > died)""",
-)
-def _(spark, sf):
-    answered = oplog.answer_gets(log(spark, sf))
+      FROM life WHERE type = 'SELECT' AND born IS NOT NULL AND (died IS NULL OR born > died)"""
+
+
+def answer_rows(answered):
     v = F.try_parse_json("value")
     return answered.select(
         "seq", "column", F.when(F.col("column") == "value", F.try_variant_get(v, "$", "double")).alias("number"),
@@ -96,6 +104,21 @@ def _(spark, sf):
     )
 
 
+@plan("c5_answered_gets", ANSWERS)
+def _(spark, sf):
+    return answer_rows(oplog.answer_gets(log(spark, sf)))
+
+
+@plan("c5_answered_from_snapshots", ANSWERS)
+def _(spark, sf):
+    """The same batch by batch: each batch's gets from the state before it and its own operations."""
+    kept, answers = KeptState(scratch(spark), buckets=16), []
+    for number, batch in enumerate(uneven_batches(materialize(log(spark, sf)))):
+        answers.append(kept.answers(spark, batch, number))
+        kept.step(spark, batch, number)
+    return answer_rows(reduce(DataFrame.unionByName, answers))
+
+
 @plan("c6_operation_log", f"WITH {OPS} SELECT row_number() OVER (ORDER BY seq) AS op_seq, seq, type, columns, CASE WHEN event_type = 'error' THEN NULL ELSE 'agent' || (seq % 7) END AS actor FROM ops")
 def _(spark, sf):
     numbered = oplog.number_operations(log(spark, sf))
@@ -122,12 +145,9 @@ def _(spark, sf):
 @plan("c7_kept_state", STATE)
 def _(spark, sf):
     """The same from operations that arrive in five uneven batches, each aggregated by itself and merged by level."""
-    operations = materialize(log(spark, sf))
-    last = operations.agg(F.max("seq")).first()[0]
-    kept = KeptState(scratch(spark))
-    ends = [-1, *[int(last * share) for share in (0.03, 0.3, 0.31, 0.8)], last]
-    for number, (after, upto) in enumerate(zip(ends, ends[1:], strict=False)):
-        kept.step(spark, operations.where((F.col("seq") > after) & (F.col("seq") <= upto)), number)
+    kept = KeptState(scratch(spark), buckets=16)
+    for number, batch in enumerate(uneven_batches(materialize(log(spark, sf)))):
+        kept.step(spark, batch, number)
     return state_rows(kept.state(spark, 4))
 
 

@@ -1,4 +1,4 @@
-"""The current state of the entity tables, kept while operations arrive."""
+"""The current state of the entity tables, kept while operations arrive (C7), and gets answered from it."""
 
 from __future__ import annotations
 
@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftwell.operators.oplog import living_cells, state_partials
+from driftwell.operators.oplog import answer_gets, living_cells, state_partials
+from driftwell.session import materialize
 from driftwell.streaming.runs import Runs
 
 PARTIALS = "table_name string, pk_id string, column string, at bigint, value string, born bigint, died bigint"
@@ -28,10 +29,11 @@ class KeptState:
     """
 
     base: str
+    buckets: int = 64
 
     @property
     def runs(self) -> Runs:
-        return Runs(self.base, PARTIALS, merged)
+        return Runs(self.base, PARTIALS, merged, ("table_name", "pk_id"), self.buckets)
 
     def step(self, spark: SparkSession, operations: DataFrame, batch_id: int) -> None:
         self.runs.add(spark, state_partials(operations), batch_id)
@@ -39,3 +41,17 @@ class KeptState:
     def state(self, spark: SparkSession, version: int) -> DataFrame:
         """table_name, pk_id, column, value after a batch, as ``current_state`` of the whole log up to it."""
         return living_cells(self.runs.read(spark, version))
+
+    def answers(self, spark: SparkSession, operations: DataFrame, batch_id: int) -> DataFrame:
+        """The SELECTs of a batch answered as ``answer_gets`` of the whole log would.
+
+        The state before the batch is the snapshot and the batch the log after it.
+        Of both only the rows that the batch asks for are scanned, so the cost goes
+        with gets and batch, not with the log. Asked before or after ``step``.
+        """
+        keys = list(self.runs.keys)
+        asked = materialize(operations.where("type = 'SELECT' and pk_id is not null").select(*keys).distinct())
+        tail = operations.join(asked, keys, "left_semi")
+        if batch_id == 0:
+            return answer_gets(tail)
+        return answer_gets(tail, materialize(self.runs.read(spark, batch_id - 1, asked)))

@@ -1,5 +1,6 @@
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -100,6 +101,30 @@ def test_answers(log):
     assert got == answers
 
 
+def test_answers_from_snapshots(spark, log, tmp_path):
+    """Gets of six batches, answered from the state before each, are those of the whole log; folders not asked for stay shut."""
+    kept, got = KeptState(str(tmp_path), buckets=8), []
+    bounds = [-1, 20, 21, 90, 150, 200, 10**6]
+    for b, (lo, hi) in enumerate(zip(bounds, bounds[1:], strict=False)):
+        batch = log.where((F.col("seq") > lo) & (F.col("seq") <= hi))
+        got += map(tuple, kept.answers(spark, batch, b).collect())
+        kept.step(spark, batch, b)
+        assert b == 0 or sorted(map(tuple, kept.answers(spark, batch, b).collect())) == sorted(g for g in got if lo < g[0] <= hi)
+    assert sorted(got) == sorted(map(tuple, oplog.answer_gets(log).collect()))
+    one = spark.createDataFrame([("item", json.dumps("k1"))], "table_name string, pk_id string")
+    opened = kept.runs.read(spark, 5, one)
+    planned = kept.runs.parts(spark, 5, one)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"PartitionFilters: \[[^\]]*bucket#", planned)) == planned.count("PartitionFilters") == 3
+    assert {r.pk_id for r in opened.collect()} == {json.dumps("k1")}
+
+
+def test_no_gets_no_answers(spark, log, tmp_path):
+    kept = KeptState(str(tmp_path))
+    batch = log.where("type <> 'SELECT'")
+    kept.step(spark, batch, 0)
+    assert kept.answers(spark, batch, 1).collect() == []
+
+
 def test_statements_escape_quotes(log):
     texts = [r.sql for r in oplog.number_operations(log).orderBy("op_seq").collect()]
     assert len(texts) == log.count()
