@@ -6,7 +6,7 @@ an empty list remain three different things.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -19,6 +19,15 @@ def once(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def each(rows: DataFrame, values: Column, *names: str) -> DataFrame:
+    """One row per element, or per key and value, of ``values``; the first name is not null.
+
+    ``explode`` alone lets Catalyst infer that ``values`` is not empty, push that
+    below the projections and joins underneath, and compute ``values`` there again.
+    """
+    return rows.select("*", F.explode_outer(values).alias(*names)).where(F.col(names[0]).isNotNull())
+
+
 def strict_json(raw: Column) -> Column:
     """Parse exactly one JSON value; null when the text is anything else.
 

@@ -6,33 +6,36 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from driftwell.functions.coerce import shown_text
-from driftwell.functions.payload import text
+from driftwell.functions.payload import once, text
 
 
 def _quoted(s: Column) -> Column:
     return F.concat(F.lit("'"), F.replace(s, F.lit("'"), F.lit("''")), F.lit("'"))
 
 
+def _typed(value: Column, show) -> Column:
+    """``show(type, text)`` of a value, both taken from it once."""
+    return once(F.struct(F.schema_of_variant(value).alias("kind"), text(value).alias("plain")), lambda v: show(v["kind"], v["plain"]))
+
+
 def sql_literal(value: Column) -> Column:
     """NULL, 1/0, numbers as they are, quoted text, lists and objects as quoted JSON."""
-    kind, plain = F.schema_of_variant(value), text(value)
-    return (
-        F.when(value.isNull() | (kind == "VOID"), F.lit("NULL"))
+    return _typed(value, lambda kind, plain: (
+        F.when(kind.isNull() | (kind == "VOID"), F.lit("NULL"))
         .when(kind == "BOOLEAN", F.when(plain == "true", "1").otherwise("0"))
         .when(kind.rlike("^(STRING|ARRAY|OBJECT)"), _quoted(plain))
         .otherwise(shown_text(kind, plain))
-    )
+    ))
 
 
 def document_literal(value: Column) -> Column:
     """null, true/false, numbers, double-quoted text, JSON."""
-    kind, plain = F.schema_of_variant(value), text(value)
-    return (
-        F.when(value.isNull() | (kind == "VOID"), F.lit("null"))
+    return _typed(value, lambda kind, plain: (
+        F.when(kind.isNull() | (kind == "VOID"), F.lit("null"))
         .when(kind == "STRING", F.concat(F.lit('"'), F.replace(plain, F.lit('"'), F.lit('\\"')), F.lit('"')))
         .when(kind.rlike("^(BOOLEAN|ARRAY|OBJECT)"), plain)
         .otherwise(shown_text(kind, plain))
-    )
+    ))
 
 
 def _assignments(names: Column, values: Column, between: str) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftwell.functions.payload import elements, fields, fixed_width, identity, is_list, once, short_identity
+from driftwell.functions.payload import each, elements, fields, fixed_width, identity, is_list, once, short_identity
 
 ENTITY_BATCH, RELATION_BATCH = 400, 1000
 
@@ -59,9 +59,8 @@ def dependency_partials(
     Partials of parts of a batch are merged by ``merged_dependencies``.
     """
     entries = F.filter(_entries(payload, global_key), lambda e: ~e["listed"])
-    rows = records.select(F.col(batch).cast("bigint").alias("batch"), entries.alias("e")).select(
-        "batch", "e", F.explode(F.filter("e", lambda e: e["field"].isin(keys))).alias("k")
-    ).select("batch", "k", F.explode("e").alias("c"))
+    cells = records.select(F.col(batch).cast("bigint").alias("batch"), entries.alias("e"))
+    rows = each(each(cells, F.filter("e", lambda e: e["field"].isin(keys)), "k"), F.col("e"), "c").drop("e")
     pairs = rows.where(F.col("c.field") != F.col("k.field"))
     return pairs.groupBy(
         "batch", F.col("k.field").alias("key"), F.col("k.id").alias("key_id"), F.col("c.field").alias("column")
@@ -104,20 +103,21 @@ def inclusion_partials(records: DataFrame, batch: str, payload: str, global_key:
     Elements of lists are values too. Partials of parts of a batch are merged by
     ``merged_inclusions``.
     """
+    short = lambda v: once(identity(v), short_identity)
     entries = F.transform(
         F.map_entries(fields(F.col(payload))),
-        lambda e: F.struct(
-            e["key"].alias("field"),
-            is_list(e["value"]).alias("listed"),
-            F.when(
-                is_list(e["value"]),
-                F.transform(F.filter(elements(e["value"]), lambda x: ~is_list(x)), lambda x: short_identity(identity(x))),
-            ).otherwise(F.array(short_identity(identity(e["value"])))).alias("ids"),
+        lambda e: once(
+            is_list(e["value"]),
+            lambda listed: F.struct(
+                e["key"].alias("field"), listed.alias("listed"),
+                F.when(listed, F.transform(F.filter(elements(e["value"]), lambda x: ~is_list(x)), short))
+                .otherwise(F.array(short(e["value"]))).alias("ids"),
+            ),
         ),
     )
     if global_key:
         entries = F.filter(entries, lambda e: e["field"] != F.lit(global_key))
-    columns = records.select(F.col(batch).cast("bigint").alias("batch"), F.explode(entries).alias("e"))
+    columns = each(records.select(F.col(batch).cast("bigint").alias("batch"), entries.alias("all")), F.col("all"), "e")
     values = columns.select(
         "batch", F.col("e.field").alias("field"), F.col("e.listed").alias("listed"), F.explode_outer("e.ids").alias("id")
     )
@@ -130,32 +130,28 @@ def merged_inclusions(partials: DataFrame) -> DataFrame:
 
 
 def held_inclusions(values: DataFrame, keys: list[str]) -> DataFrame:
-    """batch, column, references: the columns whose values are all among a key's."""
+    """batch, column, references: the columns whose values are all among a key's.
+
+    ``values`` are read once. A value that only empty lists have is null, and counts as none.
+    """
+    holders = values.groupBy("batch", "id").agg(F.collect_list(F.struct("field", "listed")).alias("f"))
+    held = each(
+        holders.select(
+            "batch", "id", F.filter("f", lambda c: ~c["field"].isin(keys)).alias("others"),
+            F.transform(F.filter("f", lambda c: c["field"].isin(keys)), lambda c: c["field"]).alias("in_keys"),
+        ),
+        F.col("others"), "c",
+    ).select("batch", F.col("c.field").alias("column"), F.col("c.listed").alias("listed"), "id", "in_keys")
     # a column with a list anywhere in the batch cannot refer
-    lists = values.groupBy("batch", "field").agg(F.bool_or("listed").alias("any_list"))
-    holders = (
-        values.where(F.col("id").isNotNull())
-        .groupBy("batch", "id")
-        .agg(F.collect_set("field").alias("f"))
-        .select(
-            "batch",
-            F.explode(F.filter("f", lambda c: ~c.isin(keys))).alias("column"),
-            F.filter("f", lambda c: c.isin(keys)).alias("in_keys"),
-        )
-    )
-    sizes = holders.groupBy("batch", "column").agg(
-        F.count(F.lit(1)).alias("n"), *[F.count_if(F.array_contains("in_keys", k)).alias(f"_k{i}") for i, k in enumerate(keys)]
-    )
+    sizes = held.groupBy("batch", "column").agg(
+        F.bool_or("listed").alias("any_list"), F.count("id").alias("n"),
+        *[F.count_if(F.col("id").isNotNull() & F.array_contains("in_keys", k)).alias(f"_k{i}") for i, k in enumerate(keys)],
+    ).where("not any_list and n > 0")
     tested = sizes.select(
         "batch", "column", "n",
         F.explode(F.array(*[F.struct(F.lit(k).alias("references"), F.col(f"_k{i}").alias("hits")) for i, k in enumerate(keys)])).alias("t"),
     )
-    scalar = lists.where(~F.col("any_list")).select("batch", F.col("field").alias("column"))
-    return (
-        tested.where(F.col("t.hits") == F.col("n"))
-        .join(scalar, ["batch", "column"], "left_semi")
-        .select("batch", "column", "t.references")
-    )
+    return tested.where(F.col("t.hits") == F.col("n")).select("batch", "column", "t.references")
 
 
 def inclusion_dependencies(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftwell.functions import render
-from driftwell.functions.payload import fields, identity, is_list, text
+from driftwell.functions.payload import each, fields, identity, is_list, text
 from driftwell.operators.scan import Running, dense_number, running_scan
 from driftwell.session import lookup_join, materialize
 
@@ -60,7 +60,7 @@ def entity_events(
     # only the fields that are keys are worth a row
     keys = defs.agg(F.collect_set("primary_key").alias("k")).scalar()
     keyed = lookup_join(
-        prepared.withColumn("primary_key", F.explode(F.array_intersect("scalars", keys))),
+        each(prepared, F.array_intersect("scalars", keys), "primary_key"),
         defs, ["primary_key"], "inner", salt=F.col("seq"),
     )
     empty = F.array().cast("array<string>")
@@ -231,9 +231,8 @@ def living_cells(partials: DataFrame) -> DataFrame:
 
 def _written_cells(log: DataFrame) -> DataFrame:
     pairs = F.zip_with("columns", "values", lambda c, v: F.struct(c.alias("column"), F.to_json(v).alias("value")))
-    return log.where(F.col("type").isin("INSERT", "UPDATE")).select(
-        "table_name", "pk_id", "seq", F.explode(pairs).alias("c")
-    ).select("table_name", "pk_id", "seq", "c.column", "c.value")
+    writes = log.where(F.col("type").isin("INSERT", "UPDATE")).select("table_name", "pk_id", "seq", pairs.alias("cells"))
+    return each(writes, F.col("cells"), "c").select("table_name", "pk_id", "seq", "c.column", "c.value")
 
 
 def answer_gets(log: DataFrame, before: DataFrame | None = None) -> DataFrame:
