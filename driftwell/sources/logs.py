@@ -36,8 +36,9 @@ def parse_commands(lines: DataFrame, column: str = "value") -> DataFrame:
     document does not decode, is marked skipped.
     """
     kept = [c for c in lines.columns if c != column]
-    # arrays hold each step's result, so that the next step does not compute it again
-    return lines.select(*kept, once(stripped(F.col(column)), _command).alias("_c")).select(
+    # arrays hold each step's result, so that the next step does not compute it again;
+    # one row comes of each line, and a filter on it stays above, where the line is read already
+    return lines.select(*kept, F.explode_outer(F.transform(F.array(stripped(F.col(column))), _command)).alias("_c")).select(
         *kept, F.when(F.col("_c.document").isNotNull(), F.col("_c.name")).alias("collection"),
         F.col("_c.document").alias("document"), F.col("_c.document").isNull().alias("skipped"),
     )

@@ -71,6 +71,15 @@ def test_all_pairs_against_pair_by_pair(spark, seed):
     assert {r.column for r in dep.list_columns(df, "record", "user").collect()} == want[0][2] | want[1][2]
 
 
+def test_inclusions_of_empty_and_null_values(spark):
+    """A column of empty lists refers to nothing and spoils only itself; a null is a value that a key may lack."""
+    records = [{"k": 1, "a": 1, "b": [], "c": None, "d": 1}, {"k": 2, "a": 2, "b": [], "c": 2}, {"k": 2, "d": []}]
+    rows = [(0, json.dumps(r)) for r in records] + [(1, json.dumps({"k": None, "c": None})), (2, json.dumps({}))]
+    df = spark.createDataFrame(rows, "batch int, raw string").select("batch", strict_json(F.col("raw")).alias("record"))
+    got = {tuple(r) for r in dep.inclusion_dependencies(df, "batch", "record", ["k"]).collect()}
+    assert got == {(0, "a", "k"), (1, "c", "k")}
+
+
 def test_junction_sample(spark):
     records = [
         {"boat_id": "b7", "hull": "oak", "harbour_id": ["north", "west"], "fleet": "red", "keeper": "k1"},
