@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from driftwell.functions import render
 from driftwell.functions.payload import each, fields, identity, is_list, text
 from driftwell.operators.scan import Running, dense_number, running_scan
-from driftwell.session import lookup_join, materialize
+from driftwell.session import even_join, lookup_join, materialize
 
 DDL_SEQ = -1
 LOG_COLUMNS = ["seq", "type", "table_name", "columns", "values", "where", "pk_id", "actor"]
@@ -205,7 +205,7 @@ def current_state(log: DataFrame) -> DataFrame:
     last = written.groupBy("table_name", "pk_id", "column").agg(
         F.max("seq").alias("at"), F.max_by("value", "seq").alias("value")
     )
-    return last.join(life, ["table_name", "pk_id"]).where("at >= born").select("table_name", "pk_id", "column", "value")
+    return even_join(last, life, ["table_name", "pk_id"]).where("at >= born").select("table_name", "pk_id", "column", "value")
 
 
 def state_partials(log: DataFrame) -> DataFrame:
@@ -226,7 +226,7 @@ def living_cells(partials: DataFrame) -> DataFrame:
     """The state from merged partials: cells written since the last INSERT of rows that live."""
     life = partials.where("column is null and born is not null and (died is null or born > died)").select("table_name", "pk_id", "born")
     cells = partials.where("column is not null").select("table_name", "pk_id", "column", "at", "value")
-    return cells.join(life, ["table_name", "pk_id"]).where("at >= born").select("table_name", "pk_id", "column", "value")
+    return even_join(cells, life, ["table_name", "pk_id"]).where("at >= born").select("table_name", "pk_id", "column", "value")
 
 
 def _written_cells(log: DataFrame) -> DataFrame:
@@ -271,7 +271,7 @@ def answer_gets(log: DataFrame, before: DataFrame | None = None) -> DataFrame:
     scanned = running_scan(
         reads.union(writes), ["table_name", "pk_id", "column"], "seq", {"last": Running("last", F.col("w"))}
     ).where("read")
-    joined = scanned.join(life.select("table_name", "pk_id", "seq", "born"), ["table_name", "pk_id", "seq"])
+    joined = even_join(scanned, life.select("table_name", "pk_id", "seq", "born"), ["table_name", "pk_id", "seq"])
     return joined.select(
         "seq", "table_name", "pk_id", "column",
         F.when(F.col("last.at") >= F.col("born"), F.col("last.value")).alias("value"),

@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from driftwell.session import even_join
+
 BLOCK_BITS = 18
 
 
@@ -119,7 +121,7 @@ def running_scan(
             for n, m in measures.items()
         ],
     )
-    carry = blocks.join(supers, [*group, "_sup"]).select(
+    carry = even_join(blocks, supers, [*group, "_sup"]).select(
         *group, "_blk",
         *[
             m.merge(F.col(f"{slot[n]}s"), F.col(f"{slot[n]}b")).alias(f"{slot[n]}c")
@@ -135,7 +137,7 @@ def running_scan(
             for n, m in measures.items()
         }
     )
-    joined = local.join(carry, [*group, "_blk"], "left")
+    joined = even_join(local, carry, [*group, "_blk"], "left")
     return joined.select(
         *[F.col(c) for c in df.columns if c not in measures],
         *[

@@ -47,3 +47,12 @@ def test_ingest_time_is_the_recurrence(spark, bits):
         want.append(last)
     got = [r.sys_ingested_us for r in ingest_time(rows, "seq", "us", block_bits=bits).orderBy("seq").collect()]
     assert got == want
+
+
+def test_no_side_of_a_scan_is_broadcast(spark):
+    """Partials of blocks grow with the groups; adaptive execution must not send them through the driver."""
+    df = spark.range(300).select((F.col("id") % 50).alias("g"), F.col("id").alias("seq"))
+    got = running_scan(df, ["g"], "seq", {"n": Running("count", F.lit(1))}, block_bits=5)
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
