@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftwell.operators.scan import BLOCK_BITS, Running, dense_number, running_scan
+from driftwell.session import even_join
 
 
 def event_time(stamp: Column, now: Column | None = None) -> Column:
@@ -34,11 +35,11 @@ def ingest_time(
 def reassemble(relational: DataFrame, documents: DataFrame, key: str = "sys_ingested_at") -> DataFrame:
     """Relational rows with their document and whether it was found."""
     marked = documents.withColumn("_there", F.lit(True))
-    return relational.join(marked, key, "left").withColumn(
+    return even_join(relational, marked, [key], "left").withColumn(
         "document_found", F.when(F.col("_there"), "YES").otherwise("NO")
     ).drop("_there")
 
 
 def broken_links(relational: DataFrame, documents: DataFrame, key: str = "sys_ingested_at") -> DataFrame:
     """Relational rows without a document."""
-    return relational.join(documents.select(key), key, "left_anti")
+    return even_join(relational, documents.select(key), [key], "left_anti")

@@ -11,7 +11,7 @@ from driftwell.functions.coerce import with_traits
 from driftwell.functions.payload import elements, fields, once, strict_json
 from driftwell.operators.scan import dense_number
 from driftwell.operators.widening import drift_log, type_history
-from driftwell.session import materialize
+from driftwell.session import even_join, materialize
 
 # fixed value: name of the id column
 ROW_ID = "table_autogen_id"
@@ -104,7 +104,7 @@ def number_nodes(nodes: DataFrame) -> DataFrame:
         F.col("table_name").alias("parent_table"), "seq", F.col("path").alias("parent_path"),
         F.col(ROW_ID).alias("parent_id"),
     )
-    return numbered.join(parents, ["parent_table", "seq", "parent_path"], "left")
+    return even_join(numbered, parents, ["parent_table", "seq", "parent_path"], "left")
 
 
 def node_cells(nodes: DataFrame) -> DataFrame:
@@ -140,13 +140,13 @@ def insert_operations(numbered: DataFrame) -> DataFrame:
         F.col("parent_table").alias("table_name"), "seq", F.col("parent_path").alias("path"),
         F.col("parent_key").alias("field"), F.col(ROW_ID).alias("child_id"),
     )
-    cells = node_cells(numbered).join(ids, ["table_name", "seq", "path", "field"], "left")
+    cells = even_join(node_cells(numbered), ids, ["table_name", "seq", "path", "field"], "left")
     shown = F.when(F.col("is_child"), F.col("child_id").cast("string")).otherwise(F.to_json("value"))
     per_row = cells.groupBy("table_name", "seq", "path", ROW_ID).agg(
         F.array_sort(F.collect_list(F.struct("at", "field", shown.alias("shown")))).alias("c")
     )
-    rows = numbered.select("table_name", "seq", "path", ROW_ID).join(
-        per_row, ["table_name", "seq", "path", ROW_ID], "left"
+    rows = even_join(
+        numbered.select("table_name", "seq", "path", ROW_ID), per_row, ["table_name", "seq", "path", ROW_ID], "left"
     )
     empty = F.array().cast("array<string>")
     return rows.select(

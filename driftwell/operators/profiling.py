@@ -9,7 +9,7 @@ from driftwell.functions.coerce import with_traits
 from driftwell.functions.payload import fields, identity, is_list, is_nested, short_identity, text
 from driftwell.operators.scan import Running, dense_number, running_scan
 from driftwell.operators.widening import CHANGES, continue_history, type_history, type_summary
-from driftwell.session import lookup_join, materialize
+from driftwell.session import even_join, lookup_join, materialize
 
 # fixed values: thresholds and store names
 PRESENCE_FLOOR = 0.80
@@ -160,7 +160,7 @@ def placement_replay(
         history = continue_history(summary, ["field"], F.coalesce("known", F.lit("UNK")))
     length = F.col("length").cast("bigint")
     scanned = running_scan(
-        cells.drop("traits").join(slim, seq),
+        even_join(cells.drop("traits"), slim, [seq]),
         ["field"],
         seq,
         {
@@ -220,7 +220,7 @@ def profile_sums(
     """
     if cells is None:
         cells = described_cells(records.select(seq, payload), seq, payload)
-    cells = cells.join(record_numbers(records, seq), seq)
+    cells = even_join(cells, record_numbers(records, seq), [seq])
     flat = ~F.col("nested")
     length = F.col("length").cast("bigint")
     return cells.groupBy("field").agg(

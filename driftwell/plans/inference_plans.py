@@ -13,6 +13,7 @@ from driftwell.operators import dependencies as dep
 from driftwell.operators import schema
 from driftwell.operators.scan import dense_number
 from driftwell.plans.common import catalog, registry, table
+from driftwell.session import even_join
 
 PLANS, plan = registry()
 
@@ -47,7 +48,7 @@ COLUMNS = {"c_custkey": "n", "o_orderkey": "n", "c_name": "s", "c_nationkey": "n
 def order_texts(spark, sf):
     """One open record per order with its customer, as text; some fields are absent in some records."""
     c = catalog(spark, sf)
-    joined = c["orders"].join(c["customer"], F.col("o_custkey") == F.col("c_custkey"))
+    joined = c["orders"].hint("merge").join(c["customer"].hint("merge"), F.col("o_custkey") == F.col("c_custkey"))
     key = F.col("o_orderkey")
     raw = F.to_json(
         F.struct(
@@ -68,7 +69,7 @@ def order_records(spark, sf):
 def batched(spark, sf, size):
     # numbering needs the order only; the records join it
     numbers = dense_number(table(spark, sf, "orders").select("o_orderkey"), "no", "o_orderkey")
-    return order_records(spark, sf).join(numbers, "o_orderkey").withColumn("batch", dep.batch_number(F.col("no"), size))
+    return even_join(order_records(spark, sf), numbers, ["o_orderkey"]).withColumn("batch", dep.batch_number(F.col("no"), size))
 
 
 def rec_sql(size):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from driftwell.functions import render
 from driftwell.operators import oplog
 from driftwell.plans.common import CHANGE_SQL, change_events, registry, scratch, table
-from driftwell.session import materialize
+from driftwell.session import even_join, materialize
 from driftwell.streaming.state import KeptState
 
 PLANS, plan = registry()
@@ -50,7 +50,7 @@ def shown(ops):
 def from_event(spark, sf, event):
     """The operations that one kind of event gives, out of the log of all events."""
     kind = change_events(spark, sf).select("seq", "event").where(F.col("event") == event)
-    return log(spark, sf).join(kind, "seq", "left_semi")
+    return even_join(log(spark, sf), kind, ["seq"], "left_semi")
 
 
 @plan("c1_insert_or_update", f"WITH {OPS} SELECT seq, type, columns, CASE WHEN type = 'UPDATE' THEN user_id END AS where_user FROM ops WHERE event_type IN ('signup', 'purchase')")

@@ -11,7 +11,7 @@ from driftwell.operators.scan import dense_number
 from driftwell.operators.widening import type_history
 from driftwell.plans.common import change_events, registry, scratch, table
 from driftwell.plans.oplog_plans import OPS
-from driftwell.session import materialize
+from driftwell.session import even_join, materialize
 from driftwell.sources import sse
 from driftwell.sources.logs import read_operation_log
 from driftwell.streaming import incremental
@@ -101,7 +101,7 @@ def _(spark, sf):
     base = ingested(spark, sf).base
     relational = stores.read_relational(spark, f"{base}/stores/relational", "root")
     documents = stores.read_documents(spark, f"{base}/stores/documents", "root", "seq bigint, document string")
-    return relational.join(documents, "seq").select(
+    return even_join(relational, documents, ["seq"]).select(
         "event_id", "user_id", "value", F.get_json_object("document", "$.props.k").cast("bigint").alias("k"),
         F.get_json_object("document", "$.rare").alias("rare"),
     )
@@ -358,7 +358,7 @@ def logged_changes(spark, sf):
     kinds = change_events(spark, sf).select(F.col("seq").alias("order"), "event")
     body = F.to_json(F.struct("user_id", (F.col("user_id") % 5).alias("team"), F.lit("a").alias("actor")))
     bodies = table(spark, sf, "events").select(F.col("event_id").alias("order"), body.alias("data"))
-    frames = kinds.join(bodies, "order").select("order", "event", "data")
+    frames = even_join(kinds, bodies, ["order"]).select("order", "event", "data")
     init = init_frame(spark, actor="global_key", user_id="unique")
     return landed_frames(spark, init.union(frames), (0.04, 0.6), Ingest(scratch(spark), learn=True))
 
@@ -406,7 +406,7 @@ def _(spark, sf):
     read = lambda name: tables.read(spark, name, 2)
     root = read("root").select("seq", "id", F.col(ROW_ID).alias("row_id"), "parent_id", F.col("user").cast("string").alias("shown"))
     ids = root.select("seq", "id")
-    own = lambda name, column: read(name).join(ids, "seq").select(
+    own = lambda name, column: even_join(read(name), ids, ["seq"]).select(
         F.lit(name).alias("table_name"), "id", F.col(ROW_ID).alias("row_id"), "parent_id", F.col(column).cast("string").alias("shown"))
     parts = [root.select(F.lit("root").alias("table_name"), "id", "row_id", "parent_id", "shown")]
     parts += [own(n, c) for n, c in (("root_meta", "type"), ("root_meta_props", "k"), ("root_items", "p"))]

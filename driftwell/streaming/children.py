@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from driftwell.functions.payload import elements, fields, strict_json
 from driftwell.operators.nesting import ROW_ID, number_nodes, record_nodes
 from driftwell.operators.widening import continue_history, type_summary
-from driftwell.session import materialize
+from driftwell.session import even_join, materialize
 from driftwell.sinks import reports, stores
 
 ROWS = (
@@ -51,7 +51,7 @@ class ChildTables:
         held = shifted.where(F.col("parent_table").isNotNull() & F.col("pos").isNull()).groupBy(
             F.col("parent_table").alias("table_name"), "seq", F.col("parent_path").alias("path")
         ).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("parent_key"), F.col(ROW_ID))))).alias("children"))
-        rows = shifted.withColumn("cells", own_cells("raw")).join(held, ["table_name", "seq", "path"], "left")
+        rows = even_join(shifted.withColumn("cells", own_cells("raw")), held, ["table_name", "seq", "path"], "left")
         # a table with most rows is many files, one with few is one
         rows = rows.select(*[c.split()[0] for c in ROWS.split(", ")]).hint("rebalance", "table_name")
         rows.write.mode("overwrite").partitionBy("table_name").parquet(f"{self.base}/rows/batch_id={batch_id}")

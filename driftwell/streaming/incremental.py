@@ -9,6 +9,7 @@ from driftwell.operators.profiling import described_cells, profile_sums
 from driftwell.operators.scan import Running, running_scan
 from driftwell.operators.schema import schema_changes
 from driftwell.operators.widening import continue_history, type_summary
+from driftwell.session import even_join
 
 SUMS = ["total_seen", "present_count", "samples", "chars", "squares"]
 
@@ -86,7 +87,7 @@ def first_seen_step(previous: DataFrame | None, batch: DataFrame) -> tuple[DataF
     touched = batch.groupBy(*group).agg(F.max_by(trace, F.when(trace.isNotNull(), F.col("seq"))).alias("seen"))
     before = F.lit(False)
     if previous is not None:
-        scanned = scanned.join(previous.select(*group, F.col("seen").alias("_before")), group, "left")
+        scanned = even_join(scanned, previous.select(*group, F.col("seen").alias("_before")), group, "left")
         before = F.coalesce("_before", F.lit(False))
     kind = (
         F.when(write, F.when(F.coalesce(F.col("_seen"), before), "UPDATE").otherwise("INSERT"))
@@ -101,5 +102,5 @@ def latest_flags(deltas: DataFrame, batch: DataFrame | None = None) -> DataFrame
     """Seen flags from the per-batch deltas; only of a batch's keys when one is given."""
     group = ["table_name", "pk_id"]
     if batch is not None:
-        deltas = deltas.join(batch.select(*group).distinct(), group, "left_semi")
+        deltas = even_join(deltas, batch.select(*group).distinct(), group, "left_semi")
     return deltas.groupBy(*group).agg(F.max_by("seen", "batch_id").alias("seen"))

@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from driftwell.session import even_join
+
 #: Runs of this many batches, or of this many runs, are merged into one.
 FAN = 4
 
@@ -80,5 +82,5 @@ class Runs:
         runs = [self._read(spark, *run) for run in self.live(version)]
         if wanted is not None:
             folders = [r.bucket for r in wanted.select(self._bucket().alias("bucket")).distinct().collect()]
-            runs = [r.where(F.col("bucket").isin(folders)).join(wanted, list(self.keys), "left_semi") for r in runs]
+            runs = [even_join(r.where(F.col("bucket").isin(folders)), wanted, list(self.keys), "left_semi") for r in runs]
         return reduce(DataFrame.unionByName, runs)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from driftwell.operators import dependencies as dep
 from driftwell.operators import oplog, schema
 from driftwell.operators.scan import dense_number
-from driftwell.session import materialize
+from driftwell.session import even_join, materialize
 from driftwell.sinks import reports
 from driftwell.sources import sse
 from driftwell.streaming.kept import LearnedSchema, keep_first_seen, keep_schema
@@ -99,7 +99,7 @@ class SecondStage:
         global_key, keys = config
         written = events.where(F.col("event").isin("create", "add")).select("seq", "record")
         numbers = dense_number(written.select("seq"), "no", "seq").select("seq", (F.col("no") + counted).alias("no"))
-        records = materialize(written.join(numbers, "seq"))
+        records = materialize(even_join(written, numbers, ["seq"]))
         total = records.agg(F.coalesce(F.max("no"), F.lit(counted))).first()[0]
 
         def windows(size: int) -> DataFrame:

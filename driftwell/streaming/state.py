@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftwell.operators.oplog import answer_gets, living_cells, state_partials
-from driftwell.session import materialize
+from driftwell.session import even_join, materialize
 from driftwell.streaming.runs import Runs
 
 PARTIALS = "table_name string, pk_id string, column string, at bigint, value string, born bigint, died bigint"
@@ -51,7 +51,7 @@ class KeptState:
         """
         keys = list(self.runs.keys)
         asked = materialize(operations.where("type = 'SELECT' and pk_id is not null").select(*keys).distinct())
-        tail = operations.join(asked, keys, "left_semi")
+        tail = even_join(operations, asked, keys, "left_semi")
         if batch_id == 0:
             return answer_gets(tail)
         return answer_gets(tail, materialize(self.runs.read(spark, batch_id - 1, asked)))

@@ -88,3 +88,12 @@ def test_split_rejoins_without_loss(spark, records):
     for r in pr.split_payload(records, placement, "record").select("seq", F.to_json("relational").alias("a"), F.to_json("document").alias("b")).collect():
         assert json.loads(r.a) | json.loads(r.b) == make()[r.seq]
         assert set(json.loads(r.a)) == {"id", "name"}
+
+
+def test_numbered_cells_are_not_broadcast(spark):
+    """Cells and record numbers both grow with the records: neither goes through the driver."""
+    raw = F.concat(F.lit('{"a":'), F.col("id").cast("string"), F.lit("}"))
+    records = spark.range(60).select(F.col("id").alias("seq"), F.parse_json(raw).alias("record"))
+    sums = pr.profile_sums(records, "seq", "record")
+    sums.collect()
+    assert "Broadcast" not in sums._jdf.queryExecution().executedPlan().toString()
