@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from driftwell.session import even_join, materialize
+
 # strings with the bracket they name, strings that do not end here, brackets, and what is between
 TOKEN = r'"[^"]*"(?:\s*:\s*[\[{])?|"[^"]*$|[\[{\]}]|[^"\[{\]}]+'
 _BEFORE = (Window.unboundedPreceding, -1)
@@ -65,7 +67,7 @@ def _placed(pieces: DataFrame) -> DataFrame:
     blocks = blocks.withColumn("odd", F.coalesce(F.sum("quotes").over(in_order), F.lit(0)) % 2 == 1)
     grown = F.when(F.col("odd"), F.col("d1")).otherwise(F.col("d0"))
     blocks = blocks.select("file", "start", "odd", F.coalesce(F.sum(grown).over(in_order), F.lit(0)).alias("base"))
-    return masked.join(blocks, ["file", "start"]).select(
+    return even_join(masked, blocks, ["file", "start"]).select(
         "file", "start", "at", "text", "masked",
         ((F.col("seen") % 2 == 1) != F.col("odd")).alias("inside"),
         (F.col("base") + F.when(F.col("odd"), F.col("r1")).otherwise(F.col("r0"))).cast("int").alias("depth"),
@@ -109,15 +111,16 @@ def _walk(key: str) -> Column:
 
 def _opened(pieces: DataFrame, key: str) -> DataFrame:
     """Pieces of objects with their number in the file, 0 for the pieces between them."""
-    walked = pieces.withColumn("w", _walk(key)).select(
+    # three passes read what the walk finds; walking happens once
+    walked = materialize(pieces.withColumn("w", _walk(key)).select(
         "file", "start", "at", "text", F.col("w.held").alias("held"), F.col("w.opens").alias("opens"), ((F.col("w.depth") == 2) & F.col("w.closes")).alias("leaves"),
-    )
+    ))
     so_far = Window.partitionBy("file", "start").orderBy("at")
     own = walked.withColumn("own", F.last("held", True).over(so_far))
     ends = own.groupBy("file", "start").agg(F.max_by("own", "at").alias("own"))
     in_order = Window.partitionBy("file").orderBy("start").rowsBetween(*_BEFORE)
     ends = ends.select("file", "start", F.last("own", True).over(in_order).alias("carried"))
-    known = own.join(ends, ["file", "start"])
+    known = even_join(own, ends, ["file", "start"])
     ours = F.coalesce("own", "carried", F.lit(False))
     known = known.withColumns({
         "starts": (ours & F.col("opens").isNotNull()).cast("int"), "ends": (ours & F.col("leaves")).cast("int"),
@@ -129,7 +132,7 @@ def _opened(pieces: DataFrame, key: str) -> DataFrame:
     )
     number, ended = F.col("n") + F.col("n0"), F.col("m") + F.col("m0") - F.col("ends")
     inside = (F.col("starts") == 1) | (number > ended)
-    return counted.join(blocks, ["file", "start"]).select("file", "start", "at", "text", "starts", "opens", F.when(inside, number).otherwise(0).alias("number"))
+    return even_join(counted, blocks, ["file", "start"]).select("file", "start", "at", "text", "starts", "opens", F.when(inside, number).otherwise(0).alias("number"))
 
 
 def _specs(pieces: DataFrame) -> DataFrame:

@@ -142,3 +142,11 @@ def test_identity_follows_python_equality(spark):
     for i, a in enumerate(values):
         for j, b in enumerate(values):
             assert (ids[i] == ids[j]) == (json.loads(a) == json.loads(b)), (a, b)
+
+
+def test_specs_are_walked_once(spark, tmp_path):
+    """Passes after the walk read what it found; none walks the text again."""
+    (tmp_path / "spec.json").write_text('{"queries": [{"a": 1}, {"a": {"b": 2}}]}')
+    found = specs.read_specs(spark, str(tmp_path))
+    assert "regexp_extract_all" not in found._jdf.queryExecution().executedPlan().toString()
+    assert [r.raw for r in found.orderBy("query_index").collect()] == ['{"a": 1}', '{"a": {"b": 2}}']
