@@ -61,7 +61,7 @@ def entity_events(
     keys = defs.agg(F.collect_set("primary_key").alias("k")).scalar()
     keyed = lookup_join(
         each(prepared, F.array_intersect("scalars", keys), "primary_key"),
-        defs, ["primary_key"], "inner", salt=F.col("seq"),
+        defs, ["primary_key"], "inner",
     )
     empty = F.array().cast("array<string>")
     present = F.array_intersect("table_columns", "scalars")
@@ -129,7 +129,7 @@ def junction_operations(
         "list_column", F.explode(F.map_keys(F.map_filter("r", lambda k, v: F.coalesce(is_list(v), F.lit(False)))))
     )
     rows = lookup_join(
-        prepared, junctions.select("table_name", "owner", "list_column"), ["list_column"], "inner", salt=F.col("seq")
+        prepared, junctions.select("table_name", "owner", "list_column"), ["list_column"], "inner"
     )
     owner = F.try_element_at("r", F.col("owner"))
     items = F.try_variant_get(F.try_element_at("r", F.col("list_column")), "$", "array<variant>")

@@ -105,10 +105,14 @@ def even_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inne
 def lookup_join(rows: DataFrame, small: DataFrame, on: list[str], how: str = "left", salt: Column | None = None) -> DataFrame:
     """Join many rows to a metadata-sized side.
 
-    Adaptive execution broadcasts it when its measured bytes are few. Beyond
-    that, ``salt`` spreads a hot key on the left over ``SALTS`` tasks: the small
+    In an inner join it is broadcast by name: adaptive execution may else take
+    the rows for the smaller side, and put them in the driver and in one task.
+    In others adaptive execution broadcasts it when its measured bytes are few.
+    Beyond that, ``salt`` spreads a hot key on the left over ``SALTS`` tasks: the small
     side is repeated once per salt.
     """
+    if how == "inner":
+        return rows.join(F.broadcast(small), on, how)
     if salt is None:
         return rows.join(small, on, how)
     salted = rows.withColumn("_salt", F.pmod(salt, F.lit(SALTS)).cast("int"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from driftwell.functions.payload import strict_json, text
 from driftwell.functions.text import stripped
 from driftwell.operators.scan import Running, running_scan
+from driftwell.session import even_join
 
 # fixed values: the events the engine acts on
 KNOWN_EVENTS = ["init", "create", "add", "change", "remove", "get"]
@@ -61,7 +62,8 @@ def split_records(lines: DataFrame, base: Column) -> DataFrame:
         F.coalesce(F.sum("_size").over(Window.orderBy("file", "start").rowsBetween(*before)), F.lit(0)).alias("_before"),
         F.last("_last", True).over(Window.partitionBy("file").orderBy("start").rowsBetween(*before)).alias("_carried"),
     )
-    return placed.where("data is not null").join(splits, ["file", "start"]).select(
+    # the split list may look larger before it is computed: broadcasting the lines instead would put them in one place
+    return even_join(placed.where("data is not null"), splits, ["file", "start"]).select(
         (base + F.col("_before") + F.col("_n")).alias("seq"), F.coalesce("_own", "_carried").alias("event"), "data"
     )
 
@@ -114,10 +116,8 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
         ),
     ).drop("_n")
     inside = F.row_number().over(Window.partitionBy("file", "_start").orderBy("_at"))
-    return (
-        lines.withColumn("_in", inside)
-        .join(offsets, ["file", "_start"])
-        .select((F.col("_before") + F.col("_in")).alias("seq"), "file", "line")
+    return even_join(lines.withColumn("_in", inside), offsets, ["file", "_start"]).select(
+        (F.col("_before") + F.col("_in")).alias("seq"), "file", "line"
     )
 
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from driftwell.operators import oplog
+from driftwell.session import lookup_join
 from driftwell.sources import sse
 from driftwell.streaming.incremental import first_seen_step
 from driftwell.streaming.state import KeptState
@@ -143,3 +144,12 @@ def test_first_seen_over_batches_equals_the_log(spark, log):
         state = spark.createDataFrame(both.groupBy("table_name", "pk_id").agg(F.max_by("seen", "batch_id").alias("seen")).collect(), "table_name string, pk_id string, seen boolean")
     writes = {s for s, e, _ in make_events() if e in ("create", "add")}
     assert sorted(got) == sorted((r.seq, r.type) for r in log.collect() if r.seq in writes)
+
+
+def test_rows_are_not_broadcast_to_their_definitions(spark):
+    """An inner lookup broadcasts the side that is metadata, also where few rows look it up."""
+    rows, small = spark.range(3).select(F.col("id").alias("k")), spark.range(100).select(F.col("id").alias("k"))
+    found = lookup_join(rows, small, ["k"], "inner")
+    assert sorted(r.k for r in found.collect()) == [0, 1, 2]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BuildRight" in plan and "BuildLeft" not in plan
