@@ -7,7 +7,7 @@ run again after a failure therefore writes the same thing in the same place.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from driftwell.operators import oplog
 from driftwell.operators.clock import event_time
 from driftwell.operators.profiling import final_placement
-from driftwell.session import owned_tables
+from driftwell.session import materialize, owned_tables
 from driftwell.sinks import reports, stores
 from driftwell.sources import sse
 from driftwell.streaming.children import ChildTables
@@ -122,6 +122,8 @@ class Ingest:
             events = self.read_events(spark)
             config = sse.init_config(events).first()
             learned = learn_schema(events, config.unique_fields, config.global_key)
+            # the log and the documents read the schema several times; it is mined once
+            learned = replace(learned, tables=materialize(learned.tables), junctions=materialize(learned.junctions), foreign=materialize(learned.foreign))
             operations = oplog.number_operations(build_operations(events, learned, config.global_key))
             reports.write_operation_log(operations, f"{self.base}/operations", config.global_key or "username", version)
             reports.write_schema(learned.tables, learned.foreign, f"{self.base}/schema/version={version}")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from driftwell.operators import dependencies as dep
 from driftwell.operators import oplog, schema
 from driftwell.operators.scan import dense_number
-from driftwell.session import even_join
+from driftwell.session import even_join, materialize
 from driftwell.sinks import reports
 from driftwell.sources import sse
 from driftwell.streaming.incremental import first_seen_step, latest_flags, schema_step
@@ -31,7 +31,8 @@ class LearnedSchema:
 def learn_schema(events: DataFrame, keys: list[str], global_key: str | None) -> LearnedSchema:
     """Schema of the create/add events, in batches of 400 and 1000 records."""
     written = events.where(F.col("event").isin("create", "add") & F.col("record").isNotNull()).select("seq", "record")
-    records = even_join(written, dense_number(written.select("seq"), "no", "seq"), ["seq"])
+    # every miner reads the numbered records
+    records = materialize(even_join(written, dense_number(written.select("seq"), "no", "seq"), ["seq"]))
     small = records.withColumn("batch", dep.batch_number(F.col("no"), dep.ENTITY_BATCH))
     large = records.withColumn("batch", dep.batch_number(F.col("no"), dep.RELATION_BATCH))
     attributes = dep.ever(dep.functional_dependencies(small, "batch", "record", keys, global_key))

@@ -194,3 +194,18 @@ def test_ingest_with_both(spark, tmp_path):
     assert load_state(spark, f"{job.base}/learned/counter", 1).first().records == 21
     learned = job.second_stage.learned(spark, 1)
     assert ("k1", "c") in {(r.key, r.column) for r in learned.dependencies.collect()}
+
+
+def test_records_are_numbered_once(spark, monkeypatch):
+    """The miners read stored records; none numbers or joins them again."""
+    events = spark.range(5).select(F.col("id").alias("seq"), F.lit("create").alias("event"), F.parse_json(F.lit('{"k": 1, "l": [1]}')).alias("record"))
+    plans, lists = [], dep.list_columns
+
+    def seen(records, *rest):
+        plans.append(records._jdf.queryExecution().executedPlan().toString())
+        return lists(records, *rest)
+
+    monkeypatch.setattr(dep, "list_columns", seen)
+    learned = kept.learn_schema(events, ["k"], None)
+    assert plans and not any("Window" in p for p in plans)
+    assert [r["column"] for r in learned.lists.collect()] == ["l"]
