@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftwell.session import materialize
+from driftwell.session import even_join, materialize
 
 #: Values in one part of a block.
 CHUNK = 10_000
@@ -61,3 +61,25 @@ def fuzzy_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str, m
     pairs = materialize(near_values(left.select(F.col(left_on).alias("value")), right.select(F.col(right_on).alias("value")), "value", most, chunk))
     one = left.join(pairs, F.lower(left[left_on]) == pairs["left_value"]).drop("left_value")
     return one.join(right, F.lower(right[right_on]) == one["right_value"]).drop("right_value")
+
+
+def fuzzy_classes(left: DataFrame, right: DataFrame, left_key: str, left_on: str, right_key: str, right_on: str, most: int, chunk: int = CHUNK) -> DataFrame:
+    """The rows of ``fuzzy_join`` without expanding copies: kind, a, b, distance.
+
+    Rows of a side whose values are equal without regard to case are a class,
+    named by its smallest key. ``pair`` rows are the names of a left and a right
+    class within ``most`` edits; ``left`` and ``right`` rows are a key and the
+    name of its class. Null values are in no class.
+    """
+    one, other = (
+        df.where(F.col(on).isNotNull()).select(F.col(key).alias("key"), F.lower(on).alias("value")) for df, key, on in ((left, left_key, left_on), (right, right_key, right_on))
+    )
+    named = [materialize(df.groupBy("value").agg(F.min("key").alias("name"))) for df in (one, other)]
+    pairs = near_values(*named, "value", most, chunk)
+    pairs = even_join(pairs, named[0].select(F.col("value").alias("left_value"), F.col("name").alias("a")), ["left_value"])
+    pairs = even_join(pairs, named[1].select(F.col("value").alias("right_value"), F.col("name").alias("b")), ["right_value"])
+    out = pairs.select(F.lit("pair").alias("kind"), "a", "b", "distance")
+    for kind, rows, names in (("left", one, named[0]), ("right", other, named[1])):
+        members = even_join(rows, names, ["value"])
+        out = out.unionByName(members.select(F.lit(kind).alias("kind"), F.col("key").alias("a"), F.col("name").alias("b"), F.lit(None).cast("int").alias("distance")))
+    return out

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from driftwell.operators.fuzzy import fuzzy_join, near_values
+from driftwell.operators.fuzzy import fuzzy_classes, fuzzy_join, near_values
 
 
 def distance(a, b):
@@ -31,3 +31,16 @@ def test_no_pairs_of_all(spark):
     a = spark.createDataFrame([("some value",), ("another",)], "value string")
     plan = near_values(a, a, "value", 2)._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_classes_expand_to_the_join(spark):
+    """Copies are members of a class, not rows of all pairs; expanded, classes give the join."""
+    left = [(i, w) for i, w in enumerate(["abc"] * 5 + ["Abd", "x", None])]
+    right = [(i, w) for i, w in enumerate(["ABC"] * 4 + ["abde", "zzzz", None])]
+    a, b = spark.createDataFrame(left, "i int, x string"), spark.createDataFrame(right, "j int, y string")
+    rows = [tuple(r) for r in fuzzy_classes(a, b, "i", "x", "j", "y", 1).collect()]
+    members = {kind: [(key, name) for k, key, name, _ in rows if k == kind] for kind in ("left", "right")}
+    pairs = [(p, q, d) for kind, p, q, d in rows if kind == "pair"]
+    assert len(rows) == len(pairs) + 7 + 6 and len(pairs) == 3
+    got = sorted((i, j, d) for p, q, d in pairs for i, n in members["left"] if n == p for j, m in members["right"] if m == q)
+    assert got == sorted((r.i, r.j, r.distance) for r in fuzzy_join(a, b, "x", "y", 1).collect())
