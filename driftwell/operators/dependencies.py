@@ -7,7 +7,7 @@ batches and hot columns are reduced before they are shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftwell.functions.payload import each, elements, fields, fixed_width, identity, is_list, once, short_identity
@@ -20,6 +20,14 @@ def batch_number(record_no: Column, size: int) -> Column:
     return F.floor((record_no - 1) / size)
 
 
+def by_window(records: DataFrame, batch: str = "batch") -> DataFrame:
+    """Records with each window in one place, so that what is grouped by window later needs no other exchange.
+
+    For windows of bounded length only: a record travels once, instead of one row per pair of its columns.
+    """
+    return records.repartition(batch)
+
+
 def _entries(payload: str, global_key: str | None) -> Column:
     """The fields of a record as structs: field, bounded identity of the value, two hashes of it, whether a list.
 
@@ -92,6 +100,29 @@ def functional_dependencies(
     return held_dependencies(dependency_partials(records, batch, payload, keys, global_key))
 
 
+def window_dependencies(
+    records: DataFrame, batch: str, payload: str, keys: list[str], global_key: str | None = None
+) -> DataFrame:
+    """``functional_dependencies`` of windows of bounded length: batch, key, column.
+
+    A record alone with its value of a key contradicts nothing. Such records tell
+    only which columns there are, and are one group per column instead of one per record.
+    """
+    entries = F.filter(_entries(payload, global_key), lambda e: ~e["listed"])
+    cells = by_window(records, batch).select(F.col(batch).cast("bigint").alias("batch"), entries.alias("e"))
+    rows = each(cells, F.filter("e", lambda e: e["field"].isin(keys)), "k").select(
+        "batch", "e", F.col("k.field").alias("key"), F.col("k.id").alias("key_id")
+    )
+    shared = rows.withColumn("shared", F.count(F.lit(1)).over(Window.partitionBy("batch", "key", "key_id")) > 1)
+    pairs = each(shared, F.col("e"), "c").drop("e").where(F.col("c.field") != F.col("key"))
+    told = lambda h: F.when(F.col("shared"), F.col(f"c.{h}")).otherwise(F.lit(0))
+    return held_dependencies(
+        pairs.groupBy("batch", "key", F.when(F.col("shared"), F.col("key_id")).alias("key_id"), F.col("c.field").alias("column")).agg(
+            F.min(told("h1")).alias("low1"), F.max(told("h1")).alias("high1"), F.min(told("h2")).alias("low2"), F.max(told("h2")).alias("high2")
+        )
+    )
+
+
 def ever(found: DataFrame) -> DataFrame:
     """Union over batches: what held once is kept."""
     return found.drop("batch").distinct()
@@ -165,6 +196,13 @@ def inclusion_dependencies(
     return held_inclusions(inclusion_partials(records, batch, payload, global_key), keys)
 
 
+def window_inclusions(
+    records: DataFrame, batch: str, payload: str, keys: list[str], global_key: str | None = None
+) -> DataFrame:
+    """``inclusion_dependencies`` of windows of bounded length: batch, column, references."""
+    return inclusion_dependencies(by_window(records, batch), batch, payload, keys, global_key)
+
+
 def list_columns(records: DataFrame, payload: str, global_key: str | None = None) -> DataFrame:
     """Columns that ever hold a list."""
     held = F.map_keys(F.map_filter(fields(F.col(payload)), lambda k, v: F.coalesce(is_list(v), F.lit(False))))

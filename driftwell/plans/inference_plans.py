@@ -13,7 +13,7 @@ from driftwell.operators import dependencies as dep
 from driftwell.operators import schema
 from driftwell.operators.scan import dense_number
 from driftwell.plans.common import catalog, registry, table
-from driftwell.session import even_join
+from driftwell.session import even_join, materialize
 
 PLANS, plan = registry()
 
@@ -66,10 +66,14 @@ def order_records(spark, sf):
     return order_texts(spark, sf).select("o_orderkey", strict_json(F.col("raw")).alias("record"))
 
 
-def batched(spark, sf, size):
+def numbered(spark, sf):
     # numbering needs the order only; the records join it
     numbers = dense_number(table(spark, sf, "orders").select("o_orderkey"), "no", "o_orderkey")
-    return even_join(order_records(spark, sf), numbers, ["o_orderkey"]).withColumn("batch", dep.batch_number(F.col("no"), size))
+    return even_join(order_records(spark, sf), numbers, ["o_orderkey"])
+
+
+def batched(records, size):
+    return records.withColumn("batch", dep.batch_number(F.col("no"), size))
 
 
 def rec_sql(size):
@@ -95,18 +99,22 @@ IND_SQL = "ind AS (" + " UNION ALL ".join(
 ) + ")"
 
 
-def attributes(spark, sf):
-    return dep.functional_dependencies(batched(spark, sf, dep.ENTITY_BATCH), "batch", "record", KEYS, "username")
+def attributes(records):
+    return dep.window_dependencies(batched(records, dep.ENTITY_BATCH), "batch", "record", KEYS, "username")
 
 
 @plan("i2_entity_attributes", f"WITH {rec_sql(400)}, {fd_sql('fd')} SELECT DISTINCT key, col AS \"column\" FROM fd")
 def _(spark, sf):
-    return dep.ever(attributes(spark, sf))
+    return dep.ever(attributes(numbered(spark, sf)))
+
+
+def mined(records):
+    return dep.window_dependencies(batched(records, dep.RELATION_BATCH), "batch", "record", KEYS, "username")
 
 
 @plan("i3_fd_mining_per_batch", f"WITH {rec_sql(1000)}, {fd_sql('fd')} SELECT batch, key, col AS \"column\" FROM fd")
-def mined(spark, sf):
-    return dep.functional_dependencies(batched(spark, sf, dep.RELATION_BATCH), "batch", "record", KEYS, "username")
+def _(spark, sf):
+    return mined(numbered(spark, sf))
 
 
 @plan("i3_fd_mining_whole_table", f"WITH {rec_sql(10**12)}, {fd_sql('fd')} SELECT key, col AS \"column\" FROM fd")
@@ -115,13 +123,13 @@ def _(spark, sf):
     return dep.ever(dep.functional_dependencies(whole, "batch", "record", KEYS, "username"))
 
 
-def inclusions(spark, sf):
-    return dep.inclusion_dependencies(batched(spark, sf, dep.RELATION_BATCH), "batch", "record", KEYS, "username")
+def inclusions(records):
+    return dep.window_inclusions(batched(records, dep.RELATION_BATCH), "batch", "record", KEYS, "username")
 
 
 @plan("i4_inclusion_dependencies", f"WITH {rec_sql(1000)}, {IND_SQL} SELECT batch, col AS \"column\", ref AS \"references\" FROM ind")
 def _(spark, sf):
-    return inclusions(spark, sf)
+    return inclusions(numbered(spark, sf))
 
 
 TYPED = [("customer", "c_custkey"), ("orders", "o_custkey"), ("nation", "n_nationkey"), ("customer", "c_nationkey"),
@@ -169,20 +177,21 @@ owner AS (SELECT col, key FROM attrs JOIN sizes USING (key) QUALIFY row_number()
 
 @plan("i6_column_owners", f"WITH {OWNERS} SELECT key, col AS \"column\" FROM owner")
 def _(spark, sf):
-    return schema.column_owners(dep.ever(attributes(spark, sf)))
+    return schema.column_owners(materialize(dep.ever(attributes(numbered(spark, sf)))))
 
 
 TABLES = """tabs AS (SELECT DISTINCT lower(replace(key, '_id', '')) AS table_name, key AS primary_key, col AS column_name
   FROM (SELECT key, col FROM owner UNION ALL SELECT * FROM (VALUES ('c_custkey', 'c_custkey'), ('o_orderkey', 'o_orderkey')) v(key, col)))"""
 
 
-def tables(spark, sf):
-    return schema.entity_tables(dep.ever(attributes(spark, sf)), KEYS)
+def tables(records):
+    # the tables read the attributes several times; they are mined once
+    return schema.entity_tables(materialize(dep.ever(attributes(records))), KEYS)
 
 
 @plan("i7_entity_tables", f"WITH {OWNERS}, {TABLES} SELECT * FROM tabs")
 def _(spark, sf):
-    return tables(spark, sf)
+    return tables(numbered(spark, sf))
 
 
 def baskets_junction(spark, sf):
@@ -217,8 +226,10 @@ fks AS (SELECT DISTINCT t.table_name, ind.col AS column_name, r.table_name AS re
 
 
 @plan("i9_foreign_keys", f"WITH {FOREIGN} SELECT * FROM fks")
-def foreign(spark, sf):
-    return schema.foreign_keys(tables(spark, sf), dep.ever(inclusions(spark, sf)))
+def _(spark, sf):
+    # both miners read the same stored records
+    records = materialize(numbered(spark, sf))
+    return schema.foreign_keys(tables(records), dep.ever(inclusions(records)))
 
 
 @plan(
@@ -265,8 +276,10 @@ def _(spark, sf):
     UNION ALL SELECT 'foreign_keys', table_name, column_name, references_table || '(' || references_column || ')' FROM fks""",
 )
 def _(spark, sf):
-    lists = dep.list_columns(order_records(spark, sf), "record", "username")
-    return schema.assemble(tables(spark, sf), dep.ever(mined(spark, sf)), foreign(spark, sf), lists)
+    records = materialize(numbered(spark, sf))
+    entities = tables(records)
+    foreign = schema.foreign_keys(entities, dep.ever(inclusions(records)))
+    return schema.assemble(entities, dep.ever(mined(records)), foreign, dep.list_columns(records, "record", "username"))
 
 
 @plan(

@@ -121,3 +121,31 @@ def test_declared_schema(spark):
     assert keys == {("student", "id"), ("takes", "sid"), ("takes", "cid"), ("department", "name")}
     assert [(r.table_name, r.column_name) for r in catalog.broken_references(cols).collect()] == [("takes", "sid")]
     assert catalog.declared_exists(cols, "takes", "cid").first()[0] and not catalog.declared_exists(cols, "takes", "no").first()[0]
+
+
+def numbered_windows(spark, seeds):
+    """Records in windows of sixty, with values alone and shared in their window, some rows twice."""
+    rows = [(b, json.dumps(r)) for b, seed in enumerate(seeds) for r in make(seed)]
+    rows += rows[::7] + [(len(seeds), json.dumps({"user": "u", "k1": 1, "a": i})) for i in range(2)] + [(len(seeds) + 1, json.dumps({"k2": None, "a": []}))]
+    return spark.createDataFrame(rows, "batch bigint, raw string").select("batch", strict_json(F.col("raw")).alias("record"))
+
+
+def test_windows_give_what_all_pairs_give(spark):
+    df = numbered_windows(spark, [11, 12, 13])
+    shown = lambda found: sorted(map(tuple, found.collect()))
+    for key in ("user", None):
+        want = shown(dep.functional_dependencies(df, "batch", "record", KEYS, key))
+        assert want and shown(dep.window_dependencies(df, "batch", "record", KEYS, key)) == want
+        want = shown(dep.inclusion_dependencies(df, "batch", "record", KEYS, key))
+        assert want and shown(dep.window_inclusions(df, "batch", "record", KEYS, key)) == want
+
+
+def test_windows_are_sent_once(spark):
+    """Records travel by window, and no pairs of their columns after them."""
+    df = numbered_windows(spark, [14])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for found in (dep.window_dependencies(df, "batch", "record", KEYS, "user"), dep.window_inclusions(df, "batch", "record", KEYS, "user")):
+            assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
