@@ -35,9 +35,9 @@ def learn_schema(events: DataFrame, keys: list[str], global_key: str | None) ->
     records = materialize(even_join(written, dense_number(written.select("seq"), "no", "seq"), ["seq"]))
     small = records.withColumn("batch", dep.batch_number(F.col("no"), dep.ENTITY_BATCH))
     large = records.withColumn("batch", dep.batch_number(F.col("no"), dep.RELATION_BATCH))
-    attributes = dep.ever(dep.functional_dependencies(small, "batch", "record", keys, global_key))
-    found = dep.ever(dep.functional_dependencies(large, "batch", "record", keys, global_key))
-    inclusions = dep.ever(dep.inclusion_dependencies(large, "batch", "record", keys, global_key))
+    attributes = dep.ever(dep.window_dependencies(small, "batch", "record", keys, global_key))
+    found = dep.ever(dep.window_dependencies(large, "batch", "record", keys, global_key))
+    inclusions = dep.ever(dep.window_inclusions(large, "batch", "record", keys, global_key))
     lists = dep.list_columns(records, "record", global_key)
     tables = schema.entity_tables(attributes, keys)
     owners = schema.list_owners(records, "record", keys, lists, attributes.union(found))

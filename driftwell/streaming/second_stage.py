@@ -3,7 +3,7 @@
 Count windows of 400 and 1000 records do not end where micro-batches end. An
 open window is carried from batch to batch as mergeable partials; when its last
 record has come it is closed, its facts are kept, and it is never computed
-again. So the facts after any split of the events into batches are those of one
+again. Windows that lie inside one micro-batch are learned without partials. So the facts after any split of the events into batches are those of one
 batch over all of them. Everything a batch writes lies below its own id and
 depends on that batch and the version before it.
 """
@@ -102,22 +102,27 @@ class SecondStage:
         records = materialize(even_join(written, numbers, ["seq"]))
         total = records.agg(F.coalesce(F.max("no"), F.lit(counted))).first()[0]
 
-        def windows(size: int) -> DataFrame:
-            return records.withColumn("batch", dep.batch_number(F.col("no"), size))
+        def windows(part: DataFrame, kind: str) -> DataFrame:
+            return part.withColumn("batch", dep.batch_number(F.col("no"), SIZES[kind]))
 
-        new = {
-            ATTRIBUTE: dep.dependency_partials(windows(SIZES[ATTRIBUTE]), "batch", "record", keys, global_key),
-            DETERMINES: dep.dependency_partials(windows(SIZES[DETERMINES]), "batch", "record", keys, global_key),
-            INCLUDED: dep.inclusion_partials(windows(SIZES[INCLUDED]), "batch", "record", global_key),
-        }
+        # only windows open before or after this batch need partials
+        longest = max(SIZES.values())
+        edges = materialize(records.where((F.col("no") <= counted + longest) | (F.col("no") > total - longest)))
         nothing = spark.createDataFrame([], FACTS)
         facts = [nothing if fresh else reports.load_state(spark, self.path("facts"), batch_id - 1)]
-        for kind, partials in new.items():
-            merge = dep.merged_inclusions if kind == INCLUDED else dep.merged_dependencies
+        for kind, size in SIZES.items():
+            opened, ended = F.col("batch") == counted // size, F.col("batch") < total // size
+            if counted % size == 0:
+                opened = F.lit(False)
+            facts.append(whole_facts(kind, windows(records, kind).where(ended & ~opened), keys, global_key))
+            edge = windows(edges, kind).where(~ended | opened)
+            if kind == INCLUDED:
+                partials, merge = dep.inclusion_partials(edge, "batch", "record", global_key), dep.merged_inclusions
+            else:
+                partials, merge = dep.dependency_partials(edge, "batch", "record", keys, global_key), dep.merged_dependencies
             if not fresh:
                 partials = merge(partials.unionByName(reports.load_state(spark, self.path(f"open/{kind}"), batch_id - 1)))
             partials = materialize(partials)
-            ended = F.col("batch") < total // SIZES[kind]
             reports.save_state(partials.where(~ended), self.path(f"open/{kind}"), batch_id)
             facts.append(window_facts(kind, partials.where(ended), keys))
         facts.append(dep.list_columns(records, "record", global_key).select(F.lit(LISTED).alias("kind"), F.col("column").alias("a"), F.lit("").alias("b")))
@@ -165,6 +170,15 @@ class SecondStage:
         return numbered.agg(F.coalesce(F.max("op_seq"), F.lit(counted))).first()[0]
 
 
+def whole_facts(kind: str, records: DataFrame, keys: list[str], global_key: str | None) -> DataFrame:
+    """What windows bear out of which all records are at hand, without partials of them."""
+    if kind == INCLUDED:
+        held = dep.window_inclusions(records, "batch", "record", keys, global_key).select(F.col("column").alias("a"), F.col("references").alias("b"))
+    else:
+        held = dep.window_dependencies(records, "batch", "record", keys, global_key).select(F.col("key").alias("a"), F.col("column").alias("b"))
+    return held.distinct().select(F.lit(kind).alias("kind"), "a", "b")
+
+
 def window_facts(kind: str, partials: DataFrame, keys: list[str]) -> DataFrame:
     """What the windows of some partials bear out."""
     if kind == INCLUDED:

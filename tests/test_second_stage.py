@@ -209,3 +209,20 @@ def test_records_are_numbered_once(spark, monkeypatch):
     learned = kept.learn_schema(events, ["k"], None)
     assert plans and not any("Window" in p for p in plans)
     assert [r["column"] for r in learned.lists.collect()] == ["l"]
+
+
+def test_partials_are_of_open_windows_only(spark, tmp_path, small_windows, monkeypatch):
+    """A batch of many windows makes partials of its first and last ones."""
+    seen, partials = [], dep.dependency_partials
+
+    def counted(records, *rest):
+        seen.append(records.select("batch").distinct().count())
+        return partials(records, *rest)
+
+    monkeypatch.setattr(dep, "dependency_partials", counted)
+    log, stage = Log(spark, [("init", INIT), *some_events(8, 200)], [10]), SecondStage(str(tmp_path), log=False)
+    for b in range(2):
+        stage.step(spark, log.read, b)
+    assert len(seen) == 4 and max(seen) <= 2
+    want = kept.learn_schema(Log(spark, [("init", INIT), *some_events(8, 200)], []).read(spark, 0), ["k1", "k2"], "user")
+    assert facts_of(stage.learned(spark, 1)) == facts_of(want)
