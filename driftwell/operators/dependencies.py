@@ -165,18 +165,12 @@ def held_inclusions(values: DataFrame, keys: list[str]) -> DataFrame:
 
     ``values`` are read once. A value that only empty lists have is null, and counts as none.
     """
-    holders = values.groupBy("batch", "id").agg(F.collect_list(F.struct("field", "listed")).alias("f"))
-    held = each(
-        holders.select(
-            "batch", "id", F.filter("f", lambda c: ~c["field"].isin(keys)).alias("others"),
-            F.transform(F.filter("f", lambda c: c["field"].isin(keys)), lambda c: c["field"]).alias("in_keys"),
-        ),
-        F.col("others"), "c",
-    ).select("batch", F.col("c.field").alias("column"), F.col("c.listed").alias("listed"), "id", "in_keys")
+    same = Window.partitionBy("batch", "id")
+    held = values.withColumns({f"_in{i}": F.max(F.col("field") == k).over(same) for i, k in enumerate(keys)}).where(~F.col("field").isin(keys))
     # a column with a list anywhere in the batch cannot refer
-    sizes = held.groupBy("batch", "column").agg(
+    sizes = held.groupBy("batch", F.col("field").alias("column")).agg(
         F.bool_or("listed").alias("any_list"), F.count("id").alias("n"),
-        *[F.count_if(F.col("id").isNotNull() & F.array_contains("in_keys", k)).alias(f"_k{i}") for i, k in enumerate(keys)],
+        *[F.count_if(F.col("id").isNotNull() & F.col(f"_in{i}")).alias(f"_k{i}") for i in range(len(keys))],
     ).where("not any_list and n > 0")
     tested = sizes.select(
         "batch", "column", "n",
