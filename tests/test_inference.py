@@ -149,3 +149,17 @@ def test_windows_are_sent_once(spark):
             assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_schema_queries_number_records_once(spark, tmp_path, monkeypatch):
+    """All miners of i9 and i11 read the same stored records."""
+    from driftwell.plans import inference_plans as plans
+
+    spark.range(1, 61).select(F.col("id").alias("o_orderkey"), (F.col("id") % 7).alias("o_custkey"), F.lit("O").alias("o_orderstatus")).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(7).select(F.col("id").alias("c_custkey"), F.lit("n").alias("c_name"), F.lit(1).alias("c_nationkey"), F.lit("m").alias("c_mktsegment")).write.parquet(f"{tmp_path}/customer.parquet")
+    calls, number = [], plans.dense_number
+    monkeypatch.setattr(plans, "dense_number", lambda *a: calls.append(a) or number(*a))
+    for name in ("i9_foreign_keys", "i11_schema_assembly"):
+        calls.clear()
+        found = plans.PLANS[name][0](spark, str(tmp_path))
+        assert len(calls) == 1 and found.count() == found.distinct().count()
