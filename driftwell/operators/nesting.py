@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftwell.functions.coerce import with_traits
-from driftwell.functions.payload import elements, fields, once, strict_json
+from driftwell.functions.payload import each, elements, fields, once, strict_json
 from driftwell.operators.scan import dense_number
 from driftwell.operators.widening import drift_log, type_history
-from driftwell.session import even_join, materialize
+from driftwell.session import even_join, materialize, spread
 
 # fixed value: name of the id column
 ROW_ID = "table_autogen_id"
@@ -41,7 +41,7 @@ def record_nodes(records: DataFrame, seq: str, raw: str, root: str = "root") ->
     levels = []
     while True:
         levels.append(frontier.where(F.col("_kind") == "OBJECT").drop("_kind"))
-        frontier = materialize(_children(frontier))
+        frontier = materialize(_children(spread(frontier, "seq", "path")))
         if frontier.isEmpty():
             return reduce(DataFrame.unionByName, levels)
 
@@ -80,10 +80,11 @@ def _children(frontier: DataFrame) -> DataFrame:
     held = F.when(is_object, in_object).otherwise(in_list)
     # most objects are leaves, and their text shows it
     parsed = frontier.where(F.substr(F.col("raw"), F.lit(2)).rlike(r"[{\[]"))
-    below = parsed.select(
+    inside = parsed.select(
         "table_name", "seq", "path", "parent_table", "parent_path", "parent_key", "pos", is_object.alias("_obj"),
-        F.explode(F.filter(held, lambda h: h["kind"] != "")).alias("h"),
+        F.filter(held, lambda h: h["kind"] != "").alias("held"),
     )
+    below = each(inside, F.col("held"), "h")
     return below.select(
         F.when(F.col("_obj"), F.concat_ws("_", "table_name", "h.key")).otherwise(F.col("table_name")).alias("table_name"),
         "seq",
@@ -124,7 +125,8 @@ def node_cells(nodes: DataFrame) -> DataFrame:
     kept = [c for c in nodes.columns if c != "raw"]
     kind = F.schema_of_variant("value")
     holds = F.exists(elements(F.col("value")), lambda x: F.schema_of_variant(x).rlike("^(OBJECT|ARRAY)"))
-    flat = nodes.select(*kept, F.explode(cells).alias("c")).select(*kept, "c.at", "c.field", "c.value")
+    described = spread(nodes, "seq", "path").select(*kept, cells.alias("cells"))
+    flat = each(described, F.col("cells"), "c").select(*kept, "c.at", "c.field", "c.value")
     return flat.where(~F.coalesce(holds, F.lit(False))).withColumn(
         "is_child", F.coalesce(kind.startswith("OBJECT"), F.lit(False))
     )

@@ -93,6 +93,14 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(rows: DataFrame, *by: str) -> DataFrame:
+    """Rows dealt to all tasks by a hash of ``by``, before work that is costly per row.
+
+    Stored rows are few bytes each, so that one split of a file holds very many, and few tasks would have them all.
+    """
+    return rows.repartition(*by)
+
+
 def even_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """Join sides that both grow with the input, by a sorted merge.
 

@@ -61,3 +61,15 @@ def test_tables_ids_parents_and_inserts(spark):
     assert got == sorted((t, i, p or 0) for t, i, p, _, _ in want)
     ops = nesting.insert_operations(numbered).orderBy("seq", "op_order").collect()
     assert [(r.table_name, r.table_autogen_id, r.columns, [json.loads(v) for v in r["values"]]) for r in ops] == [(t, i, c, v) for t, i, _, c, v in want]
+
+
+def test_costly_rows_go_to_all_tasks(spark):
+    # few bytes in one split: parsing must not stay in its one task
+    records = spark.createDataFrame([(i, '{"a":{"b":%d}}' % i) for i in range(200)], "seq bigint, raw string").coalesce(1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        nodes = nesting.record_nodes(records, "seq", "raw")
+        assert nesting.node_cells(nodes.coalesce(1)).rdd.getNumPartitions() > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert nodes.count() == 400
