@@ -57,8 +57,12 @@ def type_summary(
     ``summary`` maps an incoming type to (type, changes).
     """
     tie = tie or []
-    described = cells if "traits" in cells.columns else with_traits(cells, value)
-    typed = described.where(F.col("traits").isNotNull()).select(
+    if "traits" in cells.columns:
+        described = cells.where(F.col("traits").isNotNull())
+    else:
+        # told from the value: a filter on the traits would compute them twice
+        described = with_traits(cells.where(F.col(value).isNotNull() & (F.schema_of_variant(value) != "VOID")), value)
+    typed = described.select(
         *group, *tie, F.col(seq).cast("bigint").alias("_seq"), "traits",
         F.shiftright(F.col(seq).cast("bigint"), fold_bits).alias("_blk"),
     )

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from driftwell.functions.payload import elements, fields, strict_json
 from driftwell.operators.nesting import ROW_ID, number_nodes, record_nodes
 from driftwell.operators.widening import continue_history, type_summary
-from driftwell.session import even_join, materialize
+from driftwell.session import even_join, materialize, spread
 from driftwell.sinks import reports, stores
 
 ROWS = (
@@ -66,12 +66,16 @@ class ChildTables:
     def _keep_types(self, spark: SparkSession, batch_id: int) -> None:
         """Types of all columns after this batch: they go on from those before it."""
         group = ["table_name", "field"]
-        cells = self.rows(spark, batch_id).select("table_name", "seq", "path", F.explode("cells").alias("field", "value"))
+        rows = self.rows(spark, batch_id)
+        cells = spread(rows.select("table_name", "seq", "path", "cells"), "seq", "path").select(
+            "table_name", "seq", "path", F.explode("cells").alias("field", "value")
+        )
         known = self._state(spark, "types", batch_id - 1, TYPES).select(*group, F.col("final_type").alias("known"))
         summary = type_summary(cells, group, "seq", "value", tie=["path"]).join(known, group, "left")
         typed = continue_history(summary, group, F.coalesce("known", F.lit("UNK"))).select(*group, "final_type")
         # columns with nulls only have no type yet
-        seen = cells.select(*group).distinct().unionByName(known.select(*group)).distinct()
+        named = rows.select("table_name", F.explode(F.map_keys("cells")).alias("field"))
+        seen = named.distinct().unionByName(known.select(*group)).distinct()
         now = seen.join(typed, group, "left").join(known, group, "left")
         reports.save_state(now.select(*group, F.coalesce("final_type", "known", F.lit("UNK")).alias("final_type")), f"{self.base}/types", batch_id)
 
