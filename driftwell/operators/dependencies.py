@@ -106,19 +106,41 @@ def window_dependencies(
     """``functional_dependencies`` of windows of bounded length: batch, key, column.
 
     A record alone with its value of a key contradicts nothing. Such records tell
-    only which columns there are, and are one group per column instead of one per record.
+    only which columns there are: their values are not hashed, and records with the
+    same columns are one row before these are told apart.
     """
-    entries = F.filter(_entries(payload, global_key), lambda e: ~e["listed"])
-    cells = by_window(records, batch).select(F.col(batch).cast("bigint").alias("batch"), entries.alias("e"))
-    rows = each(cells, F.filter("e", lambda e: e["field"].isin(keys)), "k").select(
-        "batch", "e", F.col("k.field").alias("key"), F.col("k.id").alias("key_id")
+    fits = lambda k, v: ~is_list(v)
+    if global_key:
+        fits = lambda k, v: (k != F.lit(global_key)) & ~is_list(v)
+    named = once(
+        F.map_filter(fields(F.col(payload)), fits),
+        lambda held: F.struct(
+            F.map_keys(held).alias("names"),
+            F.transform(
+                F.filter(F.map_keys(held), lambda k: k.isin(keys)),
+                lambda k: F.struct(k.alias("field"), short_identity(identity(F.try_element_at(held, k))).alias("id")),
+            ).alias("keys"),
+        ),
+    )
+    cells = by_window(records, batch).select(F.col(batch).cast("bigint").alias("batch"), F.col(payload).alias("_record"), named.alias("_named"))
+    rows = each(cells, F.col("_named.keys"), "k").select(
+        "batch", "_record", F.col("_named.names").alias("names"), F.col("k.field").alias("key"), F.col("k.id").alias("key_id")
+    )
+    alone = F.count(F.lit(1)).over(Window.partitionBy("batch", "key", "key_id")) == 1
+    hashed = F.transform(
+        F.filter(_entries("_record", global_key), lambda e: ~e["listed"]),
+        lambda e: F.struct(e["field"].alias("field"), e["h1"].alias("h1"), e["h2"].alias("h2")),
     )
-    shared = rows.withColumn("shared", F.count(F.lit(1)).over(Window.partitionBy("batch", "key", "key_id")) > 1)
-    pairs = each(shared, F.col("e"), "c").drop("e").where(F.col("c.field") != F.col("key"))
-    told = lambda h: F.when(F.col("shared"), F.col(f"c.{h}")).otherwise(F.lit(0))
+    told = rows.withColumn("_alone", alone).select(
+        "batch", "key", F.when(~F.col("_alone"), F.col("key_id")).alias("key_id"),
+        F.when(F.col("_alone"), F.col("names")).alias("names"), F.when(~F.col("_alone"), hashed).alias("hashed"),
+    ).distinct()
+    zero = F.lit(0).cast("bigint")
+    unhashed = F.transform("names", lambda n: F.struct(n.alias("field"), zero.alias("h1"), zero.alias("h2")))
+    pairs = each(told, F.coalesce("hashed", unhashed), "c").where(F.col("c.field") != F.col("key"))
     return held_dependencies(
-        pairs.groupBy("batch", "key", F.when(F.col("shared"), F.col("key_id")).alias("key_id"), F.col("c.field").alias("column")).agg(
-            F.min(told("h1")).alias("low1"), F.max(told("h1")).alias("high1"), F.min(told("h2")).alias("low2"), F.max(told("h2")).alias("high2")
+        pairs.groupBy("batch", "key", "key_id", F.col("c.field").alias("column")).agg(
+            F.min("c.h1").alias("low1"), F.max("c.h1").alias("high1"), F.min("c.h2").alias("low2"), F.max("c.h2").alias("high2")
         )
     )
 
