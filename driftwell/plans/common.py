@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftwell.operators.catalog import Catalog, ForeignKey, StoredTables
-from driftwell.session import shared_dir
+from driftwell.session import shared_dir, spread
 from driftwell.sources.sse import normalise_pairs
 
 PRIMARY_KEYS = {
@@ -63,7 +63,7 @@ def change_events(spark: SparkSession, sf: str) -> DataFrame:
 
     signup and purchase are adds, click a change, error a remove, view a get.
     """
-    e = table(spark, sf, "events")
+    e = spread(table(spark, sf, "events"), "event_id")
     k = F.get_json_object("props", "$.k").cast("int")
     kind = F.col("event_type")
     event = (

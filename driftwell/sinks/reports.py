@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftwell.operators.oplog import counts_by_type
+from driftwell.session import materialize, owned_tables
 
 
 def write_operation_log(numbered: DataFrame, path: str, global_key: str = "username", batch_id: int | None = None) -> None:
@@ -18,11 +19,13 @@ def write_operation_log(numbered: DataFrame, path: str, global_key: str = "usern
             "type", "table_name", "columns", "values", "where", "sql", F.col("actor").alias(global_key), "op_seq"
         )
     )
-    ordered = numbered.orderBy("op_seq").select(line.alias("value"))
-    if batch_id is None:
-        ordered.write.mode("append").text(path)
-    else:
-        ordered.write.mode("overwrite").text(f"{path}/batch_id={batch_id}")
+    # sorting reads its input twice, first to find the ranges: the lines are made once
+    with owned_tables(numbered.sparkSession):
+        ordered = materialize(numbered.select("op_seq", line.alias("value"))).orderBy("op_seq").select("value")
+        if batch_id is None:
+            ordered.write.mode("append").text(path)
+        else:
+            ordered.write.mode("overwrite").text(f"{path}/batch_id={batch_id}")
 
 
 def operation_report(numbered: DataFrame) -> DataFrame:
