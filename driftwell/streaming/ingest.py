@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from driftwell.operators import oplog
 from driftwell.operators.clock import event_time
 from driftwell.operators.profiling import final_placement
-from driftwell.session import materialize, owned_tables
+from driftwell.session import materialize, owned_tables, spread
 from driftwell.sinks import reports, stores
 from driftwell.sources import sse
 from driftwell.streaming.children import ChildTables
@@ -100,7 +100,7 @@ class Ingest:
         spark = lines.sparkSession
         last = reports.load_state(spark, self.clock, batch_id - 1).first() if batch_id else None
         last_seq, last_us = (last.seq, last.us) if last else (0, 0)
-        events = sse.normalise_pairs(sse.split_records(lines, F.lit(last_seq).cast("bigint")))
+        events = sse.normalise_pairs(spread(sse.split_records(lines, F.lit(last_seq).cast("bigint")), "seq"))
         clock = F.greatest(F.unix_micros(F.current_timestamp()), F.lit(last_us + 1))
         given = F.try_variant_get("record", "$.t_stamp", "double")
         events.select(
