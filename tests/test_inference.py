@@ -163,3 +163,22 @@ def test_schema_queries_number_records_once(spark, tmp_path, monkeypatch):
         calls.clear()
         found = plans.PLANS[name][0](spark, str(tmp_path))
         assert len(calls) == 1 and found.count() == found.distinct().count()
+
+
+def test_values_of_a_window_are_hashed_after_repeats_are_known(spark):
+    rng = random.Random(5)
+    texts = []
+    for i in range(300):
+        r = {"k1": rng.randrange(40), "k2": i, "a": rng.randrange(3), "user": f"u{i}"}
+        r["b"] = rng.choice([None, [1, 2], r["k1"] * 2, "x"])
+        if rng.random() < 0.5:
+            r["c"] = r["k1"] % 5
+        texts.append((i // 50, json.dumps({k: r[k] for k in r if k == "a" or rng.random() < 0.9})))
+    records = spark.createDataFrame([*texts, (None, '{"k1":1,"a":1}'), (7, "broken")], "batch bigint, raw string").withColumn("record", strict_json(F.col("raw")))
+    for hidden in (None, "user"):
+        found = dep.window_dependencies(records, "batch", "record", KEYS, hidden)
+        whole = dep.functional_dependencies(records, "batch", "record", KEYS, hidden)
+        assert found.count() > 10 and sorted(map(str, found.collect())) == sorted(map(str, whole.collect()))
+    lines = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    window = next(i for i, line in enumerate(lines) if "Window [" in line)
+    assert not any("xxhash64" in line for line in lines[window:])
