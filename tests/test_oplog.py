@@ -153,3 +153,16 @@ def test_rows_are_not_broadcast_to_their_definitions(spark):
     assert sorted(r.k for r in found.collect()) == [0, 1, 2]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "BuildRight" in plan and "BuildLeft" not in plan
+
+
+def test_log_lines_are_made_once_and_written_in_order(spark, tmp_path, monkeypatch):
+    from driftwell.sinks import reports
+
+    stored = []
+    monkeypatch.setattr(reports, "materialize", lambda df, real=reports.materialize: stored.append(df.columns) or real(df))
+    rows = [("INSERT", "t", ["a"], ["1"], None, "s", "u", i) for i in random.Random(3).sample(range(200), 200)]
+    schema = "type string, table_name string, columns array<string>, values array<string>, where map<string,string>, sql string, actor string, op_seq bigint"
+    reports.write_operation_log(spark.createDataFrame(rows, schema), str(tmp_path / "log"), batch_id=0)
+    assert stored == [["op_seq", "value"]]
+    lines = [json.loads(line)["op_seq"] for part in sorted((tmp_path / "log" / "batch_id=0").glob("part-*")) for line in part.read_text().splitlines()]
+    assert lines == list(range(200))
