@@ -65,3 +65,15 @@ def test_a_batch_run_again_changes_nothing(spark, tmp_path):
     assert sorted((r.seq, r.a) for r in table.collect()) == [(i, i) for i in range(10)]
     docs = stores.read_documents(spark, f"{tmp_path}/documents", "root", "seq bigint, document string")
     assert sorted(json.dumps(json.loads(r.document), sort_keys=True) for r in docs.collect()) == ['{"b": "x", "c": {"d": 1}}'] * 10
+
+
+def test_records_of_one_split_are_parsed_in_several_tasks(spark, tmp_path):
+    lines = [("f", 0, f'data: {{"a":{i}}}') for i in range(200)]
+    job = Ingest(str(tmp_path / "job"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        job._keep_events(spark.createDataFrame(lines, "file string, start bigint, line string").coalesce(1), 0)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(list((tmp_path / "job" / "events" / "batch_id=0").glob("part-*"))) > 2
+    assert job.read_events(spark).count() == 200
