@@ -73,3 +73,23 @@ def test_costly_rows_go_to_all_tasks(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert nodes.count() == 400
+
+
+def test_cells_of_child_tables_are_typed_in_all_tasks(spark, tmp_path, monkeypatch):
+    from driftwell.streaming import children
+
+    tasks = []
+    monkeypatch.setattr(children, "type_summary", lambda cells, *a, real=children.type_summary, **k: tasks.append(cells.rdd.getNumPartitions()) or real(cells, *a, **k))
+    records = spark.createDataFrame([(i, '{"a":%d}' % i) for i in range(200)], "seq bigint, record_text string")
+    tables = children.ChildTables(str(tmp_path / "tables"))
+    tables.step(spark, records, 0)
+    tasks.clear()
+    # the rows of a batch lie in one file
+    tables.rows(spark, 0).coalesce(1).write.partitionBy("table_name").parquet(str(tmp_path / "tables/rows/batch_id=1"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tables._keep_types(spark, 1)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert tasks[0] > 1
+    assert [tuple(r) for r in tables.types(spark, 1).collect()] == [("root", "a", "int")]
