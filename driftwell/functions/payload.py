@@ -85,13 +85,17 @@ def identity(value: Column) -> Column:
     numbers; numbers and booleans share one domain (1 = 1.0 = true), and null is
     a value of its own.
     """
-    return once(
-        F.to_json(value),
-        lambda j: F.when(F.substring(j, 1, 1).isin('"', "[", "{"), j)
+    return once(F.to_json(value), identity_of_json)
+
+
+def identity_of_json(j: Column) -> Column:
+    """``identity`` from the JSON text of a value; never longer than that."""
+    return (
+        F.when(F.substring(j, 1, 1).isin('"', "[", "{"), j)
         .when(j == "true", "1")
         .when(j == "false", "0")
         .when(F.contains(j, F.lit(".")) & j.rlike(r"^-?[0-9.]+$"), F.regexp_replace(j, r"\.?0+$", ""))
-        .otherwise(j),
+        .otherwise(j)
     )
 
 
@@ -104,6 +108,11 @@ def short_identity(identity_text: Column) -> Column:
     return F.when(F.length(identity_text) > 48, digest).otherwise(identity_text)
 
 
+def short_identity_of_json(j: Column) -> Column:
+    """``short_identity`` of ``identity`` from the JSON text; few texts are long enough to be looked at twice."""
+    return F.when(F.length(j) <= 48, identity_of_json(j)).otherwise(short_identity(identity_of_json(j)))
+
+
 def fixed_width(identity_text: Column) -> list[Column]:
     """Two independent 64-bit values of a text: equal together exactly for equal texts, but for a chance of 2^-128."""
     return [F.xxhash64(identity_text), F.xxhash64(F.lit(0x5EED), identity_text)]

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
-from driftwell.functions.payload import each, elements, fields, fixed_width, identity, is_list, once, short_identity
+from driftwell.functions.payload import each, elements, fields, fixed_width, identity, is_list, once, short_identity, short_identity_of_json
 
 ENTITY_BATCH, RELATION_BATCH = 400, 1000
 
@@ -28,22 +29,57 @@ def by_window(records: DataFrame, batch: str = "batch") -> DataFrame:
     return records.repartition(batch)
 
 
+def described(records: DataFrame, payload: str, global_key: str | None = None) -> DataFrame:
+    """Records whose payload is what the miners read of it, once: array of (field, listed, ids).
+
+    ``ids`` are the bounded identities of the value, or of the elements of a list
+    that are no lists. Where several miners read the same records, all of them take
+    this form in place of the VARIANT.
+    """
+    return records.withColumn(payload, _cells(payload, global_key))
+
+
+def is_described(records: DataFrame, payload: str) -> bool:
+    return isinstance(records.schema[payload].dataType, ArrayType)
+
+
+def _texts(payload: str) -> Column:
+    """The fields of a record as structs: field, value, its JSON text, which is taken once and tells all the rest."""
+    return F.transform(F.map_entries(fields(F.col(payload))), lambda e: F.struct(e["key"].alias("field"), e["value"].alias("value"), F.to_json(e["value"]).alias("text")))
+
+
+def _cells(payload: str, global_key: str | None) -> Column:
+    return F.transform(
+        _without(_texts(payload), global_key),
+        lambda e: F.struct(
+            e["field"].alias("field"), e["text"].startswith("[").alias("listed"),
+            F.when(
+                e["text"].startswith("["),
+                F.transform(F.filter(elements(e["value"]), lambda x: ~is_list(x)), lambda x: once(F.to_json(x), short_identity_of_json)),
+            ).otherwise(F.array(short_identity_of_json(e["text"]))).alias("ids"),
+        ),
+    )
+
+
+def _without(cells: Column, global_key: str | None) -> Column:
+    return F.filter(cells, lambda e: e["field"] != F.lit(global_key)) if global_key else cells
+
+
 def _entries(payload: str, global_key: str | None) -> Column:
     """The fields of a record as structs: field, bounded identity of the value, two hashes of it, whether a list.
 
     Hashes are taken once per cell, before cells are paired.
     """
-    entries = F.transform(
-        F.map_entries(fields(F.col(payload))),
+    return F.transform(
+        _without(_texts(payload), global_key),
         lambda e: once(
-            identity(e["value"]),
+            short_identity_of_json(e["text"]),
             lambda t: F.struct(
-                e["key"].alias("field"), short_identity(t).alias("id"), *[h.alias(n) for n, h in zip(("h1", "h2"), fixed_width(t), strict=True)],
-                is_list(e["value"]).alias("listed"),
+                e["field"].alias("field"), t.alias("id"), *[h.alias(n) for n, h in zip(("h1", "h2"), fixed_width(t), strict=True)],
+                e["text"].startswith("[").alias("listed"),
             ),
         ),
     )
-    return F.filter(entries, lambda e: e["field"] != F.lit(global_key)) if global_key else entries
 
 
 def _one_value(identity_text: Column) -> Column:
@@ -100,15 +136,25 @@ def functional_dependencies(
     return held_dependencies(dependency_partials(records, batch, payload, keys, global_key))
 
 
-def window_dependencies(
-    records: DataFrame, batch: str, payload: str, keys: list[str], global_key: str | None = None
-) -> DataFrame:
-    """``functional_dependencies`` of windows of bounded length: batch, key, column.
-
-    A record alone with its value of a key contradicts nothing. Such records tell
-    only which columns there are: their values are not hashed, and records with the
-    same columns are one row before these are told apart.
-    """
+def _named(records: DataFrame, batch: str, payload: str, keys: list[str], global_key: str | None) -> tuple[DataFrame, Column]:
+    """Per record the names of its scalar columns and its keys with their values, and its column that gives all values hashed."""
+    number = F.col(batch).cast("bigint").alias("batch")
+    if is_described(records, payload):
+        # the values travel without the structs around them
+        held = F.filter(_without(F.col(payload), global_key), lambda e: ~e["listed"])
+        cells = records.select(number, held.alias("_held")).select(
+            "batch", F.flatten("_held.ids").alias("_record"),
+            F.struct(
+                F.col("_held.field").alias("names"),
+                F.transform(
+                    F.filter("_held", lambda e: e["field"].isin(keys)), lambda e: F.struct(e["field"].alias("field"), F.get(e["ids"], F.lit(0)).alias("id"))
+                ).alias("keys"),
+            ).alias("_named"),
+        )
+        hashed = F.zip_with(
+            "names", "_record", lambda n, t: F.struct(n.alias("field"), *[h.alias(c) for c, h in zip(("h1", "h2"), fixed_width(t), strict=True)])
+        )
+        return cells, hashed
     fits = lambda k, v: ~is_list(v)
     if global_key:
         fits = lambda k, v: (k != F.lit(global_key)) & ~is_list(v)
@@ -122,15 +168,27 @@ def window_dependencies(
             ).alias("keys"),
         ),
     )
-    cells = by_window(records, batch).select(F.col(batch).cast("bigint").alias("batch"), F.col(payload).alias("_record"), named.alias("_named"))
-    rows = each(cells, F.col("_named.keys"), "k").select(
-        "batch", "_record", F.col("_named.names").alias("names"), F.col("k.field").alias("key"), F.col("k.id").alias("key_id")
-    )
-    alone = F.count(F.lit(1)).over(Window.partitionBy("batch", "key", "key_id")) == 1
     hashed = F.transform(
         F.filter(_entries("_record", global_key), lambda e: ~e["listed"]),
         lambda e: F.struct(e["field"].alias("field"), e["h1"].alias("h1"), e["h2"].alias("h2")),
     )
+    return records.select(number, F.col(payload).alias("_record"), named.alias("_named")), hashed
+
+
+def window_dependencies(
+    records: DataFrame, batch: str, payload: str, keys: list[str], global_key: str | None = None
+) -> DataFrame:
+    """``functional_dependencies`` of windows of bounded length: batch, key, column.
+
+    A record alone with its value of a key contradicts nothing. Such records tell
+    only which columns there are: their values are not hashed, and records with the
+    same columns are one row before these are told apart.
+    """
+    cells, hashed = _named(by_window(records, batch), batch, payload, keys, global_key)
+    rows = each(cells, F.col("_named.keys"), "k").select(
+        "batch", "_record", F.col("_named.names").alias("names"), F.col("k.field").alias("key"), F.col("k.id").alias("key_id")
+    )
+    alone = F.count(F.lit(1)).over(Window.partitionBy("batch", "key", "key_id")) == 1
     told = rows.withColumn("_alone", alone).select(
         "batch", "key", F.when(~F.col("_alone"), F.col("key_id")).alias("key_id"),
         F.when(F.col("_alone"), F.col("names")).alias("names"), F.when(~F.col("_alone"), hashed).alias("hashed"),
@@ -156,20 +214,7 @@ def inclusion_partials(records: DataFrame, batch: str, payload: str, global_key:
     Elements of lists are values too. Partials of parts of a batch are merged by
     ``merged_inclusions``.
     """
-    short = lambda v: once(identity(v), short_identity)
-    entries = F.transform(
-        F.map_entries(fields(F.col(payload))),
-        lambda e: once(
-            is_list(e["value"]),
-            lambda listed: F.struct(
-                e["key"].alias("field"), listed.alias("listed"),
-                F.when(listed, F.transform(F.filter(elements(e["value"]), lambda x: ~is_list(x)), short))
-                .otherwise(F.array(short(e["value"]))).alias("ids"),
-            ),
-        ),
-    )
-    if global_key:
-        entries = F.filter(entries, lambda e: e["field"] != F.lit(global_key))
+    entries = _without(F.col(payload), global_key) if is_described(records, payload) else _cells(payload, global_key)
     columns = each(records.select(F.col(batch).cast("bigint").alias("batch"), entries.alias("all")), F.col("all"), "e")
     values = columns.select(
         "batch", F.col("e.field").alias("field"), F.col("e.listed").alias("listed"), F.explode_outer("e.ids").alias("id")
@@ -221,7 +266,10 @@ def window_inclusions(
 
 def list_columns(records: DataFrame, payload: str, global_key: str | None = None) -> DataFrame:
     """Columns that ever hold a list."""
-    held = F.map_keys(F.map_filter(fields(F.col(payload)), lambda k, v: F.coalesce(is_list(v), F.lit(False))))
+    if is_described(records, payload):
+        held = F.filter(F.col(payload), lambda e: e["listed"])["field"]
+    else:
+        held = F.map_keys(F.map_filter(fields(F.col(payload)), lambda k, v: F.coalesce(is_list(v), F.lit(False))))
     found = records.select(F.explode(held).alias("column")).distinct()
     return found.where(F.col("column") != global_key) if global_key else found
 

@@ -228,7 +228,7 @@ fks AS (SELECT DISTINCT t.table_name, ind.col AS column_name, r.table_name AS re
 @plan("i9_foreign_keys", f"WITH {FOREIGN} SELECT * FROM fks")
 def _(spark, sf):
     # both miners read the same stored records
-    records = materialize(numbered(spark, sf))
+    records = materialize(dep.described(numbered(spark, sf), "record", "username"))
     return schema.foreign_keys(tables(records), dep.ever(inclusions(records)))
 
 
@@ -276,7 +276,7 @@ def _(spark, sf):
     UNION ALL SELECT 'foreign_keys', table_name, column_name, references_table || '(' || references_column || ')' FROM fks""",
 )
 def _(spark, sf):
-    records = materialize(numbered(spark, sf))
+    records = materialize(dep.described(numbered(spark, sf), "record", "username"))
     entities = tables(records)
     foreign = schema.foreign_keys(entities, dep.ever(inclusions(records)))
     return schema.assemble(entities, dep.ever(mined(records)), foreign, dep.list_columns(records, "record", "username"))

@@ -182,3 +182,23 @@ def test_values_of_a_window_are_hashed_after_repeats_are_known(spark):
     lines = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
     window = next(i for i, line in enumerate(lines) if "Window [" in line)
     assert not any("xxhash64" in line for line in lines[window:])
+
+
+def test_described_records_are_mined_without_reading_them_again(spark, monkeypatch):
+    """Records described once give all miners what the records themselves give, and no miner of i11 opens a VARIANT."""
+    long = json.dumps({"k1": 1, "a": "x" * 60, "b": [[1], "y" * 60, 1.50, True], "c": {"d": 1}})
+    df = numbered_windows(spark, [21, 22]).union(spark.createDataFrame([(9, long), (9, long), (9, "3"), (None, long)], "batch bigint, raw string").select("batch", strict_json(F.col("raw"))))
+    shown = lambda found: sorted(map(str, found.collect()))
+    for hidden in (None, "user"):
+        once = dep.described(df, "record", hidden)
+        for miner in (dep.window_dependencies, dep.window_inclusions, dep.inclusion_dependencies):
+            want = shown(miner(df, "batch", "record", KEYS, hidden))
+            assert want and shown(miner(once, "batch", "record", KEYS, hidden)) == want
+        assert shown(dep.list_columns(once, "record", hidden)) == shown(dep.list_columns(df, "record", hidden))
+    from driftwell.plans import inference_plans as plans
+
+    stored, keep = [], plans.materialize
+    monkeypatch.setattr(plans, "materialize", lambda rows: stored.append(rows) or keep(rows))
+    found = plans.PLANS["i11_schema_assembly"][0](spark, "/root/testdata/sf0.001")
+    plan = [rows._jdf.queryExecution().optimizedPlan().toString() for rows in (*stored[1:], found)]
+    assert len(stored) == 2 and not any("variant" in text for text in plan)
