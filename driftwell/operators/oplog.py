@@ -229,9 +229,13 @@ def living_cells(partials: DataFrame) -> DataFrame:
     return even_join(cells, life, ["table_name", "pk_id"]).where("at >= born").select("table_name", "pk_id", "column", "value")
 
 
-def _written_cells(log: DataFrame) -> DataFrame:
+def _written(log: DataFrame) -> DataFrame:
     pairs = F.zip_with("columns", "values", lambda c, v: F.struct(c.alias("column"), F.to_json(v).alias("value")))
-    writes = log.where(F.col("type").isin("INSERT", "UPDATE")).select("table_name", "pk_id", "seq", pairs.alias("cells"))
+    return log.withColumn("cells", F.when(F.col("type").isin("INSERT", "UPDATE"), pairs))
+
+
+def _written_cells(log: DataFrame) -> DataFrame:
+    writes = (log if "cells" in log.columns else _written(log)).where(F.col("type").isin("INSERT", "UPDATE"))
     return each(writes, F.col("cells"), "c").select("table_name", "pk_id", "seq", "c.column", "c.value")
 
 
@@ -242,7 +246,8 @@ def answer_gets(log: DataFrame, before: DataFrame | None = None) -> DataFrame:
     SELECTs of rows that do not live have no result. With ``before``, merged
     ``state_partials`` of what came earlier, ``log`` is what came since.
     """
-    keyed = log.where(F.col("pk_id").isNotNull())
+    # the scans read their input several times; operations are joined and values rendered once
+    keyed = materialize(_written(log.where(F.col("pk_id").isNotNull())).select("table_name", "pk_id", "seq", "type", "columns", "cells"))
     marks = keyed.select("table_name", "pk_id", "seq", "type")
     written = _written_cells(keyed)
     if before is not None:

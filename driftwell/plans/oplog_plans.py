@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftwell.functions import render
@@ -36,10 +36,15 @@ ops AS (
 
 
 def uneven_batches(operations):
-    """The operations in five batches that follow each other in the log."""
+    """The operations in five batches that follow each other in the log, each in a folder, so that a batch reads its own only."""
+    spark = operations.sparkSession
     last = operations.agg(F.max("seq")).first()[0]
-    ends = [-1, *[int(last * share) for share in (0.03, 0.3, 0.31, 0.8)], last]
-    return [operations.where((F.col("seq") > after) & (F.col("seq") <= upto)) for after, upto in zip(ends, ends[1:], strict=False)]
+    inner = [int(last * share) for share in (0.03, 0.3, 0.31, 0.8)]
+    number = reduce(Column.__add__, [(F.col("seq") > end).cast("int") for end in inner])
+    folder = scratch(spark)
+    operations.where("seq > -1").withColumn("batch", number).write.partitionBy("batch").parquet(folder)
+    stored = spark.read.schema(operations.withColumn("batch", F.lit(0)).schema).parquet(folder)
+    return [stored.where(F.col("batch") == i).drop("batch") for i in range(len(inner) + 1)]
 
 
 def shown(ops):

@@ -166,3 +166,17 @@ def test_log_lines_are_made_once_and_written_in_order(spark, tmp_path, monkeypat
     assert stored == [["op_seq", "value"]]
     lines = [json.loads(line)["op_seq"] for part in sorted((tmp_path / "log" / "batch_id=0").glob("part-*")) for line in part.read_text().splitlines()]
     assert lines == list(range(200))
+
+
+def test_uneven_batches_read_their_own_operations_only(spark):
+    """Batches lie in folders of their own, and gets are answered from values that were rendered once."""
+    from driftwell.plans import oplog_plans as plans
+
+    log = plans.log(spark, "/root/testdata/sf0.001")
+    whole, batches = sorted(r.seq for r in log.collect()), plans.uneven_batches(log)
+    last = whole[-1]
+    ends = [-1, *[int(last * share) for share in (0.03, 0.3, 0.31, 0.8)], last]
+    for batch, after, upto in zip(batches, ends, ends[1:], strict=False):
+        assert sorted(r.seq for r in batch.collect()) == [s for s in whole if after < s <= upto]
+        assert "PartitionFilters: [isnotnull(batch" in batch._jdf.queryExecution().executedPlan().toString()
+    assert "to_json" not in oplog.answer_gets(batches[-1])._jdf.queryExecution().optimizedPlan().toString()
