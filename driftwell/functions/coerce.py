@@ -129,7 +129,7 @@ def with_traits(cells: DataFrame, value: str, name: str = "traits") -> DataFrame
     first = F.when(
         F.col("_own") | (F.col("_json").isNotNull()), F.concat(F.lit("list<"), subtype, F.lit(">"))
     ).otherwise(own["first"])
-    traits = F.struct(
+    full = F.struct(
         *[(own[t] & ~F.col("_own")).alias(t) for t in ("cut_int", "int", "float", "bool")],
         first.alias("first"),
         listed.alias("listed"),
@@ -138,6 +138,14 @@ def with_traits(cells: DataFrame, value: str, name: str = "traits") -> DataFrame
         every("bool").alias("list_bool"),
         F.coalesce(subtype, F.lit("UNK")).alias("subtype"),
     )
+    # a value that is no list and spells none is most of a table: nothing of a list is computed for it
+    scalar = ~F.col("_kind").startswith("ARRAY") & ~((F.col("_kind") == "STRING") & F.col("_text").rlike(r"^\s*\["))
+    no = F.lit(False)
+    bare = F.struct(
+        *[own[t].alias(t) for t in ("cut_int", "int", "float", "bool")], own["first"].alias("first"),
+        no.alias("listed"), no.alias("list_int"), no.alias("list_float"), no.alias("list_bool"), F.lit("UNK").alias("subtype"),
+    )
+    traits = F.when(scalar, bare).otherwise(full)
     return df.withColumn(
         name, F.when(F.col(value).isNotNull() & (F.col("_kind") != "VOID"), traits)
     ).drop("_own", "_json", "_items", "_self", "_sub")

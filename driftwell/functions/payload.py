@@ -64,7 +64,7 @@ def is_nested(value: Column) -> Column:
     holds = F.exists(
         elements(value), lambda x: F.schema_of_variant(x).rlike("^(OBJECT|ARRAY)")
     )
-    return is_object(value) | F.coalesce(holds, F.lit(False))
+    return is_object(value) | (is_list(value) & F.coalesce(holds, F.lit(False)))
 
 
 def field(value: Column, name: str) -> Column:

@@ -211,16 +211,25 @@ def record_numbers(records: DataFrame, seq: str) -> DataFrame:
 
 
 def profile_sums(
-    records: DataFrame, seq: str, payload: str, cells: DataFrame | None = None
+    records: DataFrame, seq: str, payload: str, cells: DataFrame | None = None, distinct: bool = False
 ) -> DataFrame:
     """Mergeable per-field sums of a batch of records.
 
     ``at_last`` counts the records up to the field's last occurrence; the
-    record counts of batches add up, and so do all other columns.
+    record counts of batches add up, and so do all other columns. With ``distinct``,
+    no two records share a ``seq`` and none is null: then only the last cell of
+    each field is looked up among the record numbers, instead of every cell.
     """
     if cells is None:
         cells = described_cells(records.select(seq, payload), seq, payload)
-    cells = even_join(cells, record_numbers(records, seq), [seq])
+    if distinct:
+        sums = materialize(_cell_sums(cells, seq, F.max(seq).alias("_last")))
+        numbers = lookup_join(record_numbers(records, seq), sums.select(F.col("_last").alias(seq)).distinct(), [seq], "inner")
+        return sums.join(numbers.select(F.col(seq).alias("_last"), F.col("_record_no").alias("at_last")), "_last").drop("_last")
+    return _cell_sums(even_join(cells, record_numbers(records, seq), [seq]), seq, F.max("_record_no").alias("at_last"))
+
+
+def _cell_sums(cells: DataFrame, seq: str, last: Column) -> DataFrame:
     flat = ~F.col("nested")
     length = F.col("length").cast("bigint")
     return cells.groupBy("field").agg(
@@ -229,7 +238,7 @@ def profile_sums(
         F.count("length").alias("samples"),
         F.coalesce(F.sum(length), F.lit(0)).alias("chars"),
         F.coalesce(F.sum((length * length).cast("decimal(38,0)")), F.lit(0)).alias("squares"),
-        F.max("_record_no").alias("at_last"),
+        last,
         F.max_by("nested", seq).alias("last_nested"),
         F.max_by(F.col("length").isNotNull(), seq).alias("last_text"),
     )

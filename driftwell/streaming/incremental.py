@@ -14,11 +14,14 @@ from driftwell.session import even_join
 SUMS = ["total_seen", "present_count", "samples", "chars", "squares"]
 
 
-def profile_step(previous: DataFrame | None, records: DataFrame, seq: str, payload: str) -> DataFrame:
-    """Profile after one more batch (R5). One row per field, whatever was read so far."""
+def profile_step(previous: DataFrame | None, records: DataFrame, seq: str, payload: str, distinct: bool = False) -> DataFrame:
+    """Profile after one more batch (R5). One row per field, whatever was read so far.
+
+    ``distinct`` tells that no two records share a ``seq``, as where the ingest numbered them.
+    """
     batch_total = records.agg(F.count(F.lit(1)).alias("n")).scalar()
     cells = described_cells(records.select(seq, payload), seq, payload)
-    sums = profile_sums(records, seq, payload, cells).withColumn("records", batch_total)
+    sums = profile_sums(records, seq, payload, cells, distinct).withColumn("records", batch_total)
     summary = type_summary(cells, ["field"], seq, "value")
     if previous is None:
         typed = continue_history(summary, ["field"], F.lit("UNK"))

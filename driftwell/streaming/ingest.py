@@ -73,7 +73,7 @@ class Ingest:
             events = self.read_events(spark, batch_id)
             records = sse.forwarded(events)
             previous = reports.load_state(spark, self.profile, batch_id - 1) if batch_id else None
-            reports.save_state(profile_step(previous, records, "seq", "record"), self.profile, batch_id)
+            reports.save_state(profile_step(previous, records, "seq", "record", distinct=True), self.profile, batch_id)
             state = reports.load_state(spark, self.profile, batch_id)
             placement = final_placement(state)
             stores.flush(

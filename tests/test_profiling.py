@@ -97,3 +97,15 @@ def test_numbered_cells_are_not_broadcast(spark):
     sums = pr.profile_sums(records, "seq", "record")
     sums.collect()
     assert "Broadcast" not in sums._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sums_of_distinct_records_join_no_cells(spark):
+    """Where no two records share a number, only the last cell of each field is looked up."""
+    rows = [(10 * i, json.dumps({"a": i, **({"b": "x" * (i % 5)} if i % 3 else {}), **({"c": {"d": 1}} if i < 40 else {}), "l": [i]})) for i in range(1, 90)]
+    records = spark.createDataFrame(rows, "seq bigint, raw string").select("seq", strict_json(F.col("raw")).alias("record"))
+    cells = pr.described_cells(records, "seq", "record")
+    want = pr.profile_sums(records, "seq", "record", cells)
+    got = pr.profile_sums(records, "seq", "record", cells, distinct=True).select(*want.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert "is_null" not in got.select("field", "at_last")._jdf.queryExecution().optimizedPlan().toString()
+    assert pr.profile_sums(records.limit(0), "seq", "record", distinct=True).count() == 0
