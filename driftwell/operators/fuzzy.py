@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftwell.session import even_join, materialize
+from driftwell.session import even_join, lookup_join, materialize, spread
 
 #: Values in one part of a block.
 CHUNK = 10_000
+#: Rows of one value in one pack.
+COPIES = 1_000
 
 
 def _cut(length: Column, i: Column, segments: int) -> Column:
@@ -53,14 +55,37 @@ def near_values(left: DataFrame, right: DataFrame, value: str, most: int, chunk:
     return probes.join(index, key).select("left_value", "right_value", distance.alias("distance")).where("distance >= 0").distinct()
 
 
-def fuzzy_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str, most: int, chunk: int = CHUNK) -> DataFrame:
+def _packs(rows: DataFrame, on: str, copies: int) -> tuple[DataFrame, DataFrame]:
+    """Tables (value, packs) and (value, pack, rows): rows whose values are equal without regard to case, dealt to packs of about ``copies``.
+
+    Fields of the packed rows are named by their places. Numbers that deal rows are stored, so that a task that runs again deals alike.
+    """
+    fields = [f"c{i}" for i in range(len(rows.columns))]
+    numbered = rows.where(F.col(on).isNotNull()).select(F.lower(on), "*").toDF("value", *fields)
+    numbered = materialize(numbered.select("value", F.struct(*fields).alias("row"), F.xxhash64(F.monotonically_increasing_id()).alias("number")))
+    sizes = materialize(numbered.groupBy("value").agg(F.ceil(F.count(F.lit(1)) / copies).cast("int").alias("packs")))
+    dealt = lookup_join(numbered, sizes.where("packs > 1"), ["value"], salt=F.col("number"))
+    pack = F.pmod("number", F.coalesce("packs", F.lit(1))).cast("int")
+    return sizes, materialize(dealt.groupBy("value", pack.alias("pack")).agg(F.collect_list("row").alias("rows")))
+
+
+def fuzzy_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str, most: int, chunk: int = CHUNK, copies: int = COPIES) -> DataFrame:
     """Rows of both sides whose values are within ``most`` edits, with their ``distance``.
 
-    Pairs are found among distinct values, and rows join those.
+    Pairs are found among distinct values. Rows of a value travel in packs,
+    which are opened where a pack of either side has met: all pairs of rows
+    are made, but none is shuffled, and those of a hot value come from many tasks.
     """
-    pairs = materialize(near_values(left.select(F.col(left_on).alias("value")), right.select(F.col(right_on).alias("value")), "value", most, chunk))
-    one = left.join(pairs, F.lower(left[left_on]) == pairs["left_value"]).drop("left_value")
-    return one.join(right, F.lower(right[right_on]) == one["right_value"]).drop("right_value")
+    sides = {"left": _packs(left, left_on, copies), "right": _packs(right, right_on, copies)}
+    met = near_values(sides["left"][0], sides["right"][0], "value", most, chunk)
+    for side, (sizes, _) in sides.items():
+        met = even_join(met, sizes.withColumnRenamed("value", f"{side}_value"), [f"{side}_value"])
+        met = met.withColumn(f"{side}_pack", F.explode(F.sequence(F.lit(0), F.col("packs") - 1))).drop("packs")
+    for side, (_, packs) in sides.items():
+        met = even_join(met, packs.toDF(f"{side}_value", f"{side}_pack", f"{side}_rows"), [f"{side}_value", f"{side}_pack"])
+    met = spread(met, *[f"{side}_{part}" for side in sides for part in ("value", "pack")])
+    opened = met.select(F.inline("left_rows"), "distance", "right_rows").select("*", F.inline("right_rows")).drop("right_rows")
+    return opened.toDF(*left.columns, "distance", *right.columns)
 
 
 def fuzzy_classes(left: DataFrame, right: DataFrame, left_key: str, left_on: str, right_key: str, right_on: str, most: int, chunk: int = CHUNK) -> DataFrame:
